@@ -1,0 +1 @@
+"""Empty on purpose: the job is a daily batch and has no streaming operator."""
