@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from catalog.registry import query
 from catalog.views import BRAND_SALES, MASKED_SALES, SALES, brand_sales, masked_sales, sales
+from salescast.functions import round_half_even
 from salescast.operators import daily as daily_op
 from salescast.operators import ordered as op
 from salescast.plans.features import feature_table as build_features
@@ -71,7 +72,7 @@ _SERIES = "PARTITION BY series_id ORDER BY date"
 
 def _cents(df):
     """Money sums to the cent: the order of a sum shows beyond that."""
-    return df.withColumn("revenue", F.bround("revenue", 2))
+    return df.withColumn("revenue", round_half_even(F.col("revenue")))
 
 
 @query(

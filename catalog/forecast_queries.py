@@ -19,6 +19,7 @@ from catalog.views import (
     masked_sales,
     sales,
 )
+from salescast.functions import round_half_even
 from salescast.operators import forecast as op
 from salescast.operators.daily import daily_sales
 from salescast.operators.profile import content_hash
@@ -49,7 +50,7 @@ def training_observations(spark, sf_dir):
         F.col("sales_quantity").alias("y"),
     )
     return op.daily_observations(rows).withColumns(
-        {"y": F.bround("y", 6), "spread": F.bround("spread", 6)}
+        {"y": round_half_even(F.col("y"), 6), "spread": round_half_even(F.col("spread"), 6)}
     )
 
 

@@ -10,8 +10,13 @@ from pyspark.sql import types as T
 
 
 def round_half_even(x: Column, scale: int = 2) -> Column:
-    """Round ties to the even neighbour (Spark's ``round`` goes half-up)."""
-    return F.bround(x, scale)
+    """Round doubles half to even, by scaling to whole numbers as NumPy does.
+
+    Spark's ``round`` goes half-up, and ``bround`` rounds the decimal text: it
+    makes 16.72 of 16.725, where NumPy has 1672.5000000000002 and makes 16.73.
+    """
+    unit = float(10**scale)
+    return F.rint(x.cast("double") * unit) / unit
 
 
 def clip_at_zero(x: Column) -> Column:

@@ -23,7 +23,7 @@ STAGE_METRICS: dict[str, dict[str, str]] = {
     },
     "validation": {
         "checks_passed": "size(checks_passed)",
-        "null_rate": "bround(metrics.overall_null_rate, 4)",
+        "null_rate": "rint(metrics.overall_null_rate * 10000) / 10000",
         "rows_cleaned": "cleaning.rows_removed",
     },
     "feature_engineering": {
