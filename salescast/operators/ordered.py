@@ -56,43 +56,106 @@ def _masked(columns: dict[str, Column], group: str | None) -> dict[str, Column]:
     return {name: F.when(F.col(group).isNotNull(), c) for name, c in columns.items()}
 
 
-def row_runs(df: DataFrame, group: str | None, date: str) -> DataFrame:
-    """Distinct rows with ``_copies`` and ``_start``, their first position.
+def _slotted(df: DataFrame, columns: Sequence[str], group: str | None, date: str) -> DataFrame:
+    """Add ``_digest`` and ``_slot``: group, date and the start of the digest.
 
-    Positions count from 0 within a group, by date (missing dates last) and then
-    digest. Copies are counted before the shuffle and stay one row. Offsets come
-    from one running sum over (date, digest prefix) counts; a second one orders
-    the rows that share a prefix.
+    Slots sort like their rows do, and a struct compares NULL parts as equal.
     """
-    runs = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    group_key = F.col(group) if group else F.lit(True)
-    runs = runs.withColumn("_digest", row_digest(df)).withColumn(
-        # a struct compares NULL dates and groups as equal
+    return df.withColumn("_digest", row_digest(df, columns)).withColumn(
         "_slot",
         F.struct(
-            group_key.alias("group"),
+            (F.col(group) if group else F.lit(True)).alias("group"),
             F.col(date).isNull().alias("no_date"),
             F.col(date).alias("date"),
             F.substring("_digest", 1, _PREFIX_DIGITS).alias("prefix"),
         ),
     )
-    ordered = Window.partitionBy("_slot.group").orderBy("_slot")
-    before = F.sum("_rows").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (
-        runs.groupBy("_slot")
-        .agg(F.sum("_copies").alias("_rows"))
-        .select("_slot", F.coalesce(before, F.lit(0)).alias("_offset"))
+
+
+def row_runs(df: DataFrame, group: str | None, date: str) -> DataFrame:
+    """Distinct rows with ``_copies`` and ``_start``, their first position.
+
+    Positions count from 0 within a group, by date (missing dates last) and then
+    digest. Copies are counted before the shuffle and stay one row. One running
+    sum over slots and one inside each slot give the position.
+    """
+    runs = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    runs = _slotted(runs, df.columns, group, date)
+    slots = runs.groupBy("_slot").agg(F.sum("_copies").alias("_rows"))
+    return _placed(runs, slots.select("_slot", _rows_before().alias("_offset")))
+
+
+def _rows_before() -> Column:
+    """Rows in earlier slots of the group."""
+    across = Window.partitionBy("_slot.group").orderBy("_slot")
+    rows = F.sum("_rows").over(across.rowsBetween(Window.unboundedPreceding, -1))
+    return F.coalesce(rows, F.lit(0))
+
+
+def _placed(runs: DataFrame, offsets: DataFrame) -> DataFrame:
+    within = Window.partitionBy("_slot").orderBy("_digest")
+    earlier = F.sum("_copies").over(within.rowsBetween(Window.unboundedPreceding, -1))
+    start = F.col("_offset") + F.coalesce(earlier, F.lit(0))
+    return runs.join(offsets, "_slot").withColumn("_start", start)
+
+
+def row_runs_with_known(
+    df: DataFrame, target: str, group: str | None, date: str
+) -> DataFrame:
+    """:func:`row_runs` plus what fills need to know beyond a block.
+
+    ``_known`` is the last target up to this row that is not NULL, ``_first_known``
+    the group's first one, ``_first_position`` its position and ``_group_rows``
+    the size of the group. All but the position come with the slot offsets.
+    """
+    runs = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    runs = _slotted(runs, df.columns, group, date)
+    known_digest = F.when(F.col(target).isNotNull(), F.col("_digest"))
+    slots = runs.groupBy("_slot").agg(
+        F.sum("_copies").alias("_rows"),
+        F.max_by(target, known_digest).alias("_last"),
+        F.min_by(target, known_digest).alias("_first"),
+        F.min(known_digest).alias("_first_digest"),
+    )
+    across = Window.partitionBy("_slot.group").orderBy("_slot")
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    whole = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    slots = slots.withColumn("_offset", _rows_before())
+    first = F.when(
+        F.col("_first_digest").isNotNull(), F.struct("_first", "_slot", "_offset")
     )
-    inside = Window.partitionBy("_slot").orderBy("_digest")
-    earlier = F.sum("_copies").over(inside.rowsBetween(Window.unboundedPreceding, -1))
-    return (
-        runs.join(offsets, "_slot")
-        .withColumn("_start", F.col("_offset") + F.coalesce(earlier, F.lit(0)))
-        .drop("_slot", "_digest", "_offset")
+    offsets = slots.select(
+        "_slot",
+        "_offset",
+        F.last("_last", True).over(before).alias("_known_before"),
+        F.first(first, True).over(whole).alias("_origin"),
+        F.sum("_rows").over(whole).alias("_group_rows"),
+    )
+    # rows ahead of the first known target inside its own slot; none of them has
+    # a target, so a scan finds none in a table without NULL targets
+    ahead = (
+        _slotted(df.where(F.col(target).isNull()), df.columns, group, date)
+        .join(slots.select("_slot", "_first_digest"), "_slot")
+        .where(F.col("_digest") < F.col("_first_digest"))
+        .groupBy(F.col("_slot").alias("_ahead_slot"))
+        .agg(F.count(F.lit(1)).alias("_ahead"))
+    )
+    offsets = offsets.join(
+        ahead, F.col("_origin._slot") == F.col("_ahead_slot"), "left"
+    ).select(
+        "_slot",
+        "_offset",
+        "_known_before",
+        "_group_rows",
+        F.col("_origin._first").alias("_first_known"),
+        (F.col("_origin._offset") + F.coalesce("_ahead", F.lit(0))).alias("_first_position"),
     )
+    within = Window.partitionBy("_slot").orderBy("_digest")
+    known = F.last(target, True).over(within.rowsBetween(Window.unboundedPreceding, 0))
+    return _placed(runs, offsets).withColumn("_known", F.coalesce(known, "_known_before"))
 
 
-def _blocks(runs: DataFrame, group_key: Column, reach: int, block_rows: int) -> DataFrame:
+def _blocks(runs: DataFrame, group: str | None, reach: int, block_rows: int) -> DataFrame:
     """Rows by block: ``_block``, ``_position`` and ``_own`` (not a carried-in row).
 
     A run of copies is sent to its blocks as one row per block and written out
@@ -102,51 +165,46 @@ def _blocks(runs: DataFrame, group_key: Column, reach: int, block_rows: int) ->
     end = F.col("_start") + F.col("_copies") - 1
     first_block = F.floor(F.col("_start") / size)
     last_block = F.floor((end + reach) / size)
-    pieces = runs.withColumn("_block", F.explode(F.sequence(first_block, last_block)))
     block_start = F.col("_block") * size
     from_position = F.greatest(F.col("_start"), block_start - reach)
     to_position = F.least(end, block_start + size - 1)
-    pieces = pieces.withColumns({"_from": from_position, "_to": to_position})
-    pieces = pieces.where("_from <= _to").withColumn("_group", group_key)
     return (
-        pieces.repartition("_group", "_block")
+        runs.withColumn("_block", F.explode(F.sequence(first_block, last_block)))
+        .withColumns({"_from": from_position, "_to": to_position})
+        .where("_from <= _to")
+        .withColumn("_group", F.struct((F.col(group) if group else F.lit(True)).alias("key")))
+        .drop("_slot", "_digest", "_offset", "_known_before", "_start", "_copies")
+        .repartition("_group", "_block")
         .withColumn("_position", F.explode(F.sequence("_from", "_to")))
         .withColumn("_own", F.col("_position") >= F.col("_block") * size)
-        .drop("_from", "_to", "_start", "_copies")
     )
 
 
-def _fill_blocks(rows: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Forward then backward fill in position order, across block borders.
+def _filled_columns(
+    target: str, windows: Sequence[int], lags: Sequence[int], w: WindowSpec
+) -> dict[str, Column]:
+    """Rolling means and lags filled forward, then backward, from known targets.
 
-    Each block passes on its last known values; what is still missing after that
-    precedes the group's first known value.
+    A filled lag is the last known target ``k`` rows up. A rolling mean without
+    any target in reach repeats the last one that had some, whose only target
+    was the last known one. What then remains precedes the first known target
+    and takes the first value that the feature has, if it ever gets one.
     """
-    summary = rows.groupBy("_group", "_block").agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_position"))).alias(f"_last_{c}") for c in features],
-        *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_position"))).alias(f"_first_{c}") for c in features],
-    )
-    blocks = Window.partitionBy("_group").orderBy("_block")
-    earlier = blocks.rowsBetween(Window.unboundedPreceding, -1)
-    whole = blocks.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    carried = summary.select(
-        "_group",
-        "_block",
-        *[F.last(f"_last_{c}", True).over(earlier).alias(f"_before_{c}") for c in features],
-        *[F.first(f"_first_{c}", True).over(whole).alias(f"_first_{c}") for c in features],
-    )
-    so_far = (
-        Window.partitionBy("_group", "_block")
-        .orderBy("_position")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    return (
-        rows.withColumns({c: F.last(c, True).over(so_far) for c in features})
-        .join(carried, ["_group", "_block"])
-        .withColumns(
-            {c: F.coalesce(c, f"_before_{c}", f"_first_{c}") for c in features}
+    plain = _feature_columns(target, windows, lags, w)
+    filled = {}
+    for n in windows:
+        name = rolling_name(target, n)
+        filled[name] = F.coalesce(
+            plain[name],
+            round_half_even(F.col("_known")),
+            round_half_even(F.col("_first_known")),
         )
-    )
+    for k in lags:
+        has_value = F.col("_first_position") + k < F.col("_group_rows")
+        filled[lag_name(target, k)] = F.coalesce(
+            F.lag("_known", k).over(w), F.when(has_value, F.col("_first_known"))
+        )
+    return filled
 
 
 def ordered_features(
@@ -178,13 +236,15 @@ def ordered_features(
     reach = max([n - 1 for n in windows] + [k for k in lags] + [0])
     if block_rows <= reach:
         raise ValueError(f"block_rows must exceed the {reach} rows a window reaches back")
-    group_key = F.struct((F.col(group) if group else F.lit(True)).alias("key"))
-    rows = _blocks(row_runs(df, group, date), group_key, reach, block_rows)
     order = Window.partitionBy("_group", "_block").orderBy("_position")
-    rows = rows.withColumns(_masked(_feature_columns(target, windows, lags, order), group))
-    rows = rows.where("_own")
     if fill:
-        rows = _fill_blocks(rows, features)
+        runs = row_runs_with_known(df, target, group, date)
+        columns = _filled_columns(target, windows, lags, order)
+    else:
+        runs = row_runs(df, group, date)
+        columns = _feature_columns(target, windows, lags, order)
+    rows = _blocks(runs, group, reach, block_rows)
+    rows = rows.withColumns(_masked(columns, group)).where("_own")
     return rows.select(*df.columns, *features)
 
 
