@@ -3,7 +3,16 @@
 from pyspark.sql import functions as F
 
 from catalog.registry import query
-from catalog.views import BRAND_SALES, MASKED_SALES, SALES, brand_sales, masked_sales, sales
+from catalog.views import (
+    BRAND_SALES,
+    EXACT_BRAND_SALES,
+    MASKED_SALES,
+    SALES,
+    brand_sales,
+    exact_brand_sales,
+    masked_sales,
+    sales,
+)
 from salescast.functions import round_half_even
 from salescast.operators import daily as daily_op
 from salescast.operators import ordered as op
@@ -170,37 +179,37 @@ _RAW_SERIES = "PARTITION BY product_id ORDER BY date NULLS LAST, digest"
 
 
 @query(
-    f"WITH {BRAND_SALES}, {_digest_sql('brand_sales')} "
+    f"WITH {EXACT_BRAND_SALES}, {_digest_sql('exact_brand_sales')} "
     f"SELECT date, product_id, sales_quantity, revenue, {_rolling_sql(_RAW_SERIES)} FROM keyed"
 )
 def rolling_raw_rows(spark, sf_dir):
-    rows = brand_sales(spark, sf_dir)
+    rows = exact_brand_sales(spark, sf_dir)
     return op.add_rolling_features(rows, "sales_quantity", WINDOWS, "product_id")
 
 
 @query(
-    f"WITH {BRAND_SALES}, {_digest_sql('brand_sales')} "
+    f"WITH {EXACT_BRAND_SALES}, {_digest_sql('exact_brand_sales')} "
     f"SELECT date, product_id, sales_quantity, revenue, {_lag_sql(_RAW_SERIES)} FROM keyed"
 )
 def lag_raw_rows(spark, sf_dir):
-    rows = brand_sales(spark, sf_dir)
+    rows = exact_brand_sales(spark, sf_dir)
     return op.add_lag_features(rows, "sales_quantity", LAGS, "product_id")
 
 
 _NULLABLE = """
 nullable AS (SELECT date, product_id, nullif(sales_quantity, 50) AS sales_quantity, revenue
-             FROM brand_sales)"""
+             FROM exact_brand_sales)"""
 
 
 @query(
     f"""
-WITH {BRAND_SALES}, {_NULLABLE}, {_digest_sql('nullable')},
+WITH {EXACT_BRAND_SALES}, {_NULLABLE}, {_digest_sql('nullable')},
 added AS (SELECT *, {_rolling_sql(_RAW_SERIES)}, {_lag_sql(_RAW_SERIES)} FROM keyed)
 SELECT date, product_id, sales_quantity, revenue, {_fill_sql(_RAW_SERIES)} FROM added
 """
 )
 def fill_raw_rows(spark, sf_dir):
-    rows = brand_sales(spark, sf_dir)
+    rows = exact_brand_sales(spark, sf_dir)
     rows = rows.withColumn("sales_quantity", F.nullif("sales_quantity", F.lit(50)))
     return op.ordered_features(
         rows, "sales_quantity", WINDOWS, LAGS, group="product_id", fill=True
@@ -232,9 +241,9 @@ _ONE = "Brand#7"
 
 @query(
     f"""
-WITH {BRAND_SALES},
+WITH {EXACT_BRAND_SALES},
 one AS (SELECT date, product_id, CAST(sales_quantity AS DOUBLE) AS sales_quantity, revenue
-        FROM brand_sales WHERE product_id = '{_ONE}'),
+        FROM exact_brand_sales WHERE product_id = '{_ONE}'),
 {_digest_sql('one')},
 added AS (SELECT *, {_rolling_sql(_RAW_SERIES)}, {_lag_sql(_RAW_SERIES)} FROM keyed)
 SELECT product_id AS series_id, date, product_id, sales_quantity, revenue, {_CALENDAR},
@@ -244,7 +253,7 @@ FROM added
 )
 def feature_table_one_product(spark, sf_dir):
     """The product filter is the feature: one product's rows, not aggregated."""
-    return build_features(brand_sales(spark, sf_dir), product_id=_ONE)
+    return build_features(exact_brand_sales(spark, sf_dir), product_id=_ONE)
 
 
 @query(f"WITH {BRAND_SALES} SELECT * FROM brand_sales WHERE product_id = '{_ONE}'")

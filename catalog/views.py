@@ -35,14 +35,14 @@ sales AS (
 
 
 def brand_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items by the brand of their part; revenue as exact money."""
+    """Line items by the brand of their part."""
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     lines = table(spark, sf_dir, "lineitem")
     return lines.join(part, lines.l_partkey == part.p_partkey).select(
         F.to_date("l_shipdate").alias("date"),
         F.col("p_brand").alias("product_id"),
         F.col("l_quantity").cast("bigint").alias("sales_quantity"),
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("revenue"),
+        F.col("l_extendedprice").alias("revenue"),
     )
 
 
@@ -51,11 +51,24 @@ brand_sales AS (
   SELECT CAST(l_shipdate AS DATE) AS date,
          p_brand AS product_id,
          CAST(trunc(l_quantity) AS BIGINT) AS sales_quantity,
-         CAST(l_extendedprice AS DECIMAL(18,2)) AS revenue
+         l_extendedprice AS revenue
   FROM lineitem JOIN part ON l_partkey = p_partkey
 )"""
 
 
+def exact_brand_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`brand_sales` with revenue as decimal, whose text both engines share."""
+    rows = brand_sales(spark, sf_dir)
+    return rows.withColumn("revenue", F.col("revenue").cast("decimal(18,2)"))
+
+
+EXACT_BRAND_SALES = f"""{BRAND_SALES},
+exact_brand_sales AS (
+  SELECT date, product_id, sales_quantity, CAST(revenue AS DECIMAL(18,2)) AS revenue
+  FROM brand_sales
+)"""
+
+
 def masked_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items with an extra column and with values hidden in every column."""
     return table(spark, sf_dir, "lineitem").select(

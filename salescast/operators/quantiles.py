@@ -83,25 +83,34 @@ def _with_ranks(bins: DataFrame, within: list[str], order: str) -> list[Row]:
     return bins.withColumn("ranks", held).where(F.size("ranks") > 0).collect()
 
 
-def _open(tall: DataFrame, found: list[Row], keys: list[str]) -> DataFrame | None:
-    """Rows of ``tall`` in the bins that still hold several distinct values."""
+def _open(df: DataFrame, found: list[Row], keys: list[str]) -> DataFrame | None:
+    """Values in the bins that still hold several distinct values.
+
+    The bins' ranges are filters on the plain columns, so a scan can skip data by
+    them; a bin number is computed only for the few rows that pass.
+    """
+    open_bins = [r for r in found if r["low"] < r["high"]]
+    if not open_bins:
+        return None
+    in_range = F.lit(False)
+    for r in open_bins:
+        in_range = in_range | F.col(r["name"]).between(r["low"], r["high"])
+    columns = list(dict.fromkeys(r["name"] for r in open_bins))
     rows = [
         Row(r["name"], r["coarse"], r["fine"] if "fine" in keys else None, r["below"], r["ranks"])
-        for r in found
-        if r["low"] < r["high"]
+        for r in open_bins
     ]
-    if not rows:
-        return None
-    bins = tall.sparkSession.createDataFrame(rows, _OPEN_SCHEMA)
+    bins = df.sparkSession.createDataFrame(rows, _OPEN_SCHEMA)
     # a literal table of at most two bins per probability and column
-    return tall.join(F.broadcast(bins.select(*keys, "below", "ranks")), keys)
+    return _tall(df.where(in_range), columns).join(
+        F.broadcast(bins.select(*keys, "below", "ranks")), keys
+    )
 
 
 def exact_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> dict[str, Quantiles]:
     """Exact quantiles by linear interpolation, NULL and NaN skipped."""
-    tall = _tall(df, columns)
     at: dict[tuple[str, int], float] = {}
     spans: dict[str, tuple[int, float, float]] = {}
 
@@ -111,7 +120,8 @@ def exact_quantiles(
         position = F.lit(float(p)) * (F.col("total") - 1)
         ranks += [F.floor(position), F.ceil(position)]
     coarse = (
-        tall.groupBy("name", "coarse")
+        _tall(df, columns)
+        .groupBy("name", "coarse")
         .agg(*_counts())
         .withColumn("total", F.sum("rows").over(whole))
         .withColumn("col_low", F.min("low").over(whole))
@@ -125,14 +135,14 @@ def exact_quantiles(
     at.update({(r["name"], k): r["low"] for r in found for k in r["ranks"]})
 
     keys = ["name", "coarse"]
-    inside = _open(tall, found, keys)
+    inside = _open(df, found, keys)
     if inside is not None:
         fine = inside.groupBy(*keys, "fine", "below", "ranks").agg(*_counts())
         found = _with_ranks(fine, keys, "fine")
         at.update({(r["name"], k): r["low"] for r in found for k in r["ranks"]})
 
         keys = ["name", "coarse", "fine"]
-        inside = _open(tall, found, keys)
+        inside = _open(df, found, keys)
         if inside is not None:
             values = inside.groupBy(*keys, "x", "below", "ranks").agg(*_counts())
             found = _with_ranks(values, keys, "x")

@@ -91,7 +91,6 @@ def test_both_forms_agree_on_daily_rows(spark):
 def test_block_must_hold_the_reach(spark):
     df = spark.createDataFrame([(START, 1.0)], "date date, y double")
     with pytest.raises(ValueError, match="block_rows"):
-        add_lag_features(df, "y", [20], daily=False).sparkSession  # fits the default
         ordered_features(df, "y", lags=[20], block_rows=20)
 
 
