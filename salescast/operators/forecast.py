@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from salescast.config import settings
 from salescast.functions import clip_at_zero, round_half_even
-from salescast.operators.ordered import last_rows
+from salescast.operators.ordered import last_rows, shuffle_partitions
 from salescast.schema import TRAINING_COLUMNS, validate_schema
 
 # Shape of the model, from the paper.
@@ -215,7 +215,11 @@ def fit(features: DataFrame, cfg: Mapping[str, Any] | None = None) -> DataFrame:
         names = [part.split()[0] for part in FIT_SCHEMA.split(",")]
         return pd.DataFrame({name: [row.get(name)] for name in names})
 
-    models = daily_observations(features).groupBy("series_id").applyInPandas(fit_one, FIT_SCHEMA)
+    observations = daily_observations(features)
+    # a fixed number: fitting is slow for its bytes, so adaptive execution must
+    # not merge the series of a small table into a few tasks
+    observations = observations.repartition(shuffle_partitions(observations), "series_id")
+    models = observations.groupBy("series_id").applyInPandas(fit_one, FIT_SCHEMA)
     parameters = F.struct(*[F.lit(p[name]).alias(name) for name in PARAMETERS])
     interval_z = NormalDist().inv_cdf(0.5 + p["interval_width"] / 2.0)
     return models.withColumns({"parameters": parameters, "interval_z": F.lit(interval_z)})

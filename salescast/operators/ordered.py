@@ -29,6 +29,10 @@ BLOCK_ROWS = 1_000_000
 _PREFIX_DIGITS = 3  # 4096 digest prefixes per date
 
 
+def shuffle_partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def rolling_name(target: str, window: int) -> str:
     return f"{target}_rolling_{window}d"
 
@@ -174,7 +178,9 @@ def _blocks(runs: DataFrame, group: str | None, reach: int, block_rows: int) ->
         .where("_from <= _to")
         .withColumn("_group", F.struct((F.col(group) if group else F.lit(True)).alias("key")))
         .drop("_slot", "_digest", "_offset", "_known_before", "_start", "_copies")
-        .repartition("_group", "_block")
+        # a fixed number: a run of copies is small here and large once written
+        # out, so adaptive execution must not merge these partitions by size
+        .repartition(shuffle_partitions(runs), "_group", "_block")
         .withColumn("_position", F.explode(F.sequence("_from", "_to")))
         .withColumn("_own", F.col("_position") >= F.col("_block") * size)
     )
