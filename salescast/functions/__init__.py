@@ -5,6 +5,7 @@ from salescast.functions.scalar import (
     clip_at_zero,
     date_text,
     escaped_text,
+    is_missing,
     md5_prefix,
     null_if_nan,
     round_half_even,
@@ -17,6 +18,7 @@ __all__ = [
     "clip_at_zero",
     "date_text",
     "escaped_text",
+    "is_missing",
     "md5_prefix",
     "null_if_nan",
     "round_half_even",

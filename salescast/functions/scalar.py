@@ -29,6 +29,14 @@ def null_if_nan(x: Column) -> Column:
     return F.when(~F.isnan(x), x)
 
 
+def is_missing(df: DataFrame, name: str) -> Column:
+    """Whether a column of ``df`` is NULL or, for floating point, NaN."""
+    column = F.col(f"`{name}`")
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return column.isNull() | F.isnan(column)
+    return column.isNull()
+
+
 def date_text(x: Column) -> Column:
     return F.date_format(x, "yyyy-MM-dd")
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescast.config import settings
-from salescast.functions import null_if_nan, round_half_even
+from salescast.functions import is_missing, null_if_nan, round_half_even
 from salescast.operators.quantiles import Quantiles, exact_quantiles
 
 MEASURES = ["sales_quantity", "revenue"]
@@ -62,6 +62,7 @@ def learn_bounds(
 
 def is_outlier(x: Column, bounds: Bounds) -> Column:
     """Outside the unrounded bounds; NULL is not an outlier."""
+    x = null_if_nan(x.cast("double"))
     outside = (x < F.lit(bounds.lower)) | (x > F.lit(bounds.upper))
     return F.coalesce(outside, F.lit(False))
 
@@ -72,7 +73,7 @@ def iqr_stats(df: DataFrame, column: str, multiplier: float = 1.5) -> DataFrame:
     The outliers are counted against unrounded bounds; what is shown is rounded.
     """
     bounds = learn_bounds(df, [column], multiplier)[column]
-    outlier = is_outlier(F.col(column).cast("double"), bounds)
+    outlier = is_outlier(F.col(column), bounds)
     counted = df.agg(
         F.count_if(outlier).alias("outlier_count"), F.count(F.lit(1)).alias("rows")
     )
@@ -96,7 +97,7 @@ def flag_outliers(
 ) -> DataFrame:
     """``df`` plus a boolean column that marks the outliers of ``column``."""
     bounds = learn_bounds(df, [column], multiplier)[column]
-    return df.withColumn(flag, is_outlier(F.col(column).cast("double"), bounds))
+    return df.withColumn(flag, is_outlier(F.col(column), bounds))
 
 
 def capped(x: Column, bounds: Bounds, integer: bool) -> Column:
@@ -106,7 +107,7 @@ def capped(x: Column, bounds: Bounds, integer: bool) -> Column:
     then held against the upper bound. ``integer`` cuts both replacements
     towards zero. Without any outlier nothing is changed.
     """
-    x = x.cast("double")
+    x = null_if_nan(x.cast("double"))
     if not bounds.has_outliers:
         return x
     lower = round_half_even(F.lit(bounds.lower))
@@ -196,13 +197,13 @@ def cleaning_summary(df: DataFrame, rules: CleaningRules) -> DataFrame:
     kept = F.col("date").isNotNull() if "date" in df.columns else F.lit(True)
     before, after = [], []
     for name in df.columns:
-        is_null = F.col(f"`{name}`").isNull()
+        is_null = is_missing(df, name)
         before.append(F.count_if(is_null))
         filled = rules.medians.get(name) is not None
         after.append(F.lit(0).cast("bigint") if filled else F.count_if(is_null & kept))
     names = F.array(*[F.lit(c) for c in df.columns])
     outliers = [
-        F.count_if(is_outlier(F.col(c).cast("double"), b)).alias(f"outliers_{c}")
+        F.count_if(is_outlier(F.col(c), b)).alias(f"outliers_{c}")
         for c, b in rules.bounds.items()
     ]
     rows, final = F.count(F.lit(1)), F.count_if(kept)

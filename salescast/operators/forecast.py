@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import sys
 import time
 from collections.abc import Mapping
 from statistics import NormalDist
@@ -22,6 +23,7 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,10 @@ from salescast.functions import clip_at_zero, round_half_even
 from salescast.operators.ordered import last_rows, shuffle_partitions
 from salescast.schema import TRAINING_COLUMNS, validate_schema
 
+# The fit travels to the executors with its helpers, so the package need not be
+# installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Shape of the model, from the paper.
 CHANGEPOINTS = 25
 CHANGEPOINT_RANGE = 0.8

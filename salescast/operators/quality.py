@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from salescast.config import settings
+from salescast.functions import is_missing
 
 # Check names in the order in which they are made.
 CHECKS = ["minimum_records", "null_rate", "no_negative_sales", "date_continuity"]
@@ -66,7 +67,7 @@ def quality_summary(df: DataFrame) -> DataFrame:
     has_date, has_quantity = "date" in columns, "sales_quantity" in columns
     aggregates = [F.count(F.lit(1)).alias("rows")]
     for i, name in enumerate(columns):
-        aggregates.append(F.count_if(F.col(f"`{name}`").isNull()).alias(f"nulls_{i}"))
+        aggregates.append(F.count_if(is_missing(df, name)).alias(f"nulls_{i}"))
     if has_quantity:
         aggregates.append(F.count_if(F.col("sales_quantity") < 0).alias("negatives"))
 

@@ -37,16 +37,12 @@ from salescast.sources.models import (
     models_by_version,
     write_models,
 )
-from salescast.sources.sales import read_sales, read_training
+from salescast.sources.sales import is_csv, read_sales, read_training
 from salescast.sources.tables import read_table, stage, write_table
 
 Config = Mapping[str, Any] | None
 
 
-def _is_text(path: str, fmt: str | None) -> bool:
-    return fmt == "csv" or (fmt is None and ".csv" in path.lower())
-
-
 def _one_row(spark: SparkSession, **values: Any) -> DataFrame:
     """A one-row DataFrame from literals, columns and one-row DataFrames."""
     row = spark.range(1)
@@ -70,11 +66,14 @@ def _kept(one_row: DataFrame) -> DataFrame:
 def extract_data(
     spark: SparkSession, path: str, cfg: Config = None, fmt: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Typed scan, schema check, profile and fingerprint; nothing is written.
+    """Typed scan, schema check, profile and fingerprint; no output table.
 
-    Returns the sales rows and the metadata row.
+    Returns the sales rows and the metadata row. Text is parsed once, into a
+    staged table, because profile and fingerprint each read the rows.
     """
     sales = read_sales(spark, path, strict=True, fmt=fmt)
+    if is_csv(path, fmt):
+        sales = stage(sales, "extracted")
     metadata = profile(sales).select(
         F.lit(path).alias("file_path"),
         "*",
@@ -98,7 +97,7 @@ def validate_and_clean_data(
     Text input is staged as Parquet once, because several passes read it.
     """
     sales = read_sales(spark, input_path, fmt=fmt)
-    if _is_text(input_path, fmt):
+    if is_csv(input_path, fmt):
         sales = stage(sales, "sales")
     summary = _kept(quality_summary(sales))
     checks = quality_checks(summary, cfg).collect()

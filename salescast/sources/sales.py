@@ -48,8 +48,9 @@ def open_table(path: str, load: Callable[[], DataFrame]) -> DataFrame:
         raise
 
 
-def _is_csv(path: str, fmt: str | None) -> bool:
-    return (fmt or ("csv" if path.lower().endswith((".csv", ".csv.gz")) else "parquet")) == "csv"
+def is_csv(path: str, fmt: str | None = None) -> bool:
+    """Whether a table is text: by ``fmt`` when given, else by the path's ending."""
+    return fmt == "csv" if fmt else path.lower().endswith((".csv", ".csv.gz"))
 
 
 def _present(text: Column) -> Column:
@@ -85,6 +86,24 @@ def _typed(raw: DataFrame, strict: bool) -> DataFrame:
     return raw.select(*[c.alias(name) for name, c in typed.items()])
 
 
+def _normalised(table: DataFrame, strict: bool) -> DataFrame:
+    """Parquet columns brought to date, text and numbers without NaN.
+
+    Columns of the right type are left alone, so filters on them still reach the
+    scan. Texts that are no date raise when ``strict`` and are NULL otherwise.
+    """
+    changed = {}
+    for field in table.schema:
+        column = F.col(f"`{field.name}`")
+        if field.name == "date" and not isinstance(field.dataType, T.DateType):
+            changed["date"] = column.cast("date") if strict else column.try_cast("date")
+        elif field.name == "product_id" and not isinstance(field.dataType, T.StringType):
+            changed["product_id"] = column.cast("string")
+        elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            changed[field.name] = null_if_nan(column)
+    return table.withColumns(changed) if changed else table
+
+
 def read_sales(
     spark: SparkSession, path: str, strict: bool = False, fmt: str | None = None
 ) -> DataFrame:
@@ -95,7 +114,7 @@ def read_sales(
     such cells are NULL, for the quality gate to count. ``fmt`` is told from the
     path's ending unless given. NaN becomes NULL.
     """
-    if _is_csv(path, fmt):
+    if is_csv(path, fmt):
         reader = (
             spark.read.option("header", True)
             .option("escape", '"')
@@ -106,12 +125,7 @@ def read_sales(
         raw = open_table(path, lambda: reader.csv(path))
         return _typed(validate_schema(raw, SALES_COLUMNS), strict)
     table = validate_schema(open_table(path, lambda: spark.read.parquet(path)), SALES_COLUMNS)
-    floats = {
-        f.name: null_if_nan(F.col(f"`{f.name}`"))
-        for f in table.schema
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType))
-    }
-    return table.withColumns(floats) if floats else table
+    return _normalised(table, strict)
 
 
 def read_training(spark: SparkSession, path: str) -> DataFrame:

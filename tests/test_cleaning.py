@@ -156,6 +156,15 @@ def test_other_columns_are_never_filled(spark):
     assert cleaning.clean(df).where("product_id is null").count() == 3
 
 
+def test_nan_is_missing(spark):
+    df = sales(spark, [1.0, 2.0, 3.0, float("nan"), 500.0] * 3)
+    cleaned = cleaning.clean(df).toPandas()["sales_quantity"]
+    assert cleaned.notna().all() and cleaned.max() < 500 and (cleaned == 2.5).sum() == 3
+    summary = cleaning.cleaning_summary(df, cleaning.learn_cleaning(df)).first()
+    assert summary["null_before"]["sales_quantity"] == 3
+    assert summary["outliers_sales_quantity"] == 3
+
+
 def test_sorted_with_missing_last_and_copies_spread(spark):
     rows = [(START + dt.timedelta(days=i % 3), f"P{i % 2}", 1.0, 1.0) for i in range(30)]
     rows += [(None, "P0", 1.0, 1.0), (START, None, 1.0, 1.0)] + [(START, "P9", 5.0, 5.0)] * 300

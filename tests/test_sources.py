@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.errors import PySparkException
 
+from salescast.operators.daily import filter_product
 from salescast.operators.profile import content_hash, product_list, profile
 from salescast.schema import validate_schema
 from salescast.sources import (
@@ -97,6 +98,28 @@ def test_parquet_scan_turns_nan_into_null(spark, tmp_path):
     assert rows(read_sales(spark, str(tmp_path / "t"))) == [(dt.date(2024, 1, 1), "P", None, None)]
 
 
+def test_parquet_scan_brings_types_in_line(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("2024-01-01", 7, 1, 1.0), ("soon", 8, 2, 2.0)],
+        "date string, product_id int, sales_quantity int, revenue double",
+    )
+    write_table(df, str(tmp_path / "t"))
+    got = read_sales(spark, str(tmp_path / "t"))
+    assert sorted(rows(got), key=str) == [
+        (None, "8", 2, 2.0), (dt.date(2024, 1, 1), "7", 1, 1.0)]
+    with pytest.raises(PySparkException, match="CAST_INVALID_INPUT"):
+        read_sales(spark, str(tmp_path / "t"), strict=True).collect()
+
+
+def test_product_filter_and_columns_reach_the_scan(spark, tmp_path):
+    df = read_sales(spark, write(tmp_path / "a.csv", GOOD), strict=True)
+    write_table(df, str(tmp_path / "t"))
+    chosen = filter_product(read_sales(spark, str(tmp_path / "t")), "001").select("sales_quantity")
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(product_id,001)" in plan
+    assert "ReadSchema: struct<product_id:string,sales_quantity:bigint>" in plan
+
+
 def test_csv_sink_reads_back(spark, tmp_path):
     df = read_sales(spark, write(tmp_path / "a.csv", GOOD))
     write_table(df, str(tmp_path / "out.csv"), "csv", sort_by=["date"])
