@@ -163,8 +163,8 @@ def _cap_columns(df: DataFrame, bounds: Mapping[str, Bounds]) -> DataFrame:
 def learn_cleaning(df: DataFrame, cfg: Mapping[str, Any] | None = None) -> CleaningRules:
     """Bounds of the raw columns, then medians of the capped ones.
 
-    At most six passes over the measure columns alone; rows whose date is NULL
-    still shape both.
+    A few passes over the measure columns alone; rows whose date is NULL still
+    shape both.
     """
     multiplier = settings(cfg, "data_quality")["outlier_iqr_multiplier"]
     columns = [c for c in MEASURES if c in df.columns]

@@ -1,18 +1,20 @@
 """Exact quantiles of whole columns without gathering a column in one task.
 
 Spark's ``percentile`` merges one value-to-count map in a single final task,
-and that map grows with the number of distinct values. Here each value gets a
-64-bit bin number that never decreases as the value grows. Counting bins is an
-ordinary partial aggregate over a bounded number of groups; a running count
-over the bins tells which bin holds a wanted rank. Only that bin is looked at
-again, first in finer bins and then by value:
-
-    coarse bins -> fine bins of the chosen coarse bins -> values of the fine bins
-
-A bin with one distinct value settles its ranks at once, so a whole-number
-column costs one pass and any column at most three. Like ``approxQuantile``
-this runs when called and hands plain numbers to the driver: two bins per
-probability and column and pass, whatever the size of the data.
+and that map grows with the number of distinct values. Here values are counted
+in bins whose number never decreases as the value grows, an ordinary partial
+aggregate over a bounded number of groups. A running count over the bins tells
+which bins hold a wanted rank, and only those are looked at again:
+
+* first in bins of equal width on a logarithmic scale, the same for any data;
+* then in ``SUB_BINS`` equal parts of each bin that is still open;
+* by value, once a bin holds at most ``ROWS_BY_VALUE`` rows.
+
+A bin with one distinct value settles its ranks at once, so a column of small
+whole numbers costs one pass, and each further pass cuts the open rows by the
+number of parts. Like ``approxQuantile`` this runs when called and hands plain
+numbers to the driver: at most two bins per probability and column and pass,
+whatever the size of the data.
 """
 
 from __future__ import annotations
@@ -24,15 +26,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
-# Bins split the logarithm of the magnitude: a coarse bin spans 0.1 % of a
-# value, a fine bin 6e-8 of it. ln of the smallest double is about -745.
+# A first bin spans 1.6 % of a value. ln of the smallest double is about -745.
 _LOG_SHIFT = 746.0
-_BINS_PER_E = float(1 << 24)
-_FINE_BITS = 14
+_BINS_PER_E = 64.0
 
-_OPEN_SCHEMA = (
-    "name string, coarse bigint, fine bigint, below bigint, ranks array<bigint>"
-)
+SUB_BINS = 2048
+ROWS_BY_VALUE = 10_000_000
+
+_OPEN_SCHEMA = """
+    name string, bin int, low double, high double, scale double, by_value boolean,
+    below bigint, ranks array<bigint>
+"""
 
 
 @dataclass(frozen=True)
@@ -45,25 +49,18 @@ class Quantiles:
     q: tuple[float | None, ...]
 
 
-def _bin_number(x: Column) -> Column:
+def _log_bin(x: Column) -> Column:
     size = F.floor((F.ln(F.abs(x)) + _LOG_SHIFT) * _BINS_PER_E)
     return F.when(x == 0, F.lit(0).cast("bigint")).when(x < 0, -size).otherwise(size)
 
 
 def _tall(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per non-missing value: (name, x, coarse, fine)."""
+    """One row per non-missing value: (name, x)."""
     pairs = []
     for name in columns:
         pairs += [F.lit(name), F.col(name).cast("double")]
     values = df.select(F.stack(F.lit(len(columns)), *pairs).alias("name", "x"))
-    values = values.where(F.col("x").isNotNull() & ~F.isnan("x"))
-    number = _bin_number(F.col("x"))
-    return values.select(
-        "name",
-        "x",
-        F.shiftright(number, _FINE_BITS).alias("coarse"),
-        number.bitwiseAND((1 << _FINE_BITS) - 1).alias("fine"),
-    )
+    return values.where(F.col("x").isNotNull() & ~F.isnan("x"))
 
 
 def _counts() -> list[Column]:
@@ -74,54 +71,26 @@ def _counts() -> list[Column]:
     ]
 
 
-def _with_ranks(bins: DataFrame, within: list[str], order: str) -> list[Row]:
+def _with_ranks(bins: DataFrame, within: list[str], order: list[str]) -> list[Row]:
     """The bins that hold a wanted rank, with ``below`` = rows before the bin."""
-    w = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    w = Window.partitionBy(*within).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     bins = bins.withColumn("last", F.col("below") + F.sum("rows").over(w))
     bins = bins.withColumn("below", F.col("last") - F.col("rows"))
     held = F.filter("ranks", lambda r: (r >= F.col("below")) & (r < F.col("last")))
     return bins.withColumn("ranks", held).where(F.size("ranks") > 0).collect()
 
 
-def _open(df: DataFrame, found: list[Row], keys: list[str]) -> DataFrame | None:
-    """Values in the bins that still hold several distinct values.
-
-    The bins' ranges are filters on the plain columns, so a scan can skip data by
-    them; a bin number is computed only for the few rows that pass.
-    """
-    open_bins = [r for r in found if r["low"] < r["high"]]
-    if not open_bins:
-        return None
-    in_range = F.lit(False)
-    for r in open_bins:
-        in_range = in_range | F.col(r["name"]).between(r["low"], r["high"])
-    columns = list(dict.fromkeys(r["name"] for r in open_bins))
-    rows = [
-        Row(r["name"], r["coarse"], r["fine"] if "fine" in keys else None, r["below"], r["ranks"])
-        for r in open_bins
-    ]
-    bins = df.sparkSession.createDataFrame(rows, _OPEN_SCHEMA)
-    # a literal table of at most two bins per probability and column
-    return _tall(df.where(in_range), columns).join(
-        F.broadcast(bins.select(*keys, "below", "ranks")), keys
-    )
-
-
-def exact_quantiles(
+def _first_pass(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
-) -> dict[str, Quantiles]:
-    """Exact quantiles by linear interpolation, NULL and NaN skipped."""
-    at: dict[tuple[str, int], float] = {}
-    spans: dict[str, tuple[int, float, float]] = {}
-
+) -> list[Row]:
     whole = Window.partitionBy("name")
     ranks = []
     for p in probabilities:
         position = F.lit(float(p)) * (F.col("total") - 1)
         ranks += [F.floor(position), F.ceil(position)]
-    coarse = (
+    bins = (
         _tall(df, columns)
-        .groupBy("name", "coarse")
+        .groupBy("name", _log_bin(F.col("x")).alias("number"))
         .agg(*_counts())
         .withColumn("total", F.sum("rows").over(whole))
         .withColumn("col_low", F.min("low").over(whole))
@@ -129,24 +98,52 @@ def exact_quantiles(
         .withColumn("below", F.lit(0).cast("bigint"))
         .withColumn("ranks", F.array_distinct(F.array(*ranks)))
     )
-    found = _with_ranks(coarse, ["name"], "coarse")
-    for r in found:
-        spans[r["name"]] = (r["total"], r["col_low"], r["col_high"])
-    at.update({(r["name"], k): r["low"] for r in found for k in r["ranks"]})
-
-    keys = ["name", "coarse"]
-    inside = _open(df, found, keys)
-    if inside is not None:
-        fine = inside.groupBy(*keys, "fine", "below", "ranks").agg(*_counts())
-        found = _with_ranks(fine, keys, "fine")
-        at.update({(r["name"], k): r["low"] for r in found for k in r["ranks"]})
+    return _with_ranks(bins, ["name"], ["number"])
+
+
+def _refine(df: DataFrame, open_bins: list[Row]) -> list[Row]:
+    """Look once more into bins that hold several distinct values.
+
+    Their ranges are filters on the plain columns, so a scan can skip data by
+    them. Both the part number and the value keep the order of the rows.
+    """
+    in_range = F.lit(False)
+    for b in open_bins:
+        in_range = in_range | F.col(b["name"]).between(b["low"], b["high"])
+    columns = list(dict.fromkeys(b["name"] for b in open_bins))
+    table = []
+    for i, b in enumerate(open_bins):
+        # halved when the width of the bin is beyond the largest double
+        scale = 0.5 if math.isinf(b["high"] - b["low"]) else 1.0
+        by_value = b["rows"] <= ROWS_BY_VALUE
+        table.append(Row(b["name"], i, b["low"], b["high"], scale, by_value, b["below"], b["ranks"]))
+    bins = df.sparkSession.createDataFrame(table, _OPEN_SCHEMA)
+    bins = bins.withColumnsRenamed({"low": "bin_low", "high": "bin_high"})
+    # a literal table of at most two bins per probability and column
+    inside = _tall(df.where(in_range), columns).join(F.broadcast(bins), "name")
+    inside = inside.where(F.col("x").between(F.col("bin_low"), F.col("bin_high")))
+    start, end = F.col("bin_low") * F.col("scale"), F.col("bin_high") * F.col("scale")
+    part = F.floor((F.col("x") * F.col("scale") - start) / (end - start) * SUB_BINS)
+    counted = (
+        inside.withColumn("part", F.when(~F.col("by_value"), part))
+        .withColumn("value", F.when(F.col("by_value"), F.col("x")))
+        .groupBy("name", "bin", "below", "ranks", "part", "value")
+        .agg(*_counts())
+    )
+    return _with_ranks(counted, ["bin"], ["part", "value"])
+
 
-        keys = ["name", "coarse", "fine"]
-        inside = _open(df, found, keys)
-        if inside is not None:
-            values = inside.groupBy(*keys, "x", "below", "ranks").agg(*_counts())
-            found = _with_ranks(values, keys, "x")
-            at.update({(r["name"], k): r["low"] for r in found for k in r["ranks"]})
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
+) -> dict[str, Quantiles]:
+    """Exact quantiles by linear interpolation, NULL and NaN skipped."""
+    at: dict[tuple[str, int], float] = {}
+    found = _first_pass(df, columns, probabilities)
+    spans = {r["name"]: (r["total"], r["col_low"], r["col_high"]) for r in found}
+    while found:
+        at.update({(r["name"], k): r["low"] for r in found for k in r["ranks"]})
+        open_bins = [r for r in found if r["low"] < r["high"]]
+        found = _refine(df, open_bins) if open_bins else []
 
     result = {}
     for name in columns:
@@ -159,6 +156,7 @@ def exact_quantiles(
             position = float(p) * (total - 1)
             left = at[name, math.floor(position)]
             right = at[name, math.ceil(position)]
-            q.append(left + (right - left) * (position - math.floor(position)))
+            share = position - math.floor(position)
+            q.append(left if left == right else left + (right - left) * share)
         result[name] = Quantiles(total, low, high, tuple(q))
     return result

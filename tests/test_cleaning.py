@@ -1,4 +1,5 @@
 import datetime as dt
+import math
 import random
 
 import numpy as np
@@ -8,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from salescast.operators import cleaning
+from salescast.operators import cleaning, quantiles
 from salescast.operators.quantiles import exact_quantiles
 
 SCHEMA = "date date, product_id string, sales_quantity double, revenue double"
@@ -45,12 +46,37 @@ def sales(spark, quantities, revenues=None, dates=None):
     )
 )
 def test_quantiles_equal_numpy(spark, xs):
+    check_quantiles(spark, xs)
+
+
+@pytest.mark.parametrize(
+    "xs",
+    [
+        [1e9 + i / 1000 for i in range(500)],
+        [-1.7e308, 1.7e308, 1.0, -1.0, 0.0, float("inf"), float("-inf")],
+        [5e-324 * i for i in range(50)],
+        [1.0 + 2.0**-k for k in range(53)],
+        [0.0, -0.0, 1.0, -1.0],
+    ],
+)
+def test_quantiles_when_bins_are_refined_again_and_again(spark, monkeypatch, xs):
+    monkeypatch.setattr(quantiles, "SUB_BINS", 4)
+    monkeypatch.setattr(quantiles, "ROWS_BY_VALUE", 1)
+    check_quantiles(spark, xs)
+
+
+def check_quantiles(spark, xs):
     probabilities = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
     got = exact_quantiles(values(spark, xs), ["value"], probabilities)["value"]
     known = [x for x in xs if x is not None]
     assert got.n == len(known)
     if known:
-        np.testing.assert_allclose(got.q, np.quantile(known, probabilities), rtol=1e-12, atol=1e-300)
+        known.sort()
+        for p, q in zip(probabilities, got.q):
+            position = p * (len(known) - 1)
+            left, right = known[int(position)], known[math.ceil(position)]
+            expected = left if left == right else left + (right - left) * (position % 1)
+            assert q == expected or math.isclose(q, expected) or (q != q and expected != expected)
         assert (got.low, got.high) == (min(known), max(known))
 
 
