@@ -258,7 +258,7 @@ def sort_rows(df: DataFrame, keys: Sequence[str] = SORT_KEYS) -> DataFrame:
     """
     first = [c for c in keys if c in df.columns]
     rest = [c for c in df.columns if c not in first]
-    order = [F.asc_nulls_last(c) for c in first + rest]
+    order = [F.col(f"`{c}`").asc_nulls_last() for c in first + rest]
     return (
         df.withColumn("_task", F.spark_partition_id()).orderBy(*order, "_task").drop("_task")
     )

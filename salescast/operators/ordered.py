@@ -33,6 +33,10 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _all(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
 def rolling_name(target: str, window: int) -> str:
     return f"{target}_rolling_{window}d"
 
@@ -83,7 +87,7 @@ def row_runs(df: DataFrame, group: str | None, date: str) -> DataFrame:
     digest. Copies are counted before the shuffle and stay one row. One running
     sum over slots and one inside each slot give the position.
     """
-    runs = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    runs = df.groupBy(*_all(df)).agg(F.count(F.lit(1)).alias("_copies"))
     runs = _slotted(runs, df.columns, group, date)
     slots = runs.groupBy("_slot").agg(F.sum("_copies").alias("_rows"))
     return _placed(runs, slots.select("_slot", _rows_before().alias("_offset")))
@@ -112,7 +116,7 @@ def row_runs_with_known(
     the group's first one, ``_first_position`` its position and ``_group_rows``
     the size of the group. All but the position come with the slot offsets.
     """
-    runs = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    runs = df.groupBy(*_all(df)).agg(F.count(F.lit(1)).alias("_copies"))
     runs = _slotted(runs, df.columns, group, date)
     known_digest = F.when(F.col(target).isNotNull(), F.col("_digest"))
     slots = runs.groupBy("_slot").agg(
@@ -251,7 +255,7 @@ def ordered_features(
         columns = _feature_columns(target, windows, lags, order)
     rows = _blocks(runs, group, reach, block_rows)
     rows = rows.withColumns(_masked(columns, group)).where("_own")
-    return rows.select(*df.columns, *features)
+    return rows.select(*_all(df), *features)
 
 
 def add_rolling_features(

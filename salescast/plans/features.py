@@ -64,5 +64,6 @@ def feature_table(
         rows = rows.withColumns(calendar_columns(filled_date))
     rows = to_training_format(rows, "date", TARGET)
     names = feature_names(cfg)
-    kept = [c for c in rows.columns if c not in {*names, "series_id", "ds", "y"}]
+    added = {*names, "series_id", "ds", "y"}
+    kept = [F.col(f"`{c}`") for c in rows.columns if c not in added]
     return rows.select("series_id", *kept, *names, "ds", "y")

@@ -17,6 +17,9 @@ def duck():
 def test_query_equals_sql(spark, duck, name):
     result = catalog.queries()[name](spark, SF_DIR)
     assert oracle.compare(result, duck, catalog.oracles()[name]) is None
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert node not in plan
 
 
 @pytest.mark.parametrize("name", sorted(set(catalog.queries()) - set(catalog.oracles())))

@@ -4,8 +4,10 @@ import random
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from salescast.functions import row_digest
+from salescast.operators.cleaning import clean, sort_rows
 from salescast.operators.daily import add_time_features, daily_sales, filter_product
 from salescast.operators.ordered import (
     add_lag_features,
@@ -178,6 +180,13 @@ def test_product_path_keeps_rows_and_fills_the_calendar(spark):
     assert {r["series_id"] for r in out.collect()} == {"P1"}
 
 
+def test_extra_columns_with_odd_names_are_kept(spark):
+    df = spark.createDataFrame(sales_rows(3), SALES).withColumn("unit.price", F.lit(1.0))
+    out = feature_table(df, product_id="P2")
+    assert "unit.price" in out.columns and out.count() == 3
+    assert sort_rows(clean(df)).count() == 9
+
+
 def test_table_without_products_is_not_aggregated(spark):
     df = spark.createDataFrame(sales_rows(3), SALES).drop("product_id").where("date is not null")
     assert feature_table(df).count() == 9
