@@ -80,114 +80,110 @@ def _slotted(df: DataFrame, columns: Sequence[str], group: str | None, date: str
     )
 
 
-def row_runs(df: DataFrame, group: str | None, date: str) -> DataFrame:
+def row_runs(
+    df: DataFrame, group: str | None, date: str, target: str | None = None
+) -> DataFrame:
     """Distinct rows with ``_copies`` and ``_start``, their first position.
 
     Positions count from 0 within a group, by date (missing dates last) and then
     digest. Copies are counted before the shuffle and stay one row. One running
     sum over slots and one inside each slot give the position.
-    """
-    runs = df.groupBy(*_all(df)).agg(F.count(F.lit(1)).alias("_copies"))
-    runs = _slotted(runs, df.columns, group, date)
-    slots = runs.groupBy("_slot").agg(F.sum("_copies").alias("_rows"))
-    return _placed(runs, slots.select("_slot", _rows_before().alias("_offset")))
 
-
-def _rows_before() -> Column:
-    """Rows in earlier slots of the group."""
-    across = Window.partitionBy("_slot.group").orderBy("_slot")
-    rows = F.sum("_rows").over(across.rowsBetween(Window.unboundedPreceding, -1))
-    return F.coalesce(rows, F.lit(0))
-
-
-def _placed(runs: DataFrame, offsets: DataFrame) -> DataFrame:
-    within = Window.partitionBy("_slot").orderBy("_digest")
-    earlier = F.sum("_copies").over(within.rowsBetween(Window.unboundedPreceding, -1))
-    start = F.col("_offset") + F.coalesce(earlier, F.lit(0))
-    return runs.join(offsets, "_slot").withColumn("_start", start)
-
-
-def row_runs_with_known(
-    df: DataFrame, target: str, group: str | None, date: str
-) -> DataFrame:
-    """:func:`row_runs` plus what fills need to know beyond a block.
-
-    ``_known`` is the last target up to this row that is not NULL, ``_first_known``
-    the group's first one, ``_first_position`` its position and ``_group_rows``
-    the size of the group. All but the position come with the slot offsets.
+    With a ``target`` the same two steps give what fills need from beyond a
+    block: ``_known``, the last target up to this row that is not NULL,
+    ``_is_first``, whether this row has the group's first such target, and
+    ``_group_rows``, the size of the group.
     """
     runs = df.groupBy(*_all(df)).agg(F.count(F.lit(1)).alias("_copies"))
     runs = _slotted(runs, df.columns, group, date)
-    known_digest = F.when(F.col(target).isNotNull(), F.col("_digest"))
-    slots = runs.groupBy("_slot").agg(
-        F.sum("_copies").alias("_rows"),
-        F.max_by(target, known_digest).alias("_last"),
-        F.min_by(target, known_digest).alias("_first"),
-        F.min(known_digest).alias("_first_digest"),
-    )
-    across = Window.partitionBy("_slot.group").orderBy("_slot")
+    summary = [F.sum("_copies").alias("_rows")]
+    if target:
+        digest = F.when(F.col(target).isNotNull(), F.col("_digest"))
+        summary.append(F.max_by(target, digest).alias("_last"))
+    # at most 4096 slots per date, so a group's slots are bounded by the calendar
+    slots = runs.groupBy("_slot").agg(*summary).withColumn("_slot_group", F.col("_slot.group"))
+    across = Window.partitionBy("_slot_group").orderBy("_slot")
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     whole = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    slots = slots.withColumn("_offset", _rows_before())
-    first = F.when(
-        F.col("_first_digest").isNotNull(), F.struct("_first", "_slot", "_offset")
-    )
-    offsets = slots.select(
-        "_slot",
-        "_offset",
-        F.last("_last", True).over(before).alias("_known_before"),
-        F.first(first, True).over(whole).alias("_origin"),
-        F.sum("_rows").over(whole).alias("_group_rows"),
-    )
-    # rows ahead of the first known target inside its own slot; none of them has
-    # a target, so a scan finds none in a table without NULL targets
-    ahead = (
-        _slotted(df.where(F.col(target).isNull()), df.columns, group, date)
-        .join(slots.select("_slot", "_first_digest"), "_slot")
-        .where(F.col("_digest") < F.col("_first_digest"))
-        .groupBy(F.col("_slot").alias("_ahead_slot"))
-        .agg(F.count(F.lit(1)).alias("_ahead"))
-    )
-    offsets = offsets.join(
-        ahead, F.col("_origin._slot") == F.col("_ahead_slot"), "left"
-    ).select(
-        "_slot",
-        "_offset",
-        "_known_before",
-        "_group_rows",
-        F.col("_origin._first").alias("_first_known"),
-        (F.col("_origin._offset") + F.coalesce("_ahead", F.lit(0))).alias("_first_position"),
-    )
+    offset = F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
+    if target:
+        known_before = F.last("_last", True).over(before).alias("_known_before")
+        group_rows = F.sum("_rows").over(whole).alias("_group_rows")
+        offsets = slots.select("_slot", offset, known_before, group_rows)
+    else:
+        offsets = slots.select("_slot", offset)
+
     within = Window.partitionBy("_slot").orderBy("_digest")
-    known = F.last(target, True).over(within.rowsBetween(Window.unboundedPreceding, 0))
-    return _placed(runs, offsets).withColumn("_known", F.coalesce(known, "_known_before"))
+    earlier = within.rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("_offset") + F.coalesce(F.sum("_copies").over(earlier), F.lit(0))
+    placed = runs.join(offsets, "_slot").withColumn("_start", start)
+    if target:
+        known_earlier = F.coalesce(F.last(target, True).over(earlier), "_known_before")
+        placed = placed.withColumn("_known_earlier", known_earlier).withColumns(
+            {
+                "_known": F.coalesce(target, "_known_earlier"),
+                "_is_first": F.col(target).isNotNull() & F.col("_known_earlier").isNull(),
+            }
+        )
+        placed = placed.drop("_known_earlier", "_known_before")
+    return placed.drop("_slot", "_digest", "_offset")
 
 
-def _blocks(runs: DataFrame, group: str | None, reach: int, block_rows: int) -> DataFrame:
+def _blocks(
+    runs: DataFrame, group: str | None, reach: int, block_rows: int, target: str | None = None
+) -> DataFrame:
     """Rows by block: ``_block``, ``_position`` and ``_own`` (not a carried-in row).
 
     A run of copies is sent to its blocks as one row per block and written out
     only there, so a run with a third of the table is spread like any other.
+
+    With a ``target`` the row with the group's first known target is also sent to
+    every block of the group, at position -1, and leaves ``_first_known`` and
+    ``_first_position`` there. It has no target itself, so windows ignore it.
     """
     size = F.lit(block_rows)
     end = F.col("_start") + F.col("_copies") - 1
+
+    def piece(block: Column) -> Column:
+        first = F.greatest(F.col("_start"), block * size - reach)
+        last = F.least(end, block * size + size - 1)
+        return F.struct(block.alias("block"), first.alias("first"), last.alias("last"))
+
+    def marker(block: Column) -> Column:
+        nowhere = F.lit(-1).cast("bigint")
+        return F.struct(block.alias("block"), nowhere.alias("first"), nowhere.alias("last"))
+
     first_block = F.floor(F.col("_start") / size)
     last_block = F.floor((end + reach) / size)
-    block_start = F.col("_block") * size
-    from_position = F.greatest(F.col("_start"), block_start - reach)
-    to_position = F.least(end, block_start + size - 1)
-    return (
-        runs.withColumn("_block", F.explode(F.sequence(first_block, last_block)))
-        .withColumns({"_from": from_position, "_to": to_position})
-        .where("_from <= _to")
+    pieces = F.transform(F.sequence(first_block, last_block), piece)
+    if target:
+        every_block = F.sequence(
+            F.lit(0).cast("bigint"), F.floor((F.col("_group_rows") - 1) / size)
+        )
+        with_markers = F.concat(pieces, F.transform(every_block, marker))
+        pieces = F.when(F.col("_is_first"), with_markers).otherwise(pieces)
+    rows = (
+        runs.withColumn("_piece", F.explode(pieces))
+        .where("_piece.first <= _piece.last")
         .withColumn("_group", F.struct((F.col(group) if group else F.lit(True)).alias("key")))
-        .drop("_slot", "_digest", "_offset", "_known_before", "_start", "_copies")
+        .withColumn("_block", F.col("_piece.block"))
         # a fixed number: a run of copies is small here and large once written
         # out, so adaptive execution must not merge these partitions by size
         .repartition(shuffle_partitions(runs), "_group", "_block")
-        .withColumn("_position", F.explode(F.sequence("_from", "_to")))
+        .withColumn("_position", F.explode(F.sequence("_piece.first", "_piece.last")))
         .withColumn("_own", F.col("_position") >= F.col("_block") * size)
     )
+    if target:
+        marks = F.col("_position") < 0
+        rows = rows.withColumns(
+            {
+                "_first_known": F.when(marks, F.col(target)),
+                "_first_position": F.when(marks, F.col("_start")),
+                "_known": F.when(~marks, F.col("_known")),
+                target: F.when(~marks, F.col(target)),
+            }
+        )
+    return rows
 
 
 def _filled_columns(
@@ -201,18 +197,20 @@ def _filled_columns(
     and takes the first value that the feature has, if it ever gets one.
     """
     plain = _feature_columns(target, windows, lags, w)
+    # the row at position -1 comes first in its block
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    first_known = F.first("_first_known").over(so_far)
+    first_position = F.first("_first_position").over(so_far)
     filled = {}
     for n in windows:
         name = rolling_name(target, n)
         filled[name] = F.coalesce(
-            plain[name],
-            round_half_even(F.col("_known")),
-            round_half_even(F.col("_first_known")),
+            plain[name], round_half_even(F.col("_known")), round_half_even(first_known)
         )
     for k in lags:
-        has_value = F.col("_first_position") + k < F.col("_group_rows")
+        has_value = first_position + k < F.col("_group_rows")
         filled[lag_name(target, k)] = F.coalesce(
-            F.lag("_known", k).over(w), F.when(has_value, F.col("_first_known"))
+            F.lag("_known", k).over(w), F.when(has_value, first_known)
         )
     return filled
 
@@ -247,13 +245,12 @@ def ordered_features(
     if block_rows <= reach:
         raise ValueError(f"block_rows must exceed the {reach} rows a window reaches back")
     order = Window.partitionBy("_group", "_block").orderBy("_position")
+    filled = target if fill else None
     if fill:
-        runs = row_runs_with_known(df, target, group, date)
         columns = _filled_columns(target, windows, lags, order)
     else:
-        runs = row_runs(df, group, date)
         columns = _feature_columns(target, windows, lags, order)
-    rows = _blocks(runs, group, reach, block_rows)
+    rows = _blocks(row_runs(df, group, date, filled), group, reach, block_rows, filled)
     rows = rows.withColumns(_masked(columns, group)).where("_own")
     return rows.select(*_all(df), *features)
 
