@@ -12,7 +12,7 @@ from typing import Any
 # Section and key names plus the defaults a user expects.
 DEFAULTS: dict[str, dict[str, Any]] = {
     "pipeline": {
-        "name": "demand_forecasting_pipeline",
+        "name": "salescast",
         "version": "1.0.0",
     },
     "data_quality": {

@@ -126,7 +126,7 @@ def text_report(
     rule, thin = "=" * 70, "-" * 70
     lines = [
         rule,
-        "DEMAND FORECASTING PIPELINE - EXECUTION SUMMARY",
+        "SALES FORECAST - EXECUTION SUMMARY",
         rule,
         f"Pipeline: {pipeline['name']} v{pipeline['version']}",
         f"Execution Date: {execution_date}",
@@ -147,5 +147,5 @@ def text_report(
             if metric in unlisted or (metric in optional and value is None):
                 continue
             lines.append("   - " + _LABELS[metric].format(value))
-    lines += ["", rule, "PIPELINE EXECUTION COMPLETED SUCCESSFULLY", rule]
+    lines += ["", rule, "COMPLETED SUCCESSFULLY", rule]
     return "\n".join(lines)
