@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salescast.llm import exact_dedup, quality
+from salescast.llm import chat, exact_dedup, mixing, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,9 +34,69 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(_table(spark, sf_dir, "conversations"))
+
+
+OP4_SQL = r"""
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, role, text,
+         sha256(coalesce(CAST(length(role) AS VARCHAR), 'null') || ':' || coalesce(role, '')
+                || CASE WHEN text IS NULL THEN '-' ELSE '+' END || coalesce(text, '')) AS digest
+  FROM conversations
+), c AS (
+  SELECT conv_id, list(digest ORDER BY turn NULLS FIRST, digest) AS l,
+         string_agg('<|' || coalesce(role, 'unknown') || '|>' || chr(10)
+                    || replace(coalesce(text, ''), '<|', '< |') || chr(10), '' ORDER BY turn NULLS FIRST, digest) AS chat
+  FROM t GROUP BY conv_id
+), e AS (
+  SELECT l, min(conv_id) AS conv_id, count(*) AS n_copies, min(chat) AS chat FROM c GROUP BY l
+)
+SELECT conv_id, CAST(len(l) AS BIGINT) AS n_turns, n_copies, chat FROM e
+WHERE NOT EXISTS (SELECT 1 FROM e o WHERE o.l[1] = e.l[1] AND len(o.l) > len(e.l) AND o.l[1:len(e.l)] = e.l)
+"""
+
+
+def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS digest
+  FROM documents
+), s AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source
+), w AS (
+  SELECT *, CAST([5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS w,
+         2.0::DOUBLE * source_size AS most
+  FROM s
+), c AS (
+  SELECT *, sum(most) OVER o - most AS spent, sum(w) OVER () - sum(w) OVER o + w AS open_weight,
+         (SELECT 1.5::DOUBLE * sum(source_size) FROM s) AS total
+  FROM w WINDOW o AS (ORDER BY most / w, source ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), r AS (
+  SELECT arg_min((total - spent) / open_weight, most / w) AS rate FROM c WHERE (total - spent) / open_weight < most / w
+), t AS (
+  SELECT source, source_size, round(CASE WHEN most <= w * rate THEN most ELSE w * rate END, 6) AS target
+  FROM c, r
+), p AS (
+  SELECT d.*, source_size, target, target / source_size AS each,
+         row_number() OVER (PARTITION BY d.source ORDER BY length(bin(size)), digest[1:3], digest, size, doc_id) AS k,
+         CAST(CAST('0x' || md5('mix-' || coalesce(d.source, 'null'))[1:8] AS BIGINT) AS DOUBLE) / 4294967296.0 AS shift
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+), n AS (
+  SELECT *, CAST(floor(shift + k * each) - floor(shift + (k - 1) * each) AS BIGINT) AS copies FROM p
+)
+SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM n
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op6_exact_dedup, op8_quality)}
+    return {f.__name__: f for f in (op4_chat, op6_exact_dedup, op7_mix, op8_quality)}
 
 
 def oracles() -> dict[str, str]:
-    return {"op6_exact_dedup": OP6_SQL}
+    return {"op4_chat": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op7_mix": OP7_SQL}
