@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salescast.llm import chat, exact_dedup, mixing, quality
+from salescast.llm import chat, exact_dedup, mixing, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(_table(spark, sf_dir, "documents"))
+
+
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(_table(spark, sf_dir, "conversations"))
 
@@ -95,7 +99,7 @@ SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM n
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op4_chat, op6_exact_dedup, op7_mix, op8_quality)}
+    return {f.__name__: f for f in (op3_simhash, op4_chat, op6_exact_dedup, op7_mix, op8_quality)}
 
 
 def oracles() -> dict[str, str]:
