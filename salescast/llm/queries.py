@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salescast.llm import chat, exact_dedup, mixing, quality, simhash
+from salescast.llm import chat, exact_dedup, mixing, quality, simhash, substring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -98,9 +98,35 @@ SELECT doc_id, size, source_size, target, copies, copies * size AS taken FROM n
 """
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+OP9_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), p AS (
+  SELECT doc_id, w, unnest(range(len(w) - 49)) AS i FROM d
+), h AS (
+  SELECT doc_id, i, md5(array_to_string(w[i + 1:i + 50], ' ')) AS h FROM p
+), c AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) AS m FROM h) WHERE m < doc_id
+), g AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS k FROM c
+), n AS (
+  SELECT doc_id, unnest(w) AS t, unnest(range(len(w))) AS k FROM d
+), kept AS (
+  SELECT doc_id, string_agg(t, ' ' ORDER BY k) AS t, count(*) AS n FROM n ANTI JOIN g USING (doc_id, k) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_simhash, op4_chat, op6_exact_dedup, op7_mix, op8_quality)}
+    return {f.__name__: f for f in (op3_simhash, op4_chat, op6_exact_dedup, op7_mix, op8_quality, op9_substring_dedup)}
 
 
 def oracles() -> dict[str, str]:
-    return {"op4_chat": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op7_mix": OP7_SQL}
+    return {"op4_chat": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op7_mix": OP7_SQL, "op9_substring_dedup": OP9_SQL}
