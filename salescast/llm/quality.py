@@ -108,7 +108,7 @@ def _distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda s, x: s + x), F.lit(0.0)))
 
 
-def _means(name: str, n: int) -> list[Column]:
+def _means(name: str, n: int) -> Column:
     return F.array(*[F.avg(F.col(name)[i]) for i in range(n)]).alias(f"mean_{name}")
 
 
@@ -144,14 +144,15 @@ def quality_rules(
     means = _means("chars", len(_CLASSES) + 1), _means("words", len(COMMON_WORDS) + 1)
     passed = m.where(~F.col("base_failed"))
     by_lang = passed.where("_lang IS NOT NULL").groupBy(F.col("_lang").alias("_ref")).agg(*means)
-    # one row whatever the input is: an aggregate without keys
-    overall = passed.agg(*means).select(F.col("mean_chars").alias("all_chars"), F.col("mean_words").alias("all_words"))
-    joined = m.join(by_lang, m["_lang"] == by_lang["_ref"], "left").join(F.broadcast(overall), F.lit(True), "left")
+    # one row, as long as the histograms are; NULL shares if nothing passed
+    overall = passed.agg(*means).first()
+    all_chars, all_words = (F.array(*[F.lit(x).cast("double") for x in row]) for row in overall)
+    joined = m.join(by_lang, m["_lang"] == by_lang["_ref"], "left")
     chars = F.when(
-        F.col("n_chars") >= min_chars, _distance(F.col("chars"), F.coalesce("mean_chars", "all_chars"))
+        F.col("n_chars") >= min_chars, _distance(F.col("chars"), F.coalesce("mean_chars", all_chars))
     )
     tokens = F.when(
-        F.col("n_words") >= min_words, _distance(F.col("words"), F.coalesce("mean_words", "all_words"))
+        F.col("n_words") >= min_words, _distance(F.col("words"), F.coalesce("mean_words", all_words))
     )
     scored = joined.withColumns({"char_distance": chars, "word_distance": tokens})
     fits = (F.coalesce("char_distance", F.lit(0.0)) <= char_distance) & (

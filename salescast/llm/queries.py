@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salescast.llm import chat, exact_dedup, mixing, quality, simhash, substring
+from salescast.llm import chat, exact_dedup, mixing, quality, simhash, substring, token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +34,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(_table(spark, sf_dir, "documents"))
 
@@ -125,7 +129,7 @@ FROM d LEFT JOIN kept USING (doc_id)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_simhash, op4_chat, op6_exact_dedup, op7_mix, op8_quality, op9_substring_dedup)}
+    return {f.__name__: f for f in (op1_token_counts, op3_simhash, op4_chat, op6_exact_dedup, op7_mix, op8_quality, op9_substring_dedup)}
 
 
 def oracles() -> dict[str, str]:
