@@ -9,9 +9,9 @@ stretches of words get the same interior symbols wherever they stand.
 
 Which symbols are interior is kept exactly: each carries the span of words that
 decided it. A span that lies in a window decides the same symbol in every
-document that has the window. Each window of 50 words picks as its anchor the
-symbol with the smallest name among those of the highest level whose span it
-contains (at level 0 every word qualifies, so there always is one). Equal
+document that has the window. Each window of 50 words picks as its anchor,
+among the symbols of the highest level whose span it contains, the one whose span
+has the smallest hash (at level 0 every word qualifies, so there always is one). Equal
 windows pick equal anchors.
 
 Consecutive windows with one anchor form a stretch. Stretches, one per dozens of
@@ -60,7 +60,7 @@ def _join(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
 
 
 class Level:
-    """Symbols of one level: names, documents, and the spans of words that decide them."""
+    """Symbols of one level: names, documents, and the spans ``low`` to ``high`` of words that decide them."""
 
     def __init__(self, names, docs, low, high):
         self.names, self.docs, self.low, self.high = names, docs, low, high
@@ -109,12 +109,26 @@ def recompress(names: np.ndarray, docs: np.ndarray, rounds: int = ROUNDS) -> lis
     return levels
 
 
-def _smallest(level: Level, starts: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each window: index of the symbol with the smallest name whose span it contains, or -1."""
-    usable = np.flatnonzero((level.low >= 0) & (level.high < _FAR))
-    if not len(usable):
-        return np.full(len(starts), -1), usable
-    low, high, names = level.low[usable], level.high[usable], level.names[usable]
+_BASE = _U(0x9E3779B97F4A7C15)
+_INVERSE = _U(pow(int(_BASE), -1, 1 << 64))
+
+
+class Spans:
+    """Hashes of spans of words by differences of one running sum."""
+
+    def __init__(self, names: np.ndarray):
+        n = len(names) + 1
+        self.sums = np.concatenate([[_U(0)], np.cumsum(names * np.cumprod(np.full(n - 1, _BASE)))])
+        self.back = np.cumprod(np.concatenate([[_U(1)], np.full(n - 1, _INVERSE)]))
+
+    def __call__(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        return _mix((self.sums[high] - self.sums[low]) * self.back[low] + (high - low).astype(_U))
+
+
+def _smallest(low: np.ndarray, high: np.ndarray, names: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
+    """For each window: index of the smallest name whose span it contains, or -1."""
+    if not len(names):
+        return np.full(len(starts), -1)
     first = np.searchsorted(low, starts, "left")
     after = np.searchsorted(high, starts + width, "right")
     # rank by name, then by place: the minimum of a range as a table of powers of two
@@ -130,13 +144,17 @@ def _smallest(level: Level, starts: np.ndarray, width: int) -> tuple[np.ndarray,
             a, b = first[here], after[here] - (1 << power)
             result[here] = order[np.minimum(table[a], table[b])]
         if not (size >= 2 << power).any():
-            return result, usable
+            return result
         table = np.minimum(table[: len(table) - (1 << power)], table[1 << power :])
         power += 1
 
 
 def anchors(levels: list[Level], starts: np.ndarray, width: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """(name, identity) of each window's anchor; identities differ between occurrences."""
+    """(name, identity) of each window's anchor; identities differ between occurrences.
+
+    An anchor is named by all words of its span, so it is as rare as they are.
+    """
+    span_name = Spans(levels[0].names)
     names = np.zeros(len(starts), _U)
     identity = np.full(len(starts), -1, np.int64)
     open_ = np.arange(len(starts))
@@ -144,11 +162,13 @@ def anchors(levels: list[Level], starts: np.ndarray, width: int = WINDOW) -> tup
         if not len(open_):
             break
         level = levels[number]
-        found, usable = _smallest(level, starts[open_], width)
+        usable = np.flatnonzero((level.low >= 0) & (level.high < _FAR))
+        low, high = level.low[usable], level.high[usable]
+        of_spans = span_name(low, high)
+        found = _smallest(low, high, of_spans, starts[open_], width)
         hit = found >= 0
-        symbol = usable[found[hit]]
-        names[open_[hit]] = _join(level.names[symbol], np.full(len(symbol), number, _U), 99)
-        identity[open_[hit]] = symbol * len(levels) + number
+        names[open_[hit]] = of_spans[found[hit]]
+        identity[open_[hit]] = usable[found[hit]] * len(levels) + number
         open_ = open_[~hit]
     return names, identity
 
