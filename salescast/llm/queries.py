@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescast.llm import chat, exact_dedup, mixing, quality, simhash, substring, token_counts, toxicity
+from salescast.llm import chat, exact_dedup, language, mixing, quality, simhash, substring, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.fit(docs.where(_fold(5) != 0))
+    return language.predict(docs, model).select("doc_id", (_fold(5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -143,7 +149,7 @@ FROM d LEFT JOIN kept USING (doc_id)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_simhash, op4_chat, op6_exact_dedup, op7_mix, op8_quality, op9_substring_dedup)}
+    return {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_simhash, op4_chat, op5_language, op6_exact_dedup, op7_mix, op8_quality, op9_substring_dedup)}
 
 
 def oracles() -> dict[str, str]:

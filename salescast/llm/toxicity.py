@@ -32,12 +32,14 @@ from pyspark.sql import functions as F
 from salescast.llm.text import raw_texts, slices
 
 #: About so many labelled rows are used for learning, chosen by a hash of their id.
-TRAIN_ROWS = 12_000
+TRAIN_ROWS = 24_000
 #: Most terms in a lexicon.
-LEXICON_SIZE = 400
+LEXICON_SIZE = 600
 THRESHOLD = 0.3
 
-_MIN_TOXIC, _MIN_CONTEXTS, _MIN_ODDS = 6, 5, math.log(100)
+_MIN_TOXIC, _MIN_CONTEXTS, _MIN_ODDS = 4, 3, math.log(50)
+#: Parts of the toxic documents that a term must be in: to be a term, to be looked for misspelt.
+_TERM_SHARE, _FUZZY_SHARE = 0.004, 0.02
 _PREFIXES = range(3, 9)
 _FLUSH = 200_000
 _FUZZY_WEIGHT = {0: 1.0, 1: 0.8, 2: 0.7}
@@ -119,18 +121,18 @@ def _support(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def learn_lexicon(train: DataFrame) -> list[tuple[str, bool]]:
-    """(term, beginning) of at most ``LEXICON_SIZE`` terms from (text, label) rows."""
+def learn_lexicon(train: DataFrame) -> tuple[list[tuple[str, bool]], frozenset[int]]:
+    """(term, beginning), and which of them count exactly only, of at most ``LEXICON_SIZE`` terms from (text, label) rows."""
     counted = train.groupBy().agg(F.sum("label"), F.count("*")).first()
     n1, n0 = counted[0] or 0, counted[1] - (counted[0] or 0)
     if not n1:
-        return []
+        return [], frozenset()
     support = train.mapInArrow(_support, "term string, beginning boolean, toxic long, clean long, contexts long")
     support = support.groupBy("term", "beginning").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.bit_count(F.bit_or("contexts")).alias("contexts")
     )
     odds = F.log((F.col("toxic") + 0.5) / (n1 + 1)) - F.log((F.col("clean") + 0.5) / (n0 + 1))
-    good = support.where((F.col("toxic") >= _MIN_TOXIC) & (F.col("contexts") >= _MIN_CONTEXTS) & (odds >= _MIN_ODDS))
+    good = support.where((F.col("toxic") >= max(_MIN_TOXIC, _TERM_SHARE * n1)) & (F.col("contexts") >= _MIN_CONTEXTS) & (odds >= _MIN_ODDS))
     best = good.orderBy(F.desc("toxic"), F.length("term"), "term", "beginning").limit(20 * LEXICON_SIZE).collect()
     words = {r.term: r.toxic for r in best if not r.beginning}
     chosen: dict[str, int] = {}
@@ -142,7 +144,9 @@ def learn_lexicon(train: DataFrame) -> list[tuple[str, bool]]:
     terms = [(t, True, n) for t, n in chosen.items()]
     terms += [(w, False, n) for w, n in words.items() if not any(w.startswith(c) for c in chosen)]
     terms.sort(key=lambda t: (-t[2], t[0]))
-    return [(t, beginning) for t, beginning, _ in terms[:LEXICON_SIZE]]
+    terms = terms[:LEXICON_SIZE]
+    exact = frozenset(k for k, (_, _, n) in enumerate(terms) if n < _FUZZY_SHARE * n1)
+    return [(t, beginning) for t, beginning, _ in terms], exact
 
 
 def edits_allowed(term: str, beginning: bool) -> int:
@@ -262,9 +266,9 @@ _SIDE = 120
 class Scanner:
     """Runs a model's automaton over batches of texts."""
 
-    def __init__(self, model: Model):
-        self.automaton = Automaton(model.lexicon, model.exact)
-        self.table = _alphabet(self.automaton.letters)
+    def __init__(self, automaton: Automaton):
+        self.automaton = automaton
+        self.table = _alphabet(automaton.letters)
 
     def __call__(self, texts: list[bytes | None]) -> list[list[tuple[int, int, float]]]:
         """(term, edits, context weight) of the hits in each text."""
@@ -295,10 +299,11 @@ def features(hits: list[tuple[int, int, float]]) -> tuple[float, float]:
 
 
 def _train_features(model: Model):
+    automaton = Automaton(model.lexicon, model.exact)
     schema = pa.schema([("label", pa.int64()), ("x1", pa.float64()), ("x2", pa.float64()), ("fuzzy", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(model)
+        scanner = Scanner(automaton)
         for batch in slices(batches, 0):
             rows = []
             for label, hits in zip(batch.column(1).to_pylist(), scanner(raw_texts(batch.column(0)))):
@@ -331,14 +336,15 @@ def fit(train: DataFrame, text_col: str = "text", label_col: str = "toxic") -> M
     rows = train.where(F.col(label_col).isNotNull()).select(
         F.col(text_col).cast("string").alias("text"), (F.col(label_col) == 1).cast("long").alias("label")
     )
-    lexicon = learn_lexicon(rows)
+    lexicon, exact = learn_lexicon(rows)
     if not lexicon:
         return Model()
-    seen = rows.mapInArrow(_train_features(Model(lexicon)), "label long, x1 double, x2 double, fuzzy array<long>").toPandas()
+    seen = rows.mapInArrow(_train_features(Model(lexicon, exact)), "label long, x1 double, x2 double, fuzzy array<long>").toPandas()
     clean = seen[seen.label == 0]
     misspelt = Counter(t for terms in clean.fuzzy for t in terms)
-    exact = frozenset(t for t, n in misspelt.items() if n > max(2, 0.001 * len(clean)))
-    if exact:
+    common = frozenset(t for t, n in misspelt.items() if n > max(2, 0.001 * len(clean)))
+    if common:
+        exact |= common
         seen = rows.mapInArrow(_train_features(Model(lexicon, exact)), "label long, x1 double, x2 double, fuzzy array<long>").toPandas()
     x = seen[["x1", "x2"]].to_numpy()
     weights = _logistic(x, seen.label.to_numpy(float), np.ones(len(x)))
@@ -356,10 +362,11 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", rows: int
 
 def _score(model: Model, id_col: str, threshold: float):
     schema = pa.schema([(id_col, pa.int64()), ("score", pa.float64()), ("predicted", pa.int32()), ("n_hits", pa.int64())])
+    automaton = Automaton(model.lexicon, model.exact)
     bias, largest, summed = model.weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(model)
+        scanner = Scanner(automaton)
         for batch in slices(batches, 1):
             found = scanner(raw_texts(batch.column(1)))
             x = np.array([features(hits) for hits in found])
