@@ -1,10 +1,15 @@
-"""From raw documents to encoded training text, in five stages."""
+"""From raw documents to encoded training text, in five stages.
+
+Every stage but the last returns the columns of ``documents``. A stage sees all
+that the one before it kept.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from salescast.llm import exact_dedup, quality
+from salescast.llm import exact_dedup, mixing, pieces, quality, simhash
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,9 +22,28 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return exact_dedup.deduplicate(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near copies."""
+    return simhash.deduplicate(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop and repeat documents until the sources have their target weights."""
+    return mixing.take_mix(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Word pieces of every document of the mix."""
+    encoded = pieces.encode(docs)
+    return encoded.select("doc_id", F.size("ids").alias("n_pieces"), "ids")
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("exact_dedup", exact_copies),
+    ("simhash", near_copies),
+    ("mixing", mix_sources),
+    ("sentencepiece", encode),
 ]
 
 #: Fingerprints and piece lattices are beyond SQL; the tests compare with brute force.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescast.llm import chat, exact_dedup, language, mixing, quality, simhash, substring, token_counts, toxicity
+from salescast.llm import chat, exact_dedup, language, mixing, pieces, quality, simhash, substring, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -148,8 +148,14 @@ FROM d LEFT JOIN kept USING (doc_id)
 """
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every document, decoded again; ``text_md5`` is of the decoded text."""
+    decoded = pieces.decode(pieces.encode(_table(spark, sf_dir, "documents")))
+    return decoded.select("doc_id", F.size("ids").alias("n_pieces"), "ids", F.md5("text").alias("text_md5"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_simhash, op4_chat, op5_language, op6_exact_dedup, op7_mix, op8_quality, op9_substring_dedup)}
+    return {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_simhash, op4_chat, op5_language, op6_exact_dedup, op7_mix, op8_quality, op9_substring_dedup, op10_sentencepiece)}
 
 
 def oracles() -> dict[str, str]:
