@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -10,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from salescast.sources.tables import shared_folder
+
 #: White space of every word rule here: space, tab, line feed, vertical tab, form feed, return.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -51,27 +52,16 @@ def raw_texts(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def _shared_folder(df: DataFrame) -> str:
-    """The session's ``spark.checkpoint.dir``; a local session without it gets a folder of its own."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="checkpoints-")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
 def cut(df: DataFrame) -> DataFrame:
     """Checkpoint in the shared folder, so lost executors cost no recomputation."""
-    _shared_folder(df)
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
 def stored(df: DataFrame) -> DataFrame:
     """As :func:`cut`, but as a Parquet table: for tables that compress well."""
-    path = f"{_shared_folder(df)}/table-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescast.llm.text import raw_texts, slices
+from salescast.llm.text import raw_texts, slices, stored
 
 #: About so many labelled rows are used for learning, chosen by a hash of their id.
 TRAIN_ROWS = 24_000
@@ -352,12 +352,16 @@ def fit(train: DataFrame, text_col: str = "text", label_col: str = "toxic") -> M
 
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", rows: int = TRAIN_ROWS, keep: Column | None = None) -> DataFrame:
-    """About ``rows`` labelled documents, chosen by a hash of their id on both sides of the join."""
+    """About ``rows`` labelled documents, chosen by a hash of their id.
+
+    The labels that are chosen are so few that they go to every task; texts are
+    not shuffled. The sample is written once, as several passes read it.
+    """
     labels = labels.where(keep) if keep is not None else labels
     share = min(1.0, rows / max(labels.count(), 1))
     part = F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col)), F.lit(1_000_000)) < int(share * 1_000_000)
     docs = docs.where(keep) if keep is not None else docs
-    return docs.where(part).join(labels.where(part), id_col)
+    return stored(docs.where(part).join(F.broadcast(labels.where(part)), id_col))
 
 
 def _score(model: Model, id_col: str, threshold: float):
