@@ -42,7 +42,7 @@ _MIN_TOXIC, _MIN_CONTEXTS, _MIN_ODDS = 4, 3, math.log(50)
 _TERM_SHARE, _FUZZY_SHARE = 0.004, 0.02
 _PREFIXES = range(3, 9)
 _FLUSH = 200_000
-_FUZZY_WEIGHT = {0: 1.0, 1: 0.8, 2: 0.7}
+_FUZZY_WEIGHT = {0: 1.0, 1: 0.95, 2: 0.85}
 _INNER = "*@$"
 _WORD = re.compile(r"[^\W_]+(?:[*@$][^\W_]+)*")
 
@@ -313,7 +313,7 @@ def _train_features(model: Model):
     return run
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, penalty: float = 1.0) -> np.ndarray:
+def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, penalty: float = 0.1) -> np.ndarray:
     """Penalised logistic regression with an intercept by Newton steps; ``n`` weighs rows."""
     x = np.column_stack([np.ones(len(x)), x])
     w = np.zeros(x.shape[1])

@@ -1,0 +1,208 @@
+"""Queries against their SQL twins, and against brute force where there is none."""
+
+import hashlib
+import re
+
+import numpy as np
+import oracle
+import pytest
+import sentencepiece
+import xxhash
+
+from salescast.llm import pieces, queries, simhash, token_counts
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return oracle.connect(SF_DIR)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return {r["doc_id"]: r for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracles()))
+def test_query_equals_sql(spark, duck, name):
+    assert oracle.compare(queries.queries()[name](spark, SF_DIR), duck, queries.oracles()[name]) is None
+
+
+def test_no_cross_joins(spark):
+    for name in ("op3_simhash", "op4_chat", "op6_exact_dedup", "op7_mix", "op8_quality", "op9_substring_dedup"):
+        plan = queries.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_native_queries_run_no_python(spark):
+    for name in ("op4_chat", "op8_quality"):
+        plan = queries.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def spans_of_tokens(encoder, text):
+    spans, at = [], 0
+    for i in encoder.encoding.encode_ordinary(text):
+        size = len(encoder.encoding.decode_single_token_bytes(i))
+        spans.append((at, at + size))
+        at += size
+    return spans
+
+
+def test_token_counts_by_brute_force(spark, docs):
+    encoder = token_counts.Encoder(token_counts.VOCABULARY, token_counts.PATTERN)
+    found = {}
+    for r in queries.op1_token_counts(spark, SF_DIR).collect():
+        found.setdefault(r["doc_id"], []).append(r)
+    assert found.keys() == docs.keys()
+    for doc_id, rows in found.items():
+        rows.sort(key=lambda r: r["section"])
+        text = docs[doc_id]["text"]
+        assert "".join(text[r["start"] : r["end"]] for r in rows) == text
+        spans = spans_of_tokens(encoder, text)
+        assert sum(r["n_tokens"] for r in rows) == len(spans) == rows[0]["doc_tokens"]
+        for r in rows:
+            low, high = len(text[: r["start"]].encode()), len(text[: r["end"]].encode())
+            assert r["n_tokens"] == sum(low <= a < high for a, _ in spans)
+            over = [(a, b) for a, b in spans if max(a, low) < min(b, high)]
+            assert r["share"] == pytest.approx(sum((min(b, high) - max(a, low)) / (b - a) for a, b in over))
+            assert r["n_crossing"] == sum(a < low or b > high for a, b in over)
+
+
+def plain_fingerprint(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+    shingles = [" ".join(words)] if 0 < len(words) < 3 else [" ".join(words[i : i + 3]) for i in range(len(words) - 2)]
+    codes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(c >> b & 1 for c in codes) > len(codes))
+
+
+def groups_by_brute_force(codes):
+    root = {i: i for i in codes}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(codes)
+    for k, i in enumerate(ids):
+        for j in ids[:k]:
+            if (codes[i] ^ codes[j]).bit_count() <= 3:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: find(i) for i in ids}
+
+
+def test_simhash_by_brute_force(spark, docs):
+    found = {r["doc_id"]: r for r in queries.op3_simhash(spark, SF_DIR).collect()}
+    codes = {i: plain_fingerprint(r["text"]) for i, r in docs.items()}
+    assert {i: r["fingerprint"] for i, r in found.items()} == {i: f"{c:016x}" for i, c in codes.items()}
+    assert {i: r["component_id"] for i, r in found.items()} == groups_by_brute_force(codes)
+
+
+@pytest.mark.parametrize("distance", [1, 2, 3])
+def test_every_link_within_the_radius_is_found(spark, distance):
+    rng = np.random.default_rng(distance)
+    codes = []
+    for _ in range(60):
+        code = int(rng.integers(0, 1 << 63))
+        other = code
+        for bit in rng.choice(64, distance, replace=False):
+            other ^= 1 << int(bit)
+        codes += [code, other]
+    signed = [(c - (1 << 64) if c >> 63 else c,) for c in codes]
+    found = simhash.links(spark.createDataFrame(signed, "fp long")).collect()
+    pairs = {frozenset((r["a"], r["b"])) for r in found}
+    assert pairs == {frozenset((a, b)) for (a,), (b,) in zip(signed[::2], signed[1::2])}
+
+
+def test_chains_of_near_fingerprints_are_one_group(spark):
+    # a path of 40 fingerprints, one bit apart, and a dense cluster over 9 bits
+    path = [((1 << k) - 1) << 10 for k in range(40)]
+    cluster = [(0x5A5A << 40) ^ n << 1 for n in range(512)]
+    links = simhash.links(spark.createDataFrame([(c,) for c in path + cluster], "fp long"))
+    from salescast.llm.components import components
+
+    roots = {r["node"]: r["root"] for r in components(links).collect()}
+    assert {roots[c] for c in path} == {min(path)} and {roots[c] for c in cluster} == {min(cluster)}
+
+
+def fails_base(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    seen = {}
+    for i in range(len(words) - 7):
+        seen.setdefault(tuple(words[i : i + 8]), []).append(i)
+    repeated = {k for at in seen.values() if len(at) > 1 for i in at for k in range(i, i + 8)}
+    lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+    return {
+        "n_words": len(words), "word_chars": sum(map(len, words)), "n_symbols": len(re.findall(r"[#*$%&|<>]", text)),
+        "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(repeated),
+        "base_failed": len(words) < 20 or 100 * len(repeated) > 30 * len(words),
+    }
+
+
+def test_quality_counts_by_brute_force(spark, docs):
+    for r in queries.op8_quality(spark, SF_DIR).collect():
+        expected = fails_base(docs[r["doc_id"]]["text"])
+        assert {k: r[k] for k in expected} == expected
+        assert not (r["kept"] and r["base_failed"])
+
+
+def test_quality_tells_good_from_junk(spark):
+    found = queries.op8_quality(spark, "/root/testdata/sf0.01").where("NOT base_failed")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    kept = {(r["quality"], r["kept"]): r["count"] for r in found.join(labels, "doc_id").groupBy("quality", "kept").count().collect()}
+    assert kept.get((1, False), 0) <= 0.02 * kept[1, True]
+    assert kept[0, False] >= 2 * kept.get((0, True), 0)
+
+
+def fold(doc_id, n):
+    import zlib
+
+    return zlib.crc32(str(doc_id).encode()) % n
+
+
+def test_languages_of_held_out_documents(spark):
+    folder = "/root/testdata/sf0.01"
+    langs = {r["doc_id"]: r for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    found = queries.op5_language(spark, folder).collect()
+    assert all(r["held_out"] == (fold(r["doc_id"], 5) == 0) and 0 <= r["score"] <= 1 for r in found)
+    held = [r for r in found if r["held_out"] and langs[r["doc_id"]]["n_chars"] > 100]
+    right = sum(r["lang_pred"] == langs[r["doc_id"]]["lang"] for r in held)
+    assert len(found) == len(langs) and right >= 0.97 * len(held)
+
+
+def test_toxicity_of_held_out_documents(spark):
+    folder = "/root/testdata/sf0.1"
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    found = queries.op2_toxicity(spark, folder).collect()
+    assert all(r["held_out"] == (fold(r["doc_id"], 4) == 2) and 0 <= r["score"] <= 1 for r in found)
+    assert all(r["predicted"] == (r["score"] >= 0.3) for r in found)
+    held = [(labels[r["doc_id"]], r["predicted"]) for r in found if r["held_out"] and r["doc_id"] in labels]
+    toxic, clean = [p for t, p in held if t == 1], [p for t, p in held if t == 0]
+    assert sum(toxic) >= 0.9 * len(toxic) and sum(clean) <= 0.03 * len(clean)
+
+
+def test_pieces_decode_to_the_text(spark, docs):
+    for r in queries.op10_sentencepiece(spark, SF_DIR).collect():
+        assert r["text_md5"] == hashlib.md5(docs[r["doc_id"]]["text"].encode()).hexdigest()
+        assert r["n_pieces"] == len(r["ids"])
+
+
+def test_pieces_have_the_largest_score(docs):
+    """Against the library's lattice search, told that the file is a unigram model."""
+    vocabulary = pieces.Vocabulary(pieces.MODEL)
+    raw = bytearray(open(pieces.MODEL, "rb").read())
+    # trainer settings of a public file: the model type follows 'tok_v0' as field 3
+    at = raw.index(b"tok_v0") + len(b"tok_v0")
+    assert raw[at] == 3 << 3 and raw[at + 1] == 2
+    raw[at + 1] = 1
+    library = sentencepiece.SentencePieceProcessor(model_proto=bytes(raw))
+    lines = [line for r in docs.values() for line in r["text"].split("\n") if 0 < len(line) < 120 and "  " not in line][:150]
+    lines = [line for line in lines if all(c == " " or c in vocabulary.known for c in line)]
+    assert len(lines) > 50
+    for line, ids in zip(lines, pieces.encode_units(vocabulary, [" " + line for line in lines])):
+        best = library.nbest_encode_as_ids(line, 4)[0]
+        assert sum(library.get_score(i) for i in best) == pytest.approx(sum(library.get_score(int(i)) for i in ids))
