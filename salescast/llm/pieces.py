@@ -24,10 +24,9 @@ exact.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
-from itertools import groupby
-from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -45,6 +44,8 @@ CHUNK = 1 << 14
 _NONE = -(1 << 60)
 #: Units longer than this are segmented one by one.
 _WIDE = 48
+#: So many units are segmented side by side.
+_ABREAST = 1 << 14
 
 
 class Vocabulary:
@@ -212,10 +213,12 @@ def encode_units(vocabulary: Vocabulary, texts: list[str]) -> list[np.ndarray]:
             continue
         counts[k] = len(parts[k])
     other = [k for k in range(len(units)) if parts[k] is not None]
-    flat, own = _side_by_side(vocabulary, [units[k] for k in plain]) if plain else (np.zeros(0, np.int64), [])
-    if plain:
-        counts[plain] = own
-    pool = np.concatenate([flat, *[np.array(parts[k], np.int64) for k in other]]).astype(np.int32)
+    flats = []
+    for at in range(0, len(plain), _ABREAST):
+        some = plain[at : at + _ABREAST]
+        flat, counts[some] = _side_by_side(vocabulary, [units[k] for k in some])
+        flats.append(flat)
+    pool = np.concatenate([np.zeros(0, np.int64), *flats, *[np.array(parts[k], np.int64) for k in other]]).astype(np.int32)
     start = np.zeros(len(units), np.int64)
     order = np.array(plain + other, np.int64)
     if len(order):
@@ -313,7 +316,7 @@ def _cut_chunks(chunk: int, reach: int):
 def _matrices(model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(model)
-        for batch in batches:
+        for batch in slices(batches, 3, 4 << 20):
             cells = [transfer(vocabulary, *x).astype("<i8").tobytes() for x in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)))]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cells, pa.binary())], ["row", "chunk", "matrix"])
 
@@ -331,7 +334,7 @@ def _states(frame: pd.DataFrame) -> pd.DataFrame:
 def _traces(model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(model)
-        for batch in slices(batches, 3, 4 << 20):
+        for batch in slices(batches, 3, 1 << 20):
             parts = [trace(vocabulary, *x) for x in zip(*(batch.column(k).to_pylist() for k in range(2, 7)))]
             middles = encode_units(vocabulary, [m for _, m, _ in parts])
             ids = [np.concatenate([np.array(a, np.int32), m, np.array(b, np.int32)]) for (a, _, b), m in zip(parts, middles)]
@@ -346,19 +349,27 @@ def _lists(ids: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values))
 
 
-def _short(model: str):
+def _digest(vocabulary: Vocabulary, ids: np.ndarray) -> str:
+    return hashlib.md5(decode_ids(vocabulary, ids.tolist()).encode()).hexdigest()
+
+
+def _short(model: str, digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(model)
-        for batch in slices(batches, 1, 4 << 20):
+        for batch in slices(batches, 1, 1 << 20):
             texts = [" " + raw.decode() if raw else "" for raw in raw_texts(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(encode_units(vocabulary, texts))], ["doc", "ids"])
+            ids = encode_units(vocabulary, texts)
+            marks = pa.array([_digest(vocabulary, x) for x in ids] if digest else [None] * len(ids), pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(ids), marks], ["doc", "ids", "text_md5"])
 
     return run
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL, chunk: int = CHUNK) -> DataFrame:
+def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL, chunk: int = CHUNK, digest: bool = False) -> DataFrame:
     """One row per row of ``docs``: id and ids (array of int).
 
+    With ``digest`` also text_md5: the MD5 of the text that the ids decode to.
+
     A space is put before a text, as the model asks; NULL and empty texts have no
     ids. A literal space mark in a text is spelt in bytes. Texts of one chunk are
     encoded where they are; longer ones are dealt out by chunk, and no task holds
@@ -367,7 +378,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     columns are read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
-    short = rows.where(F.coalesce(F.length("text"), F.lit(0)) < chunk).mapInArrow(_short(model), "doc long, ids array<int>")
+    short = rows.where(F.coalesce(F.length("text"), F.lit(0)) < chunk).mapInArrow(_short(model, digest), "doc long, ids array<int>, text_md5 string")
     reach = Vocabulary(model).longest
     if chunk < reach:
         raise ValueError(f"a chunk needs at least {reach} characters")
@@ -379,7 +390,10 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     traced = chunks.join(states, ["row", "chunk"]).mapInArrow(_traces(model), "row long, chunk int, ids array<int>")
     whole = traced.groupBy("row").agg(F.flatten(F.sort_array(F.collect_list(F.struct("chunk", "ids")))["ids"]).alias("ids"))
     encoded = long.select("row", "doc").join(whole, "row").select("doc", "ids")
-    return short.union(encoded).withColumnRenamed("doc", id_col)
+    if digest:
+        encoded = decode(encoded, text_col="text", model=model).select("doc", "ids", F.md5("text").alias("text_md5"))
+        return short.union(encoded).withColumnRenamed("doc", id_col)
+    return short.drop("text_md5").union(encoded).withColumnRenamed("doc", id_col)
 
 
 def decode(encoded: DataFrame, ids_col: str = "ids", text_col: str = "text", model: str = MODEL) -> DataFrame:

@@ -30,7 +30,7 @@ COMMON_WORDS = sorted(
 
 CHAR_DISTANCE = 0.25
 WORD_DISTANCE = 0.6
-MEAN_DISTANCE = 0.24
+MEAN_DISTANCE = 0.19
 MIN_CHARS = 100
 MIN_WORDS = 50
 WINDOW = 8
