@@ -323,12 +323,26 @@ def _matrices(model: str):
     return run
 
 
-def _states(frame: pd.DataFrame) -> pd.DataFrame:
-    frame = frame.sort_values("chunk")
-    cells = [np.frombuffer(m, "<i8") for m in frame["matrix"]]
-    side = int(len(cells[0]) ** 0.5)
-    states = scan([c.reshape(side, side) for c in cells])
-    return pd.DataFrame({"row": frame["row"], "chunk": frame["chunk"], "entry": states[:-1], "leave": states[1:]})
+def _states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Matrices in the order of document and chunk to the states of each chunk."""
+
+    def solved(row: int, cells: list[bytes]) -> pa.RecordBatch:
+        side = int((len(cells[0]) // 8) ** 0.5)
+        states = scan([np.frombuffer(c, "<i8").reshape(side, side) for c in cells])
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+        columns = [[row] * len(cells), range(len(cells)), states[:-1], states[1:]]
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], ["row", "chunk", "entry", "leave"])
+
+    row, cells = None, []
+    for batch in batches:
+        for key, cell in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+            if cells and key != row:
+                yield solved(row, cells)
+                cells = []
+            row = key
+            cells.append(cell)
+    if cells:
+        yield solved(row, cells)
 
 
 def _traces(model: str):
@@ -386,7 +400,10 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     long = stored(long)
     chunks = stored(long.select("row", "text").mapInArrow(_cut_chunks(chunk, reach), _CHUNKS).repartition("row", "chunk"))
     matrices = chunks.mapInArrow(_matrices(model), "row long, chunk int, matrix binary")
-    states = matrices.groupBy("row").applyInPandas(_states, "row long, chunk int, entry int, leave int")
+    # few bytes but some work in each row: a fixed number of partitions
+    dealt = matrices.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "row")
+    dealt = dealt.sortWithinPartitions("row", "chunk")
+    states = dealt.mapInArrow(_states, "row long, chunk int, entry int, leave int")
     traced = chunks.join(states, ["row", "chunk"]).mapInArrow(_traces(model), "row long, chunk int, ids array<int>")
     whole = traced.groupBy("row").agg(F.flatten(F.sort_array(F.collect_list(F.struct("chunk", "ids")))["ids"]).alias("ids"))
     encoded = long.select("row", "doc").join(whole, "row").select("doc", "ids")
