@@ -1,7 +1,8 @@
 """Observations, future dates, forecasts and their statistics.
 
-Fitting has no SQL form, so the queries that fit have no twin; their invariants
-are tests. Formatting and statistics are checked on stand-in columns.
+Fitting has no SQL form. Signals of a known form are fitted and compared with
+that form, and invariants of real forecasts are rows; formatting and statistics
+are checked on stand-in columns.
 """
 
 import datetime as dt
@@ -19,6 +20,7 @@ from catalog.views import (
     brand_sales,
     masked_sales,
     sales,
+    table,
 )
 from salescast.functions import round_half_even
 from salescast.operators import forecast as op
@@ -26,7 +28,7 @@ from salescast.operators.daily import daily_sales
 from salescast.plans.features import feature_table
 from salescast.plans.run import run_all
 from salescast.plans.stages import forecast_rows, model_rows, training_hash
-from salescast.sources import shared_folder, write_table
+from salescast.sources import discard, newest_models, shared_folder, write_table
 
 RUN_DATE = dt.date(2024, 1, 1)
 CREATED_AT = dt.datetime(2024, 1, 1)
@@ -192,6 +194,98 @@ def forecast_statistics_by_product(spark, sf_dir):
     return op.forecast_statistics(rows, series="series_id", per_series=True)
 
 
+def _signal_sql(kind: str, value: str) -> str:
+    """The closed form on the history of each brand and the 30 days after it."""
+    return f"""
+SELECT '{kind}' AS kind, product_id AS series_id, date AS ds,
+       CAST({value} AS BIGINT) AS y
+FROM (SELECT DISTINCT product_id, date FROM brand_sales
+      UNION ALL
+      SELECT product_id, CAST(last + CAST(k AS INTEGER) AS DATE)
+      FROM (SELECT product_id, max(date) AS last FROM brand_sales GROUP BY product_id), range(1, 31) r(k))
+"""
+
+
+# Two signals. A line plus a weekday table, and a line times one.
+_DAY = "(date - DATE '1995-01-01')"
+_WEEKDAY = "[0, 30, -20, 50, 10, -40, -30][isodow(date)]"
+_SUM = f"500 + {_DAY} + {_WEEKDAY}"
+_PRODUCT = f"(1000 + 10 * {_DAY}) * (10 + [0, 1, -1, 2, 0, -1, -1][isodow(date)]) / 10"
+
+
+@query(
+    f"WITH {BRAND_SALES} "
+    + _signal_sql("additive", _SUM)
+    + " UNION ALL "
+    + _signal_sql("multiplicative", _PRODUCT)
+)
+def fit_known_signal(spark, sf_dir):
+    """Signals of a known form on each brand's ship dates, fitted and forecast 30 days.
+
+    Without noise the fit recovers them to less than half a unit.
+    """
+    dates = brand_sales(spark, sf_dir).select(F.col("product_id").alias("series_id"), F.col("date").alias("ds")).distinct()
+    day, weekday = F.datediff("ds", F.lit(dt.date(1995, 1, 1))), F.weekday("ds") + 1
+
+    def of(values):
+        return F.element_at(F.array(*map(F.lit, values)), weekday)
+
+    signals = {
+        "additive": 500 + day + of([0, 30, -20, 50, 10, -40, -30]),
+        "multiplicative": (1000 + 10 * day) * (10 + of([0, 1, -1, 2, 0, -1, -1])) / 10,
+    }
+    parts = []
+    for kind, y in signals.items():
+        cfg = {"model": {"prophet": {"seasonality_mode": kind, "yearly_seasonality": False}}}
+        models = model_rows(dates.withColumn("y", y.cast("double")), "00000000", cfg, RUN_DATE, CREATED_AT)
+        rows = forecast_rows(models, 30)
+        parts.append(rows.select(F.lit(kind).alias("kind"), "series_id", "ds", F.round("yhat").cast("bigint").alias("y")))
+    return parts[0].union(parts[1])
+
+
+@query(
+    f"""
+WITH {BRAND_SALES}
+SELECT product_id AS series_id, count(DISTINCT date) + 30 AS rows, CAST(max(date) + 30 AS DATE) AS last_day,
+       true AS ordered, true AS non_negative, true AS covers_most
+FROM brand_sales GROUP BY product_id
+"""
+)
+def forecast_checks(spark, sf_dir):
+    """Invariants of every brand's forecast: rows, end, ordered intervals, and 70 % of the history inside."""
+    brands = brand_sales(spark, sf_dir)
+    features = feature_table(brands, series_cols=["product_id"])
+    rows = forecast_rows(model_rows(features, "00000000", None, RUN_DATE, CREATED_AT), 30)
+    seen = features.select("series_id", "ds", "y")
+    inside = F.when(F.col("y").isNotNull(), F.col("y").between(F.col("yhat_lower"), F.col("yhat_upper")).cast("double"))
+    return rows.join(seen, ["series_id", "ds"], "left").groupBy("series_id").agg(
+        F.count("*").alias("rows"),
+        F.max("ds").alias("last_day"),
+        F.bool_and((F.col("yhat_lower") <= F.col("yhat")) & (F.col("yhat") <= F.col("yhat_upper"))).alias("ordered"),
+        (F.min("yhat_lower") >= 0).alias("non_negative"),
+        (F.avg(inside) >= 0.7).alias("covers_most"),
+    )
+
+
+_STAND_IN_VERSIONS = """
+SELECT DISTINCT CAST(o_custkey % 97 AS {text}) AS series_id, 'v' || CAST(o_orderkey % 7 AS {text}) AS version,
+       CAST(o_orderdate AS TIMESTAMP) AS created_at,
+       CASE WHEN o_orderkey % 7 < 3 OR o_custkey % 97 = 5 THEN 'error' ELSE 'ok' END AS status
+FROM {table}"""
+
+
+@query(
+    f"""
+WITH m AS ({_STAND_IN_VERSIONS.format(text="VARCHAR", table="orders")})
+SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY status = 'ok' DESC, created_at DESC, version DESC) = 1
+"""
+)
+def latest_models(spark, sf_dir):
+    """Stand-in model rows of many versions: the newest fitted one of each series."""
+    text = _STAND_IN_VERSIONS.format(text="STRING", table="{orders}")
+    return newest_models(spark.sql(text, orders=table(spark, sf_dir, "orders")))
+
+
 @query()
 def forecast_all(spark, sf_dir):
     """All products as one series: fit, 30 days ahead, formatted."""
@@ -356,8 +450,9 @@ def run_summary(spark, sf_dir):
 
     Left out are the metrics that depend on the fit or on the clock.
     """
-    base = f"{shared_folder(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
     write_table(sales(spark, sf_dir), f"{base}/raw")
     run = run_all(spark, f"{base}/raw", base, run_id="catalog", run_date=RUN_DATE)
+    discard(spark, base)
     fitted = ["model_version", "training_duration_sec", "mean_forecast", "total_forecast"]
     return run.summary.where(~F.col("metric").isin(*fitted, "avg_confidence_width"))

@@ -1,7 +1,5 @@
 """Profile, product list, fingerprint."""
 
-from pyspark.sql import functions as F
-
 from catalog.registry import query
 from catalog.views import (
     BRAND_SALES,
@@ -19,8 +17,6 @@ from salescast.operators import profile as op
 WITH {BRAND_SALES}
 SELECT count(*) AS num_records,
        count(DISTINCT product_id) AS num_products,
-       (SELECT string_agg(product_id, ',' ORDER BY product_id)
-        FROM (SELECT DISTINCT product_id FROM brand_sales)) AS products,
        strftime(min(date), '%Y-%m-%d') AS start_date,
        strftime(max(date), '%Y-%m-%d') AS end_date,
        CAST(max(date) - min(date) + 1 AS INTEGER) AS num_days,
@@ -32,7 +28,7 @@ FROM brand_sales
 """
 )
 def sales_profile(spark, sf_dir):
-    return op.profile(brand_sales(spark, sf_dir)).withColumn("products", F.array_join("products", ","))
+    return op.profile(brand_sales(spark, sf_dir))
 
 
 @query(f"WITH {SALES} SELECT DISTINCT product_id FROM sales WHERE product_id IS NOT NULL")

@@ -1,5 +1,7 @@
 """Quality metrics, NULL rates, date gaps."""
 
+from pyspark.sql import functions as F
+
 from catalog.registry import query
 from catalog.views import (
     ACCOUNT_SALES,
@@ -8,8 +10,10 @@ from catalog.views import (
     account_sales,
     masked_sales,
     sales,
+    table,
 )
 from salescast.operators import quality as op
+from salescast.sources.sales import typed_sales
 
 
 def _checks_sql(view: str, text: str, columns: list[str], allow_negative: bool) -> str:
@@ -120,3 +124,59 @@ FROM ranked WHERE place = 1
 )
 def date_gaps_by_product(spark, sf_dir):
     return op.date_gaps(sales(spark, sf_dir), series_cols=["product_id"])
+
+
+@query(
+    f"""
+WITH {ACCOUNT_SALES}, {MASKED_SALES},
+a AS (SELECT count(*) FILTER (sales_quantity < 0) AS n FROM account_sales),
+m AS (SELECT (count(*) FILTER (date IS NULL) + count(*) FILTER (product_id IS NULL)
+              + count(*) FILTER (sales_quantity IS NULL) + count(*) FILTER (revenue IS NULL)
+              + count(*) FILTER (note IS NULL)) / (count(*) * 5) AS rate FROM masked_sales)
+SELECT 'account_sales' AS sales, 'no_negative_sales' AS check_name,
+       'Found ' || n || ' negative sales values.' AS message FROM a
+UNION ALL
+SELECT 'masked_sales', 'null_rate', printf('Null rate %.2f%% exceeds threshold 5.00%%.', rate * 100) FROM m
+"""
+)
+def quality_gate_message(spark, sf_dir):
+    """What the gate would raise, as rows."""
+    views = {"account_sales": account_sales, "masked_sales": masked_sales}
+    rows = [
+        op.first_failed(op.quality_metrics(view(spark, sf_dir))).select(F.lit(name).alias("sales"), "*")
+        for name, view in views.items()
+    ]
+    return rows[0].union(rows[1])
+
+
+@query(_checks_sql("sales", SALES, ["date", "product_id", "sales_quantity", "revenue"], False))
+def quality_metrics_timestamps(spark, sf_dir):
+    """The same checks where dates carry a time of day."""
+    late = F.expr("timestampadd(HOUR, 5 + sales_quantity % 9, cast(date AS timestamp))")
+    return op.quality_metrics(sales(spark, sf_dir).withColumn("date", late))
+
+
+_CELLS = """
+SELECT CAST(l_orderkey AS {text}) AS l_orderkey, CAST(l_linenumber AS {text}) AS l_linenumber,
+       CASE CAST(l_linenumber AS INT) WHEN 3 THEN 'NA' WHEN 4 THEN 'someday' ELSE CAST(CAST(l_shipdate AS DATE) AS {text}) END AS date,
+       CASE WHEN l_linenumber = 5 THEN 'null' ELSE CAST(l_partkey AS {text}) END AS product_id,
+       CASE l_returnflag WHEN 'R' THEN 'n/a' WHEN 'A' THEN CAST(CAST(l_quantity AS BIGINT) AS {text})
+            ELSE 'x' || CAST(CAST(l_quantity AS BIGINT) AS {text}) END AS sales_quantity,
+       CASE WHEN l_linenumber = 2 THEN '' ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS {text}) END AS revenue
+FROM {table}"""
+
+
+@query(
+    f"""
+WITH cells AS ({_CELLS.format(text="VARCHAR", table="lineitem")})
+SELECT CAST(l_orderkey AS BIGINT) AS l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, TRY_CAST(date AS DATE) AS date, nullif(product_id, 'null') AS product_id,
+       TRY_CAST(sales_quantity AS DOUBLE) AS sales_quantity, TRY_CAST(revenue AS DOUBLE) AS revenue
+FROM cells
+"""
+)
+def typed_cells(spark, sf_dir):
+    """All line items as text with missing and bad cells, typed as a lenient scan does."""
+    text = _CELLS.format(text="STRING", table="{lines}")
+    raw = spark.sql(text, lines=table(spark, sf_dir, "lineitem"))
+    typed = typed_sales(raw, strict=False)
+    return typed.withColumns({c: F.col(c).cast("bigint") for c in ("l_orderkey", "l_linenumber")})

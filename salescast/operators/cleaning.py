@@ -7,6 +7,7 @@ those numbers as literals, so it neither shuffles nor joins.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -38,7 +39,7 @@ class Bounds:
 
     @classmethod
     def of(cls, quantiles: Quantiles, multiplier: float) -> "Bounds":
-        q1, q3 = quantiles.q
+        q1, q3 = quantiles.q[0], quantiles.q[-1]
         if q1 is None or q3 is None:
             return cls(None, None, None, None, None, None, None)
         iqr = q3 - q1
@@ -163,16 +164,43 @@ def _cap_columns(df: DataFrame, bounds: Mapping[str, Bounds]) -> DataFrame:
 def learn_cleaning(df: DataFrame, cfg: Mapping[str, Any] | None = None) -> CleaningRules:
     """Bounds of the raw columns, then medians of the capped ones.
 
-    A few passes over the measure columns alone; rows whose date is NULL still
-    shape both.
+    A few passes over the measure columns alone, one search for both where
+    capping cannot move the median; rows whose date is NULL still shape both.
     """
     multiplier = settings(cfg, "data_quality")["outlier_iqr_multiplier"]
     columns = [c for c in MEASURES if c in df.columns]
     sort_keys = tuple(c for c in SORT_KEYS if c in df.columns) if "date" in df.columns else ()
     if not columns:
         return CleaningRules({}, {}, sort_keys)
-    bounds = learn_bounds(df, columns, multiplier)
-    return CleaningRules(bounds, medians(_cap_columns(df, bounds), columns), sort_keys)
+    found = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+    bounds = {c: Bounds.of(found[c], multiplier) for c in columns}
+    middle = {c: found[c].q[1] for c in columns}
+    moved = [c for c in columns if not _median_stays(found[c], bounds[c], c in WHOLE_NUMBER_MEASURES)]
+    if moved:
+        middle |= medians(_cap_columns(df, bounds), moved)
+    return CleaningRules(bounds, middle, sort_keys)
+
+
+def _replacements(bounds: Bounds, integer: bool) -> tuple[float, float, float, float]:
+    """Rounded bounds, and what values beyond them become."""
+    lower, upper = (round(x * 100) / 100 for x in (bounds.lower, bounds.upper))  # half to even
+    low, high = max(0.0, lower), upper
+    return (lower, upper, float(int(low)), float(int(high))) if integer else (lower, upper, low, high)
+
+
+def _median_stays(quantiles: Quantiles, bounds: Bounds, integer: bool) -> bool:
+    """Whether capping leaves the median alone, told from numbers already known.
+
+    It does when both middle values are within the bounds and the replacements
+    stay on their own sides of them.
+    """
+    if not bounds.has_outliers:
+        return True
+    if not math.isfinite(bounds.lower * 100) or not math.isfinite(bounds.upper * 100):
+        return False
+    left, right = quantiles.around[1]
+    lower, upper, low, high = _replacements(bounds, integer)
+    return lower <= left and right <= upper and low <= left and right <= high
 
 
 def apply_cleaning(df: DataFrame, rules: CleaningRules) -> DataFrame:

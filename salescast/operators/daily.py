@@ -12,9 +12,14 @@ from salescast.schema import ALL_PRODUCTS
 
 
 def filter_product(df: DataFrame, product_id: str) -> DataFrame:
-    """Rows of one product; the equality reaches a Parquet scan."""
+    """Rows of one product; the equality reaches a Parquet scan.
+
+    A table without the column has no products to tell apart and stays whole.
+    """
     if not product_id:
         raise ValueError("product_id must not be empty")
+    if "product_id" not in df.columns:
+        return df
     return df.where(F.col("product_id") == product_id)
 
 
@@ -35,7 +40,7 @@ def daily_sales(df: DataFrame, series_cols: Sequence[str] = ()) -> DataFrame:
     """
     keyed = df.where(F.col("date").isNotNull()).select(
         series_key(series_cols).alias("series_id"),
-        "date",
+        F.to_date("date").alias("date"),
         F.col("sales_quantity").cast("double"),
         F.col("revenue").cast("double"),
     )

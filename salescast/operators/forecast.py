@@ -45,8 +45,6 @@ YEARLY_PERIOD, YEARLY_ORDER = 365.25, 10
 ROUNDS = 10
 #: scale of the normal prior on intercept and slope
 TREND_PRIOR = 5.0
-#: below this many rows a series gets a straight trend
-MIN_ROWS_FOR_CHANGEPOINTS = 27
 
 PARAMETERS = [
     "changepoint_prior_scale",
@@ -76,7 +74,7 @@ def daily_observations(features: DataFrame) -> DataFrame:
     """
     validate_schema(features, TRAINING_COLUMNS)
     y = F.col("y").cast("double")
-    y = F.when(~F.isnan(y), y)
+    y = F.when(F.abs(y) < float("inf"), y)  # neither NaN nor infinite
     series = F.col("series_id") if "series_id" in features.columns else F.lit("__all__")
     rows = features.select(series.alias("series_id"), F.to_date("ds").alias("ds"), y.alias("y"))
     return (
@@ -109,7 +107,7 @@ def _estimate(
     t: np.ndarray, days: np.ndarray, y: np.ndarray, w: np.ndarray, spread: float, p: Mapping
 ) -> dict[str, Any]:
     """Coefficients for scaled time ``t`` and scaled target ``y``."""
-    changes = CHANGEPOINTS if w.sum() >= MIN_ROWS_FOR_CHANGEPOINTS else 0
+    changes = CHANGEPOINTS  # for every series; the penalty keeps a short one straight
     places = CHANGEPOINT_RANGE * np.arange(1, changes + 1) / CHANGEPOINTS
     trend_basis = np.hstack(
         [np.ones((len(t), 1)), t[:, None], np.maximum(t[:, None] - places[None, :], 0.0)]
@@ -182,9 +180,9 @@ def _fit_series(frame: pd.DataFrame, p: Mapping[str, Any]) -> dict[str, Any]:
     }
     known = frame[frame["weight"] > 0]
     w = known["weight"].to_numpy(dtype=float)
-    if w.sum() < 2:
+    if len(known) < 2:
         row["status"] = "error"
-        row["message"] = "fewer than 2 rows with a target value"
+        row["message"] = "fewer than 2 dates with a target value"
         return row
     days = np.array([d.toordinal() for d in known["ds"]]) - dt.date(1970, 1, 1).toordinal()
     first = days[0]
@@ -195,8 +193,10 @@ def _fit_series(frame: pd.DataFrame, p: Mapping[str, Any]) -> dict[str, Any]:
     row["y_scale"] = scale
     y = known["y"].to_numpy(dtype=float) / scale
     spread = float(known["spread"].sum()) / scale**2
-    row.update(_estimate((days - first) / span, days.astype(float), y, w, spread, p))
-    return row
+    found = _estimate((days - first) / span, days.astype(float), y, w, spread, p)
+    if not np.isfinite([found["sigma"], *found["coefficients"]]).all():
+        return row | {"status": "error", "message": "the estimate is not finite"}
+    return row | found
 
 
 def fit(features: DataFrame, cfg: Mapping[str, Any] | None = None) -> DataFrame:

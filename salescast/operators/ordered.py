@@ -242,8 +242,7 @@ def ordered_features(
         return fill_features(added, features, group, date) if fill else added
 
     reach = max([n - 1 for n in windows] + [k for k in lags] + [0])
-    if block_rows <= reach:
-        raise ValueError(f"block_rows must exceed the {reach} rows a window reaches back")
+    block_rows = max(block_rows, 2 * reach)
     order = Window.partitionBy("_group", "_block").orderBy("_position")
     filled = target if fill else None
     if fill:

@@ -13,13 +13,11 @@ def product_list(df: DataFrame) -> DataFrame:
     return df.select("product_id").where(F.col("product_id").isNotNull()).distinct()
 
 
-def profile(df: DataFrame, max_listed: int = 10_000) -> DataFrame:
+def profile(df: DataFrame) -> DataFrame:
     """One row of table statistics.
 
-    ``avg_daily_sales`` is the mean per row, not per day. ``products`` is the
-    sorted product list when there are at most ``max_listed`` of them and NULL
-    beyond that, because a single cell must not grow with the data;
-    :func:`product_list` is complete at any size.
+    ``avg_daily_sales`` is the mean per row, not per day. Products are counted
+    here; :func:`product_list` has them, as rows.
     """
     quantity, revenue, date = F.col("sales_quantity"), F.col("revenue"), F.col("date")
     # one row per product first: a product with a third of all rows is combined
@@ -33,7 +31,7 @@ def profile(df: DataFrame, max_listed: int = 10_000) -> DataFrame:
         F.sum(revenue).alias("revenue"),
         F.count(revenue).alias("revenues"),
     )
-    totals = per_product.agg(
+    return per_product.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("num_records"),
         F.count("product_id").alias("num_products"),
         date_text(F.min("first")).alias("start_date"),
@@ -46,17 +44,6 @@ def profile(df: DataFrame, max_listed: int = 10_000) -> DataFrame:
         ),
         round_half_even(F.try_divide(F.sum("revenue"), F.sum("revenues"))).alias("avg_revenue"),
     )
-    listed = (
-        product_list(df)
-        .orderBy("product_id")
-        .limit(max_listed + 1)
-        .agg(F.array_sort(F.collect_list("product_id")).alias("products"))
-        .scalar()
-    )
-    products = F.when(F.col("num_products") <= max_listed, listed).alias("products")
-    head = ["num_records", "num_products"]
-    rest = [c for c in totals.columns if c not in head]
-    return totals.select(*head, products, *rest)
 
 
 def content_hash(df: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescast.config import settings
@@ -42,7 +42,7 @@ def date_gaps(
     takes part in no gap.
     """
     keys = list(series_cols)
-    days = df.select(*keys, F.col(date).alias("day")).distinct()
+    days = df.select(*keys, F.to_date(date).alias("day")).distinct()
     w = Window.partitionBy(*keys).orderBy("day")
     widest = F.max("gap")
     return (
@@ -89,7 +89,7 @@ def quality_summary(df: DataFrame) -> DataFrame:
         ),
     ]
     if has_date:
-        per_day = df.groupBy("date").agg(*aggregates)
+        per_day = df.groupBy(F.to_date("date").alias("date")).agg(*aggregates)
         # at most one row per calendar day, so one task is enough
         w = Window.partitionBy().orderBy(F.asc_nulls_first("date"))
         per_day = per_day.withColumn("gap", _gap(F.lag("date").over(w), F.col("date")))
@@ -164,36 +164,34 @@ def quality_metrics(df: DataFrame, cfg: Mapping[str, Any] | None = None) -> Data
     return quality_checks(quality_summary(df), cfg)
 
 
-def _failure(check: Row) -> str:
-    # The wording that callers match on.
-    value, limit = check["value"], check["threshold"]
-    if check["check_name"] == "minimum_records":
-        return f"Insufficient records: {value:.0f} < {limit:.0f} minimum required."
-    if check["check_name"] == "null_rate":
-        return f"Null rate {value:.2%} exceeds threshold {limit:.2%}."
-    if check["check_name"] == "no_negative_sales":
-        return f"Found {value:.0f} negative sales values."
-    return (
-        f"Date gap of {value:.0f} days exceeds threshold of {limit:.0f} days. "
-        f"Gap found between {check['gap_start']} and {check['gap_end']}."
-    )
-
+def first_failed(checks: DataFrame) -> DataFrame:
+    """One row: name and message of the first check that did not pass, NULL when all did.
 
-def first_failure(checks: Sequence[Row]) -> str | None:
-    """Message of the first check that did not pass, in check order."""
-    for check in sorted(checks, key=lambda c: c["position"]):
-        if check["passed"] is False:
-            return _failure(check)
-    return None
+    ``checks`` are rows of :func:`quality_checks`.
+    """
+    value, limit = F.col("value"), F.col("threshold")
+    # The wording that callers match on.
+    texts = {
+        "minimum_records": F.format_string("Insufficient records: %.0f < %.0f minimum required.", value, limit),
+        "null_rate": F.format_string("Null rate %.2f%% exceeds threshold %.2f%%.", value * 100, limit * 100),
+        "no_negative_sales": F.format_string("Found %.0f negative sales values.", value),
+        "date_continuity": F.format_string(
+            "Date gap of %.0f days exceeds threshold of %.0f days. The dates around it are %s and %s.",
+            value, limit, F.col("gap_start").cast("string"), F.col("gap_end").cast("string"),
+        ),
+    }
+    message = F.coalesce(*[F.when(F.col("check_name") == name, text) for name, text in texts.items()])
+    first = F.min(F.when(~F.col("passed"), F.struct("position", "check_name", message.alias("message"))))
+    return checks.agg(first.alias("first")).select("first.check_name", "first.message")
 
 
 def quality_gate(df: DataFrame, cfg: Mapping[str, Any] | None = None) -> DataFrame:
     """Return ``df`` unchanged, or raise ``ValueError`` for the first failed check.
 
-    Runs one job; four rows reach the driver. Use :func:`quality_metrics` to see
+    Runs one job; one row reaches the driver. Use :func:`quality_metrics` to see
     every outcome without raising.
     """
-    message = first_failure(quality_metrics(df, cfg).collect())
+    message = first_failed(quality_metrics(df, cfg)).first()["message"]
     if message:
         raise ValueError(message)
     return df

@@ -7,8 +7,8 @@ aggregate over a bounded number of groups. A running count over the bins tells
 which bins hold a wanted rank, and only those are looked at again:
 
 * first in bins of equal width on a logarithmic scale, the same for any data;
-* then in ``SUB_BINS`` equal parts of each bin that is still open;
-* by value, once a bin holds at most ``ROWS_BY_VALUE`` rows.
+* then in ``SUB_BINS`` equal parts of each bin that is still open, again and
+  again until each wanted rank is in a bin of one distinct value.
 
 A bin with one distinct value settles its ranks at once, so a column of small
 whole numbers costs one pass, and each further pass cuts the open rows by the
@@ -31,22 +31,21 @@ _LOG_SHIFT = 746.0
 _BINS_PER_E = 64.0
 
 SUB_BINS = 2048
-ROWS_BY_VALUE = 10_000_000
 
 _OPEN_SCHEMA = """
-    name string, bin int, low double, high double, scale double, by_value boolean,
-    below bigint, ranks array<bigint>
+    name string, bin int, low double, high double, scale double, below bigint, ranks array<bigint>
 """
 
 
 @dataclass(frozen=True)
 class Quantiles:
-    """``n`` values seen, their range, and one quantile per probability."""
+    """``n`` values seen, their range, one quantile per probability and its two neighbours."""
 
     n: int
     low: float | None
     high: float | None
     q: tuple[float | None, ...]
+    around: tuple[tuple[float, float], ...] = ()
 
 
 def _log_bin(x: Column) -> Column:
@@ -105,7 +104,7 @@ def _refine(df: DataFrame, open_bins: list[Row]) -> list[Row]:
     """Look once more into bins that hold several distinct values.
 
     Their ranges are filters on the plain columns, so a scan can skip data by
-    them. Both the part number and the value keep the order of the rows.
+    them. The part number keeps the order of the values.
     """
     in_range = F.lit(False)
     for b in open_bins:
@@ -115,8 +114,7 @@ def _refine(df: DataFrame, open_bins: list[Row]) -> list[Row]:
     for i, b in enumerate(open_bins):
         # halved when the width of the bin is beyond the largest double
         scale = 0.5 if math.isinf(b["high"] - b["low"]) else 1.0
-        by_value = b["rows"] <= ROWS_BY_VALUE
-        table.append(Row(b["name"], i, b["low"], b["high"], scale, by_value, b["below"], b["ranks"]))
+        table.append(Row(b["name"], i, b["low"], b["high"], scale, b["below"], b["ranks"]))
     bins = df.sparkSession.createDataFrame(table, _OPEN_SCHEMA)
     bins = bins.withColumnsRenamed({"low": "bin_low", "high": "bin_high"})
     # a literal table of at most two bins per probability and column
@@ -125,12 +123,9 @@ def _refine(df: DataFrame, open_bins: list[Row]) -> list[Row]:
     start, end = F.col("bin_low") * F.col("scale"), F.col("bin_high") * F.col("scale")
     part = F.floor((F.col("x") * F.col("scale") - start) / (end - start) * SUB_BINS)
     counted = (
-        inside.withColumn("part", F.when(~F.col("by_value"), part))
-        .withColumn("value", F.when(F.col("by_value"), F.col("x")))
-        .groupBy("name", "bin", "below", "ranks", "part", "value")
-        .agg(*_counts())
+        inside.withColumn("part", part).groupBy("name", "bin", "below", "ranks", "part").agg(*_counts())
     )
-    return _with_ranks(counted, ["bin"], ["part", "value"])
+    return _with_ranks(counted, ["bin"], ["part"])
 
 
 def exact_quantiles(
@@ -151,12 +146,13 @@ def exact_quantiles(
             result[name] = Quantiles(0, None, None, tuple(None for _ in probabilities))
             continue
         total, low, high = spans[name]
-        q = []
+        q, around = [], []
         for p in probabilities:
             position = float(p) * (total - 1)
             left = at[name, math.floor(position)]
             right = at[name, math.ceil(position)]
             share = position - math.floor(position)
+            around.append((left, right))
             q.append(left if left == right else left + (right - left) * share)
-        result[name] = Quantiles(total, low, high, tuple(q))
+        result[name] = Quantiles(total, low, high, tuple(q), tuple(around))
     return result

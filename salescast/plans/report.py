@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 from functools import reduce
+from itertools import groupby
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,33 +45,6 @@ STAGE_METRICS: dict[str, dict[str, str]] = {
     },
 }
 
-# Headings and labels of the text report.
-_HEADINGS = {
-    "extraction": "1. DATA EXTRACTION",
-    "validation": "2. DATA VALIDATION & CLEANING",
-    "feature_engineering": "3. FEATURE ENGINEERING",
-    "model_training": "4. MODEL TRAINING",
-    "forecasting": "5. FORECAST GENERATION",
-}
-_LABELS = {
-    "records_extracted": "Records extracted: {}",
-    "products": "Products: {}",
-    "checks_passed": "Quality checks passed: {}",
-    "null_rate": "Null rate: {}",
-    "rows_cleaned": "Rows cleaned/removed: {}",
-    "features_added": "Features added: {}",
-    "records_processed": "Records processed: {}",
-    "model_version": "Model version: {}",
-    "training_duration_sec": "Training duration: {}s",
-    "training_records": "Training records: {}",
-    "horizon_days": "Horizon: {} days",
-    "total_predictions": "Total predictions: {}",
-    "mean_forecast": "Mean forecast: {}",
-    "total_forecast": "Total forecast: {}",
-    "avg_confidence_width": "Confidence width: {}",
-}
-
-
 def stage_metrics(metadata: DataFrame, stage: str) -> DataFrame:
     """The reported metrics of one stage: (stage, position, metric, value text)."""
 
@@ -117,35 +91,22 @@ def text_report(
     cfg: Mapping[str, Any] | None = None,
     completed_at: dt.datetime | None = None,
 ) -> str:
-    """The run summary as text. Reads the summary: one short row per metric."""
-    rows = summary.collect()
-    values = {(r["stage"], r["metric"]): r["value"] for r in rows}
-    run_id = rows[0]["run_id"] if rows else None
-    pipeline = settings(cfg, "pipeline")
-    completed = completed_at or dt.datetime.now()
-    rule, thin = "=" * 70, "-" * 70
-    lines = [
-        rule,
-        "SALES FORECAST - EXECUTION SUMMARY",
-        rule,
-        f"Pipeline: {pipeline['name']} v{pipeline['version']}",
-        f"Execution Date: {execution_date}",
-        f"Run ID: {run_id}",
-        f"Completed At: {completed.isoformat()}",
-        "Status: SUCCESS",
-        "",
-        thin,
-        "STAGE RESULTS",
-        thin,
-    ]
-    optional = {"mean_forecast", "total_forecast", "avg_confidence_width"}
-    unlisted = {"start_date", "end_date"}
-    for stage, metrics in STAGE_METRICS.items():
-        lines += ["", _HEADINGS[stage]]
-        for metric in metrics:
-            value = values.get((stage, metric))
-            if metric in unlisted or (metric in optional and value is None):
-                continue
-            lines.append("   - " + _LABELS[metric].format(value))
-    lines += ["", rule, "COMPLETED SUCCESSFULLY", rule]
-    return "\n".join(lines)
+    """The run summary as an aligned text table, a block per stage.
+
+    Whatever metrics the summary has are shown; those without a value are not.
+    Reads the summary: one short row per metric.
+    """
+    rows = sorted(summary.collect(), key=lambda r: (list(STAGE_METRICS).index(r["stage"]), r["position"]))
+    job = settings(cfg, "pipeline")
+    ended = (completed_at or dt.datetime.now()).isoformat(timespec="seconds")
+    run_id = rows[0]["run_id"] if rows else ""
+    facts = {"job": f"{job['name']} {job['version']}", "run": run_id, "day": execution_date, "ended": ended}
+    blocks = [[(name, value) for name, value in facts.items()]]
+    for _, own in groupby(rows, key=lambda r: r["stage"]):
+        own = list(own)
+        shown = [(r["metric"], r["value"]) for r in own if r["value"] is not None]
+        blocks.append([(f"[{own[0]['stage']}]", ""), *(shown or [("nothing reported", "")])])
+    width = max(len(name) for block in blocks for name, _ in block)
+    return "\n\n".join(
+        "\n".join(f"{name:<{width}}  {value}".rstrip() for name, value in block) for block in blocks
+    )

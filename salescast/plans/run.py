@@ -17,6 +17,8 @@ from salescast.plans.stages import (
     train_and_save_model,
     validate_and_clean_data,
 )
+from salescast.sources.sales import is_csv
+from salescast.sources.tables import discard
 
 
 @dataclass(frozen=True)
@@ -42,13 +44,21 @@ def run_all(
     series_cols: Sequence[str] = (),
     fmt: str | None = None,
 ) -> Run:
-    """Run the five stages in order under ``output_path``, on shared storage."""
+    """Run the five stages in order under ``output_path``, on shared storage.
+
+    Text input is parsed once, into a table there that is removed at the end.
+    """
     run_date = run_date or dt.date.today()
     base = output_path.rstrip("/")
     cleaned, features = f"{base}/cleaned", f"{base}/features"
     models, forecast = f"{base}/models", f"{base}/forecast"
-    stages = {"extraction": extract_data(spark, raw_path, cfg, fmt)[1]}
-    stages["validation"] = validate_and_clean_data(spark, raw_path, cleaned, cfg, fmt)
+    parsed = f"{base}/parsed" if is_csv(raw_path, fmt) else None
+    stages = {"extraction": extract_data(spark, raw_path, cfg, fmt, parsed)[1]}
+    stages["validation"] = validate_and_clean_data(
+        spark, parsed or raw_path, cleaned, cfg, "parquet" if parsed else fmt
+    )
+    if parsed:
+        discard(spark, parsed)
     stages["feature_engineering"] = engineer_features(
         spark, cleaned, features, cfg, product_id, series_cols, fmt="parquet"
     )

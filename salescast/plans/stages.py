@@ -7,6 +7,7 @@ be run, and run again, on its own.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -29,7 +30,7 @@ from salescast.operators.forecast import (
     predict,
 )
 from salescast.operators.profile import content_hash, profile
-from salescast.operators.quality import first_failure, quality_checks, quality_summary
+from salescast.operators.quality import first_failed, quality_checks, quality_summary
 from salescast.plans.features import feature_names, feature_table
 from salescast.sources.models import (
     latest_models,
@@ -38,7 +39,7 @@ from salescast.sources.models import (
     write_models,
 )
 from salescast.sources.sales import is_csv, read_sales, read_training
-from salescast.sources.tables import read_table, stage, write_table
+from salescast.sources.tables import discard, read_table, shared_folder, stage, write_table
 
 Config = Mapping[str, Any] | None
 
@@ -64,23 +65,29 @@ def _kept(one_row: DataFrame) -> DataFrame:
 
 
 def extract_data(
-    spark: SparkSession, path: str, cfg: Config = None, fmt: str | None = None
+    spark: SparkSession,
+    path: str,
+    cfg: Config = None,
+    fmt: str | None = None,
+    staging: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Typed scan, schema check, profile and fingerprint; no output table.
 
     Returns the sales rows and the metadata row. Text is parsed once, into a
-    staged table, because profile and fingerprint each read the rows.
+    table at ``staging`` (or in the folder of ``spark.checkpoint.dir``), because
+    profile and fingerprint each read the rows. The rows that are returned read
+    that table, so it is the caller's to remove.
     """
     sales = read_sales(spark, path, strict=True, fmt=fmt)
     if is_csv(path, fmt):
-        sales = stage(sales, "extracted")
+        sales = stage(sales, staging or f"{shared_folder(spark)}/extracted-{uuid.uuid4().hex}")
     metadata = profile(sales).select(
         F.lit(path).alias("file_path"),
         "*",
         content_hash(sales).scalar().alias("data_hash"),
         F.current_timestamp().alias("extracted_at"),
     )
-    return sales, metadata
+    return sales, _kept(metadata)
 
 
 def validate_and_clean_data(
@@ -94,22 +101,35 @@ def validate_and_clean_data(
     """Gate the raw table, clean it, write it sorted; returns the metadata row.
 
     Raises ``ValueError`` with the first failed check before anything is written.
-    Text input is staged as Parquet once, because several passes read it.
+    Text input is staged as Parquet beside the output, because several passes
+    read it, and removed at the end.
     """
     sales = read_sales(spark, input_path, fmt=fmt)
-    if is_csv(input_path, fmt):
-        sales = stage(sales, "sales")
+    staged = f"{output_path}_staged" if is_csv(input_path, fmt) else None
+    if staged:
+        sales = stage(sales, staged)
+    try:
+        return _validate_and_clean(spark, sales, input_path, output_path, cfg, output_fmt)
+    finally:
+        if staged:
+            discard(spark, staged)
+
+
+def _validate_and_clean(
+    spark: SparkSession, sales: DataFrame, input_path: str, output_path: str, cfg: Config, output_fmt: str
+) -> DataFrame:
     summary = _kept(quality_summary(sales))
-    checks = quality_checks(summary, cfg).collect()
-    failure = first_failure(checks)
+    checked = quality_checks(summary, cfg)
+    failure = first_failed(checked).first()["message"]
     if failure:
         raise ValueError(failure)
+    checks = checked.collect()
     rules = learn_cleaning(sales, cfg)
     write_table(
         apply_cleaning(sales, rules), output_path, output_fmt, sort_by=["date", "product_id"]
     )
     cleaning = _kept(cleaning_summary(sales, rules))
-    return _one_row(
+    row = _one_row(
         spark,
         input_path=input_path,
         output_path=output_path,
@@ -122,6 +142,7 @@ def validate_and_clean_data(
         .select("log"),
         processed_at=F.current_timestamp(),
     )
+    return _kept(row)
 
 
 def engineer_features(
@@ -134,10 +155,16 @@ def engineer_features(
     fmt: str | None = None,
     output_fmt: str = "parquet",
 ) -> DataFrame:
-    """Write the feature table; returns the metadata row."""
+    """Write the feature table in the order of series and date; returns the metadata row.
+
+    Text input is staged beside the output and removed at the end.
+    """
     sales = read_sales(spark, input_path, fmt=fmt)
+    staged = f"{output_path}_staged" if is_csv(input_path, fmt) else None
+    if staged:
+        sales = stage(sales, staged)
     features = feature_table(sales, cfg, product_id, series_cols)
-    write_table(features, output_path, output_fmt)
+    write_table(features, output_path, output_fmt, sort_by=["series_id", "date"])
     names = feature_names(cfg)
     chosen = settings(cfg, "features")
     written = read_table(spark, output_path, output_fmt, features.schema)
@@ -146,7 +173,7 @@ def engineer_features(
         date_text(F.min("ds")).alias("start_date"),
         date_text(F.max("ds")).alias("end_date"),
     )
-    return counted.select(
+    row = counted.select(
         F.lit(input_path).alias("input_path"),
         F.lit(output_path).alias("output_path"),
         sales.agg(F.count(F.lit(1))).scalar().alias("original_records"),
@@ -160,6 +187,10 @@ def engineer_features(
         "end_date",
         F.current_timestamp().alias("processed_at"),
     )
+    row = _kept(row)
+    if staged:
+        discard(spark, staged)
+    return row
 
 
 def training_hash(features: DataFrame) -> str:
@@ -200,13 +231,14 @@ def train_and_save_model(
     cfg: Config = None,
     run_date: dt.date | None = None,
     created_at: dt.datetime | None = None,
+    fmt: str | None = None,
 ) -> DataFrame:
     """Fit every series of a feature table and add the models to the model table.
 
     Returns the metadata row. Series that could not be fitted are counted there
     and keep their message in the model table.
     """
-    features = read_training(spark, data_path)
+    features = read_training(spark, data_path, fmt)
     data_hash = training_hash(features)
     run_date = run_date or dt.date.today()
     write_models(model_rows(features, data_hash, cfg, run_date, created_at), models_path)
@@ -242,7 +274,9 @@ def generate_predictions(
 ) -> DataFrame:
     """Forecast with the latest models, or with one version; returns metadata.
 
-    ``horizon_days`` wins over the configuration.
+    ``horizon_days`` wins over the configuration. The statistics cover the
+    horizon of every series. Series without a fitted model get no forecast; the
+    metadata counts them, and lists the versions in use.
     """
     horizon = settings(cfg, "model")["horizon_days"] if horizon_days is None else horizon_days
     if version is None:
@@ -250,17 +284,23 @@ def generate_predictions(
     else:
         models = models_by_version(spark, models_path, version)
     forecast = forecast_rows(models, horizon)
-    write_table(forecast, output_path, output_fmt)
+    write_table(forecast, output_path, output_fmt, sort_by=["series_id", "ds"])
     written = read_table(spark, output_path, output_fmt, forecast.schema)
     counted = written.agg(
         F.max("model_version").alias("model_version"),
+        F.sort_array(F.collect_set("model_version")).alias("model_versions"),
+        F.count_distinct("series_id").alias("series"),
         F.count(F.lit(1)).alias("total_predictions"),
         date_text(F.min("ds")).alias("start_date"),
         date_text(F.max("ds")).alias("end_date"),
     )
-    statistics = forecast_statistics(written, series="series_id")
+    statistics = forecast_statistics(written, tail_rows=max(horizon, 1), series="series_id")
+    unfitted = models.agg(F.count_if(~F.col("status").eqNullSafe("ok")).alias("unfitted_series"))
     return counted.select(
         "model_version",
+        "model_versions",
+        "series",
+        unfitted.scalar().alias("unfitted_series"),
         F.lit(models_path).alias("models_path"),
         F.lit(output_path).alias("output_path"),
         F.lit(horizon).alias("horizon_days"),

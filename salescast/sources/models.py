@@ -35,8 +35,9 @@ def _read(spark: SparkSession, path: str) -> DataFrame:
 def latest_models(
     spark: SparkSession, path: str, missing: str = "error"
 ) -> DataFrame | None:
-    """The newest model row of every series, by creation time and then version.
+    """The newest fitted model of every series, by creation time and then version.
 
+    A series that was never fitted keeps its newest row, so it can be counted.
     Without any model: ``FileNotFoundError``, or None with ``missing="none"``.
     The choice is made on three narrow columns; the wide rows are joined after.
     """
@@ -48,9 +49,15 @@ def latest_models(
         if missing == "none":
             return None
         raise FileNotFoundError(f"No trained models found in {path}") from problem
+    return newest_models(models)
+
+
+def newest_models(models: DataFrame) -> DataFrame:
+    """Of every series the newest fitted model, or its newest row if none was fitted."""
+    fitted = (F.col("status") == "ok") if "status" in models.columns else F.lit(True)
     newest = (
         models.groupBy("series_id")
-        .agg(F.max(F.struct("created_at", "version")).alias("newest"))
+        .agg(F.max(F.struct(fitted, "created_at", "version")).alias("newest"))
         .select(
             F.struct(
                 "series_id", F.col("newest.created_at"), F.col("newest.version")

@@ -65,7 +65,7 @@ def _parsed(text: Column, kind: str, name: str, strict: bool) -> Column:
     return F.when(text.isNotNull() & value.isNull(), F.raise_error(problem)).otherwise(value)
 
 
-def _typed(raw: DataFrame, strict: bool) -> DataFrame:
+def typed_sales(raw: DataFrame, strict: bool) -> DataFrame:
     """Sales columns with their types, bound by name; extra columns stay text."""
     columns = {c: _present(F.col(f"`{c}`")) for c in raw.columns}
     typed = {}
@@ -101,6 +101,10 @@ def _normalised(table: DataFrame, strict: bool) -> DataFrame:
             changed["product_id"] = column.cast("string")
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             changed[field.name] = null_if_nan(column)
+    if strict and "sales_quantity" in table.columns:
+        value = changed.get("sales_quantity", F.col("sales_quantity"))
+        absent = F.raise_error(F.lit("missing value in column sales_quantity"))
+        changed["sales_quantity"] = F.when(value.isNull(), absent).otherwise(value)
     return table.withColumns(changed) if changed else table
 
 
@@ -111,9 +115,11 @@ def read_sales(
 
     CSV cells are read as text and cast. ``strict`` raises, when rows are read,
     on a value that does not fit its type and on a missing quantity; otherwise
-    such cells are NULL, for the quality gate to count. ``fmt`` is told from the
-    path's ending unless given. NaN becomes NULL.
+    such cells are NULL, for the quality gate to count. ``strict`` wants all four
+    columns, otherwise only ``date``; operators pass over what is absent. ``fmt``
+    is told from the path's ending unless given. NaN becomes NULL.
     """
+    needed = SALES_COLUMNS if strict else ["date"]
     if is_csv(path, fmt):
         reader = (
             spark.read.option("header", True)
@@ -123,12 +129,19 @@ def read_sales(
             .option("enforceSchema", False)
         )
         raw = open_table(path, lambda: reader.csv(path))
-        return _typed(validate_schema(raw, SALES_COLUMNS), strict)
-    table = validate_schema(open_table(path, lambda: spark.read.parquet(path)), SALES_COLUMNS)
+        return typed_sales(validate_schema(raw, needed), strict)
+    table = validate_schema(open_table(path, lambda: spark.read.parquet(path)), needed)
     return _normalised(table, strict)
 
 
-def read_training(spark: SparkSession, path: str) -> DataFrame:
-    """Feature rows for training; the scan reads the columns that are used."""
+def read_training(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+    """Feature rows for training; the scan reads the columns that are used.
+
+    From CSV, ``ds`` and ``y`` are cast, and a bad cell raises when it is read.
+    """
+    if is_csv(path, fmt):
+        reader = spark.read.option("header", True).option("escape", '"')
+        raw = validate_schema(open_table(path, lambda: reader.csv(path)), TRAINING_COLUMNS)
+        return raw.withColumns({"ds": F.col("ds").cast("date"), "y": F.col("y").cast("double")})
     table = open_table(path, lambda: spark.read.parquet(path))
     return validate_schema(table, TRAINING_COLUMNS)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,28 +33,27 @@ def read_table(spark: SparkSession, path: str, fmt: str, schema: T.StructType) -
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names.
+    """A folder that all executors share: that of ``spark.checkpoint.dir``.
 
-    A local session without one gets a temporary folder. On a cluster a
-    machine-local folder would be lost with its machine, so there it is an error.
+    Where the setting is missing it is a folder in the warehouse, which is shared too.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="salescast-")
-        spark.sparkContext.setCheckpointDir(folder)
-        return folder
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if folder is None:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+    return folder.rstrip("/")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as Parquet to ``path`` and read it back.
 
     For inputs that several passes read: it cuts the lineage, survives lost
     executors, and lets each pass read only its own columns.
     """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     write_table(df, path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a table that :func:`stage` wrote."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

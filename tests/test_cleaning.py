@@ -61,7 +61,6 @@ def test_quantiles_equal_numpy(spark, xs):
 )
 def test_quantiles_when_bins_are_refined_again_and_again(spark, monkeypatch, xs):
     monkeypatch.setattr(quantiles, "SUB_BINS", 4)
-    monkeypatch.setattr(quantiles, "ROWS_BY_VALUE", 1)
     check_quantiles(spark, xs)
 
 
@@ -210,3 +209,25 @@ def test_sorted_with_missing_last_and_copies_spread(spark):
         assert parts.count() > 1
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_median_is_searched_again_only_where_capping_moves_it(spark, monkeypatch):
+    searches = []
+    search = cleaning.exact_quantiles
+
+    def counted(df, columns, probabilities):
+        searches.append((tuple(columns), tuple(probabilities)))
+        return search(df, columns, probabilities)
+
+    monkeypatch.setattr(cleaning, "exact_quantiles", counted)
+    # more than half of the values are negative outliers' neighbours: capping lifts them to zero
+    xs = [-40.0] * 3 + [-12.0 + 0.1 * i for i in range(40)] + [90.0] * 3
+    df = spark.createDataFrame([(x, 5.0 + i % 3) for i, x in enumerate(xs)], "revenue double, sales_quantity double")
+    rules = cleaning.learn_cleaning(df)
+    capped = df.select(cleaning.capped(F.col("revenue"), rules.bounds["revenue"], False).alias("revenue"))
+    assert rules.medians["revenue"] == capped.selectExpr("percentile(revenue, 0.5)").first()[0]
+    assert searches[0] == (("sales_quantity", "revenue"), (0.25, 0.5, 0.75)) and searches[1:] in ([], [(("revenue",), (0.5,))])
+    calm = df.where("revenue between -12 and -8")
+    searches.clear()
+    cleaning.learn_cleaning(calm)
+    assert len(searches) == 1

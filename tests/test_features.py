@@ -90,10 +90,11 @@ def test_both_forms_agree_on_daily_rows(spark):
     assert normal(forms[0].toPandas(), columns) == normal(forms[1].toPandas(), columns)
 
 
-def test_block_must_hold_the_reach(spark):
-    df = spark.createDataFrame([(START, 1.0)], "date date, y double")
-    with pytest.raises(ValueError, match="block_rows"):
-        ordered_features(df, "y", lags=[20], block_rows=20)
+def test_blocks_follow_the_reach(spark):
+    rows = [(START + dt.timedelta(days=i), float(i)) for i in range(90)]
+    df = spark.createDataFrame(rows, "date date, y double")
+    out = ordered_features(df, "y", lags=[20], block_rows=4).orderBy("date").collect()
+    assert [r["y_lag_20d"] for r in out] == [None] * 20 + [float(i) for i in range(70)]
 
 
 def test_windows_count_rows_not_days(spark):

@@ -123,11 +123,19 @@ def test_missing_targets_are_left_out_but_dated(spark):
     np.testing.assert_allclose(out.yhat, 3.0 + np.arange(103), rtol=0.01, atol=0.5)
 
 
-def test_short_history_has_no_changepoints(spark):
-    row = fit(spark.createDataFrame(series("a", 26, lambda i: 1.0 + i), SCHEMA)).first()
-    assert row["changepoints"] == 0 and len(row["trend_slope"]) == 1
-    row = fit(spark.createDataFrame(series("a", 27, lambda i: 1.0 + i), SCHEMA)).first()
-    assert row["changepoints"] == 25 and len(row["trend_slope"]) == 26
+def test_the_form_does_not_depend_on_the_number_of_rows(spark):
+    for n in (2, 3, 26, 27, 200):
+        row = fit(spark.createDataFrame(series("a", n, lambda i: 1.0 + i), SCHEMA)).first()
+        assert row["status"] == "ok"
+        assert row["changepoints"] == 25 and len(row["trend_slope"]) == 26
+
+
+def test_dates_count_and_targets_have_to_be_finite(spark):
+    twice = series("a", 1, float) + series("a", 1, float)
+    assert fit(spark.createDataFrame(twice, SCHEMA)).first()["status"] == "error"
+    rows = series("a", 30, lambda i: float("inf") if i == 7 else 2.0)
+    row = fit(spark.createDataFrame(rows, SCHEMA)).first()
+    assert row["status"] == "ok" and abs(row["sigma"]) < 1.0
 
 
 def test_training_needs_ds_and_y(spark):

@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from salescast.operators.daily import filter_product
 from salescast.operators.profile import content_hash, product_list, profile
@@ -12,6 +13,7 @@ from salescast.sources import (
     models_by_version,
     read_sales,
     read_training,
+    shared_folder,
     stage,
     write_models,
     write_table,
@@ -74,7 +76,11 @@ def test_missing_path_and_columns(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_training(spark, str(tmp_path / "absent"))
     path = write(tmp_path / "a.csv", "date,product_id\n2024-01-01,P\n")
-    with pytest.raises(ValueError, match="Missing required columns.*revenue"):
+    assert read_sales(spark, path).columns == ["date", "product_id"]
+    with pytest.raises(ValueError, match="lacks sales_quantity, revenue"):
+        read_sales(spark, path, strict=True)
+    path = write(tmp_path / "b.csv", "product_id\nP\n")
+    with pytest.raises(ValueError, match="lacks date"):
         read_sales(spark, path)
     with pytest.raises(ValueError):
         validate_schema(spark.range(1), ["id", "ds"])
@@ -129,7 +135,7 @@ def test_csv_sink_reads_back(spark, tmp_path):
 
 
 def test_staged_table_lives_in_the_shared_folder(spark, tmp_path):
-    staged = stage(spark.range(5), "numbers")
+    staged = stage(spark.range(5), f"{shared_folder(spark)}/numbers")
     assert staged.count() == 5
     assert all(spark.conf.get("spark.checkpoint.dir") in f for f in staged.inputFiles())
 
@@ -142,14 +148,21 @@ def test_profile(spark):
     )
     row = profile(df).first().asDict()
     assert row == {
-        "num_records": 3, "num_products": 2, "products": ["a", "b"],
+        "num_records": 3, "num_products": 2,
         "start_date": "2024-01-01", "end_date": "2024-01-03", "num_days": 3,
         "total_sales": 9, "total_revenue": 3.0, "avg_daily_sales": 3.0, "avg_revenue": 1.5,
     }
-    assert profile(df, max_listed=1).first()["products"] is None
     assert {r[0] for r in product_list(df).collect()} == {"a", "b"}
     empty = profile(df.limit(0)).first()
-    assert (empty["num_records"], empty["products"], empty["avg_revenue"]) == (0, [], None)
+    assert (empty["num_records"], empty["num_products"], empty["avg_revenue"]) == (0, 0, None)
+
+
+def test_every_product_is_listed_however_many(spark):
+    df = spark.range(10_001).select(
+        F.lit(dt.date(2024, 1, 1)).alias("date"), F.col("id").cast("string").alias("product_id"),
+        F.lit(1).alias("sales_quantity"), F.lit(1.0).alias("revenue"),
+    )
+    assert profile(df).first()["num_products"] == product_list(df).count() == 10_001
 
 
 def test_fingerprint_ignores_order_but_not_content(spark):

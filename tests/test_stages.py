@@ -41,7 +41,9 @@ def test_whole_run(spark, raw, tmp_path):
     assert summary["model_training", "training_records"] == "120"
     assert summary["model_training", "model_version"].startswith("model_v20250101_")
     assert summary["forecasting", "total_predictions"] == "150"
-    assert "Total predictions: 150" in run.report and "Run ID: r1" in run.report
+    lines = [line.split() for line in run.report.splitlines()]
+    assert ["total_predictions", "150"] in lines and ["run", "r1"] in lines
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["cleaned", "features", "forecast", "models"]
     forecast = spark.read.parquet(run.forecast_path)
     assert forecast.columns[:4] == ["series_id", "model_version", "ds", "yhat"]
     assert forecast.where("ds > date'2024-04-29'").count() == 30
@@ -60,7 +62,7 @@ def test_every_product_in_one_run(spark, raw, tmp_path):
 def test_extraction_metadata(spark, raw):
     sales, metadata = extract_data(spark, raw)
     row = metadata.first()
-    assert sales.count() == 240 and row["products"] == ["001", "002"]
+    assert sales.count() == 240 and row["num_products"] == 2
     assert (row["file_path"], row["num_days"]) == (raw, 120)
     assert len(row["data_hash"]) == 8
 
@@ -96,9 +98,7 @@ def test_csv_outputs(spark, raw, tmp_path):
     features, models = str(tmp_path / "f.csv"), str(tmp_path / "m")
     row = engineer_features(spark, raw, features, fmt="csv", output_fmt="csv").first()
     assert row["engineered_records"] == 120
-    plain = str(tmp_path / "f")
-    engineer_features(spark, raw, plain, fmt="csv")
-    train_and_save_model(spark, plain, models, run_date=RUN_DATE)
+    train_and_save_model(spark, features, models, run_date=RUN_DATE)
     row = generate_predictions(spark, models, str(tmp_path / "p.csv"), output_fmt="csv").first()
     assert row["total_predictions"] == 150
 
@@ -119,7 +119,8 @@ def test_training_twice_a_day_replaces_and_versions_can_be_chosen(spark, raw, tm
     row = chosen.first()
     assert (row["model_version"], row["horizon_days"]) == (first["version"], 5)
     assert (row["total_predictions"], row["end_date"]) == (125, "2024-05-04")
-    assert row["forecast_statistics"]["forecast_days"] == 30
+    assert row["forecast_statistics"]["forecast_days"] == 5
+    assert (row["series"], row["unfitted_series"]) == (1, 0)
     configured = generate_predictions(spark, models, out, {"model": {"horizon_days": 7}}).first()
     assert configured["total_predictions"] == 127
     with pytest.raises(FileNotFoundError):
@@ -130,4 +131,33 @@ def test_summary_of_missing_stages_is_null(spark):
     summary = run_summary(spark, {}, "r0")
     assert summary.where("value is not null").count() == 0
     text = text_report(summary, "2024-01-01", completed_at=dt.datetime(2024, 1, 1))
-    assert "Records extracted: None" in text and "Mean forecast" not in text
+    assert "nothing reported" in text and "mean_forecast" not in text
+
+
+def test_files_are_in_the_order_of_series_and_date(spark, raw, tmp_path):
+    run = run_all(spark, raw, str(tmp_path), run_date=RUN_DATE, series_cols=["product_id"])
+    for path, day in ((run.features_path, "date"), (run.forecast_path, "ds")):
+        ends = []
+        for file in sorted(p for p in (tmp_path / path.rsplit("/", 1)[1]).iterdir() if p.suffix == ".parquet"):
+            keys = [tuple(r) for r in spark.read.parquet(str(file)).select("series_id", day).collect()]
+            assert keys == sorted(keys)
+            ends += [keys[0], keys[-1]] if keys else []
+        assert ends == sorted(ends)
+
+
+def test_only_the_date_column_is_needed_after_extraction(spark, tmp_path):
+    rows = [(START + dt.timedelta(days=i), float(i % 9)) for i in range(120)]
+    spark.createDataFrame(rows, "date date, sales_quantity double").write.parquet(str(tmp_path / "in"))
+    row = validate_and_clean_data(spark, str(tmp_path / "in"), str(tmp_path / "out")).first()
+    assert row["cleaning"]["final_rows"] == 120
+    with pytest.raises(ValueError, match="lacks product_id, revenue"):
+        extract_data(spark, str(tmp_path / "in"))
+
+
+def test_extraction_reads_the_table_twice(spark, tmp_path):
+    """Once for the profile, once for the fingerprint; no list of products."""
+    rows = [(START, "p", i, 1.0) for i in range(50)]
+    spark.createDataFrame(rows, "date date, product_id string, sales_quantity bigint, revenue double").write.parquet(str(tmp_path / "in"))
+    sales, row = extract_data(spark, str(tmp_path / "in"))
+    assert "products" not in row.columns and row.first()["num_products"] == 1
+    assert isinstance(row.first()["data_hash"], str) and sales.count() == 50
