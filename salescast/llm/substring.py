@@ -189,16 +189,22 @@ def _window_starts(bounds: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarr
     return bounds[docs] + inside, docs
 
 
-_STRETCH = "doc long, body long, low int, high int, anchor long, content long"
-_SEEN = "doc long, body long, place int, w1 long, w2 long"
-_TYPES = {"long": pa.int64(), "int": pa.int32()}
+_STRETCH = "doc long, body long, lows array<int>, span int, anchor long, content long"
+_SEEN = "doc long, body long, places array<int>, w1 long, w2 long"
+_TYPES = {"long": pa.int64(), "int": pa.int32(), "array<int>": pa.list_(pa.int32())}
 
 
 def _record(schema: str, columns: list) -> pa.RecordBatch:
     fields = [part.split() for part in schema.split(", ")]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, _TYPES[kind]) for c, (_, kind) in zip(columns, fields)], [name for name, _ in fields]
-    )
+    arrays = [c if isinstance(c, pa.Array) else pa.array(c, _TYPES[kind]) for c, (_, kind) in zip(columns, fields)]
+    return pa.RecordBatch.from_arrays(arrays, [name for name, _ in fields])
+
+
+def _lists(values: np.ndarray, group: np.ndarray) -> pa.ListArray:
+    """Values by group number, in their order, as one list for each group."""
+    order = np.argsort(group, kind="stable")
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(group))]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(values[order].astype(np.int32)))
 
 
 def _stretches(width: int, rounds: int):
@@ -217,10 +223,13 @@ def _stretches(width: int, rounds: int):
             view = memoryview(names.tobytes())
             spans = zip((8 * starts[first]).tolist(), (8 * (starts[last] + width)).tolist())
             content = np.fromiter((xxhash.xxh3_64_intdigest(view[a:b]) for a, b in spans), _U, len(first))
-            doc = docs[first]
-            ids, bodies = (batch.column(k).to_numpy()[doc] for k in (0, 1))
-            low, high = starts[first] - bounds[doc], starts[last] - bounds[doc]
-            yield _record(_STRETCH, [ids, bodies, low, high, anchor[first].view(np.int64), content.view(np.int64)])
+            # equal stretches of one document, as a run of one word has them, are one row
+            keys = _join(content, docs[first].astype(_U), 7)
+            _, one, group = np.unique(keys, return_index=True, return_inverse=True)
+            lows = _lists(starts[first] - bounds[docs[first]], group)
+            first, last, content = first[one], last[one], content[one]
+            ids, bodies = (batch.column(k).to_numpy()[docs[first]] for k in (0, 1))
+            yield _record(_STRETCH, [ids, bodies, lows, last - first, anchor[first].view(np.int64), content.view(np.int64)])
 
     return run
 
@@ -233,11 +242,12 @@ def _windows(width: int):
             for doc, body, raw, spans in zip(*(c.to_pylist() for c in batch.columns)):
                 names, _ = _word_names([raw])
                 view = memoryview(names.tobytes())
-                places = sorted({p for s in spans for p in range(s["low"], s["high"] + 1)})
-                digests = b"".join(xxhash.xxh3_128_digest(view[8 * p : 8 * (p + width)]) for p in places)
-                halves = np.frombuffer(digests, np.int64).reshape(-1, 2)
+                places: dict[bytes, list[int]] = {}
+                for p in sorted({p for s in spans for low in s["lows"] for p in range(low, low + s["span"] + 1)}):
+                    places.setdefault(xxhash.xxh3_128_digest(view[8 * p : 8 * (p + width)]), []).append(p)
+                halves = np.frombuffer(b"".join(places), np.int64).reshape(-1, 2)
                 n = len(places)
-                yield _record(_SEEN, [[doc] * n, [body] * n, places, halves[:, 0], halves[:, 1]])
+                yield _record(_SEEN, [[doc] * n, [body] * n, list(places.values()), halves[:, 0], halves[:, 1]])
 
     return run
 
@@ -252,8 +262,9 @@ def _rest(width: int, id_col: str):
                 tokens = byte_words(raw)
                 steps = np.zeros(len(tokens) + 1, np.int64)
                 for span in spans or ():
-                    steps[span["low"]] += 1
-                    steps[span["high"] + width] -= 1
+                    for low in span["lows"]:
+                        steps[low] += 1
+                        steps[low + span["span"] + width] -= 1
                 gone = np.cumsum(steps)[:-1] > 0
                 kept = b" ".join(w for w, g in zip(tokens, gone.tolist()) if not g) if spans else b" ".join(tokens)
                 rows.append((doc, len(tokens), int(gone.sum()), hashlib.sha256(kept).hexdigest(), kept.decode()))
@@ -269,7 +280,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _covered(rows: DataFrame, width: int, rounds: int) -> DataFrame:
-    """(doc, body, low, high): the windows from ``low`` to ``high`` also start in a smaller document."""
+    """(doc, body, lows, span): from each of ``lows``, that window and the next ``span`` also start in a smaller document."""
     rows = rows.where("doc IS NOT NULL")
     found = stored(rows.mapInArrow(_stretches(width, rounds), _STRETCH))
     shared = found.groupBy("anchor").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1")).where("d0 < d1")
@@ -277,16 +288,16 @@ def _covered(rows: DataFrame, width: int, rounds: int) -> DataFrame:
     key = ["anchor", "content"]
     classes = found.groupBy(*key).agg(F.min("doc").alias("owner"))
     owned = stored(found.join(classes, key))
-    whole = owned.where("owner < doc").select("doc", "body", "low", "high")
+    whole = owned.where("owner < doc").select("doc", "body", "lows", "span")
     alone = owned.where("owner = doc")
     several = alone.groupBy("anchor").agg(F.min("content").alias("c0"), F.max("content").alias("c1")).where("c0 < c1")
     asked = alone.join(several.select("anchor"), "anchor", "left_semi")
-    asked = asked.groupBy("doc", "body").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    asked = asked.groupBy("doc", "body").agg(F.collect_list(F.struct("lows", "span")).alias("spans"))
     texts = rows.join(asked, ["doc", "body"]).select("doc", "body", F.col("text").cast("binary").alias("raw"), "spans")
     seen = stored(texts.mapInArrow(_windows(width), _SEEN))
     first = seen.groupBy("w1", "w2").agg(F.min("doc").alias("d0"), F.max("doc").alias("d1")).where("d0 < d1")
     single = seen.join(first, ["w1", "w2"]).where("d0 < doc")
-    return whole.union(single.select("doc", "body", F.col("place").alias("low"), F.col("place").alias("high")))
+    return whole.union(single.select("doc", "body", "places", F.lit(0)))
 
 
 def remove_repeats(
@@ -302,7 +313,7 @@ def remove_repeats(
     an empty result. Only the two named columns are read.
     """
     rows = _rows(docs, id_col, text_col)
-    spans = _covered(rows, width, rounds).groupBy("doc", "body").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    spans = _covered(rows, width, rounds).groupBy("doc", "body").agg(F.collect_list(F.struct("lows", "span")).alias("spans"))
     joined = rows.join(spans, ["doc", "body"], "left").select("doc", "text", "spans")
     columns = f"`{id_col}` long, n_words long, n_removed long, kept_sha256 string, kept_text string"
     return joined.mapInArrow(_rest(width, id_col), columns)
