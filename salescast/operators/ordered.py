@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from salescast.functions import round_half_even, row_digest
 
 BLOCK_ROWS = 1_000_000
-_PREFIX_DIGITS = 3  # 4096 digest prefixes per date
+_PREFIX_DIGITS = 4  # 65,536 digest prefixes per date
 
 
 def shuffle_partitions(df: DataFrame) -> int:
@@ -86,10 +86,11 @@ def row_runs(
     """Distinct rows with ``_copies`` and ``_start``, their first position.
 
     Positions count from 0 within a group, by date (missing dates last) and then
-    digest. Copies are counted before the shuffle and stay one row. One running
-    sum over slots and one inside each slot give the position.
+    digest. Copies are counted before the shuffle and stay one row. Running sums
+    over the days of a group, the slots of a day and inside each slot give the
+    position.
 
-    With a ``target`` the same two steps give what fills need from beyond a
+    With a ``target`` the same steps give what fills need from beyond a
     block: ``_known``, the last target up to this row that is not NULL,
     ``_is_first``, whether this row has the group's first such target, and
     ``_group_rows``, the size of the group.
@@ -100,18 +101,10 @@ def row_runs(
     if target:
         digest = F.when(F.col(target).isNotNull(), F.col("_digest"))
         summary.append(F.max_by(target, digest).alias("_last"))
-    # at most 4096 slots per date, so a group's slots are bounded by the calendar
-    slots = runs.groupBy("_slot").agg(*summary).withColumn("_slot_group", F.col("_slot.group"))
-    across = Window.partitionBy("_slot_group").orderBy("_slot")
-    before = across.rowsBetween(Window.unboundedPreceding, -1)
-    whole = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    offset = F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset")
-    if target:
-        known_before = F.last("_last", True).over(before).alias("_known_before")
-        group_rows = F.sum("_rows").over(whole).alias("_group_rows")
-        offsets = slots.select("_slot", offset, known_before, group_rows)
-    else:
-        offsets = slots.select("_slot", offset)
+    slots = runs.groupBy("_slot").agg(*summary).withColumn(
+        "_day", F.struct("_slot.group", "_slot.no_date", "_slot.date")
+    )
+    offsets = _slot_offsets(slots, target)
 
     within = Window.partitionBy("_slot").orderBy("_digest")
     earlier = within.rowsBetween(Window.unboundedPreceding, -1)
@@ -129,6 +122,30 @@ def row_runs(
     return placed.drop("_slot", "_digest", "_offset")
 
 
+def _slot_offsets(slots: DataFrame, target: str | None) -> DataFrame:
+    """Rows before each slot, in two levels: over the days of a group, then over the slots of a day.
+
+    The windows hold a calendar, and the prefixes of one day, whatever the rows
+    are. With a ``target`` also the last known target before, and the group's size.
+    """
+    summary = [F.sum("_rows").alias("_day_rows")]
+    if target:
+        summary.append(F.max_by("_last", F.when(F.col("_last").isNotNull(), F.col("_slot"))).alias("_day_last"))
+    days = slots.groupBy("_day").agg(*summary).withColumn("_day_group", F.col("_day.group"))
+    across = Window.partitionBy("_day_group").orderBy("_day")
+    inside = Window.partitionBy("_day").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    whole = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    of_days = [F.coalesce(F.sum("_day_rows").over(before), F.lit(0)).alias("_day_offset")]
+    columns = ["_slot", (F.col("_day_offset") + F.coalesce(F.sum("_rows").over(inside), F.lit(0))).alias("_offset")]
+    if target:
+        of_days.append(F.last("_day_last", True).over(before).alias("_day_known"))
+        of_days.append(F.sum("_day_rows").over(whole).alias("_group_rows"))
+        known = F.coalesce(F.last("_last", True).over(inside), F.col("_day_known"))
+        columns += [known.alias("_known_before"), "_group_rows"]
+    return slots.join(days.select("_day", *of_days), "_day").select(*columns)
+
+
 def _blocks(
     runs: DataFrame, group: str | None, reach: int, block_rows: int, target: str | None = None
 ) -> DataFrame:
@@ -153,12 +170,12 @@ def _blocks(
         nowhere = F.lit(-1).cast("bigint")
         return F.struct(block.alias("block"), nowhere.alias("first"), nowhere.alias("last"))
 
-    first_block = F.floor(F.col("_start") / size)
-    last_block = F.floor((end + reach) / size)
+    first_block = F.call_function("div", F.col("_start"), size)
+    last_block = F.call_function("div", end + reach, size)
     pieces = F.transform(F.sequence(first_block, last_block), piece)
     if target:
         every_block = F.sequence(
-            F.lit(0).cast("bigint"), F.floor((F.col("_group_rows") - 1) / size)
+            F.lit(0).cast("bigint"), F.call_function("div", F.col("_group_rows") - 1, size)
         )
         with_markers = F.concat(pieces, F.transform(every_block, marker))
         pieces = F.when(F.col("_is_first"), with_markers).otherwise(pieces)
