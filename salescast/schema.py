@@ -5,19 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import types as T
 
 SALES_COLUMNS = ["date", "product_id", "sales_quantity", "revenue"]
 
-SALES_SCHEMA = T.StructType(
-    [
-        T.StructField("date", T.DateType()),
-        T.StructField("product_id", T.StringType()),
-        T.StructField("sales_quantity", T.LongType()),
-        T.StructField("revenue", T.DoubleType()),
-    ]
-)
-
 TRAINING_COLUMNS = ["ds", "y"]
 
 #: series_id of the series that sums every product
@@ -31,7 +21,5 @@ def validate_schema(df: DataFrame, expected: Sequence[str] = SALES_COLUMNS) -> D
     """
     missing = [c for c in expected if c not in df.columns]
     if missing:
-        raise ValueError(
-            f"Missing required columns: {missing}. Found columns: {df.columns}"
-        )
+        raise ValueError(f"table lacks {', '.join(missing)}; it has {', '.join(df.columns)}")
     return df
