@@ -23,10 +23,11 @@ def components(links: DataFrame) -> DataFrame:
         both = links.union(links.select("b", "a"))
         lowest = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
         lowest = lowest.select("node", F.least("node", "m").alias("m"))
-        large = both.join(lowest, both["a"] == lowest["node"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
+        large = both.join(lowest, both["a"] == lowest["node"]).where("b > a AND b <> m")
+        large = large.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         lowest = large.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"))
-        small = large.join(lowest, large["a"] == lowest["node"]).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = large.join(lowest, large["a"] == lowest["node"]).where("b <> m")
+        small = small.select(F.col("b").alias("a"), F.col("m").alias("b"))
         links = cut(small.union(lowest.select(F.col("node").alias("a"), F.col("m").alias("b"))).distinct())
         now = _checksum(links)
         if now == seen:

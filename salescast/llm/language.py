@@ -118,7 +118,13 @@ def _problems(languages: list[str]) -> list[tuple[str, str, str]]:
     return found + [("language", *pair) for own in families.values() for pair in combinations(own, 2)]
 
 
-def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", rows: int = TRAIN_ROWS_PER_LANGUAGE) -> Model:
+def fit(
+    docs: DataFrame,
+    text_col: str = "text",
+    lang_col: str = "lang",
+    id_col: str = "doc_id",
+    rows: int = TRAIN_ROWS_PER_LANGUAGE,
+) -> Model:
     """A model from all languages of ``docs``, about ``rows`` documents of each.
 
     Rows with a NULL language are left out, texts without a letter too. Without

@@ -127,7 +127,9 @@ def mix(
     )
 
 
-def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+def take_mix(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
+) -> DataFrame:
     """The mixed corpus: rows of ``docs``, each as often as the mix takes it.
 
     Rows that share an id are each taken as often as the first of them.

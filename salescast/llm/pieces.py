@@ -112,7 +112,9 @@ class Vocabulary:
 
     def safe(self, before: str, after: str) -> bool:
         """Whether no piece can hold both neighbours of a place."""
-        return (after == " " and before != " ") or (after != " " and after not in self.known) or (before != " " and before not in self.known)
+        if after == " ":
+            return before != " "
+        return after not in self.known or (before != " " and before not in self.known)
 
 
 def segment(vocabulary: Vocabulary, text: str, stop: int | None = None) -> tuple[list[int], list[int], list[int]]:
@@ -272,7 +274,8 @@ def trace(vocabulary: Vocabulary, before: str, text: str, size: int, entry: int,
     if found is None:
         return _trace(vocabulary, text[entry : size + leave], size - entry), "", []
     first, last = found
-    return _trace(vocabulary, text[entry:first]), text[first:last], _trace(vocabulary, text[last : size + leave], size - last) if last < size else []
+    tail = _trace(vocabulary, text[last : size + leave], size - last) if last < size else []
+    return _trace(vocabulary, text[entry:first]), text[first:last], tail
 
 
 def scan(matrices: list[np.ndarray]) -> list[int]:
@@ -317,8 +320,10 @@ def _matrices(model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(model)
         for batch in slices(batches, 3, 4 << 20):
-            cells = [transfer(vocabulary, *x).astype("<i8").tobytes() for x in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cells, pa.binary())], ["row", "chunk", "matrix"])
+            chunks = zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)))
+            cells = [transfer(vocabulary, *x).astype("<i8").tobytes() for x in chunks]
+            columns = [batch.column(0), batch.column(1), pa.array(cells, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "chunk", "matrix"])
 
     return run
 
@@ -331,7 +336,8 @@ def _states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         states = scan([np.frombuffer(c, "<i8").reshape(side, side) for c in cells])
         types = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
         columns = [[row] * len(cells), range(len(cells)), states[:-1], states[1:]]
-        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, types)], ["row", "chunk", "entry", "leave"])
+        arrays = [pa.array(list(c), t) for c, t in zip(columns, types)]
+        return pa.RecordBatch.from_arrays(arrays, ["row", "chunk", "entry", "leave"])
 
     row, cells = None, []
     for batch in batches:
@@ -379,7 +385,14 @@ def _short(model: str, digest: bool):
     return run
 
 
-def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL, chunk: int = CHUNK, digest: bool = False) -> DataFrame:
+def encode(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    model: str = MODEL,
+    chunk: int = CHUNK,
+    digest: bool = False,
+) -> DataFrame:
     """One row per row of ``docs``: id and ids (array of int).
 
     With ``digest`` also text_md5: the MD5 of the text that the ids decode to.
@@ -392,7 +405,8 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mode
     columns are read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
-    short = rows.where(F.coalesce(F.length("text"), F.lit(0)) < chunk).mapInArrow(_short(model, digest), "doc long, ids array<int>, text_md5 string")
+    short = rows.where(F.coalesce(F.length("text"), F.lit(0)) < chunk)
+    short = short.mapInArrow(_short(model, digest), "doc long, ids array<int>, text_md5 string")
     reach = Vocabulary(model).longest
     if chunk < reach:
         raise ValueError(f"a chunk needs at least {reach} characters")

@@ -57,7 +57,8 @@ def repeated_words(tokens: str, width: int = WINDOW) -> Column:
     starts = (
         "transform(filter(s, (e, j) -> (j > 0 AND s[j - 1].h = e.h) OR (j < size(s) - 1 AND s[j + 1].h = e.h)), e -> e.i)"
     )
-    covered = f"aggregate(p, struct(0L AS n, -{width} AS q), (a, x) -> struct(a.n + least({width}, x - a.q) AS n, x AS q), a -> a.n)"
+    step = f"struct(a.n + least({width}, x - a.q) AS n, x AS q)"
+    covered = f"aggregate(p, struct(0L AS n, -{width} AS q), (a, x) -> {step}, a -> a.n)"
     of_starts = f"transform(array(sort_array({starts})), p -> {covered})[0]"
     of_sorted = f"transform(array(sort_array(transform(h, (x, i) -> struct(x AS h, i AS i)))), s -> {of_starts})[0]"
     of_hashes = f"CASE WHEN size(array_distinct(h)) = size(h) THEN 0L ELSE {of_sorted} END"
@@ -85,12 +86,16 @@ def measures(docs: DataFrame, id_col: str, text_col: str, lang_col: str | None)
     forms = [form for word in COMMON_WORDS for form in (word, word.title(), word.upper())]
     common = F.filter("w", lambda w: w.isin(forms))
     df = df.withColumn("c", F.concat(F.lit(" "), F.lower(F.array_join(common, "  ")), F.lit(" ")))
-    counts = [((F.length("c") - F.length(F.replace("c", F.lit(f" {w} "), F.lit("")))) / (len(w) + 2)).cast("long") for w in COMMON_WORDS]
+
+    def count(word: str) -> Column:
+        without = F.replace("c", F.lit(f" {word} "), F.lit(""))
+        return ((F.length("c") - F.length(without)) / (len(word) + 2)).cast("long")
+
     return df.select(
         "_id", "_lang", "n_chars", F.size("w").cast("long").alias("n_words"), "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeated_words("w").alias("n_repeat_words"),
-        "char_counts", F.array(*counts).alias("word_counts"),
+        "char_counts", F.array(*map(count, COMMON_WORDS)).alias("word_counts"),
     )
 
 
@@ -166,7 +171,9 @@ def quality_rules(
     )
 
 
-def filter_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
+def filter_quality(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang"
+) -> DataFrame:
     """The rows that the rules keep, with all their columns.
 
     Rows are matched by id; of rows that share an id all stay if one is kept and

@@ -253,7 +253,8 @@ def _windows(width: int):
 
 
 def _rest(width: int, id_col: str):
-    schema = pa.schema([(id_col, pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept_text", pa.string())])
+    numbers = [(name, pa.int64()) for name in (id_col, "n_words", "n_removed")]
+    schema = pa.schema([*numbers, ("kept_sha256", pa.string()), ("kept_text", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):

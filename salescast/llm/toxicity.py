@@ -98,7 +98,8 @@ def _support(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in (toxic, clean, contexts):
             c.clear()
         types = [pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.int64()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], ["term", "beginning", "toxic", "clean", "contexts"])
+        names = ["term", "beginning", "toxic", "clean", "contexts"]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
     for batch in slices(batches, 0):
         for raw, label in zip(raw_texts(batch.column(0)), batch.column(1).to_pylist()):
@@ -132,7 +133,8 @@ def learn_lexicon(train: DataFrame) -> tuple[list[tuple[str, bool]], frozenset[i
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.bit_count(F.bit_or("contexts")).alias("contexts")
     )
     odds = F.log((F.col("toxic") + 0.5) / (n1 + 1)) - F.log((F.col("clean") + 0.5) / (n0 + 1))
-    good = support.where((F.col("toxic") >= max(_MIN_TOXIC, _TERM_SHARE * n1)) & (F.col("contexts") >= _MIN_CONTEXTS) & (odds >= _MIN_ODDS))
+    frequent = (F.col("toxic") >= max(_MIN_TOXIC, _TERM_SHARE * n1)) & (F.col("contexts") >= _MIN_CONTEXTS)
+    good = support.where(frequent & (odds >= _MIN_ODDS))
     best = good.orderBy(F.desc("toxic"), F.length("term"), "term", "beginning").limit(20 * LEXICON_SIZE).collect()
     words = {r.term: r.toxic for r in best if not r.beginning}
     chosen: dict[str, int] = {}
@@ -339,19 +341,26 @@ def fit(train: DataFrame, text_col: str = "text", label_col: str = "toxic") -> M
     lexicon, exact = learn_lexicon(rows)
     if not lexicon:
         return Model()
-    seen = rows.mapInArrow(_train_features(Model(lexicon, exact)), "label long, x1 double, x2 double, fuzzy array<long>").toPandas()
+    columns = "label long, x1 double, x2 double, fuzzy array<long>"
+    seen = rows.mapInArrow(_train_features(Model(lexicon, exact)), columns).toPandas()
     clean = seen[seen.label == 0]
     misspelt = Counter(t for terms in clean.fuzzy for t in terms)
     common = frozenset(t for t, n in misspelt.items() if n > max(2, 0.001 * len(clean)))
     if common:
         exact |= common
-        seen = rows.mapInArrow(_train_features(Model(lexicon, exact)), "label long, x1 double, x2 double, fuzzy array<long>").toPandas()
+        seen = rows.mapInArrow(_train_features(Model(lexicon, exact)), columns).toPandas()
     x = seen[["x1", "x2"]].to_numpy()
     weights = _logistic(x, seen.label.to_numpy(float), np.ones(len(x)))
     return Model(lexicon, exact, tuple(weights.tolist()))
 
 
-def sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", rows: int = TRAIN_ROWS, keep: Column | None = None) -> DataFrame:
+def sample(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    rows: int = TRAIN_ROWS,
+    keep: Column | None = None,
+) -> DataFrame:
     """About ``rows`` labelled documents, chosen by a hash of their id.
 
     The labels that are chosen are so few that they go to every task; texts are
@@ -381,7 +390,13 @@ def _score(model: Model, id_col: str, threshold: float):
     return run
 
 
-def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def score(
+    docs: DataFrame,
+    model: Model,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float = THRESHOLD,
+) -> DataFrame:
     """One row per row of ``docs``: id, score (0 to 1), predicted, n_hits.
 
     NULL and empty texts have no hits and get the score of such. Rows that repeat
