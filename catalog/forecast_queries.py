@@ -314,7 +314,10 @@ SELECT 'model_v20240101_' || any_value(data_hash) AS version, series_id,
        any_value(data_hash) AS data_hash, 'piecewise_seasonal' AS model_type,
        30 AS horizon_days, 'ok' AS status, count(*) AS training_records,
        min(ds) AS ds_start, max(ds) AS ds_end, CAST(count(*) AS INTEGER) AS history_days,
-       CAST(max(ds) - min(ds) AS DOUBLE) AS span_days, max(y) AS y_scale, 25 AS changepoints
+       CAST(max(ds) - min(ds) AS DOUBLE) AS span_days, max(y) AS y_scale, 25 AS changepoints,
+       CAST(0.05 AS DOUBLE) AS changepoint_prior_scale, CAST(10 AS DOUBLE) AS seasonality_prior_scale,
+       'multiplicative' AS seasonality_mode, true AS weekly_seasonality, true AS yearly_seasonality,
+       CAST(0.95 AS DOUBLE) AS interval_width
 FROM daily, hashed GROUP BY series_id
 """
 )
@@ -336,6 +339,7 @@ def model_table(spark, sf_dir):
         "span_days",
         "y_scale",
         "changepoints",
+        "parameters.*",
     )
 
 
