@@ -8,8 +8,9 @@ The lexicon becomes a trie, and its product with Levenshtein automata becomes on
 deterministic automaton: its states are the sets of (trie node, edits) that a
 beginning of a word can be in. All words of a batch run through it side by side;
 most die after a few letters. Words of five letters allow one edit, of nine two,
-shorter ones and beginnings none. A term whose misspellings stand in clean
-training documents too is only taken exactly.
+shorter ones and beginnings none, but words under a beginning are looked for
+beside it. Every term has its edits, unless its misspellings stand in so many
+clean training documents that with them it would be no term.
 
 Each hit weighs by its edits and by the words around it: inside quotation marks
 or after a verb of reporting it counts less, unless somebody is addressed.
@@ -21,8 +22,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -33,15 +35,13 @@ from salescast.llm.text import raw_texts, slices, stored
 
 #: About so many labelled rows are used for learning, chosen by a hash of their id.
 TRAIN_ROWS = 24_000
-#: Most terms in a lexicon.
-LEXICON_SIZE = 600
 THRESHOLD = 0.3
 
 _MIN_TOXIC, _MIN_CONTEXTS, _MIN_ODDS = 4, 3, math.log(50)
-#: Parts of the toxic documents that a term must be in: to be a term, to be looked for misspelt.
-_TERM_SHARE, _FUZZY_SHARE = 0.004, 0.02
 _PREFIXES = range(3, 9)
 _FLUSH = 200_000
+#: Trie nodes in the states of an automaton beyond which its table is emptied.
+_TABLE_ITEMS = 8_000_000
 _FUZZY_WEIGHT = {0: 1.0, 1: 0.95, 2: 0.85}
 _INNER = "*@$"
 _WORD = re.compile(r"[^\W_]+(?:[*@$][^\W_]+)*")
@@ -122,33 +122,41 @@ def _support(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def learn_lexicon(train: DataFrame) -> tuple[list[tuple[str, bool]], frozenset[int]]:
-    """(term, beginning), and which of them count exactly only, of at most ``LEXICON_SIZE`` terms from (text, label) rows."""
+def _odds(toxic: float, clean: float, n1: int, n0: int) -> float:
+    return math.log((toxic + 0.5) / (n1 + 1)) - math.log((clean + 0.5) / (n0 + 1))
+
+
+def learn_lexicon(train: DataFrame) -> tuple[list[tuple[str, bool]], list[tuple[int, int]]]:
+    """(term, beginning), and the toxic and clean documents of each, from (text, label) rows.
+
+    What limits the lexicon is the support and the odds of a term, not a number
+    of terms. A beginning stands beside the words under it, which keep their edits.
+    """
     counted = train.groupBy().agg(F.sum("label"), F.count("*")).first()
     n1, n0 = counted[0] or 0, counted[1] - (counted[0] or 0)
     if not n1:
-        return [], frozenset()
+        return [], []
     support = train.mapInArrow(_support, "term string, beginning boolean, toxic long, clean long, contexts long")
     support = support.groupBy("term", "beginning").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.bit_count(F.bit_or("contexts")).alias("contexts")
     )
     odds = F.log((F.col("toxic") + 0.5) / (n1 + 1)) - F.log((F.col("clean") + 0.5) / (n0 + 1))
-    frequent = (F.col("toxic") >= max(_MIN_TOXIC, _TERM_SHARE * n1)) & (F.col("contexts") >= _MIN_CONTEXTS)
-    good = support.where(frequent & (odds >= _MIN_ODDS))
-    best = good.orderBy(F.desc("toxic"), F.length("term"), "term", "beginning").limit(20 * LEXICON_SIZE).collect()
-    words = {r.term: r.toxic for r in best if not r.beginning}
-    chosen: dict[str, int] = {}
-    for r in best:
-        covered = [words[w] for w in words if w.startswith(r.term)] if r.beginning else []
+    frequent = (F.col("toxic") >= _MIN_TOXIC) & (F.col("contexts") >= _MIN_CONTEXTS)
+    good = support.where(frequent & (odds >= _MIN_ODDS)).select("term", "beginning", "toxic", "clean").collect()
+    good.sort(key=lambda r: (-r.toxic, len(r.term), r.term, r.beginning))
+    words = [r for r in good if not r.beginning]
+    covered: dict[str, int] = {}
+    for r in words:
+        for n in _PREFIXES:
+            if len(r.term) >= n:
+                covered[r.term[:n]] = max(covered.get(r.term[:n], 0), r.toxic)
+    chosen: dict[str, object] = {}
+    for r in good:
         # a beginning has to catch clearly more than the best single word under it
-        if r.beginning and r.toxic > 1.5 * max(covered, default=0) and not any(r.term.startswith(c) for c in chosen):
-            chosen[r.term] = r.toxic
-    terms = [(t, True, n) for t, n in chosen.items()]
-    terms += [(w, False, n) for w, n in words.items() if not any(w.startswith(c) for c in chosen)]
-    terms.sort(key=lambda t: (-t[2], t[0]))
-    terms = terms[:LEXICON_SIZE]
-    exact = frozenset(k for k, (_, _, n) in enumerate(terms) if n < _FUZZY_SHARE * n1)
-    return [(t, beginning) for t, beginning, _ in terms], exact
+        if r.beginning and r.toxic > 1.5 * covered.get(r.term, 0) and not any(r.term[:n] in chosen for n in _PREFIXES):
+            chosen[r.term] = r
+    terms = sorted([*chosen.values(), *words], key=lambda r: (-r.toxic, r.term, r.beginning))
+    return [(r.term, r.beginning) for r in terms], [(r.toxic, r.clean) for r in terms]
 
 
 def edits_allowed(term: str, beginning: bool) -> int:
@@ -156,79 +164,96 @@ def edits_allowed(term: str, beginning: bool) -> int:
 
 
 class Automaton:
-    """The deterministic product of a lexicon trie and Levenshtein automata."""
+    """The deterministic product of a lexicon trie and Levenshtein automata.
+
+    A state has the fewest edits for each trie node a beginning of a word can be
+    at. A state, and a step from it, is worked out when a word first needs it, so
+    a lexicon may be of any size; between batches a full table is emptied.
+    """
 
-    def __init__(self, lexicon: list[tuple[str, bool]], exact: frozenset[int] = frozenset()):
+    def __init__(self, lexicon: Sequence[tuple[str, bool]], exact: frozenset[int] = frozenset()):
         self.letters = {c: k + 1 for k, c in enumerate(sorted({c for term, _ in lexicon for c in term}))}
         self.n_classes = len(self.letters) + 2
-        children: list[dict[int, int]] = [{}]
-        ends: list[int] = [-1]
-        stems: list[bool] = [False]
-        budget: list[int] = [0]
+        self.limits = [0 if n in exact else edits_allowed(*t) for n, t in enumerate(lexicon)]
+        self.children: list[dict[int, int]] = [{}]
+        self.words: list[int] = [-1]
+        self.stems: list[int] = [-1]
+        self.budget: list[int] = [0]
         for number, (term, beginning) in enumerate(lexicon):
-            allowed = 0 if number in exact else edits_allowed(term, beginning)
-            node = 0
-            budget[0] = max(budget[0], allowed)
+            node, allowed = 0, self.limits[number]
+            self.budget[0] = max(self.budget[0], allowed)
             for c in term:
                 k = self.letters[c]
-                if k not in children[node]:
-                    children[node][k] = len(children)
-                    children.append({})
-                    ends.append(-1)
-                    stems.append(False)
-                    budget.append(0)
-                node = children[node][k]
-                budget[node] = max(budget[node], allowed)
-            ends[node], stems[node] = number, beginning
-        limits = [0 if n in exact else edits_allowed(*t) for n, t in enumerate(lexicon)]
-
-        def closed(items: set) -> frozenset:
-            """With the deletions of letters of the term."""
-            stack = list(items)
-            while stack:
-                node, edits = stack.pop()
-                for child in children[node].values():
-                    item = (child, edits + 1)
-                    if edits < budget[child] and item not in items:
-                        items.add(item)
-                        stack.append(item)
-            return frozenset(items)
-
-        def step(state: frozenset, k: int) -> frozenset:
-            found = set()
-            for node, edits in state:
-                if k in children[node]:
-                    found.add((children[node][k], edits))
-                if edits < budget[node]:
-                    found.add((node, edits + 1))
-                found.update((c, edits + 1) for j, c in children[node].items() if j != k and edits < budget[c])
-            return closed(found)
-
-        def verdict(state: frozenset) -> tuple[int, int]:
-            hits = [(e, ends[n]) for n, e in state if ends[n] >= 0 and not stems[n] and e <= limits[ends[n]]]
-            return min(hits) if hits else (0, -1)
-
-        root = closed({(0, 0)})
-        numbers, queue, table = {frozenset(): 0, root: 1}, [root], [[0] * self.n_classes]
-        self.term, self.edits, self.stem = [-1], [0], [-1]
-        for state in queue:
-            row = [0] * self.n_classes
-            for k in range(1, self.n_classes):
-                nxt = step(state, k)
-                if nxt not in numbers:
-                    numbers[nxt] = len(numbers)
-                    queue.append(nxt)
-                row[k] = numbers[nxt]
-            table.append(row)
-            edits, term = verdict(state)
-            self.term.append(term)
-            self.edits.append(edits)
-            self.stem.append(max((ends[n] for n, e in state if stems[n] and e == 0), default=-1))
-        self.table = np.array(table, np.int32)
-        self.term, self.edits, self.stem = (np.array(x, np.int32) for x in (self.term, self.edits, self.stem))
-
-    def hits(self, classes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(word, term, edits) of the words that begin at ``starts`` and are in the language."""
+                if k not in self.children[node]:
+                    self.children[node][k] = len(self.children)
+                    self.children.append({})
+                    self.words.append(-1)
+                    self.stems.append(-1)
+                    self.budget.append(0)
+                node = self.children[node][k]
+                self.budget[node] = max(self.budget[node], allowed)
+            (self.stems if beginning else self.words)[node] = number
+        self._empty()
+
+    def _empty(self) -> None:
+        self.numbers: dict[bytes, int] = {}
+        self.states: list[bytes] = []
+        self.size = 0
+        self.table = np.zeros((64, self.n_classes), np.int32)
+        self.term, self.edits, self.stem = (np.zeros(64, np.int32) for _ in range(3))
+        self.variants: list[tuple[int, ...]] = []
+        self._number({})
+        self.table[0] = 0
+        self._number(self._closed({0: 0}))
+
+    def _closed(self, state: dict[int, int]) -> dict[int, int]:
+        """With the deletions of letters of the term."""
+        stack = list(state.items())
+        while stack:
+            node, edits = stack.pop()
+            for child in self.children[node].values():
+                if edits < min(self.budget[child], state.get(child, 9) - 1):
+                    state[child] = edits + 1
+                    stack.append((child, edits + 1))
+        return state
+
+    def _step(self, number: int, k: int) -> dict[int, int]:
+        found: dict[int, int] = {}
+        items = np.frombuffer(self.states[number], np.int32)
+        for node, edits in zip((items >> 2).tolist(), (items & 3).tolist()):
+            child = self.children[node].get(k)
+            if child is not None and edits < found.get(child, 9):
+                found[child] = edits
+            if edits < self.budget[node]:
+                if edits + 1 < found.get(node, 9):
+                    found[node] = edits + 1
+                for c in self.children[node].values():
+                    if edits < self.budget[c] and edits + 1 < found.get(c, 9):
+                        found[c] = edits + 1
+        return self._closed(found)
+
+    def _number(self, state: dict[int, int]) -> int:
+        key = np.sort(np.array([node << 2 | edits for node, edits in state.items()], np.int32)).tobytes()
+        number = self.numbers.get(key)
+        if number is not None:
+            return number
+        number = self.numbers[key] = len(self.states)
+        self.states.append(key)
+        self.size += len(state)
+        if number == len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+            self.term, self.edits, self.stem = (np.concatenate([x, x]) for x in (self.term, self.edits, self.stem))
+        hits = sorted((e, self.words[n]) for n, e in state.items() if self.words[n] >= 0 and e <= self.limits[self.words[n]])
+        self.table[number, 1:] = -1
+        self.edits[number], self.term[number] = hits[0] if hits else (0, -1)
+        self.stem[number] = max((self.stems[n] for n, e in state.items() if e == 0), default=-1)
+        self.variants.append(tuple(t for _, t in hits) if hits and hits[0][0] else ())
+        return number
+
+    def hits(self, classes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(word, term, edits, state) of the words that begin at ``starts`` and are in the language."""
+        if self.size > _TABLE_ITEMS:
+            self._empty()
         word, at = np.arange(len(starts)), starts.copy()
         state = np.ones(len(starts), np.int32)
         found = []
@@ -236,13 +261,23 @@ class Automaton:
             k = classes[at]
             over = k == 0
             ended = over & (self.term[state] >= 0)
-            found.append((word[ended], self.term[state[ended]], self.edits[state[ended]]))
+            found.append((word[ended], self.term[state[ended]], self.edits[state[ended]], state[ended]))
+            unknown = self.table[state, k] < 0
+            for s, c in map(lambda x: divmod(x, self.n_classes), np.unique(state[unknown].astype(np.int64) * self.n_classes + k[unknown]).tolist()):
+                number = self._number(self._step(s, c))
+                self.table[s, c] = number
             state = self.table[state, k]
             stem = self.stem[state] >= 0
-            found.append((word[stem], self.stem[state[stem]], np.zeros(stem.sum(), np.int32)))
+            found.append((word[stem], self.stem[state[stem]], np.zeros(stem.sum(), np.int32), np.zeros(stem.sum(), np.int32)))
             alive = (state > 0) & ~stem & ~over
             word, at, state = word[alive], at[alive] + 1, state[alive]
-        return tuple(np.concatenate(x) for x in zip(*found)) if found else tuple(np.zeros(0, np.int64) for _ in range(3))
+        return tuple(np.concatenate(x) for x in zip(*found)) if found else tuple(np.zeros(0, np.int64) for _ in range(4))
+
+
+@lru_cache(1)
+def _automaton(lexicon: tuple[tuple[str, bool], ...], exact: frozenset[int]) -> Automaton:
+    """The automaton of a Python worker, kept from task to task."""
+    return Automaton(lexicon, exact)
 
 
 def context_weight(left: str, right: str) -> float:
@@ -274,6 +309,10 @@ class Scanner:
 
     def __call__(self, texts: list[bytes | None]) -> list[list[tuple[int, int, float]]]:
         """(term, edits, context weight) of the hits in each text."""
+        return self.scan(texts)[0]
+
+    def scan(self, texts: list[bytes | None]) -> tuple[list[list[tuple[int, int, float]]], list[set[int]]]:
+        """The hits in each text, and all terms that misspelt words of it can stand for."""
         lowered = [(raw or b"").decode().lower() for raw in texts]
         joined = "\n".join(lowered) + "\n"
         codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
@@ -282,16 +321,19 @@ class Scanner:
         classes[inside & (classes == 0)] = self.automaton.n_classes - 1
         starts = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
         ends = np.cumsum([len(t) + 1 for t in lowered])
-        word, term, edits = self.automaton.hits(classes, starts)
+        word, term, edits, state = self.automaton.hits(classes, starts)
         place = starts[word]
         found: list[list] = [[] for _ in texts]
-        for doc, at, t, e in zip(np.searchsorted(ends, place, "right").tolist(), place.tolist(), term.tolist(), edits.tolist()):
+        misspelt: list[set[int]] = [set() for _ in texts]
+        docs = np.searchsorted(ends, place, "right").tolist()
+        for doc, at, t, e, s in zip(docs, place.tolist(), term.tolist(), edits.tolist(), state.tolist()):
             end = int(ends[doc])
             left = joined[max(end - len(lowered[doc]) - 1, at - _SIDE) : at]
             right = joined[at : min(end, at + _SIDE)]
             after = next((k for k, c in enumerate(right) if not (c.isalnum() or c in _INNER)), len(right))
             found[doc].append((t, e, context_weight(left, right[after:])))
-        return found
+            misspelt[doc].update(self.automaton.variants[s])
+        return found, misspelt
 
 
 def features(hits: list[tuple[int, int, float]]) -> tuple[float, float]:
@@ -301,15 +343,14 @@ def features(hits: list[tuple[int, int, float]]) -> tuple[float, float]:
 
 
 def _train_features(model: Model):
-    automaton = Automaton(model.lexicon, model.exact)
     schema = pa.schema([("label", pa.int64()), ("x1", pa.float64()), ("x2", pa.float64()), ("fuzzy", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(automaton)
+        scanner = Scanner(_automaton(tuple(model.lexicon), model.exact))
         for batch in slices(batches, 0):
             rows = []
-            for label, hits in zip(batch.column(1).to_pylist(), scanner(raw_texts(batch.column(0)))):
-                rows.append((label, *features(hits), sorted({t for t, e, _ in hits if e})))
+            for label, hits, terms in zip(batch.column(1).to_pylist(), *scanner.scan(raw_texts(batch.column(0)))):
+                rows.append((label, *features(hits), [] if label else sorted(terms)))
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     return run
@@ -338,16 +379,21 @@ def fit(train: DataFrame, text_col: str = "text", label_col: str = "toxic") -> M
     rows = train.where(F.col(label_col).isNotNull()).select(
         F.col(text_col).cast("string").alias("text"), (F.col(label_col) == 1).cast("long").alias("label")
     )
-    lexicon, exact = learn_lexicon(rows)
+    lexicon, support = learn_lexicon(rows)
     if not lexicon:
         return Model()
+    exact: frozenset[int] = frozenset()
     columns = "label long, x1 double, x2 double, fuzzy array<long>"
     seen = rows.mapInArrow(_train_features(Model(lexicon, exact)), columns).toPandas()
     clean = seen[seen.label == 0]
     misspelt = Counter(t for terms in clean.fuzzy for t in terms)
-    common = frozenset(t for t, n in misspelt.items() if n > max(2, 0.001 * len(clean)))
-    if common:
-        exact |= common
+    n1, n0 = len(seen) - len(clean), len(clean)
+    # with its misspellings a term has to keep the odds of a term
+    exact = frozenset(
+        t for t, n in misspelt.items()
+        if n > max(2, 0.001 * n0) or _odds(support[t][0], support[t][1] + n, n1, n0) < _MIN_ODDS
+    )
+    if exact:
         seen = rows.mapInArrow(_train_features(Model(lexicon, exact)), columns).toPandas()
     x = seen[["x1", "x2"]].to_numpy()
     weights = _logistic(x, seen.label.to_numpy(float), np.ones(len(x)))
@@ -375,11 +421,10 @@ def sample(
 
 def _score(model: Model, id_col: str, threshold: float):
     schema = pa.schema([(id_col, pa.int64()), ("score", pa.float64()), ("predicted", pa.int32()), ("n_hits", pa.int64())])
-    automaton = Automaton(model.lexicon, model.exact)
     bias, largest, summed = model.weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(automaton)
+        scanner = Scanner(_automaton(tuple(model.lexicon), model.exact))
         for batch in slices(batches, 1):
             found = scanner(raw_texts(batch.column(1)))
             x = np.array([features(hits) for hits in found])

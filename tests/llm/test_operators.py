@@ -258,6 +258,35 @@ def test_misspellings_are_caught_and_clean_words_left_alone(spark):
     assert found == {1: 1, 2: 0, 3: 1, 4: 0, 5: 1}
 
 
+def test_every_term_of_a_broad_vocabulary_is_found_misspelt(spark):
+    rng = random.Random(5)
+    rude = ["".join(rng.choices("bdfgklmnprstvz", k=8)) for _ in range(100)]
+    stems = ["wurmkopf", "wurmlump", "wurmsack"]
+    clean = "the cat sat on a mat while birds sang over green hills and rivers ran".split()
+    rows = []
+    for i in range(3150):
+        words = rng.choices(clean, k=30)
+        if i % 5 == 0:
+            k = i // 5
+            words[rng.randrange(30)] = rude[k % 100] if k < 600 else stems[k % 3]
+        rows.append((i, " ".join(words), int(i % 5 == 0)))
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    # no word is in 2 % of the toxic rows but those of one beginning, which does not replace them
+    assert ("wurm", True) in model.lexicon or any(b and "wurm".startswith(t) for t, b in model.lexicon)
+    assert {(w, False) for w in rude + stems} <= set(model.lexicon)
+    tests = [w[:4] + w[5:] for w in rude] + ["wrmkopf", "wumlump", "wurnsack", "vurmkopf"]
+    table = spark.createDataFrame([(i, f"what a {w} on the hills") for i, w in enumerate(tests)], "doc_id long, text string")
+    assert toxicity.score(table, model).where("predicted = 0").count() == 0
+
+
+def test_an_emptied_table_gives_the_same_hits(monkeypatch):
+    lexicon, texts = [("worthless", False), ("idiot", False), ("low", True)], [b"a worthles idoit idot", b"lower", b"wortles x", None]
+    scanner = toxicity.Scanner(toxicity.Automaton(lexicon))
+    expected = [scanner([t])[0] for t in texts]
+    monkeypatch.setattr(toxicity, "_TABLE_ITEMS", 0)
+    assert [scanner([t])[0] for t in texts] == expected and sum(map(len, expected)) == 4
+
+
 def test_without_toxic_rows_nothing_is_toxic(spark):
     train = spark.createDataFrame([(1, "a b c", 0), (2, "d", None)], "doc_id long, text string, toxic int")
     model = toxicity.fit(train)
