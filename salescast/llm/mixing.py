@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescast.llm.text import SPACE, cut
+from salescast.llm.text import SPACE, cut, row_key
 
 #: Weights of the sources in the order of their names, repeating.
 WEIGHTS = (5, 2, 1)
@@ -96,10 +96,30 @@ def mix(
     nothing. Rows that repeat an id are placed one after the other. An empty
     table gives an empty result. Only the three named columns are read.
     """
+    return _copies(docs, id_col, text_col, source_col, weights, share, max_repeat, seed).select(
+        F.col("_id").alias(id_col), "size", "source_size", "target", "copies",
+        (F.col("copies") * F.col("size")).alias("taken"),
+    )
+
+
+def _copies(
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    source_col: str,
+    weights: tuple = WEIGHTS,
+    share: float = SHARE,
+    max_repeat: float = MAX_REPEAT,
+    seed: str = "mix-",
+    key: Column | None = None,
+) -> DataFrame:
+    """The rows of :func:`mix` with what they were reckoned from, and ``key`` if one is given."""
+    named = [] if key is None else ["key"]
     rows = docs.select(
         F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("source"),
         word_count(F.col(text_col).cast("string")).alias("size"),
         F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("digest"),
+        *([] if key is None else [key.alias("key")]),
     )
     rows = cut(
         rows.withColumns(
@@ -116,15 +136,12 @@ def mix(
     placed = rows.join(
         b,
         rows["source"].eqNullSafe(b["b_source"]) & (rows["size_class"] == b["b_class"]) & (rows["slice"] == b["b_slice"]),
-    ).withColumn("k", F.col("start") + F.row_number().over(Window.partitionBy(*block).orderBy("digest", "size", "_id")))
+    ).withColumn("k", F.col("start") + F.row_number().over(Window.partitionBy(*block).orderBy("digest", "size", "_id", *named)))
     joined = placed.join(t, placed["source"].eqNullSafe(t["t_source"]))
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     shift = _offset(F.col("source"), seed)
     copies = F.floor(shift + F.col("k") * each) - F.floor(shift + (F.col("k") - 1) * each)
-    return joined.withColumn("copies", copies.cast("long")).select(
-        F.col("_id").alias(id_col), "size", "source_size", "target", "copies",
-        (F.col("copies") * F.col("size")).alias("taken"),
-    )
+    return joined.withColumn("copies", copies.cast("long"))
 
 
 def take_mix(
@@ -132,9 +149,17 @@ def take_mix(
 ) -> DataFrame:
     """The mixed corpus: rows of ``docs``, each as often as the mix takes it.
 
-    Rows that share an id are each taken as often as the first of them.
+    Rows are matched by id, text and source. Rows that agree in all three share
+    their copies out: they differ by one at most, as the mix has it.
     """
-    copies = mix(docs, id_col, text_col, source_col, **options)
-    copies = copies.groupBy(F.col(id_col).alias("_mix_id")).agg(F.max("copies").alias("_copies")).where("_copies > 0")
-    joined = docs.join(copies, docs[id_col].eqNullSafe(copies["_mix_id"]))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    key = row_key(F.col(text_col), F.col(id_col), F.col(source_col))
+    copies = _copies(docs, id_col, text_col, source_col, key=key, **options)
+    copies = copies.groupBy(F.col("key").alias("_mix_key")).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
+    rows = docs.withColumn("_row_key", key)
+    joined = rows.join(copies.where("_copies > 0"), rows["_row_key"] == F.col("_mix_key"))
+    place = F.row_number().over(Window.partitionBy("_mix_key").orderBy(F.lit(0)))
+    joined = joined.withColumn("_place", place).withColumn(
+        "_times", F.expr("CAST(_copies DIV _rows AS INT) + CAST(_place <= _copies % _rows AS INT)")
+    )
+    taken = joined.where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return taken.select(*docs.columns)

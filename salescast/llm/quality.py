@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescast.llm.text import SPACE, cut, words
+from salescast.llm.text import SPACE, cut, row_key, words
 
 # Frequent function words of English, German, French and Spanish.
 COMMON_WORDS = sorted(
@@ -176,9 +176,11 @@ def filter_quality(
 ) -> DataFrame:
     """The rows that the rules keep, with all their columns.
 
-    Rows are matched by id; of rows that share an id all stay if one is kept and
-    none is rejected.
+    Each row has its own verdict: rows are matched by id, text and language, and
+    what agrees in all three has the same.
     """
-    verdict = quality_rules(docs, id_col, text_col, lang_col)
-    kept = verdict.groupBy(F.col(id_col).alias("_kept_id")).agg(F.min("kept").alias("_kept")).where("_kept")
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")
+    named = [id_col, lang_col] if lang_col else [id_col]
+    marked = docs.withColumn("_row_key", row_key(F.col(text_col), *map(F.col, named)))
+    verdict = quality_rules(marked, "_row_key", text_col, lang_col)
+    kept = verdict.where("kept").select(F.col("_row_key").alias("_kept_key")).distinct()
+    return marked.join(kept, marked["_row_key"] == kept["_kept_key"], "left_semi").select(*docs.columns)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescast.llm.components import components
-from salescast.llm.text import byte_words, cut, raw_texts, slices
+from salescast.llm.text import byte_words, cut, raw_texts, row_key, slices
 
 SEED = 42
 SHINGLE = 3
@@ -48,17 +48,28 @@ def fingerprint(raw: bytes | None, width: int = SHINGLE) -> int:
     return int.from_bytes(bits.tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = SHINGLE) -> DataFrame:
-    """(id, fp) of each row; ``fp`` is the fingerprint as a signed long."""
-    schema = pa.schema([(id_col, pa.int64()), ("fp", pa.int64())])
+def fingerprints(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    width: int = SHINGLE,
+    key: Column | None = None,
+) -> DataFrame:
+    """(id, fp) of each row, and ``key`` if one is given; ``fp`` is the fingerprint as a signed long."""
+    schema = pa.schema([(id_col, pa.int64()), ("fp", pa.int64()), *[("key", pa.string())][: key is not None]])
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1):
             codes = np.array([fingerprint(raw, width) for raw in raw_texts(batch.column(1))], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(codes.view(np.int64))], schema=schema)
+            columns = [batch.column(0), pa.array(codes.view(np.int64)), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
-    rows = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(signed, f"`{id_col}` long, fp long")
+    rows = docs.select(
+        F.col(id_col).cast("long").alias(id_col),
+        F.col(text_col).cast("string").alias("text"),
+        *([] if key is None else [key.alias("key")]),
+    )
+    return rows.mapInArrow(signed, f"`{id_col}` long, fp long" + ("" if key is None else ", key string"))
 
 
 def _signed(value: int) -> int:
@@ -143,6 +154,14 @@ def links(codes: DataFrame, radius: int = RADIUS) -> DataFrame:
     return dealt.mapInArrow(_link(radius), "a long, b long")
 
 
+def _rooted(codes: DataFrame, first: str, radius: int) -> DataFrame:
+    """(fp, first, root) of the distinct ``fp``; a fingerprint without links is its own root."""
+    roots = components(links(codes, radius))
+    return codes.join(roots, codes["fp"] == roots["node"], "left").select(
+        "fp", first, F.coalesce("root", "fp").alias("root")
+    )
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
     """One row per row of ``docs``: id, fingerprint (16 hex digits), component_id.
 
@@ -154,10 +173,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     marked = cut(fingerprints(docs, id_col, text_col))
     codes = cut(marked.groupBy("fp").agg(F.min(id_col).alias("first_id")))
-    roots = components(links(codes, radius))
-    rooted = codes.join(roots, codes["fp"] == roots["node"], "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
-    )
+    rooted = _rooted(codes, "first_id", radius)
     smallest = rooted.groupBy(F.col("root").alias("r")).agg(F.min("first_id").alias("component_id"))
     labels = rooted.join(smallest, rooted["root"] == smallest["r"]).select(F.col("fp").alias("code"), "component_id")
     return marked.join(labels, marked["fp"] == labels["code"]).select(
@@ -166,7 +182,18 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns: of each group the smallest id."""
-    groups = near_groups(docs, id_col, text_col)
-    kept = groups.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_kept_id")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """The documents that stay, with all their columns: one row of each group.
+
+    It is the row with the smallest id, without an id only if no row of the group
+    has one; of several the smallest digest of the text decides. Rows are matched
+    by id and text, so an id used again elsewhere is no matter.
+    """
+    key = row_key(F.col(text_col), F.col(id_col))
+    marked = fingerprints(docs, id_col, text_col, key=key)
+    first = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "key")
+    codes = cut(marked.groupBy("fp").agg(F.min(first).alias("first")))
+    kept = _rooted(codes, "first", RADIUS).groupBy("root").agg(F.min("first").alias("first"))
+    kept = kept.select(F.col("first.key").alias("_kept_key"))
+    rows = docs.withColumn("_row_key", key)
+    rows = rows.join(kept, rows["_row_key"] == kept["_kept_key"], "left_semi")
+    return rows.dropDuplicates(["_row_key"]).select(*docs.columns)

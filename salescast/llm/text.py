@@ -25,6 +25,16 @@ def words(text: Column) -> Column:
     return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
 
 
+def row_key(text: Column, *others: Column) -> Column:
+    """One string for rows that agree in their text and in other columns; NULL agrees with NULL.
+
+    Only a NULL text is as an empty one. The length of each value is put before it.
+    """
+    values = [c.cast("string") for c in others]
+    parts = [F.coalesce(F.concat(F.char_length(v), F.lit(" "), v), F.lit("-")) for v in values]
+    return F.concat(F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256), *parts)
+
+
 def byte_words(raw: bytes | None) -> list[bytes]:
     """The words of a UTF-8 text; ``bytes.split`` cuts at the same six characters."""
     return raw.split() if raw else []

@@ -69,6 +69,28 @@ def test_stages_keep_one_of_each_copy(spark, odd):
     assert len(texts) == len(set(texts)) == 8 and (5, "same text") in kept and (6, "same  text") not in kept
 
 
+def test_verdicts_are_those_of_the_row_not_of_its_id(spark):
+    """NULL ids and ids used again: a row neither falls nor stays with another."""
+    rng = random.Random(8)
+    prose = [" ".join(rng.choices("the of and to in is was that for it with as cat house river green".split(), k=120)) for _ in range(6)]
+    junk = "x " * 5
+    docs = table(spark, [(None, prose[0], "en", "a"), (None, junk, "en", "a"), (7, prose[1], "en", "a"), (7, junk, "en", "b")])
+    assert sorted(r["text"] for r in corpus_pipeline.quality_rules(spark, docs, "").collect()) == sorted(prose[:2])
+    # one group without an id, one group with an id that another text has too
+    near = [prose[2], prose[2].upper(), prose[3], prose[3].upper(), prose[4], prose[5]]
+    docs = table(spark, [(i, t, "en", "a") for i, t in zip([None, None, 8, 9, 9, None], near)])
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_copies(spark, docs, "").collect()]
+    assert (8, prose[3]) in kept and (9, prose[4]) in kept and (None, prose[5]) in kept and len(kept) == 4
+    # sources without ids keep their targets
+    docs = table(spark, [(None, f"w{i} " * 20, "en", "abc"[i % 3]) for i in range(240)] + [(5, "same " * 20, "en", "c")] * 30)
+    copies = sum(r["copies"] for r in mixing.mix(docs).collect())
+    mixed = corpus_pipeline.mix_sources(spark, docs, "")
+    assert mixed.count() == copies
+    size = {r["source"]: r["n"] * 20 for r in mixed.groupBy("source").agg(F.count("*").alias("n")).collect()}
+    target = {r["source"]: r["target"] for r in mixing.source_targets(docs.select("source", F.lit(20).alias("size"))).collect()}
+    assert all(abs(size.get(s, 0) - t) <= 20 for s, t in target.items())
+
+
 # exact dedup
 
 
