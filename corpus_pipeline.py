@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescast.llm import exact_dedup, mixing, pieces, quality, simhash
+from salescast.llm.text import stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,9 +34,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Word pieces of every document of the mix."""
-    encoded = pieces.encode(docs)
-    return encoded.select("doc_id", F.size("ids").alias("n_pieces"), "ids")
+    """Word pieces of every document of the mix, decoded again; ``text_md5`` is of the decoded text."""
+    encoded = pieces.encode(docs, digest=True)
+    return encoded.select("doc_id", F.size("ids").alias("n_pieces"), "ids", "text_md5")
 
 
 STAGES = [
@@ -51,8 +52,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; each is written to the shared folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+        docs = stored(stage(spark, docs, sf_dir))
     return docs

@@ -1,5 +1,6 @@
 """The pipeline against a plain version of each stage."""
 
+import hashlib
 import re
 
 import corpus_pipeline
@@ -68,6 +69,19 @@ def test_encoding_stage(stages):
     assert sorted(decoded) == sorted(texts)
 
 
+def test_encoding_stage_decodes_what_it_encoded(stages):
+    texts = [(r["doc_id"], hashlib.md5((r["text"] or "").encode()).hexdigest()) for r in stages[4][1].collect()]
+    assert sorted((r["doc_id"], r["text_md5"]) for r in stages[5][1].collect()) == sorted(texts)
+
+
+def test_run_rereads_each_stage(spark, monkeypatch):
+    seen = []
+    keep = [(name, lambda s, docs, d: seen.append(docs) or docs.limit(50)) for name in ("one", "two")]
+    monkeypatch.setattr(corpus_pipeline, "STAGES", keep)
+    assert corpus_pipeline.run(spark, SF_DIR).count() == 50
+    assert all("/table-" in docs.inputFiles()[0] for docs in seen[1:])
+
+
 def test_run_equals_the_stages(spark, stages):
     found = corpus_pipeline.run(spark, SF_DIR)
     assert sorted(map(tuple, found.select("doc_id", "n_pieces").collect())) == sorted(
