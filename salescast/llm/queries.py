@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescast.llm import chat, exact_dedup, language, mixing, pieces, quality, simhash, substring, token_counts, toxicity
+from salescast.llm import chat, exact_dedup, language, manifest, mixing, pieces, quality, simhash, substring, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -153,10 +153,79 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = pieces.encode(_table(spark, sf_dir, "documents"), digest=True)
     return encoded.select("doc_id", F.size("ids").alias("n_pieces"), "ids", "text_md5")
 
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    altered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    return manifest.audit(_table(spark, sf_dir, "documents"), altered)
+
+
+#: DuckDB has no checksum function: CRC-32 by its bitwise rule over the digits of doc_id, byte by byte.
+OP13_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, lang, source, n_chars, text, CAST(doc_id AS VARCHAR) AS digits FROM documents
+), crc AS (
+  SELECT doc_id, digits, 0 AS k, CAST(4294967295 AS BIGINT) AS c FROM (SELECT DISTINCT doc_id, digits FROM d WHERE doc_id IS NOT NULL)
+  UNION ALL
+  SELECT doc_id, digits, k + 1, CASE WHEN x & 1 = 1 THEN xor(x >> 1, CAST(3988292384 AS BIGINT)) ELSE x >> 1 END
+  FROM (
+    SELECT *, CASE WHEN k % 8 = 0 THEN xor(c, CAST(ascii(digits[k // 8 + 1]) AS BIGINT)) ELSE c END AS x FROM crc
+    WHERE k < 8 * length(digits)
+  )
+), f AS (
+  SELECT doc_id FROM crc WHERE k = 8 * length(digits) AND xor(c, CAST(4294967295 AS BIGINT)) % 7 = 0
+), e AS (
+  SELECT d.doc_id, lang, f.doc_id IS NOT NULL AND n_chars IS NOT NULL AS altered,
+         coalesce(strlen(digits) || ':' || digits, '-') || coalesce(strlen(source) || ':' || source, '-')
+         || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+         CAST(n_chars AS VARCHAR) AS n0, CAST(n_chars + 1 AS VARCHAR) AS n1,
+         coalesce(strlen(text) || ':' || text, '-') AS tail
+  FROM d LEFT JOIN f ON d.doc_id = f.doc_id
+), l AS (
+  SELECT doc_id, lang, altered, sha256(head || coalesce(strlen(n0) || ':' || n0, '-') || tail) AS leaf,
+         sha256(head || coalesce(strlen(n1) || ':' || n1, '-') || tail) AS other
+  FROM e
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank FROM l
+), low AS (
+  SELECT lang, 0 AS height, list(leaf ORDER BY rank) AS nodes FROM r GROUP BY lang
+  UNION ALL
+  SELECT lang, height + 1, list_transform(range((len(nodes) + 1) // 2), lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+  FROM low WHERE len(nodes) > 1
+), sub AS (
+  SELECT lang, nodes[1] AS subroot, height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS rank FROM low WHERE len(nodes) = 1
+), high AS (
+  SELECT 0 AS height, list(subroot ORDER BY rank) AS nodes FROM sub
+  UNION ALL
+  SELECT height + 1, list_transform(range((len(nodes) + 1) // 2), lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+  FROM high WHERE len(nodes) > 1
+), step AS (
+  SELECT r.lang, r.rank, low.height AS k, r.rank >> low.height AS place, nodes[xor(r.rank >> low.height, 1) + 1] AS sibling
+  FROM r JOIN low ON r.lang IS NOT DISTINCT FROM low.lang WHERE len(nodes) > 1
+  UNION ALL
+  SELECT r.lang, r.rank, sub.height + high.height, sub.rank >> high.height, nodes[xor(sub.rank >> high.height, 1) + 1]
+  FROM r JOIN sub ON r.lang IS NOT DISTINCT FROM sub.lang, high WHERE len(nodes) > 1
+), path AS (
+  SELECT lang, rank, list(struct_pack(place := place, sibling := sibling) ORDER BY k) AS path FROM step GROUP BY lang, rank
+), t AS (
+  SELECT doc_id, leaf, subroot, (SELECT nodes[1] FROM high WHERE len(nodes) = 1) AS root, coalesce(path, []) AS path,
+         CASE WHEN altered THEN other ELSE leaf END AS start, row_number() OVER () AS id
+  FROM r JOIN sub ON r.lang IS NOT DISTINCT FROM sub.lang
+  LEFT JOIN path ON r.lang IS NOT DISTINCT FROM path.lang AND r.rank = path.rank
+), fold AS (
+  SELECT id, 0 AS k, start AS node, path FROM t
+  UNION ALL
+  SELECT id, k + 1, CASE WHEN path[k + 1].place % 2 = 0 THEN sha256(node || coalesce(path[k + 1].sibling, ''))
+                         ELSE sha256(coalesce(path[k + 1].sibling, '') || node) END, path
+  FROM fold WHERE k < len(path)
+)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(t.path, lambda p: coalesce(p.sibling, '')), '')) AS proof_sha256,
+       node AS folded_root, node = root AS verified
+FROM t JOIN fold USING (id) WHERE k = len(fold.path)
+"""
+
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_simhash, op4_chat, op5_language, op6_exact_dedup, op7_mix, op8_quality, op9_substring_dedup, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_simhash, op4_chat, op5_language, op6_exact_dedup, op7_mix, op8_quality, op9_substring_dedup, op10_sentencepiece, op13_manifest)}
 
 
 def oracles() -> dict[str, str]:
-    return {"op4_chat": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op7_mix": OP7_SQL, "op9_substring_dedup": OP9_SQL}
+    return {"op4_chat": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op7_mix": OP7_SQL, "op9_substring_dedup": OP9_SQL, "op13_manifest": OP13_SQL}
