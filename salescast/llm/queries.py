@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescast.llm import chat, exact_dedup, language, manifest, mixing, pieces, quality, simhash, substring, token_counts, toxicity
+from salescast.llm import chat, divergence, exact_dedup, language, manifest, mixing, pieces, quality, simhash, substring, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -153,6 +153,48 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = pieces.encode(_table(spark, sf_dir, "documents"), digest=True)
     return encoded.select("doc_id", F.size("ids").alias("n_pieces"), "ids", "text_md5")
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), t AS (
+  SELECT id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d
+), k AS (
+  SELECT lang, term FROM t GROUP BY lang, term HAVING count(DISTINCT id) >= 10
+), g AS (
+  SELECT DISTINCT lang, source FROM d
+), n AS (
+  SELECT lang, source, term, count(*) AS n FROM t GROUP BY lang, source, term
+), c AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n FROM g JOIN k USING (lang) LEFT JOIN n USING (lang, source, term)
+), p AS (
+  SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER w + 2 * count(*) OVER w) AS p
+  FROM c WINDOW w AS (PARTITION BY lang, source)
+), q AS (
+  SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 2)) // (sum(n) OVER w + 2 * count(*) OVER w) AS q
+  FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term) WINDOW w AS (PARTITION BY lang)
+), s AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), v AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM v
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM r
+WHERE part = 'pair' OR rank <= 10
+"""
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     altered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
     return manifest.audit(_table(spark, sf_dir, "documents"), altered)
@@ -224,8 +266,8 @@ FROM t JOIN fold USING (id) WHERE k = len(fold.path)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_simhash, op4_chat, op5_language, op6_exact_dedup, op7_mix, op8_quality, op9_substring_dedup, op10_sentencepiece, op13_manifest)}
+    return {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_simhash, op4_chat, op5_language, op6_exact_dedup, op7_mix, op8_quality, op9_substring_dedup, op10_sentencepiece, op12_divergence, op13_manifest)}
 
 
 def oracles() -> dict[str, str]:
-    return {"op4_chat": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op7_mix": OP7_SQL, "op9_substring_dedup": OP9_SQL, "op13_manifest": OP13_SQL}
+    return {"op4_chat": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op7_mix": OP7_SQL, "op9_substring_dedup": OP9_SQL, "op12_divergence": OP12_SQL, "op13_manifest": OP13_SQL}
