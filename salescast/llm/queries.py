@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescast.llm import chat, divergence, exact_dedup, language, manifest, mixing, pieces, quality, simhash, substring, token_counts, toxicity
+from salescast.llm import chat, divergence, exact_dedup, language, manifest, mixing, pieces, quality, simhash, substring, suffixes, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -153,6 +153,39 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = pieces.encode(_table(spark, sf_dir, "documents"), digest=True)
     return encoded.select("doc_id", F.size("ids").alias("n_pieces"), "ids", "text_md5")
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), p AS (
+  SELECT doc_id, h, unnest(range(len(h) // 2 - 49)) AS i FROM d
+), w AS (
+  SELECT doc_id, i, md5_number(h[2 * i + 1:2 * i + 100]) AS w FROM p
+), c AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY w) AS m FROM w) WHERE m < doc_id
+), s AS (
+  SELECT doc_id, i, i > max(i + 50) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS gap FROM c
+), r AS (
+  SELECT doc_id, i, sum(CASE WHEN coalesce(gap, TRUE) THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM s
+), g AS (
+  SELECT doc_id, run, min(i) AS low, max(i) + 50 AS high FROM r GROUP BY doc_id, run
+), k AS (
+  SELECT doc_id, run, lag(high, 1, 0) OVER (PARTITION BY doc_id ORDER BY run) AS low, low AS high FROM g
+  UNION ALL
+  SELECT doc_id, max(run) + 1, max(high), NULL FROM g GROUP BY doc_id
+), t AS (
+  SELECT doc_id, string_agg(substr(h, 2 * low + 1, 2 * (coalesce(high, len(h) // 2) - low)), '' ORDER BY run) AS t, count(*) - 1 AS n
+  FROM k JOIN d USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST((len(h) - len(coalesce(t, h))) // 2 AS BIGINT) AS n_removed,
+       CAST(coalesce(n, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(t, h))) AS kept_sha256
+FROM d LEFT JOIN t USING (doc_id)
+"""
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"))
 
@@ -266,8 +299,8 @@ FROM t JOIN fold USING (id) WHERE k = len(fold.path)
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_simhash, op4_chat, op5_language, op6_exact_dedup, op7_mix, op8_quality, op9_substring_dedup, op10_sentencepiece, op12_divergence, op13_manifest)}
+    return {f.__name__: f for f in (op1_token_counts, op2_toxicity, op3_simhash, op4_chat, op5_language, op6_exact_dedup, op7_mix, op8_quality, op9_substring_dedup, op10_sentencepiece, op11_suffix_dedup, op12_divergence, op13_manifest)}
 
 
 def oracles() -> dict[str, str]:
-    return {"op4_chat": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op7_mix": OP7_SQL, "op9_substring_dedup": OP9_SQL, "op12_divergence": OP12_SQL, "op13_manifest": OP13_SQL}
+    return {"op4_chat": OP4_SQL, "op6_exact_dedup": OP6_SQL, "op7_mix": OP7_SQL, "op9_substring_dedup": OP9_SQL, "op11_suffix_dedup": OP11_SQL, "op12_divergence": OP12_SQL, "op13_manifest": OP13_SQL}
