@@ -43,7 +43,8 @@ _KEYS = ["lang", "source", "term"]
 
 def _counted(batch: pa.RecordBatch) -> pa.Table:
     """(lang, source, term, n, docs) of a batch of (lang, source, text)."""
-    lang, source, text = (pc.fill_null(batch.column(k).cast(pa.large_string()), "") for k in range(3))
+    # a copy first: ascii_lower misreads a slice that was cast
+    lang, source, text = (pc.fill_null(pa.concat_arrays([batch.column(k)]).cast(pa.large_string()), "") for k in range(3))
     groups = pa.table({"lang": lang, "source": source}).append_column("row", pa.array(np.arange(len(batch))))
     pieces = pc.split_pattern_regex(pc.ascii_lower(text), BETWEEN)
     rows, terms = pc.list_parent_indices(pieces), pc.list_flatten(pieces)
