@@ -14,8 +14,11 @@ The digits of a window are chosen so that neighbours share them:
 2. The second digit is the whole stretch. Of equal stretches all but those of the
    smallest document are covered. Only where a landmark has several different
    stretches does the smallest document of each send its windows on.
-3. These are ordered by all their bytes, eight at a time. Of equal windows all but
-   those of the smallest document are covered.
+3. The third digit is what stands next to the landmark: windows that reach far to its
+   right go by the bytes there, the others by those to its left. A stretch travels as
+   these two halves with its bytes, dealt to shards by that digit.
+4. Windows of the halves that are left are ordered by all their bytes, eight at a time.
+   Of equal windows all but those of the smallest document are covered.
 
 What a task can settle in its own batch of texts it settles there: of equal stretches
 or windows only the smallest document's travels, so a text or passage with very many
@@ -35,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +52,11 @@ BATCH = 4 << 20
 
 _U = np.uint64
 _EIGHT = -(-WIDTH // 8)
+#: A window has so many bytes beside its landmark, and at least half of them on one side.
+_BESIDE = WIDTH - GRAM
+_SIDE = _BESIDE // 2
+#: Bytes of a half of a stretch, in whole numbers of eight bytes.
+_HALF = -(-(WIDTH + _SIDE) // 8)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -56,6 +65,14 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+def _chained(*words: np.ndarray) -> np.ndarray:
+    """One hash for each place, over words side by side."""
+    found = _mix(words[0])
+    for w in words[1:]:
+        found = _mix(found * _U(0x9E3779B97F4A7C15) + w)
+    return found
+
+
 class Stretches:
     """The stretches of a batch of texts, each from window ``low`` to window ``high``.
 
@@ -72,11 +89,11 @@ class Stretches:
         text = np.repeat(np.arange(len(texts)), counts)
         starts = self.begin[text] + np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts)
         if not len(starts):
-            self.text = self.rows = self.low = self.high = np.zeros(0, np.int64)
+            self.text = self.rows = self.low = self.high = self.place = np.zeros(0, np.int64)
             self.landmark = self.content = np.zeros(0, _U)
             return
-        eight = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
-        gram = _mix(_mix(eight[: 8 - GRAM]) * _U(0x9E3779B97F4A7C15) + eight[GRAM - 8 :])
+        self.eight = eight = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
+        gram = _chained(eight[: 8 - GRAM], eight[GRAM - 8 :])
         # hash above, place below: the smallest is the leftmost of the smallest hashes
         key = gram & _U(0xFFFFFFFF00000000) | np.arange(len(gram), dtype=_U)
         reach, span = WIDTH - GRAM + 1, 1
@@ -91,7 +108,8 @@ class Stretches:
         last = np.r_[first[1:], len(head)] - 1
         self.text, self.low, self.high = text[first], starts[first], starts[last]
         self.rows = np.array([r for r, _ in texts], np.int64)[self.text]
-        self.landmark = gram[place[first]]
+        self.place = place[first]
+        self.landmark = gram[self.place]
         view, code = memoryview(raw), xxhash.xxh3_64_intdigest
         bounds = zip(self.low.tolist(), (self.high + WIDTH).tolist())
         self.content = np.fromiter((code(view[a:b]) for a, b in bounds), _U, len(first))
@@ -102,22 +120,40 @@ class Stretches:
         owner = np.repeat(some, counts)
         return self.low[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts), owner
 
-    def digits(self, places: np.ndarray) -> np.ndarray:
-        """The bytes of windows as numbers of eight bytes, the most significant first."""
-        found = np.zeros((len(places), 8 * _EIGHT), np.uint8)
-        if len(places):
-            found[:, :WIDTH] = np.ndarray((len(self.data) - WIDTH + 1, WIDTH), np.uint8, self.data, strides=(1, 1))[places]
-        return found.view(">u8").astype(_U)
-
-
-def _parts(texts: list[bytes | None], size: int = BATCH) -> Iterator[list[tuple[int, bytes]]]:
-    """(row, text) in lists of about ``size`` bytes; long texts in parts that overlap by a window."""
+    def halves(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(digits, stretches): side, bytes beside the landmark (as a hash), first window and number of windows, bytes.
+
+        Bytes outside the half are zero. The first byte stands ``_SIDE`` or, on the
+        other side, ``_BESIDE`` before the landmark.
+        """
+        place, eight, found, owners = self.place, self.eight, [], []
+        for right in (True, False):
+            split = place[some] - _SIDE
+            low = np.maximum(self.low[some], split) if right else self.low[some]
+            high = self.high[some] if right else np.minimum(self.high[some], split - 1)
+            owner, low, high = some[low <= high], low[low <= high], high[low <= high]
+            base = place[owner] - (_SIDE if right else _BESIDE)
+            near = place[owner] - (0 if right else _SIDE)
+            ends = range(0, GRAM + _SIDE - 7, 8)
+            words = [eight[near + k] for k in (*ends, GRAM + _SIDE - 8)]
+            at = base[:, None] + np.arange(8 * _HALF)
+            inside = (at >= low[:, None]) & (at < high[:, None] + WIDTH)
+            body = np.where(inside, self.data[np.clip(at, 0, len(self.data) - 1)], 0).astype(np.uint8)
+            counts = ((low - base) << 8 | (high - low + 1)).astype(_U)
+            key = _chained(np.full(len(owner), right, _U), *words)
+            found.append(np.column_stack([key, counts, body.view(">u8").astype(_U)]))
+            owners.append(owner)
+        return np.concatenate(found), np.concatenate(owners)
+
+
+def _parts(texts: list[bytes | None]) -> Iterator[list[tuple[int, bytes]]]:
+    """(row, text) in lists of about ``BATCH`` bytes; long texts in parts that overlap by a window."""
     held, total = [], 0
     for row, raw in enumerate(texts):
         raw = raw or b""
-        for at in range(0, max(len(raw) - WIDTH + 1, 1), size):
-            part = raw[at : at + size + WIDTH - 1]
-            if held and total + len(part) > size:
+        for at in range(0, max(len(raw) - WIDTH + 1, 1), BATCH):
+            part = raw[at : at + BATCH + WIDTH - 1]
+            if held and total + len(part) > BATCH:
                 yield held
                 held, total = [], 0
             held.append((row, part))
@@ -204,6 +240,7 @@ def _arrays(table: pa.Table, columns: int) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 _MARK = "doc long, content long, asked boolean"
+_MARKS = "array<struct<content: bigint, asked: boolean>>"
 
 
 def _stretch_marks(table: pa.Table) -> pa.Table:
@@ -231,10 +268,11 @@ def _stretch_marks(table: pa.Table) -> pa.Table:
     return pa.Table.from_arrays(columns, ["doc", "content", "asked"])
 
 
-def _which(found: Stretches, lists: pa.Array) -> np.ndarray:
-    """Whether each stretch is in the list of its row."""
-    marks = lists.flatten().to_numpy().view(_U)
-    rows = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+def _which(found: Stretches, lists: pa.Array, asked: bool) -> np.ndarray:
+    """Whether each stretch is marked, as covered or as asked for, in the list of its row."""
+    rows, flat = pc.list_parent_indices(lists).to_numpy(), lists.flatten()
+    some = flat.field("asked").to_numpy(zero_copy_only=False) == asked
+    rows, marks = rows[some], flat.field("content").to_numpy()[some].view(_U)
     names = np.unique(marks)
     if not len(names):
         return np.zeros(len(found.rows), bool)
@@ -249,32 +287,51 @@ def _last_digits(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1, BATCH):
             docs = batch.column(0).to_numpy()
-            lists = pa.concat_arrays([batch.column(2)])
+            lists = pa.concat_arrays([batch.column(2)])  # a copy: no offsets of slices
             for texts in _parts(raw_texts(batch.column(1))):
                 found = Stretches(texts)
-                places, owner = found.windows(np.flatnonzero(_which(found, lists)))
-                digits = found.digits(places)
-                spread = np.zeros(len(digits), _U)
-                for column in digits.T:
-                    spread = _mix(spread * _U(0x9E3779B97F4A7C15) + column)
-                rows = list(_dealt(digits, docs[found.rows[owner]], spread, shards))
+                some = np.flatnonzero(_which(found, lists, True))
+                if not len(some):
+                    continue
+                digits, owner = found.halves(some)
+                rows = list(_dealt(digits, docs[found.rows[owner]], digits[:, 0], shards))
                 if rows:
                     yield _rows(rows, _DEALT_SCHEMA)
 
     return run
 
 
+def _opened(digits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(half, first byte, bytes) of each window of the halves."""
+    firsts, counts = (digits[:, 1] >> _U(8)).astype(np.int64), (digits[:, 1] & _U(255)).astype(np.int64)
+    half = np.repeat(np.arange(len(digits)), counts)
+    at = firsts[half] + np.arange(len(half)) - np.repeat(np.cumsum(counts) - counts, counts)
+    body = np.ascontiguousarray(digits[:, 2:].astype(">u8")).view(np.uint8).reshape(len(digits), 8 * _HALF)
+    return half, at, body[half[:, None], at[:, None] + np.arange(WIDTH)]
+
+
 def _window_marks(table: pa.Table) -> pa.Table:
     """Covered windows, by their bytes."""
-    digits, docs, settled = _arrays(table, _EIGHT)
-    alive, group = radix(digits[~settled], docs[~settled])
-    places = np.flatnonzero(~settled)[alive]
-    here = docs[places]
-    first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]][: len(group)])
-    low = np.minimum.reduceat(here, first)[np.cumsum(np.r_[True, group[1:] != group[:-1]]) - 1] if len(here) else here
-    places = np.concatenate([places[here > low], np.flatnonzero(settled)])
-    window = np.ascontiguousarray(digits[places].astype(">u8")).view(np.uint8).reshape(-1, 8 * _EIGHT)[:, :WIDTH]
-    return pa.table({"doc": pa.array(docs[places]), "window": pa.array([w.tobytes() for w in window], pa.binary())})
+    digits, docs, settled = _arrays(table, 2 + _HALF)
+    marked = []
+    alive, group = radix(digits[~settled][:, :1], docs[~settled])
+    halves, owners = digits[~settled][alive], docs[~settled][alive]
+    if len(alive):
+        half, at, body = _opened(halves)
+        padded = np.zeros((len(body), 8 * _EIGHT), np.uint8)
+        padded[:, :WIDTH] = body
+        columns = np.column_stack([group[half].astype(_U), at.astype(_U), padded.view(">u8").astype(_U)])
+        alive, group = radix(columns, owners[half])
+        here = owners[half[alive]]
+        head = np.r_[True, group[1:] != group[:-1]][: len(group)]
+        if len(here):
+            low = np.minimum.reduceat(here, np.flatnonzero(head))[np.cumsum(head) - 1]
+            marked.append((here[here > low], body[alive[here > low]]))
+    if settled.any():
+        half, _, body = _opened(digits[settled])
+        marked.append((docs[settled][half], body))
+    found = [np.concatenate(x) for x in zip(*marked)] if marked else [np.zeros(0, np.int64), ()]
+    return pa.table({"doc": pa.array(found[0]), "window": pa.array([w.tobytes() for w in found[1]], pa.binary())})
 
 
 def _spans(raw: bytes, lows: np.ndarray, highs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -286,9 +343,10 @@ def _spans(raw: bytes, lows: np.ndarray, highs: np.ndarray) -> tuple[np.ndarray,
     return np.flatnonzero(gone == 1), np.flatnonzero(gone == -1)
 
 
-def _covers(raw_rows: list[bytes | None], covered: pa.Array, asked: pa.Array, windows: list[list[bytes]]) -> list[list]:
+def _covers(raw_rows: list[bytes], marks: pa.Array, windows: list[list[bytes] | None]) -> list[list]:
     """(low, high) of all covered ranges of each row."""
     ranges: list[list] = [[] for _ in raw_rows]
+    with_windows = np.array([bool(w) for w in windows], bool)
     part_of: dict[int, int] = {}
     for texts in _parts(raw_rows):
         found = Stretches(texts)
@@ -298,10 +356,10 @@ def _covers(raw_rows: list[bytes | None], covered: pa.Array, asked: pa.Array, wi
             shift[k] = part_of.get(row, 0) * BATCH
             part_of[row] = part_of.get(row, 0) + 1
         offset = shift - found.begin
-        for k in np.flatnonzero(_which(found, covered)):
+        for k in np.flatnonzero(_which(found, marks, False)):
             o = offset[found.text[k]]
             ranges[found.rows[k]].append((found.low[k] + o, found.high[k] + o + WIDTH))
-        places, owner = found.windows(np.flatnonzero(_which(found, asked)))
+        places, owner = found.windows(np.flatnonzero(_which(found, marks, True) & with_windows[found.rows]))
         sets: dict[int, set] = {}
         data = memoryview(found.data)
         for p, k in zip(places.tolist(), owner.tolist()):
@@ -320,9 +378,9 @@ def _rest(id_col: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1, BATCH):
             docs, raws = batch.column(0).to_pylist(), [r or b"" for r in raw_texts(batch.column(1))]
-            covered, asked = (pa.concat_arrays([batch.column(k)]) for k in (2, 3))
-            marked = np.array(batch.column(5).to_pylist(), bool)
-            ranges = _covers([r if m else b"" for r, m in zip(raws, marked)], covered, asked, batch.column(4).to_pylist())
+            marks, windows = pa.concat_arrays([batch.column(2)]), batch.column(3).to_pylist()
+            # texts without marks need no second look
+            ranges = _covers([r if n else b"" for r, n in zip(raws, pc.list_value_length(marks).to_pylist())], marks, windows)
             rows = []
             for doc, raw, spans in zip(docs, raws, ranges):
                 if not spans:
@@ -352,22 +410,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     named = rows.where("doc IS NOT NULL")
     dealt = named.mapInArrow(_first_digits(shards), _DEALT)
     marks = dealt.groupBy("shard").applyInArrow(_stretch_marks, _MARK)
-    pick = lambda asked: F.collect_list(F.when(F.col("asked") == F.lit(asked), F.col("content")))
-    marks = marks.groupBy("doc").agg(pick(False).alias("covered"), pick(True).alias("asked"))
+    marks = marks.groupBy("doc").agg(F.collect_list(F.struct("content", "asked")).alias("marks"))
     texts = named.join(marks, "doc", "left")
-    asked = texts.where(F.size("asked") > 0).select("doc", "text", "asked")
+    asked = texts.where("marks IS NOT NULL").select("doc", "text", "marks")
     dealt = asked.mapInArrow(_last_digits(shards), _DEALT)
     seen = dealt.groupBy("shard").applyInArrow(_window_marks, "doc long, window binary")
     windows = seen.groupBy("doc").agg(F.collect_set("window").alias("windows"))
-    joined = texts.join(windows, "doc", "left").select("doc", "text", "covered", "asked", "windows")
-    nameless = rows.where("doc IS NULL").select("doc", "text", *(F.lit(None).cast(k).alias(c) for c, k in (("covered", "array<long>"), ("asked", "array<long>"), ("windows", "array<binary>"))))
-    lists = joined.unionByName(nameless).select(
-        "doc",
-        "text",
-        F.coalesce("covered", F.array().cast("array<long>")).alias("covered"),
-        F.coalesce("asked", F.array().cast("array<long>")).alias("asked"),
-        "windows",
-        (F.col("covered").isNotNull() | F.col("windows").isNotNull()).alias("marked"),
-    )
+    joined = texts.join(windows, "doc", "left").select("doc", "text", "marks", "windows")
+    nameless = rows.where("doc IS NULL").select("*", F.lit(None).cast(_MARKS).alias("marks"), F.lit(None).cast("array<binary>").alias("windows"))
+    lists = joined.union(nameless).select("doc", "text", F.coalesce("marks", F.array().cast(_MARKS)).alias("marks"), "windows")
     columns = f"`{id_col}` long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     return lists.mapInArrow(_rest(id_col), columns)
