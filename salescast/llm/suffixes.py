@@ -47,8 +47,10 @@ from salescast.llm.text import raw_texts, slices
 
 WIDTH = 50
 GRAM = 16
-#: Bytes of text that are worked on at once, and the part of a long text.
+#: Bytes of text whose stretches are settled among each other before they travel.
 BATCH = 4 << 20
+#: Bytes of text that are hashed at once, and of the parts of a long text.
+PART = 1 << 19
 
 _U = np.uint64
 _EIGHT = -(-WIDTH // 8)
@@ -65,6 +67,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
+def _steps(size: int) -> list[int]:
+    """Where words of eight bytes begin that together are the next ``size`` bytes."""
+    return [*range(0, size - 8, 8), size - 8]
+
+
 def _chained(*words: np.ndarray) -> np.ndarray:
     """One hash for each place, over words side by side."""
     found = _mix(words[0])
@@ -93,7 +100,7 @@ class Stretches:
             self.landmark = self.content = np.zeros(0, _U)
             return
         self.eight = eight = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
-        gram = _chained(eight[: 8 - GRAM], eight[GRAM - 8 :])
+        gram = _chained(*(eight[k : len(eight) - GRAM + 8 + k] for k in _steps(GRAM)))
         # hash above, place below: the smallest is the leftmost of the smallest hashes
         key = gram & _U(0xFFFFFFFF00000000) | np.arange(len(gram), dtype=_U)
         reach, span = WIDTH - GRAM + 1, 1
@@ -121,10 +128,10 @@ class Stretches:
         return self.low[owner] + np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts), owner
 
     def halves(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(digits, stretches): side, bytes beside the landmark (as a hash), first window and number of windows, bytes.
+        """(digits, stretches): bytes beside the landmark (as a hash), windows, bytes, content.
 
-        Bytes outside the half are zero. The first byte stands ``_SIDE`` or, on the
-        other side, ``_BESIDE`` before the landmark.
+        The windows are their number, the first one's place and, above these, how far
+        before the landmark the bytes begin. Bytes outside the half are zero.
         """
         place, eight, found, owners = self.place, self.eight, [], []
         for right in (True, False):
@@ -132,34 +139,34 @@ class Stretches:
             low = np.maximum(self.low[some], split) if right else self.low[some]
             high = self.high[some] if right else np.minimum(self.high[some], split - 1)
             owner, low, high = some[low <= high], low[low <= high], high[low <= high]
-            base = place[owner] - (_SIDE if right else _BESIDE)
+            before = _SIDE if right else _BESIDE
+            base = place[owner] - before
             near = place[owner] - (0 if right else _SIDE)
-            ends = range(0, GRAM + _SIDE - 7, 8)
-            words = [eight[near + k] for k in (*ends, GRAM + _SIDE - 8)]
+            words = [eight[near + k] for k in _steps(GRAM + _SIDE)]
             at = base[:, None] + np.arange(8 * _HALF)
             inside = (at >= low[:, None]) & (at < high[:, None] + WIDTH)
             body = np.where(inside, self.data[np.clip(at, 0, len(self.data) - 1)], 0).astype(np.uint8)
-            counts = ((low - base) << 8 | (high - low + 1)).astype(_U)
+            counts = (before << 16 | (low - base) << 8 | (high - low + 1)).astype(_U)
             key = _chained(np.full(len(owner), right, _U), *words)
-            found.append(np.column_stack([key, counts, body.view(">u8").astype(_U)]))
+            found.append(np.column_stack([key, counts, body.view(">u8").astype(_U), self.content[owner]]))
             owners.append(owner)
         return np.concatenate(found), np.concatenate(owners)
 
 
-def _parts(texts: list[bytes | None]) -> Iterator[list[tuple[int, bytes]]]:
-    """(row, text) in lists of about ``BATCH`` bytes; long texts in parts that overlap by a window."""
-    held, total = [], 0
+def _parts(texts: list[bytes]) -> Iterator[tuple[list[tuple[int, bytes]], list[int]]]:
+    """((row, text) pairs of about ``PART`` bytes, where each begins in its row); parts of a long text overlap by a window."""
+    held, begins, total = [], [], 0
     for row, raw in enumerate(texts):
-        raw = raw or b""
-        for at in range(0, max(len(raw) - WIDTH + 1, 1), BATCH):
-            part = raw[at : at + BATCH + WIDTH - 1]
-            if held and total + len(part) > BATCH:
-                yield held
-                held, total = [], 0
+        for at in range(0, max(len(raw) - WIDTH + 1, 1), PART):
+            part = raw[at : at + PART + WIDTH - 1]
+            if held and total + len(part) > PART:
+                yield held, begins
+                held, begins, total = [], [], 0
             held.append((row, part))
+            begins.append(at)
             total += len(part)
     if held:
-        yield held
+        yield held, begins
 
 
 def radix(digits: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -184,191 +191,193 @@ def radix(digits: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return alive, group
 
 
-def _owners(digits: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(one row for each different row of digits, of its smallest document; the rows of other documents)."""
-    order = np.lexsort((docs, *digits.T[::-1]))
+def _owners(digits: np.ndarray, docs: np.ndarray, keys: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows of the smallest document among those that agree in the first ``keys`` digits, rows of the others).
+
+    Rows that repeat are left out.
+    """
+    order = np.lexsort((*digits.T[keys:], docs, *digits.T[keys - 1 :: -1]))
     digits, docs = digits[order], docs[order]
-    head = np.r_[True, (digits[1:] != digits[:-1]).any(axis=1)][: len(docs)]
-    again = ~head & np.r_[True, docs[1:] == docs[:-1]][: len(docs)]
-    return order[head], order[~head & ~again]
+    other = digits[1:] != digits[:-1]
+    head = np.r_[True, other[:, :keys].any(axis=1)][: len(docs)]
+    new = np.r_[True, other.any(axis=1) | (docs[1:] != docs[:-1])][: len(docs)]
+    owner = docs[head][np.cumsum(head) - 1]
+    return order[new & (docs == owner)], order[new & (docs > owner)]
 
 
 _DEALT = "shard int, settled boolean, digits binary, docs binary"
+_DEALT_SCHEMA = pa.schema([("shard", pa.int32()), ("settled", pa.bool_()), ("digits", pa.binary()), ("docs", pa.binary())])
 
 
-def _dealt(digits: np.ndarray, docs: np.ndarray, spread: np.ndarray, shards: int) -> Iterator[tuple]:
-    """Rows of a batch by shard: what is open goes by ``spread``, what is settled here anywhere."""
-    open_, settled = _owners(digits, docs)
-    at = (spread[open_] >> _U(32)) * _U(shards) >> _U(32)
+def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
+def _dealt(digits: np.ndarray, docs: np.ndarray, keys: int, shards: int) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch by shard: what is open goes by the leading bits of the first digit, what is settled anywhere."""
+    open_, settled = _owners(digits, docs, keys)
+    at = (digits[open_, 0] >> _U(32)) * _U(shards) >> _U(32)
     order = np.argsort(at, kind="stable")
     open_, at = open_[order], at[order]
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]][: len(at)])
-    for a, b in zip(first, np.append(first[1:], len(at))):
-        some = open_[a:b]
-        yield int(at[a]), False, digits[some].tobytes(), docs[some].tobytes()
+    groups = [(int(at[a]), False, open_[a:b]) for a, b in zip(first, np.append(first[1:], len(at)))]
     if len(settled):
-        yield int(spread[settled[0]] % _U(shards)), True, digits[settled].tobytes(), docs[settled].tobytes()
+        groups.append((int(digits[settled[0], 0] % _U(shards)), True, settled))
+    if groups:
+        yield _rows([(k, done, digits[some].tobytes(), docs[some].tobytes()) for k, done, some in groups], _DEALT_SCHEMA)
 
 
-def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+def _arrays(table: pa.Table, columns: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(digits, documents, settled) of a shard."""
+    digits, docs = (b"".join(table[c].to_pylist()) for c in ("digits", "docs"))
+    sizes = [len(d) // 8 for d in table["docs"].to_pylist()]
+    docs, settled = np.frombuffer(docs, np.int64), np.repeat(table["settled"].to_numpy(), sizes).astype(bool)
+    return np.frombuffer(digits, _U).reshape(-1, columns), docs, settled
 
 
-_DEALT_SCHEMA = pa.schema([("shard", pa.int32()), ("settled", pa.bool_()), ("digits", pa.binary()), ("docs", pa.binary())])
+#: ``mask`` has a bit for each window that is covered, by its distance from the landmark.
+_MARK = "doc long, content long, mask long"
+_MARKS = "array<struct<content: bigint, mask: bigint>>"
+#: All windows of a stretch; none yet.
+_COVERED, _ASKED = -1, 0
+
+
+def _marked(parts: list[tuple]) -> pa.Table:
+    docs, contents, masks = (np.concatenate(x) for x in zip(*parts))
+    columns = [pa.array(docs), pa.array(contents.view(np.int64)), pa.array(masks)]
+    return pa.Table.from_arrays(columns, ["doc", "content", "mask"])
 
 
 def _first_digits(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1, BATCH):
-            docs = batch.column(0).to_numpy()
-            for texts in _parts(raw_texts(batch.column(1))):
+            docs, digits, owners = batch.column(0).to_numpy(), [], []
+            for texts, _ in _parts([raw or b"" for raw in raw_texts(batch.column(1))]):
                 found = Stretches(texts)
-                digits = np.stack([found.landmark, found.content], axis=1)
-                rows = list(_dealt(digits, docs[found.rows], found.landmark, shards))
-                if rows:
-                    yield _rows(rows, _DEALT_SCHEMA)
+                digits.append(np.stack([found.landmark, found.content], axis=1))
+                owners.append(docs[found.rows])
+            if digits:
+                yield from _dealt(np.concatenate(digits), np.concatenate(owners), 2, shards)
 
     return run
 
 
-def _arrays(table: pa.Table, columns: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(digits, documents, settled) of a shard."""
-    digits, docs = (b"".join(table[c].to_pylist()) for c in ("digits", "docs"))
-    docs = np.frombuffer(docs, np.int64)
-    sizes = [len(d) // 8 for d in table["docs"].to_pylist()]
-    return np.frombuffer(digits, _U).reshape(-1, columns), docs, np.repeat(table["settled"].to_numpy(), sizes).astype(bool)
-
-
-_MARK = "doc long, content long, asked boolean"
-_MARKS = "array<struct<content: bigint, asked: boolean>>"
-
-
 def _stretch_marks(table: pa.Table) -> pa.Table:
     """Covered stretches, and those whose windows have to be looked at."""
     digits, docs, settled = _arrays(table, 2)
-    marked = [(docs[settled], digits[settled, 1], False)]
+    parts = [(docs[settled], digits[settled, 1], np.full(settled.sum(), _COVERED))]
     digits, docs = digits[~settled], docs[~settled]
     alive, group = radix(digits[:, :1], docs)
-    content = digits[alive, 1]
-    order = np.lexsort((docs[alive], content, group))
-    alive, group, content = alive[order], group[order], content[order]
-    new_group = np.r_[True, group[1:] != group[:-1]][: len(group)]
-    head = new_group | np.r_[True, content[1:] != content[:-1]][: len(group)]
-    here = docs[alive]
+    here, content = docs[alive], digits[alive, 1]
+    order = np.lexsort((here, content, group))
+    here, group, content = here[order], group[order], content[order]
+    head = np.r_[True, (group[1:] != group[:-1]) | (content[1:] != content[:-1])][: len(group)]
     owner = here[head][np.cumsum(head) - 1]
-    marked.append((here[here > owner], content[here > owner], False))
     several = np.bincount(group[head], minlength=1) > 1
-    asked = head & several[group] if len(group) else head
-    marked.append((here[asked], content[asked], True))
-    columns = [
-        pa.array(np.concatenate([d for d, _, _ in marked])),
-        pa.array(np.concatenate([c for _, c, _ in marked]).view(np.int64)),
-        pa.array(np.repeat([a for _, _, a in marked], [len(d) for d, _, _ in marked])),
-    ]
-    return pa.Table.from_arrays(columns, ["doc", "content", "asked"])
-
-
-def _which(found: Stretches, lists: pa.Array, asked: bool) -> np.ndarray:
-    """Whether each stretch is marked, as covered or as asked for, in the list of its row."""
-    rows, flat = pc.list_parent_indices(lists).to_numpy(), lists.flatten()
-    some = flat.field("asked").to_numpy(zero_copy_only=False) == asked
-    rows, marks = rows[some], flat.field("content").to_numpy()[some].view(_U)
-    names = np.unique(marks)
-    if not len(names):
-        return np.zeros(len(found.rows), bool)
-    at = np.minimum(np.searchsorted(names, found.content), len(names) - 1)
-    pairs = rows * len(names) + np.searchsorted(names, marks)
-    return (names[at] == found.content) & np.isin(found.rows * len(names) + at, pairs)
+    asked = head & several[group]
+    for some, mask in ((here > owner, _COVERED), (asked, _ASKED)):
+        parts.append((here[some], content[some], np.full(some.sum(), mask)))
+    return _marked(parts)
+
+
+def _masks(found: Stretches, lists: list[pa.Array]) -> tuple[np.ndarray, np.ndarray]:
+    """(whether its row has marks for it, all of them joined) for each stretch."""
+    rows = np.concatenate([pc.list_parent_indices(x).to_numpy() for x in lists])
+    contents, masks = (np.concatenate([x.flatten().field(c).to_numpy() for x in lists]) for c in ("content", "mask"))
+    if not len(rows) or not len(found.rows):
+        return np.zeros(len(found.rows), bool), np.zeros(len(found.rows), np.int64)
+    contents = contents.view(_U)
+    names = np.unique(contents)
+    pairs = rows * len(names) + np.searchsorted(names, contents)
+    order = np.argsort(pairs)
+    pairs, masks = pairs[order], masks[order]
+    first = np.flatnonzero(np.r_[True, pairs[1:] != pairs[:-1]])
+    pairs, masks = pairs[first], np.bitwise_or.reduceat(masks, first)
+    name = np.minimum(np.searchsorted(names, found.content), len(names) - 1)
+    mine = found.rows * len(names) + name
+    at = np.minimum(np.searchsorted(pairs, mine), len(pairs) - 1)
+    hit = (names[name] == found.content) & (pairs[at] == mine)
+    return hit, np.where(hit, masks[at], 0)
+
+
+def _copied(column: pa.Array) -> pa.Array:
+    """The column without what its offsets leave out."""
+    return pa.concat_arrays([column])
 
 
 def _last_digits(shards: int):
-    """Texts with the contents of asked stretches to the windows in them."""
+    """Texts with marks to the halves of the stretches that are asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1, BATCH):
-            docs = batch.column(0).to_numpy()
-            lists = pa.concat_arrays([batch.column(2)])  # a copy: no offsets of slices
-            for texts in _parts(raw_texts(batch.column(1))):
+            docs, marks, digits, owners = batch.column(0).to_numpy(), _copied(batch.column(2)), [], []
+            for texts, _ in _parts([raw or b"" for raw in raw_texts(batch.column(1))]):
                 found = Stretches(texts)
-                some = np.flatnonzero(_which(found, lists, True))
-                if not len(some):
-                    continue
-                digits, owner = found.halves(some)
-                rows = list(_dealt(digits, docs[found.rows[owner]], digits[:, 0], shards))
-                if rows:
-                    yield _rows(rows, _DEALT_SCHEMA)
+                hit, masks = _masks(found, [marks])
+                some = np.flatnonzero(hit & (masks == _ASKED))
+                if len(some):
+                    halves, owner = found.halves(some)
+                    digits.append(halves)
+                    owners.append(docs[found.rows[owner]])
+            if digits:
+                yield from _dealt(np.concatenate(digits), np.concatenate(owners), 2 + _HALF, shards)
 
     return run
 
 
 def _opened(digits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(half, first byte, bytes) of each window of the halves."""
-    firsts, counts = (digits[:, 1] >> _U(8)).astype(np.int64), (digits[:, 1] & _U(255)).astype(np.int64)
-    half = np.repeat(np.arange(len(digits)), counts)
-    at = firsts[half] + np.arange(len(half)) - np.repeat(np.cumsum(counts) - counts, counts)
-    body = np.ascontiguousarray(digits[:, 2:].astype(">u8")).view(np.uint8).reshape(len(digits), 8 * _HALF)
-    return half, at, body[half[:, None], at[:, None] + np.arange(WIDTH)]
+    """(half, first byte, bit of the mask) of each window of the halves."""
+    before, first, count = (((digits[:, 1] >> _U(k)) & _U(255)).astype(np.int64) for k in (16, 8, 0))
+    half = np.repeat(np.arange(len(digits)), count)
+    at = first[half] + np.arange(len(half)) - np.repeat(np.cumsum(count) - count, count)
+    return half, at, np.left_shift(1, before[half] - at)
 
 
 def _window_marks(table: pa.Table) -> pa.Table:
-    """Covered windows, by their bytes."""
-    digits, docs, settled = _arrays(table, 2 + _HALF)
-    marked = []
+    """Covered windows, as masks of their stretches."""
+    digits, docs, settled = _arrays(table, 3 + _HALF)
+    parts = []
     alive, group = radix(digits[~settled][:, :1], docs[~settled])
-    halves, owners = digits[~settled][alive], docs[~settled][alive]
-    if len(alive):
-        half, at, body = _opened(halves)
-        padded = np.zeros((len(body), 8 * _EIGHT), np.uint8)
-        padded[:, :WIDTH] = body
-        columns = np.column_stack([group[half].astype(_U), at.astype(_U), padded.view(">u8").astype(_U)])
-        alive, group = radix(columns, owners[half])
-        here = owners[half[alive]]
-        head = np.r_[True, group[1:] != group[:-1]][: len(group)]
-        if len(here):
-            low = np.minimum.reduceat(here, np.flatnonzero(head))[np.cumsum(head) - 1]
-            marked.append((here[here > low], body[alive[here > low]]))
-    if settled.any():
-        half, _, body = _opened(digits[settled])
-        marked.append((docs[settled][half], body))
-    found = [np.concatenate(x) for x in zip(*marked)] if marked else [np.zeros(0, np.int64), ()]
-    return pa.table({"doc": pa.array(found[0]), "window": pa.array([w.tobytes() for w in found[1]], pa.binary())})
-
-
-def _spans(raw: bytes, lows: np.ndarray, highs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Begins and ends of the maximal runs that the given ranges cover together."""
-    steps = np.zeros(len(raw) + 1, np.int32)
-    np.add.at(steps, lows, 1)
-    np.add.at(steps, highs, -1)
-    gone = np.diff(np.r_[False, np.cumsum(steps)[:-1] > 0, False].astype(np.int8))
-    return np.flatnonzero(gone == 1), np.flatnonzero(gone == -1)
-
-
-def _covers(raw_rows: list[bytes], marks: pa.Array, windows: list[list[bytes] | None]) -> list[list]:
-    """(low, high) of all covered ranges of each row."""
-    ranges: list[list] = [[] for _ in raw_rows]
-    with_windows = np.array([bool(w) for w in windows], bool)
-    part_of: dict[int, int] = {}
-    for texts in _parts(raw_rows):
+    for halves, owners, group in ((digits[settled], docs[settled], None), (digits[~settled][alive], docs[~settled][alive], group)):
+        half, at, bits = _opened(halves)
+        gone = np.arange(len(half))
+        if group is not None:
+            body = np.ascontiguousarray(halves[:, 2:-1].astype(">u8")).view(np.uint8).reshape(len(halves), 8 * _HALF)
+            padded = np.zeros((len(half), 8 * _EIGHT), np.uint8)
+            padded[:, :WIDTH] = body[half[:, None], at[:, None] + np.arange(WIDTH)]
+            columns = np.column_stack([group[half].astype(_U), at.astype(_U), padded.view(">u8").astype(_U)])
+            rows, group = radix(columns, owners[half])
+            here = owners[half[rows]]
+            head = np.r_[True, group[1:] != group[:-1]][: len(group)]
+            low = here if not len(here) else np.minimum.reduceat(here, np.flatnonzero(head))[np.cumsum(head) - 1]
+            gone = rows[here > low]
+        masks = np.zeros(len(halves), np.int64)
+        np.bitwise_or.at(masks, half[gone], bits[gone])
+        some = masks != 0
+        parts.append((owners[some], halves[some, -1], masks[some]))
+    return _marked(parts)
+
+
+def _gone(raws: list[bytes], lists: list[pa.Array]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, begin, end) of the maximal runs of covered bytes."""
+    base = np.cumsum([0, *(len(r) + 1 for r in raws)])  # a byte between rows that nothing covers
+    steps = np.zeros(base[-1] + 1, np.int32)
+    for texts, begins in _parts(raws):
         found = Stretches(texts)
-        # where a part stands in its text: parts of a row come in order
-        shift = np.zeros(len(texts), np.int64)
-        for k, (row, _) in enumerate(texts):
-            shift[k] = part_of.get(row, 0) * BATCH
-            part_of[row] = part_of.get(row, 0) + 1
-        offset = shift - found.begin
-        for k in np.flatnonzero(_which(found, marks, False)):
-            o = offset[found.text[k]]
-            ranges[found.rows[k]].append((found.low[k] + o, found.high[k] + o + WIDTH))
-        places, owner = found.windows(np.flatnonzero(_which(found, marks, True) & with_windows[found.rows]))
-        sets: dict[int, set] = {}
-        data = memoryview(found.data)
-        for p, k in zip(places.tolist(), owner.tolist()):
-            row = int(found.rows[k])
-            known = sets.setdefault(row, set(windows[row] or ()))
-            if known and bytes(data[p : p + WIDTH]) in known:
-                low = p + int(offset[found.text[k]])
-                ranges[row].append((low, low + WIDTH))
-    return ranges
+        _, masks = _masks(found, lists)
+        shift = base[[r for r, _ in texts]] + np.array(begins, np.int64) - found.begin
+        whole = masks == _COVERED
+        places, owner = found.windows(np.flatnonzero(~whole & (masks != 0)))
+        some = masks[owner] >> (found.place[owner] - places) & 1 > 0
+        places, owner = places[some], owner[some]
+        low = np.r_[found.low[whole] + shift[found.text[whole]], places + shift[found.text[owner]]]
+        high = np.r_[found.high[whole] + shift[found.text[whole]], places + shift[found.text[owner]]] + WIDTH
+        np.add.at(steps, low, 1)
+        np.add.at(steps, high, -1)
+    edges = np.diff((np.cumsum(steps) > 0).astype(np.int8), prepend=0)
+    begin, end = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    row = np.searchsorted(base, begin, "right") - 1
+    return row, begin - base[row], end - base[row]
 
 
 def _rest(id_col: str):
@@ -377,18 +386,17 @@ def _rest(id_col: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1, BATCH):
-            docs, raws = batch.column(0).to_pylist(), [r or b"" for r in raw_texts(batch.column(1))]
-            marks, windows = pa.concat_arrays([batch.column(2)]), batch.column(3).to_pylist()
+            raws, lists = [r or b"" for r in raw_texts(batch.column(1))], [_copied(batch.column(k)) for k in (2, 3)]
             # texts without marks need no second look
-            ranges = _covers([r if n else b"" for r, n in zip(raws, pc.list_value_length(marks).to_pylist())], marks, windows)
+            row, begin, end = _gone([r if n else b"" for r, n in zip(raws, pc.list_value_length(lists[0]).to_pylist())], lists)
+            bounds = np.searchsorted(row, np.arange(len(raws) + 1)).tolist()
             rows = []
-            for doc, raw, spans in zip(docs, raws, ranges):
-                if not spans:
-                    rows.append((doc, len(raw), 0, 0, hashlib.sha256(raw).hexdigest(), raw))
-                    continue
-                begins, ends = _spans(raw, *np.array(spans).T)
-                kept = b"".join(raw[a:b] for a, b in zip([0, *ends.tolist()], [*begins.tolist(), len(raw)]))
-                rows.append((doc, len(raw), len(raw) - len(kept), len(begins), hashlib.sha256(kept).hexdigest(), kept))
+            for k, (doc, raw) in enumerate(zip(batch.column(0).to_pylist(), raws)):
+                a, b = bounds[k], bounds[k + 1]
+                kept = raw
+                if a < b:
+                    kept = b"".join(raw[x:y] for x, y in zip([0, *end[a:b].tolist()], [*begin[a:b].tolist(), len(raw)]))
+                rows.append((doc, len(raw), len(raw) - len(kept), b - a, hashlib.sha256(kept).hexdigest(), kept))
             yield _rows(rows, schema)
 
     return run
@@ -405,19 +413,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     of several texts, and not smaller than each other. An empty table gives an empty
     result. Only the two named columns are read.
     """
-    shards = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").cast("binary").alias("text"))
     named = rows.where("doc IS NOT NULL")
     dealt = named.mapInArrow(_first_digits(shards), _DEALT)
     marks = dealt.groupBy("shard").applyInArrow(_stretch_marks, _MARK)
-    marks = marks.groupBy("doc").agg(F.collect_list(F.struct("content", "asked")).alias("marks"))
+    marks = marks.groupBy("doc").agg(F.collect_list(F.struct("content", "mask")).alias("marks"))
     texts = named.join(marks, "doc", "left")
     asked = texts.where("marks IS NOT NULL").select("doc", "text", "marks")
     dealt = asked.mapInArrow(_last_digits(shards), _DEALT)
-    seen = dealt.groupBy("shard").applyInArrow(_window_marks, "doc long, window binary")
-    windows = seen.groupBy("doc").agg(F.collect_set("window").alias("windows"))
+    seen = dealt.groupBy("shard").applyInArrow(_window_marks, _MARK)
+    windows = seen.groupBy("doc").agg(F.collect_list(F.struct("content", "mask")).alias("windows"))
     joined = texts.join(windows, "doc", "left").select("doc", "text", "marks", "windows")
-    nameless = rows.where("doc IS NULL").select("*", F.lit(None).cast(_MARKS).alias("marks"), F.lit(None).cast("array<binary>").alias("windows"))
-    lists = joined.union(nameless).select("doc", "text", F.coalesce("marks", F.array().cast(_MARKS)).alias("marks"), "windows")
+    none = F.array().cast(_MARKS)
+    nameless = rows.where("doc IS NULL").select("*", none.alias("marks"), none.alias("windows"))
+    lists = joined.union(nameless).select("doc", "text", F.coalesce("marks", none), F.coalesce("windows", none))
     columns = f"`{id_col}` long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     return lists.mapInArrow(_rest(id_col), columns)
