@@ -40,6 +40,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -213,6 +214,22 @@ def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
+def _packed(numbers: np.ndarray, columns: int) -> bytes:
+    """Compressed, with all first bytes of the first ``columns`` columns, then all second ones, and so on before the rest."""
+    planes = np.ascontiguousarray(numbers[:, :columns]).view(np.uint8).T.tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(planes + numbers[:, columns:].tobytes())
+
+
+def _unpacked(packed: list[bytes], columns: int, width: int) -> np.ndarray:
+    tool, found = zstandard.ZstdDecompressor(), []
+    for raw in map(tool.decompress, packed):
+        n = len(raw) // (8 * width)
+        planes = np.frombuffer(raw, np.uint8, 8 * columns * n).reshape(8 * columns, n).T
+        rest = np.frombuffer(raw, _U, offset=8 * columns * n).reshape(n, width - columns)
+        found.append(np.column_stack([np.ascontiguousarray(planes).view(_U), rest]))
+    return np.concatenate(found)
+
+
 def _dealt(digits: np.ndarray, docs: np.ndarray, keys: int, shards: int) -> Iterator[pa.RecordBatch]:
     """Rows of a batch by shard: what is open goes by the leading bits of the first digit, what is settled anywhere."""
     open_, settled = _owners(digits, docs, keys)
@@ -224,15 +241,16 @@ def _dealt(digits: np.ndarray, docs: np.ndarray, keys: int, shards: int) -> Iter
     if len(settled):
         groups.append((int(digits[settled[0], 0] % _U(shards)), True, settled))
     if groups:
-        yield _rows([(k, done, digits[some].tobytes(), docs[some].tobytes()) for k, done, some in groups], _DEALT_SCHEMA)
+        pairs = [(docs[some, None].view(_U), digits[some]) for _, _, some in groups]
+        columns = [(_packed(d, 1), _packed(x, 2)) for d, x in pairs]
+        yield _rows([(k, done, x, d) for (k, done, _), (d, x) in zip(groups, columns)], _DEALT_SCHEMA)
 
 
 def _arrays(table: pa.Table, columns: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(digits, documents, settled) of a shard."""
-    digits, docs = (b"".join(table[c].to_pylist()) for c in ("digits", "docs"))
-    sizes = [len(d) // 8 for d in table["docs"].to_pylist()]
-    docs, settled = np.frombuffer(docs, np.int64), np.repeat(table["settled"].to_numpy(), sizes).astype(bool)
-    return np.frombuffer(digits, _U).reshape(-1, columns), docs, settled
+    docs = [_unpacked([d], 1, 1) for d in table["docs"].to_pylist()]
+    settled = np.repeat(table["settled"].to_numpy(), [len(d) for d in docs]).astype(bool)
+    return _unpacked(table["digits"].to_pylist(), 2, columns), np.concatenate(docs)[:, 0].view(np.int64), settled
 
 
 #: ``mask`` has a bit for each window that is covered, by its distance from the landmark.
