@@ -39,6 +39,7 @@ SHARD_TERMS = 4096
 #: Partial counts of a task are merged when there are so many rows of them.
 _MERGE_ROWS = 1 << 19
 _KEYS = ["lang", "source", "term"]
+_COUNTS = pa.schema([*((k, pa.large_string()) for k in _KEYS), ("n", pa.int64()), ("docs", pa.int64())])
 
 
 def _counted(batch: pa.RecordBatch) -> pa.Table:
@@ -49,6 +50,8 @@ def _counted(batch: pa.RecordBatch) -> pa.Table:
     pieces = pc.split_pattern_regex(pc.ascii_lower(text), BETWEEN)
     rows, terms = pc.list_parent_indices(pieces), pc.list_flatten(pieces)
     some = pc.not_equal(terms, "")
+    if not some.true_count:
+        return _COUNTS.empty_table()
     # a term is a number of the dictionary while it is counted
     coded = terms.filter(some).dictionary_encode()
     cells = pa.table({"row": rows.filter(some).cast(pa.int64()), "code": coded.indices.cast(pa.int64())})

@@ -155,15 +155,16 @@ def _walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parents, asked = pc.list_parent_indices(columns["asked"]), pc.list_flatten(columns["asked"])
             if not len(asked):
                 continue
-            ranks = asked.field("rank")
             levels = [_levels(c, f) for c, f in zip(columns["children"].to_pylist(), columns["full"].to_pylist())]
             above = columns["path"].to_pylist()
             paths, digests = [], []
-            for row, rank in zip(parents.to_pylist(), ranks.to_pylist()):
-                place = rank % WIDTH
+            wanted = list(zip(parents.to_pylist(), [rank % WIDTH for rank in asked.field("rank").to_pylist()]))
+            there = pa.array([place < len(levels[row][0]) for row, place in wanted])
+            for row, place in (w for w, ok in zip(wanted, there.to_pylist()) if ok):
                 paths.append(above[row] + _segment(levels[row], place))
                 digests.append(levels[row][0][place])
-            arrays = [columns["tree"].take(parents), columns["roots"].take(parents), ranks]
+            parents, asked = parents.filter(there), asked.filter(there)
+            arrays = [columns["tree"].take(parents), columns["roots"].take(parents), asked.field("rank")]
             arrays += [pa.array(digests, pa.string()), pa.array(paths, _PATH), asked.field("payload")]
             yield pa.RecordBatch.from_arrays(arrays, ["tree", "roots", "rank", "digest", "path", "payload"])
 

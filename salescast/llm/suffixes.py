@@ -206,6 +206,8 @@ def _owners(digits: np.ndarray, docs: np.ndarray, keys: int) -> tuple[np.ndarray
     return order[new & (docs == owner)], order[new & (docs > owner)]
 
 
+#: Settled rows that go to one shard.
+_SETTLED = 1 << 12
 _DEALT = "shard int, settled boolean, digits binary, docs binary"
 _DEALT_SCHEMA = pa.schema([("shard", pa.int32()), ("settled", pa.bool_()), ("digits", pa.binary()), ("docs", pa.binary())])
 
@@ -238,8 +240,10 @@ def _dealt(digits: np.ndarray, docs: np.ndarray, keys: int, shards: int) -> Iter
     open_, at = open_[order], at[order]
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]][: len(at)])
     groups = [(int(at[a]), False, open_[a:b]) for a, b in zip(first, np.append(first[1:], len(at)))]
-    if len(settled):
-        groups.append((int(digits[settled[0], 0] % _U(shards)), True, settled))
+    for a in range(0, len(settled), _SETTLED):
+        some = settled[a : a + _SETTLED]
+        spread = _mix(docs[some[:1]].view(_U) + digits[some[:1], 0])
+        groups.append((int(spread[0] % _U(shards)), True, some))
     if groups:
         pairs = [(docs[some, None].view(_U), digits[some]) for _, _, some in groups]
         columns = [(_packed(d, 1), _packed(x, 2)) for d, x in pairs]
