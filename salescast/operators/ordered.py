@@ -7,12 +7,14 @@ physical forms give the same answer:
   ``daily_sales``). One window per group is bounded by the calendar, so the
   features are plain window expressions over a single sort.
 * ``daily=False``: a group is raw rows and may hold a third of the table. Rows
-  get their position from counts (per date and digest prefix, then inside one
-  prefix), are cut into blocks of consecutive positions, and each block brings
-  along the few rows before it that its windows reach back to.
+  are dealt out by range and sorted, so a row's position is the number of rows in
+  earlier partitions, a table with one row for each partition and group, and its
+  place in its own. They are then cut into blocks of consecutive positions, and
+  each block brings along the few rows before it that its windows reach back to.
 
 On raw rows the order within a date is that of the row digest, which makes it
-total: rows with equal digests are copies of each other.
+total: rows with equal digests are copies of each other. Copies are told apart by
+their place in the source, so a group of copies is spread like any other rows.
 """
 
 from __future__ import annotations
@@ -24,9 +26,10 @@ from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
 from salescast.functions import round_half_even, row_digest
+from salescast.sources.tables import new_folder, stage
 
 BLOCK_ROWS = 1_000_000
-_PREFIX_DIGITS = 4  # 65,536 digest prefixes per date
+_PLACE_BITS = 33  # of a row number: the place in the partition
 
 
 def shuffle_partitions(df: DataFrame) -> int:
@@ -64,143 +67,84 @@ def _masked(columns: dict[str, Column], group: str | None) -> dict[str, Column]:
     return {name: F.when(F.col(group).isNotNull(), c) for name, c in columns.items()}
 
 
-def _slotted(df: DataFrame, columns: Sequence[str], group: str | None, date: str) -> DataFrame:
-    """Add ``_digest`` and ``_slot``: group, date and the start of the digest.
-
-    Slots sort like their rows do, and a struct compares NULL parts as equal.
-    """
-    return df.withColumn("_digest", row_digest(df, columns)).withColumn(
-        "_slot",
-        F.struct(
-            (F.col(group) if group else F.lit(True)).alias("group"),
-            F.col(date).isNull().alias("no_date"),
-            F.col(date).alias("date"),
-            F.substring("_digest", 1, _PREFIX_DIGITS).alias("prefix"),
-        ),
-    )
-
-
-def row_runs(
-    df: DataFrame, group: str | None, date: str, target: str | None = None
-) -> DataFrame:
-    """Distinct rows with ``_copies`` and ``_start``, their first position.
+def positioned(df: DataFrame, group: str | None, date: str, staging: str | None = None) -> DataFrame:
+    """``df`` with ``_group`` (a struct, so NULL is a group) and ``_position``.
 
     Positions count from 0 within a group, by date (missing dates last) and then
-    digest. Copies are counted before the shuffle and stay one row. Running sums
-    over the days of a group, the slots of a day and inside each slot give the
-    position.
-
-    With a ``target`` the same steps give what fills need from beyond a
-    block: ``_known``, the last target up to this row that is not NULL,
-    ``_is_first``, whether this row has the group's first such target, and
-    ``_group_rows``, the size of the group.
+    digest. The sorted rows are written to ``staging``, a new folder in the shared
+    one unless given: from there on every reader sees the same order.
     """
-    runs = df.groupBy(*_all(df)).agg(F.count(F.lit(1)).alias("_copies"))
-    runs = _slotted(runs, df.columns, group, date)
-    summary = [F.sum("_copies").alias("_rows")]
-    if target:
-        digest = F.when(F.col(target).isNotNull(), F.col("_digest"))
-        summary.append(F.max_by(target, digest).alias("_last"))
-    slots = runs.groupBy("_slot").agg(*summary).withColumn(
-        "_day", F.struct("_slot.group", "_slot.no_date", "_slot.date")
+    parts = shuffle_partitions(df)
+    # dealt evenly first: the ranges are sampled, which reads and digests all rows once more
+    keyed = df.repartition(parts).withColumns(
+        {
+            "_group": F.struct((F.col(group) if group else F.lit(True)).alias("key")),
+            "_no_date": F.col(date).isNull(),
+            "_digest": F.unhex(row_digest(df, df.columns)),
+        }
+    )
+    # sorted first: a task that runs again numbers the copies of a row the same way
+    numbered = keyed.sortWithinPartitions("_digest").withColumn("_source", F.monotonically_increasing_id())
+    order = ["_group", "_no_date", F.col(f"`{date}`"), "_digest", "_source"]
+    dealt = numbered.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    rows = dealt.drop("_no_date", "_digest", "_source").withColumn("_number", F.monotonically_increasing_id())
+    rows = stage(rows, staging or new_folder(df.sparkSession))
+    part = F.shiftright("_number", _PLACE_BITS).alias("_part")
+    runs = rows.groupBy("_group", part).agg(F.min("_number").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.partitionBy("_group").orderBy("_part")
+    shift = F.sum("_rows").over(earlier) - F.col("_rows") - F.col("_first")
+    runs = runs.select("_group", "_part", shift.alias("_shift"))
+    rows = rows.withColumn("_part", part).join(runs, ["_group", "_part"])
+    return rows.withColumn("_position", F.col("_number") + F.col("_shift")).drop("_number", "_part", "_shift")
+
+
+def _blocks(rows: DataFrame, reach: int, block_rows: int) -> DataFrame:
+    """Rows by block: ``_block`` and ``_own`` (not a carried-in row)."""
+    size = F.lit(block_rows)
+    own = F.call_function("div", F.col("_position"), size)
+    last = F.call_function("div", F.col("_position") + reach, size)
+    return (
+        rows.withColumn("_block", F.explode(F.sequence(own, last)))
+        .withColumn("_own", F.col("_position") >= F.col("_block") * size)
+        # a fixed number, as a block's work says little about its bytes
+        .repartition(shuffle_partitions(rows), "_group", "_block")
     )
-    offsets = _slot_offsets(slots, target)
-
-    within = Window.partitionBy("_slot").orderBy("_digest")
-    earlier = within.rowsBetween(Window.unboundedPreceding, -1)
-    start = F.col("_offset") + F.coalesce(F.sum("_copies").over(earlier), F.lit(0))
-    placed = runs.join(offsets, "_slot").withColumn("_start", start)
-    if target:
-        known_earlier = F.coalesce(F.last(target, True).over(earlier), "_known_before")
-        placed = placed.withColumn("_known_earlier", known_earlier).withColumns(
-            {
-                "_known": F.coalesce(target, "_known_earlier"),
-                "_is_first": F.col(target).isNotNull() & F.col("_known_earlier").isNull(),
-            }
-        )
-        placed = placed.drop("_known_earlier", "_known_before")
-    return placed.drop("_slot", "_digest", "_offset")
-
-
-def _slot_offsets(slots: DataFrame, target: str | None) -> DataFrame:
-    """Rows before each slot, in two levels: over the days of a group, then over the slots of a day.
 
-    The windows hold a calendar, and the prefixes of one day, whatever the rows
-    are. With a ``target`` also the last known target before, and the group's size.
-    """
-    summary = [F.sum("_rows").alias("_day_rows")]
-    if target:
-        summary.append(F.max_by("_last", F.when(F.col("_last").isNotNull(), F.col("_slot"))).alias("_day_last"))
-    days = slots.groupBy("_day").agg(*summary).withColumn("_day_group", F.col("_day.group"))
-    across = Window.partitionBy("_day_group").orderBy("_day")
-    inside = Window.partitionBy("_day").orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    before = across.rowsBetween(Window.unboundedPreceding, -1)
-    whole = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    of_days = [F.coalesce(F.sum("_day_rows").over(before), F.lit(0)).alias("_day_offset")]
-    columns = ["_slot", (F.col("_day_offset") + F.coalesce(F.sum("_rows").over(inside), F.lit(0))).alias("_offset")]
-    if target:
-        of_days.append(F.last("_day_last", True).over(before).alias("_day_known"))
-        of_days.append(F.sum("_day_rows").over(whole).alias("_group_rows"))
-        known = F.coalesce(F.last("_last", True).over(inside), F.col("_day_known"))
-        columns += [known.alias("_known_before"), "_group_rows"]
-    return slots.join(days.select("_day", *of_days), "_day").select(*columns)
-
-
-def _blocks(
-    runs: DataFrame, group: str | None, reach: int, block_rows: int, target: str | None = None
-) -> DataFrame:
-    """Rows by block: ``_block``, ``_position`` and ``_own`` (not a carried-in row).
 
-    A run of copies is sent to its blocks as one row per block and written out
-    only there, so a run with a third of the table is spread like any other.
+def _known_before(rows: DataFrame, target: str, reach: int, block_rows: int) -> DataFrame:
+    """What fills need from beyond a block, one row for each block of a group.
 
-    With a ``target`` the row with the group's first known target is also sent to
-    every block of the group, at position -1, and leaves ``_first_known`` and
-    ``_first_position`` there. It has no target itself, so windows ignore it.
+    ``_before``: the last target that is not NULL before the rows carried into the
+    block; ``_first_known`` and ``_first_position``: the group's first one;
+    ``_group_rows``: the size of the group. Each block is summed up in two parts, the
+    rows that the next block sees and those before them.
     """
     size = F.lit(block_rows)
-    end = F.col("_start") + F.col("_copies") - 1
-
-    def piece(block: Column) -> Column:
-        first = F.greatest(F.col("_start"), block * size - reach)
-        last = F.least(end, block * size + size - 1)
-        return F.struct(block.alias("block"), first.alias("first"), last.alias("last"))
-
-    def marker(block: Column) -> Column:
-        nowhere = F.lit(-1).cast("bigint")
-        return F.struct(block.alias("block"), nowhere.alias("first"), nowhere.alias("last"))
-
-    first_block = F.call_function("div", F.col("_start"), size)
-    last_block = F.call_function("div", end + reach, size)
-    pieces = F.transform(F.sequence(first_block, last_block), piece)
-    if target:
-        every_block = F.sequence(
-            F.lit(0).cast("bigint"), F.call_function("div", F.col("_group_rows") - 1, size)
-        )
-        with_markers = F.concat(pieces, F.transform(every_block, marker))
-        pieces = F.when(F.col("_is_first"), with_markers).otherwise(pieces)
-    rows = (
-        runs.withColumn("_piece", F.explode(pieces))
-        .where("_piece.first <= _piece.last")
-        .withColumn("_group", F.struct((F.col(group) if group else F.lit(True)).alias("key")))
-        .withColumn("_block", F.col("_piece.block"))
-        # a fixed number: a run of copies is small here and large once written
-        # out, so adaptive execution must not merge these partitions by size
-        .repartition(shuffle_partitions(runs), "_group", "_block")
-        .withColumn("_position", F.explode(F.sequence("_piece.first", "_piece.last")))
-        .withColumn("_own", F.col("_position") >= F.col("_block") * size)
+    known = F.when(F.col(target).isNotNull(), F.col("_position"))
+    parts = rows.groupBy(
+        "_group",
+        F.call_function("div", F.col("_position"), size).alias("_block"),
+        (F.pmod("_position", size) >= block_rows - reach).alias("_late"),
+    ).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.max_by(target, known).alias("_last"),
+        F.min_by(F.struct(F.col(target).alias("value"), F.col("_position").alias("at")), known).alias("_first"),
     )
-    if target:
-        marks = F.col("_position") < 0
-        rows = rows.withColumns(
-            {
-                "_first_known": F.when(marks, F.col(target)),
-                "_first_position": F.when(marks, F.col("_start")),
-                "_known": F.when(~marks, F.col("_known")),
-                target: F.when(~marks, F.col(target)),
-            }
-        )
-    return rows
+    order = Window.partitionBy("_group").orderBy("_block", "_late")
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first = F.first(F.when(F.col("_first.at").isNotNull(), F.col("_first")), True).over(whole)
+    found = parts.select(
+        "_group",
+        "_block",
+        "_late",
+        # the part just before is what the block carries in
+        F.last("_last", True).over(order.rowsBetween(Window.unboundedPreceding, -2)).alias("_before"),
+        first.alias("_first"),
+        F.sum("_rows").over(whole).alias("_group_rows"),
+    )
+    columns = ["_group", "_block", "_before", "_group_rows"]
+    first_known = [F.col("_first.value").alias("_first_known"), F.col("_first.at").alias("_first_position")]
+    return found.where("NOT _late").select(*columns, *first_known)
 
 
 def _filled_columns(
@@ -214,10 +158,7 @@ def _filled_columns(
     and takes the first value that the feature has, if it ever gets one.
     """
     plain = _feature_columns(target, windows, lags, w)
-    # the row at position -1 comes first in its block
-    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    first_known = F.first("_first_known").over(so_far)
-    first_position = F.first("_first_position").over(so_far)
+    first_known = F.col("_first_known")
     filled = {}
     for n in windows:
         name = rolling_name(target, n)
@@ -225,7 +166,7 @@ def _filled_columns(
             plain[name], round_half_even(F.col("_known")), round_half_even(first_known)
         )
     for k in lags:
-        has_value = first_position + k < F.col("_group_rows")
+        has_value = F.col("_first_position") + k < F.col("_group_rows")
         filled[lag_name(target, k)] = F.coalesce(
             F.lag("_known", k).over(w), F.when(has_value, first_known)
         )
@@ -242,12 +183,14 @@ def ordered_features(
     fill: bool = False,
     daily: bool = False,
     block_rows: int = BLOCK_ROWS,
+    staging: str | None = None,
 ) -> DataFrame:
     """``df`` plus rolling means and lags of ``target``, optionally filled.
 
     ``group`` gives every group its own order; rows with a NULL group get NULL
     features. ``fill`` runs forward then backward over the added columns. Say
-    ``daily=True`` only when a group has at most one row per date.
+    ``daily=True`` only when a group has at most one row per date. Raw rows are
+    staged on the way (see :func:`positioned`); whoever names the folder removes it.
     """
     features = [rolling_name(target, n) for n in windows] + [lag_name(target, k) for k in lags]
     if not features:
@@ -258,15 +201,19 @@ def ordered_features(
         added = df.withColumns(_masked(_feature_columns(target, windows, lags, order), group))
         return fill_features(added, features, group, date) if fill else added
 
-    reach = max([n - 1 for n in windows] + [k for k in lags] + [0])
+    reach = max([n - 1 for n in windows] + [k for k in lags] + [1])
     block_rows = max(block_rows, 2 * reach)
     order = Window.partitionBy("_group", "_block").orderBy("_position")
-    filled = target if fill else None
+    placed = positioned(df, group, date, staging)
+    rows = _blocks(placed, reach, block_rows)
     if fill:
+        rows = rows.join(_known_before(placed, target, reach, block_rows), ["_group", "_block"])
+        so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+        known = F.coalesce(F.last(target, True).over(so_far), F.col("_before"))
+        rows = rows.withColumn("_known", known)
         columns = _filled_columns(target, windows, lags, order)
     else:
         columns = _feature_columns(target, windows, lags, order)
-    rows = _blocks(row_runs(df, group, date, filled), group, reach, block_rows, filled)
     rows = rows.withColumns(_masked(columns, group)).where("_own")
     return rows.select(*_all(df), *features)
 

@@ -30,6 +30,7 @@ def feature_table(
     cfg: Mapping[str, Any] | None = None,
     product_id: str | None = None,
     series_cols: Sequence[str] = (),
+    staging: str | None = None,
 ) -> DataFrame:
     """Calendar, rolling and lag features plus ``ds`` and ``y``, per series.
 
@@ -38,7 +39,8 @@ def feature_table(
     * ``product_id`` keeps that product's rows as they are; so does a table
       without a product column.
 
-    Features are filled forward, then backward, within their series.
+    Features are filled forward, then backward, within their series. Rows that are
+    not aggregated are put in order on the way, in a table at ``staging``.
     """
     chosen = settings(cfg, "features")
     windows, lags = chosen["rolling_windows"], chosen["lag_days"]
@@ -55,7 +57,7 @@ def feature_table(
         # forward fill gives a row without a date the features of the last date
         filled_date = F.coalesce(date, rows.agg(F.max("date")).scalar())
     rows = ordered_features(
-        rows, TARGET, windows, lags, group=group, fill=True, daily=daily
+        rows, TARGET, windows, lags, group=group, fill=True, daily=daily, staging=staging
     )
     if not daily:
         series = F.lit(ALL_PRODUCTS) if product_id is None else F.lit(product_id)
