@@ -13,7 +13,8 @@ from catalog.views import (
     table,
 )
 from salescast.operators import quality as op
-from salescast.sources.sales import typed_sales
+from salescast.sources.sales import split_records, typed_records, typed_sales
+from salescast.sources.tables import discard, new_folder
 
 
 def _checks_sql(view: str, text: str, columns: list[str], allow_negative: bool) -> str:
@@ -180,3 +181,41 @@ def typed_cells(spark, sf_dir):
     raw = spark.sql(text, lines=table(spark, sf_dir, "lineitem"))
     typed = typed_sales(raw, strict=False)
     return typed.withColumns({c: F.col(c).cast("bigint") for c in ("l_orderkey", "l_linenumber")})
+
+
+_LINES = """
+SELECT concat_ws(',', CAST(CAST(l_shipdate AS DATE) AS STRING), concat('"', l_partkey, ', ""', l_linestatus, repeat('"', 3)),
+                 CASE WHEN l_linenumber <> 3 THEN CAST(CAST(l_quantity AS BIGINT) AS STRING) END,
+                 CASE WHEN l_linenumber < 6 THEN '1.5' END, CASE WHEN l_linenumber = 2 THEN '"surplus, quoted"' END) AS line
+FROM {lines}"""
+
+
+@query(
+    """
+WITH cells AS (
+  SELECT CAST(l_quantity AS BIGINT) AS quantity,
+         4 - CAST(l_linenumber = 3 AS INT) - CAST(l_linenumber >= 6 AS INT) + CAST(l_linenumber = 2 AS INT) AS n
+  FROM lineitem
+)
+SELECT CASE WHEN n = 4 THEN 'accepted' WHEN n > 4 THEN 'too many cells: 5 of 4' ELSE 'too few cells: 3 of 4' END AS outcome,
+       count(*) AS records, CAST(sum(CASE WHEN n = 4 THEN quantity END) AS DOUBLE) AS quantity
+FROM cells GROUP BY outcome
+"""
+)
+def rejected_records(spark, sf_dir):
+    """All line items as a text table in which some records have too many or too few cells."""
+    path = new_folder(spark) + ".csv"
+    lines = spark.sql(_LINES, lines=table(spark, sf_dir, "lineitem"))
+    header = "date,product_id,sales_quantity,revenue"
+    # one column with its own separators in it: what is written are the lines themselves
+    plain = {"header": True, "sep": "\u0001", "quote": "\u0000", "escapeQuotes": False}
+    lines.withColumnRenamed("line", header).write.options(**plain).csv(path)
+    try:
+        accepted, rejected = split_records(typed_records(spark, path, multiline=False))
+        quantity = F.sum("sales_quantity").alias("quantity")
+        kept = accepted.agg(F.lit("accepted").alias("outcome"), F.count("*").alias("records"), quantity)
+        none = F.lit(None).cast("double").alias("quantity")
+        found = kept.union(rejected.groupBy("reason").agg(F.count("*"), none))
+        return spark.createDataFrame(found.collect(), found.schema)
+    finally:
+        discard(spark, path)

@@ -17,6 +17,7 @@ DEFAULTS: dict[str, dict[str, Any]] = {
     },
     "data_quality": {
         "max_null_rate": 0.05,
+        "max_rejected_rate": 0.05,
         "min_records": 90,
         "max_date_gap_days": 7,
         "allow_negative_sales": False,

@@ -18,6 +18,8 @@ from salescast.functions import is_missing
 
 # Check names in the order in which they are made.
 CHECKS = ["minimum_records", "null_rate", "no_negative_sales", "date_continuity"]
+#: The check on records that a scan of text left out.
+REJECTED = "rejected_records"
 
 
 def _gap(previous: Column, date: Column) -> Column:
@@ -124,8 +126,14 @@ def null_rates(df: DataFrame) -> DataFrame:
     )
 
 
-def quality_checks(summary: DataFrame, cfg: Mapping[str, Any] | None = None) -> DataFrame:
-    """The four checks made on a row of :func:`quality_summary`."""
+def quality_checks(
+    summary: DataFrame, cfg: Mapping[str, Any] | None = None, rejected: int | None = None
+) -> DataFrame:
+    """The four checks made on a row of :func:`quality_summary`.
+
+    With ``rejected``, the number of records that the scan left out, a fifth one:
+    their share of all records.
+    """
     limits = settings(cfg, "data_quality")
     records, rate = F.col("record_count"), F.col("overall_null_rate")
     negatives, gap = F.col("negative_sales_count"), F.col("max_date_gap_days")
@@ -136,9 +144,14 @@ def quality_checks(summary: DataFrame, cfg: Mapping[str, Any] | None = None) ->
         (negatives, 0.0, F.when(negatives.isNotNull(), negative_ok)),
         (gap, float(limits["max_date_gap_days"]), ~(gap > limits["max_date_gap_days"])),
     ]
+    names = list(CHECKS)
+    if rejected is not None:
+        share = F.coalesce(F.try_divide(F.lit(rejected), records + rejected), F.lit(0.0))
+        names.append(REJECTED)
+        outcome.append((share, float(limits["max_rejected_rate"]), ~(share > limits["max_rejected_rate"])))
     no_date = F.lit(None).cast("date")
     rows = []
-    for i, (name, (value, threshold, passed)) in enumerate(zip(CHECKS, outcome)):
+    for i, (name, (value, threshold, passed)) in enumerate(zip(names, outcome)):
         is_gap = name == "date_continuity"
         rows.append(
             F.struct(
@@ -179,6 +192,7 @@ def first_failed(checks: DataFrame) -> DataFrame:
             "Date gap of %.0f days exceeds threshold of %.0f days. The dates around it are %s and %s.",
             value, limit, F.col("gap_start").cast("string"), F.col("gap_end").cast("string"),
         ),
+        REJECTED: F.format_string("Share %.2f%% of malformed records is above %.2f%%.", value * 100, limit * 100),
     }
     message = F.coalesce(*[F.when(F.col("check_name") == name, text) for name, text in texts.items()])
     first = F.min(F.when(~F.col("passed"), F.struct("position", "check_name", message.alias("message"))))

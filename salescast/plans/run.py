@@ -53,12 +53,14 @@ def run_all(
     cleaned, features = f"{base}/cleaned", f"{base}/features"
     models, forecast = f"{base}/models", f"{base}/forecast"
     parsed = f"{base}/parsed" if is_csv(raw_path, fmt) else None
-    stages = {"extraction": extract_data(spark, raw_path, cfg, fmt, parsed)[1]}
-    stages["validation"] = validate_and_clean_data(
-        spark, parsed or raw_path, cleaned, cfg, "parquet" if parsed else fmt
-    )
-    if parsed:
-        discard(spark, parsed)
+    try:
+        stages = {"extraction": extract_data(spark, raw_path, cfg, fmt, parsed)[1]}
+        stages["validation"] = validate_and_clean_data(
+            spark, parsed or raw_path, cleaned, cfg, "parquet" if parsed else fmt
+        )
+    finally:
+        if parsed:
+            discard(spark, parsed)
     stages["feature_engineering"] = engineer_features(
         spark, cleaned, features, cfg, product_id, series_cols, fmt="parquet"
     )

@@ -38,7 +38,7 @@ from salescast.sources.models import (
     models_by_version,
     write_models,
 )
-from salescast.sources.sales import is_csv, read_sales, read_training
+from salescast.sources.sales import is_csv, read_sales, read_training, split_records, typed_records
 from salescast.sources.tables import discard, read_table, shared_folder, stage, write_table
 
 Config = Mapping[str, Any] | None
@@ -102,24 +102,34 @@ def validate_and_clean_data(
 
     Raises ``ValueError`` with the first failed check before anything is written.
     Text input is staged as Parquet beside the output, because several passes
-    read it, and removed at the end.
+    read it, and removed at the end. Text records that do not fit their header are
+    left out and counted by the gate; they are written to ``{output_path}_rejected``,
+    each with its reason, whether the gate passes or not.
     """
-    sales = read_sales(spark, input_path, fmt=fmt)
-    staged = f"{output_path}_staged" if is_csv(input_path, fmt) else None
-    if staged:
-        sales = stage(sales, staged)
+    if not is_csv(input_path, fmt):
+        sales = read_sales(spark, input_path, fmt=fmt)
+        return _validate_and_clean(spark, sales, None, input_path, output_path, cfg, output_fmt)
+    staged = f"{output_path}_staged"
     try:
-        return _validate_and_clean(spark, sales, input_path, output_path, cfg, output_fmt)
+        sales, rejected = split_records(stage(typed_records(spark, input_path, fmt), staged))
+        write_table(rejected, f"{output_path}_rejected")
+        n = rejected.count()
+        return _validate_and_clean(spark, sales, n, input_path, output_path, cfg, output_fmt)
     finally:
-        if staged:
-            discard(spark, staged)
+        discard(spark, staged)
 
 
 def _validate_and_clean(
-    spark: SparkSession, sales: DataFrame, input_path: str, output_path: str, cfg: Config, output_fmt: str
+    spark: SparkSession,
+    sales: DataFrame,
+    rejected: int | None,
+    input_path: str,
+    output_path: str,
+    cfg: Config,
+    output_fmt: str,
 ) -> DataFrame:
     summary = _kept(quality_summary(sales))
-    checked = quality_checks(summary, cfg)
+    checked = quality_checks(summary, cfg, rejected or None)
     failure = first_failed(checked).first()["message"]
     if failure:
         raise ValueError(failure)
@@ -136,6 +146,7 @@ def _validate_and_clean(
         checks_performed=[c["check_name"] for c in checks if c["performed"]],
         checks_passed=[c["check_name"] for c in checks if c["passed"]],
         metrics=summary,
+        rejected_records=F.lit(rejected).cast("bigint"),
         cleaning=cleaning,
         operations=cleaning_log(cleaning, rules)
         .agg(F.sort_array(F.collect_list(F.struct("*"))).alias("log"))
@@ -160,10 +171,28 @@ def engineer_features(
     Text input is staged beside the output and removed at the end.
     """
     sales = read_sales(spark, input_path, fmt=fmt)
-    staged = f"{output_path}_staged" if is_csv(input_path, fmt) else None
-    if staged:
-        sales = stage(sales, staged)
-    features = feature_table(sales, cfg, product_id, series_cols)
+    staged, ordered = f"{output_path}_staged", f"{output_path}_ordered"
+    try:
+        if is_csv(input_path, fmt):
+            sales = stage(sales, staged)
+        return _engineer(spark, sales, input_path, output_path, cfg, product_id, series_cols, output_fmt, ordered)
+    finally:
+        for path in (staged, ordered):
+            discard(spark, path)
+
+
+def _engineer(
+    spark: SparkSession,
+    sales: DataFrame,
+    input_path: str,
+    output_path: str,
+    cfg: Config,
+    product_id: str | None,
+    series_cols: Sequence[str],
+    output_fmt: str,
+    ordered: str,
+) -> DataFrame:
+    features = feature_table(sales, cfg, product_id, series_cols, staging=ordered)
     write_table(features, output_path, output_fmt, sort_by=["series_id", "date"])
     names = feature_names(cfg)
     chosen = settings(cfg, "features")
@@ -187,10 +216,7 @@ def engineer_features(
         "end_date",
         F.current_timestamp().alias("processed_at"),
     )
-    row = _kept(row)
-    if staged:
-        discard(spark, staged)
-    return row
+    return _kept(row)
 
 
 def training_hash(features: DataFrame) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,9 +42,9 @@ def open_table(path: str, load: Callable[[], DataFrame]) -> DataFrame:
         return load()
     except AnalysisException as problem:
         if problem.getCondition() == "PATH_NOT_FOUND":
-            raise FileNotFoundError(f"Data file not found: {path}") from problem
+            raise FileNotFoundError(f"no table at {path}") from problem
         if "Permission denied" in str(problem):
-            raise PermissionError(f"File is not readable: {path}") from problem
+            raise PermissionError(f"no right to read {path}") from problem
         raise
 
 
@@ -108,28 +108,104 @@ def _normalised(table: DataFrame, strict: bool) -> DataFrame:
     return table.withColumns(changed) if changed else table
 
 
+#: Where a record that does not fit its header keeps its text.
+RECORD = "_record"
+
+
+def csv_reader(spark: SparkSession, multiline: bool = True) -> DataFrameReader:
+    """A reader of text tables: quotes are doubled inside cells, which may hold line breaks.
+
+    Without ``multiline`` large files are split, and a line break ends a record.
+    """
+    return (
+        spark.read.option("header", True)
+        .option("escape", '"')
+        .option("multiLine", multiline)
+        # a cell of any length, and files with another header are refused
+        .option("maxCharsPerColumn", -1)
+        .option("enforceSchema", False)
+    )
+
+
+def csv_records(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """The records of a text table: a text column for each cell, and :data:`RECORD`.
+
+    That is NULL for a record with as many cells as the header; of any other it
+    has the whole text, and the cells mean nothing. Blank lines are no records.
+    """
+    names = open_table(path, lambda: csv_reader(spark, multiline).csv(path)).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*names, RECORD)])
+    # every cell is parsed, or short records would not be seen by scans of few columns
+    options = {"columnNameOfCorruptRecord": RECORD, "columnPruning": False}
+    return csv_reader(spark, multiline).options(**options).csv(path, schema=schema)
+
+
+def reject_reason(record: Column, cells: int) -> Column:
+    """Why a record was rejected; commas inside quotes separate nothing."""
+    bare = F.regexp_replace(record, '"([^"]|"")*"', "")
+    found = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    many, few = F.lit("too many cells: "), F.lit("too few cells: ")
+    counted = F.concat(found.cast("string"), F.lit(f" of {cells}"))
+    return F.when(found > cells, F.concat(many, counted)).when(found < cells, F.concat(few, counted)).otherwise("unreadable")
+
+
+def _unfit(records: DataFrame) -> Column:
+    """Whether a record does not fit its header."""
+    first = F.col(f"`{records.columns[0]}`").cast("string")
+    # a cell is named too: a scan cannot be asked for the text of rejects alone
+    return F.col(RECORD).isNotNull() & (F.coalesce(F.length(first), F.lit(0)) >= 0)
+
+
+def _split(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    unfit = _unfit(records)
+    reason = reject_reason(F.col(RECORD), len(records.columns) - 1)
+    rejected = records.where(unfit).select(F.col(RECORD).alias("record"), reason.alias("reason"))
+    return records.where(~unfit).drop(RECORD), rejected
+
+
+def split_records(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted rows, rejected records with their reason) of :func:`typed_records`.
+
+    A table without rejected texts, as Parquet is, has none.
+    """
+    if RECORD not in records.columns:
+        none = records.sparkSession.createDataFrame([], "record string, reason string")
+        return records, none
+    return _split(records)
+
+
+def typed_records(spark: SparkSession, path: str, fmt: str | None = None, multiline: bool = True) -> DataFrame:
+    """Sales rows typed leniently; from text also :data:`RECORD`, for :func:`split_records`."""
+    if not is_csv(path, fmt):
+        return read_sales(spark, path, fmt=fmt)
+    records = validate_schema(csv_records(spark, path, multiline), ["date"])
+    typed = typed_sales(records.withColumnRenamed(RECORD, "_text"), strict=False)
+    # a rejected text is no cell: words for "missing" do not apply to it
+    return typed.withColumn(RECORD, F.col("_text")).drop("_text")
+
+
 def read_sales(
-    spark: SparkSession, path: str, strict: bool = False, fmt: str | None = None
+    spark: SparkSession, path: str, strict: bool = False, fmt: str | None = None, multiline: bool = True
 ) -> DataFrame:
     """Sales rows from CSV (with header) or Parquet; a directory is fine.
 
     CSV cells are read as text and cast. ``strict`` raises, when rows are read,
-    on a value that does not fit its type and on a missing quantity; otherwise
-    such cells are NULL, for the quality gate to count. ``strict`` wants all four
-    columns, otherwise only ``date``; operators pass over what is absent. ``fmt``
-    is told from the path's ending unless given. NaN becomes NULL.
+    on a record with more or fewer cells than the header, on a value that does not
+    fit its type and on a missing quantity. Otherwise such records are left out
+    (:func:`typed_records` has them) and such cells are NULL, for the quality gate
+    to count. ``strict`` wants all four columns, otherwise only ``date``; operators
+    pass over what is absent. ``fmt`` is told from the path's ending unless given.
+    NaN becomes NULL. ``multiline`` is as in :func:`csv_reader`.
     """
     needed = SALES_COLUMNS if strict else ["date"]
     if is_csv(path, fmt):
-        reader = (
-            spark.read.option("header", True)
-            .option("escape", '"')
-            .option("inferSchema", False)
-            # files with another header are refused, not bound by position
-            .option("enforceSchema", False)
-        )
-        raw = open_table(path, lambda: reader.csv(path))
-        return typed_sales(validate_schema(raw, needed), strict)
+        records = csv_records(spark, path, multiline)
+        cells = validate_schema(records.drop(RECORD), needed).columns
+        if strict:
+            text = F.concat(reject_reason(F.col(RECORD), len(cells)), F.lit(" in record "), F.col(RECORD))
+            records = records.where(F.when(_unfit(records), F.raise_error(text)).otherwise(F.lit(True)))
+            return typed_sales(records.drop(RECORD), strict)
+        return typed_sales(_split(records)[0], strict)
     table = validate_schema(open_table(path, lambda: spark.read.parquet(path)), needed)
     return _normalised(table, strict)
 
@@ -140,7 +216,7 @@ def read_training(spark: SparkSession, path: str, fmt: str | None = None) -> Dat
     From CSV, ``ds`` and ``y`` are cast, and a bad cell raises when it is read.
     """
     if is_csv(path, fmt):
-        reader = spark.read.option("header", True).option("escape", '"')
+        reader = csv_reader(spark).option("enforceSchema", True)
         raw = validate_schema(open_table(path, lambda: reader.csv(path)), TRAINING_COLUMNS)
         return raw.withColumns({"ds": F.col("ds").cast("date"), "y": F.col("y").cast("double")})
     table = open_table(path, lambda: spark.read.parquet(path))
