@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescast.llm.text import normalised, raw_texts, slices
+from salescast.llm.text import normalised, raw_texts, slices, unpacked, whole_row
 
 #: Bytes of text that one trie may hold before it spills a subtree.
 TRIE_BYTES = 64 << 20
@@ -201,10 +201,15 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with all their columns, one row of each text."""
-    kept = exact_groups(docs, id_col, text_col).where("kept").select(F.col(id_col).alias("_keep_id"), "text_sha256")
-    kept = kept.distinct().withColumnRenamed("text_sha256", "_keep_sha")
+    """The documents that stay, with all their columns, one row of each text.
+
+    NULL and empty texts are one text. The smallest id stays, a row without an id only
+    where no row of the text has one; of rows that repeat id and text any one stays. An
+    empty table gives an empty result. Other columns may have any names.
+    """
+    kept = exact_groups(docs.select(id_col, text_col), id_col, text_col)
+    kept = kept.where("kept").select(F.col(id_col).alias("_keep_id"), F.col("text_sha256").alias("_keep_sha")).distinct()
     sha = F.sha2(normalised(F.col(text_col).cast("string")), 256)
-    marked = docs.select(*docs.columns, F.col(id_col).cast("long").alias("_row_id"), sha.alias("_row_sha"))
-    same = marked["_row_id"].eqNullSafe(kept["_keep_id"]) & (marked["_row_sha"] == kept["_keep_sha"])
-    return marked.join(kept, same, "left_semi").dropDuplicates(["_row_id", "_row_sha"]).select(*docs.columns)
+    rows = docs.select(whole_row(docs), F.col(id_col).cast("long").alias("_row_id"), sha.alias("_row_sha"))
+    same = F.col("_row_id").eqNullSafe(F.col("_keep_id")) & (F.col("_row_sha") == F.col("_keep_sha"))
+    return unpacked(rows.join(kept, same, "left_semi").dropDuplicates(["_row_id", "_row_sha"]), docs)

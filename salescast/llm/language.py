@@ -46,23 +46,37 @@ def family_of(lang: str) -> str:
     return _FAMILY_OF.get(lang.lower(), lang)
 
 
+def _lowered(c: str) -> int:
+    """Code point of a letter in lower case, its own if that has several; 0 for anything else."""
+    if not c.isalpha():
+        return 0
+    return ord(c.lower()) if len(c.lower()) == 1 else ord(c)
+
+
 def _letters() -> np.ndarray:
-    """Lower-case code point of each letter of the basic plane, 0 for anything else."""
+    """:func:`_lowered` of the basic plane."""
     if "letters" not in _TABLE:
-        lower = (ord(c.lower()) if c.isalpha() and len(c.lower()) == 1 else 0 for c in map(chr, range(1 << 16)))
-        _TABLE["letters"] = np.fromiter(lower, _U, 1 << 16)
+        _TABLE["letters"] = np.fromiter(map(_lowered, map(chr, range(1 << 16))), _U, 1 << 16)
     return _TABLE["letters"]
 
 
+def _plain(codes: np.ndarray) -> np.ndarray:
+    """:func:`_lowered` of code points of every plane."""
+    plain = _letters()[np.minimum(codes, 0xFFFF)]
+    beyond = codes > 0xFFFF
+    if beyond.any():
+        distinct, place = np.unique(codes[beyond], return_inverse=True)
+        plain[beyond] = np.array([_lowered(chr(c)) for c in distinct.tolist()], _U)[place]
+    return plain
+
+
 def vectors(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """(rows x FEATURES) unit vectors, and which texts have a letter."""
-    table = _letters()
     result = np.zeros((len(texts), FEATURES), np.float32)
     lettered = np.zeros(len(texts), bool)
     for row, raw in enumerate(texts):
         codes = np.frombuffer((raw or b"").decode().encode("utf-32-le"), _U)
-        # letters beyond the basic plane count as one letter of their own block
-        plain = np.where(codes < 1 << 16, table[np.minimum(codes, 0xFFFF)], codes >> 8)
+        plain = _plain(codes)
         keep = (plain > 0) | np.concatenate([[False], plain[:-1] > 0]) if len(plain) else plain > 0
         plain = np.concatenate([[_U(0)], plain[keep], [_U(0)]])  # each gap as one boundary
         if len(plain) < 3:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from salescast.llm.text import SPACE, cut, row_key
+from salescast.llm.text import SPACE, cut, row_key, unpacked, whole_row
 
 #: Weights of the sources in the order of their names, repeating.
 WEIGHTS = (5, 2, 1)
@@ -155,11 +155,11 @@ def take_mix(
     key = row_key(F.col(text_col), F.col(id_col), F.col(source_col))
     copies = _copies(docs, id_col, text_col, source_col, key=key, **options)
     copies = copies.groupBy(F.col("key").alias("_mix_key")).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    rows = docs.withColumn("_row_key", key)
-    joined = rows.join(copies.where("_copies > 0"), rows["_row_key"] == F.col("_mix_key"))
+    rows = docs.select(whole_row(docs), key.alias("_row_key"))
+    joined = rows.join(copies.where("_copies > 0"), F.col("_row_key") == F.col("_mix_key"))
     place = F.row_number().over(Window.partitionBy("_mix_key").orderBy(F.lit(0)))
     joined = joined.withColumn("_place", place).withColumn(
         "_times", F.expr("CAST(_copies DIV _rows AS INT) + CAST(_place <= _copies % _rows AS INT)")
     )
     taken = joined.where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return taken.select(*docs.columns)
+    return unpacked(taken, docs)

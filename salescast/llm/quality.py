@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescast.llm.text import SPACE, cut, row_key, words
+from salescast.llm.text import SPACE, cut, row_key, unpacked, whole_row, words
 
 # Frequent function words of English, German, French and Spanish.
 COMMON_WORDS = sorted(
@@ -180,7 +180,9 @@ def filter_quality(
     what agrees in all three has the same.
     """
     named = [id_col, lang_col] if lang_col else [id_col]
-    marked = docs.withColumn("_row_key", row_key(F.col(text_col), *map(F.col, named)))
-    verdict = quality_rules(marked, "_row_key", text_col, lang_col)
+    key = row_key(F.col(text_col), *map(F.col, named)).alias("_row_key")
+    read = [text_col, lang_col] if lang_col else [text_col]
+    verdict = quality_rules(docs.select(key, *read), "_row_key", text_col, lang_col)
     kept = verdict.where("kept").select(F.col("_row_key").alias("_kept_key")).distinct()
-    return marked.join(kept, marked["_row_key"] == kept["_kept_key"], "left_semi").select(*docs.columns)
+    rows = docs.select(whole_row(docs), key)
+    return unpacked(rows.join(kept, F.col("_row_key") == F.col("_kept_key"), "left_semi"), docs)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from salescast.llm.components import components
-from salescast.llm.text import byte_words, cut, raw_texts, row_key, slices
+from salescast.llm.text import byte_words, cut, raw_texts, row_key, slices, unpacked, whole_row
 
 SEED = 42
 SHINGLE = 3
@@ -186,7 +186,9 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     It is the row with the smallest id, without an id only if no row of the group
     has one; of several the smallest digest of the text decides. Rows are matched
-    by id and text, so an id used again elsewhere is no matter.
+    by id and text, so an id used again elsewhere is no matter. NULL and empty texts
+    are near each other. An empty table gives an empty result. Other columns may have
+    any names.
     """
     key = row_key(F.col(text_col), F.col(id_col))
     marked = fingerprints(docs, id_col, text_col, key=key)
@@ -194,6 +196,6 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     codes = cut(marked.groupBy("fp").agg(F.min(first).alias("first")))
     kept = _rooted(codes, "first", RADIUS).groupBy("root").agg(F.min("first").alias("first"))
     kept = kept.select(F.col("first.key").alias("_kept_key"))
-    rows = docs.withColumn("_row_key", key)
-    rows = rows.join(kept, rows["_row_key"] == kept["_kept_key"], "left_semi")
-    return rows.dropDuplicates(["_row_key"]).select(*docs.columns)
+    rows = docs.select(whole_row(docs), key.alias("_row_key"))
+    rows = rows.join(kept, F.col("_row_key") == F.col("_kept_key"), "left_semi")
+    return unpacked(rows.dropDuplicates(["_row_key"]), docs)

@@ -35,6 +35,16 @@ def row_key(text: Column, *others: Column) -> Column:
     return F.concat(F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256), *parts)
 
 
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one struct ``row``, out of the way of the names a stage needs."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]).alias("row")
+
+
+def unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again."""
+    return rows.select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
 def byte_words(raw: bytes | None) -> list[bytes]:
     """The words of a UTF-8 text; ``bytes.split`` cuts at the same six characters."""
     return raw.split() if raw else []

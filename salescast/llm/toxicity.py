@@ -70,16 +70,27 @@ def split_words(lowered: str) -> list[str]:
 
 
 def _alphabet(letters: dict[str, int]) -> np.ndarray:
-    """Class of each code point: 0 outside of words, else the letter's number or the last class."""
+    """Class of each code point of the basic plane: 0 outside of words, else the letter's number or the last class."""
     table = np.fromiter((chr(c).isalnum() for c in range(1 << 16)), bool, 1 << 16).astype(np.int16)
     table[0xD800:0xE000] = 0
-    table[0xFFFF] = 0
     table *= len(letters) + 1
     for letter, number in letters.items():
-        table[ord(letter)] = number
+        if ord(letter) < 1 << 16:
+            table[ord(letter)] = number
     return table
 
 
+def _classes(codes: np.ndarray, table: np.ndarray, letters: dict[str, int]) -> np.ndarray:
+    """As :func:`_alphabet`, for code points of every plane."""
+    classes = table[np.minimum(codes, 0xFFFF)]
+    beyond = codes > 0xFFFF
+    if beyond.any():
+        distinct, place = np.unique(codes[beyond], return_inverse=True)
+        other = len(letters) + 1
+        classes[beyond] = np.array([letters.get(c, other * c.isalnum()) for c in map(chr, distinct.tolist())], np.int16)[place]
+    return classes
+
+
 def _with_inner(codes: np.ndarray, inside: np.ndarray) -> np.ndarray:
     marks = np.isin(codes, [ord(c) for c in _INNER])
     flanked = np.zeros(len(codes), bool)
@@ -316,7 +327,7 @@ class Scanner:
         lowered = [(raw or b"").decode().lower() for raw in texts]
         joined = "\n".join(lowered) + "\n"
         codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
-        classes = self.table[np.minimum(codes, 0xFFFF)]
+        classes = _classes(codes, self.table, self.automaton.letters)
         inside = _with_inner(codes, classes > 0)
         classes[inside & (classes == 0)] = self.automaton.n_classes - 1
         starts = np.flatnonzero(inside & ~np.concatenate([[False], inside[:-1]]))
