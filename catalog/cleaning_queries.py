@@ -1,5 +1,7 @@
 """Outlier statistics, capping, imputation, the cleaning chain."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from catalog.registry import query
@@ -12,6 +14,7 @@ from catalog.views import (
     sales,
 )
 from salescast.operators import cleaning as op
+from salescast.operators import sketches
 
 
 def _bounds_sql(view: str, column: str, multiplier: float, name: str = "b") -> str:
@@ -197,3 +200,45 @@ def cleaning_counts(spark, sf_dir):
         F.col("null_before")["product_id"].alias("product_nulls_before"),
         F.col("null_after")["product_id"].alias("product_nulls_after"),
     )
+
+
+_RANKS = [0.25, 0.5, 0.75]
+
+
+def _sketched_sql(name: str, where: str) -> str:
+    return f"""
+SELECT '{name}' AS column_name, p, count({name}) AS n, CAST(min({name}) AS DOUBLE) AS low,
+       CAST(max({name}) AS DOUBLE) AS high, true AS within
+FROM masked_sales, (SELECT unnest([0.25, 0.5, 0.75])::DOUBLE AS p) {where} GROUP BY p"""
+
+
+@query(
+    f"""
+WITH {MASKED_SALES}
+SELECT 'all' AS days, * FROM ({_sketched_sql("revenue", "")} UNION ALL {_sketched_sql("sales_quantity", "")})
+UNION ALL
+SELECT '1995', * FROM ({_sketched_sql("revenue", "WHERE year(date) = 1995")}
+                       UNION ALL {_sketched_sql("sales_quantity", "WHERE year(date) = 1995")})
+"""
+)
+def iqr_rank_error(spark, sf_dir):
+    """Whether the true ranks of quartiles from day sketches keep to the stated error, over all days and a year of them."""
+    rows = masked_sales(spark, sf_dir)
+    columns = ["revenue", "sales_quantity"]
+    days = sketches.day_sketches(rows, columns)
+    found = None
+    for name, start, end in (("all", None, None), ("1995", dt.date(1995, 1, 1), dt.date(1995, 12, 31))):
+        quantiles = sketches.sketch_quantiles(days, columns, _RANKS, start, end)
+        chosen = rows if start is None else rows.where(F.col("date").between(start, end))
+        checks = []
+        for c in columns:
+            x, n = F.col(c).cast("double"), F.count(c)
+            for p, q in zip(_RANKS, quantiles[c].q):
+                error = sketches.rank_error(sketches.ACCURACY) * n
+                within = (F.count_if(x < q) - error <= p * n) & (F.count_if(x <= q) + error >= p * n)
+                values = [F.lit(c).alias("column_name"), F.lit(p).alias("p"), n.alias("n")]
+                ends = [F.lit(quantiles[c].low).alias("low"), F.lit(quantiles[c].high).alias("high")]
+                checks.append(F.struct(*values, *ends, within.alias("within")))
+        result = chosen.agg(F.array(*checks).alias("checks")).select(F.lit(name).alias("days"), F.inline("checks"))
+        found = result if found is None else found.union(result)
+    return found

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from salescast.config import settings
 from salescast.functions import is_missing, null_if_nan, round_half_even
 from salescast.operators.quantiles import Quantiles, exact_quantiles
+from salescast.operators.sketches import approximate_quantiles
 
 MEASURES = ["sales_quantity", "revenue"]
 #: capped to whole units
@@ -54,10 +55,17 @@ class Bounds:
         return self.low < self.lower or self.high > self.upper
 
 
+def _quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int | None):
+    """Exact ones, or with ``accuracy`` those of a sketch: one pass, values that occur."""
+    if accuracy is None:
+        return exact_quantiles(df, columns, probabilities)
+    return approximate_quantiles(df, columns, probabilities, accuracy)
+
+
 def learn_bounds(
-    df: DataFrame, columns: Sequence[str], multiplier: float = 1.5
+    df: DataFrame, columns: Sequence[str], multiplier: float = 1.5, accuracy: int | None = None
 ) -> dict[str, Bounds]:
-    found = exact_quantiles(df, columns, [0.25, 0.75])
+    found = _quantiles(df, columns, [0.25, 0.75], accuracy)
     return {c: Bounds.of(found[c], multiplier) for c in columns}
 
 
@@ -68,12 +76,16 @@ def is_outlier(x: Column, bounds: Bounds) -> Column:
     return F.coalesce(outside, F.lit(False))
 
 
-def iqr_stats(df: DataFrame, column: str, multiplier: float = 1.5) -> DataFrame:
+def iqr_stats(
+    df: DataFrame, column: str, multiplier: float = 1.5, accuracy: int | None = None
+) -> DataFrame:
     """One row: quartiles, bounds, outlier count and rate over all rows.
 
     The outliers are counted against unrounded bounds; what is shown is rounded.
+    With ``accuracy`` the quartiles come from a sketch of that size, off by
+    :func:`~salescast.operators.sketches.rank_error` at most in rank.
     """
-    bounds = learn_bounds(df, [column], multiplier)[column]
+    bounds = learn_bounds(df, [column], multiplier, accuracy)[column]
     outlier = is_outlier(F.col(column), bounds)
     counted = df.agg(
         F.count_if(outlier).alias("outlier_count"), F.count(F.lit(1)).alias("rows")
@@ -123,15 +135,21 @@ def capped(x: Column, bounds: Bounds, integer: bool) -> Column:
 
 
 def winsorize(
-    df: DataFrame, column: str, multiplier: float = 1.5, integer: bool = False
+    df: DataFrame,
+    column: str,
+    multiplier: float = 1.5,
+    integer: bool = False,
+    accuracy: int | None = None,
 ) -> DataFrame:
     """Cap the outliers of one column."""
-    bounds = learn_bounds(df, [column], multiplier)[column]
+    bounds = learn_bounds(df, [column], multiplier, accuracy)[column]
     return df.withColumn(column, capped(F.col(column), bounds, integer))
 
 
-def medians(df: DataFrame, columns: Sequence[str]) -> dict[str, float | None]:
-    found = exact_quantiles(df, columns, [0.5])
+def medians(
+    df: DataFrame, columns: Sequence[str], accuracy: int | None = None
+) -> dict[str, float | None]:
+    found = _quantiles(df, columns, [0.5], accuracy)
     return {c: found[c].q[0] for c in columns}
 
 
@@ -140,9 +158,11 @@ def imputed(x: Column, median: float | None) -> Column:
     return F.coalesce(null_if_nan(x.cast("double")), F.lit(median).cast("double"))
 
 
-def impute_median(df: DataFrame, columns: Sequence[str] = tuple(MEASURES)) -> DataFrame:
-    """Fill missing values of each column with its exact, unrounded median."""
-    middle = medians(df, list(columns))
+def impute_median(
+    df: DataFrame, columns: Sequence[str] = tuple(MEASURES), accuracy: int | None = None
+) -> DataFrame:
+    """Fill missing values of each column with its unrounded median: exact, or a sketch's."""
+    middle = medians(df, list(columns), accuracy)
     return df.withColumns({c: imputed(F.col(c), middle[c]) for c in columns})
 
 
