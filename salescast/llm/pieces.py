@@ -1,12 +1,23 @@
 """Encoding into word pieces and decoding, by a max-plus scan over chunks.
 
 The best segmentation of a text is the one whose pieces' scores have the largest
-sum. A document is cut into chunks at fixed places. The state at a cut is how
-many characters the piece that straddles it reaches beyond it. A chunk turns into
-a matrix: the best score from each state at its start to each state at its end.
-Matrices combine by max-plus products, which is associative; the products up to
-each chunk give the best state at every cut, and with both states known each
-chunk is traced back on its own.
+sum; of several, the one whose last piece is longest, then the one before it, and so
+on. A document is cut into chunks at fixed places. The state at a cut is how many
+characters the piece that straddles it reaches beyond it. A chunk turns into a
+matrix: the best score from each state at its start to each state at its end, and
+in which order states at its start are preferred when they tie.
+
+Two scans over a document follow, each in three steps (:func:`_scanned`): elements
+are combined within fixed blocks of chunks, a prefix over blocks gives the state
+before each block, and each block works out the states of its chunks.
+
+1. Forward, matrices combine by max-plus products, which is associative. The scan
+   gives the best score of every state at every cut. With it, a chunk knows which
+   state at its start belongs to each state at its end: a map.
+2. Backward, maps combine by composition. The scan gives the state at every cut.
+
+With both its states known each chunk is traced back on its own. Texts of one chunk
+are traced whole, with the same result.
 
 No piece has a space after another character, so the start of a word is never
 inside a piece. A chunk that has such a place needs only what stands before the
@@ -27,6 +38,8 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -42,6 +55,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK = 1 << 14
 
 _NONE = -(1 << 60)
+#: Chunks of a block of the scans.
+BLOCK = 64
 #: Units longer than this are segmented one by one.
 _WIDE = 48
 #: So many units are segmented side by side.
@@ -117,6 +132,12 @@ class Vocabulary:
         return after not in self.known or (before != " " and before not in self.known)
 
 
+@lru_cache(2)
+def _vocabulary(path: str) -> Vocabulary:
+    """The vocabulary of a Python worker, kept from task to task."""
+    return Vocabulary(path)
+
+
 def segment(vocabulary: Vocabulary, text: str, stop: int | None = None) -> tuple[list[int], list[int], list[int]]:
     """(best score up to each place, length of the last piece, its id); no piece begins at ``stop`` or later.
 
@@ -245,27 +266,107 @@ def _bounds(vocabulary: Vocabulary, before: str, text: str, size: int) -> tuple[
     return None if first is None else (first, next(p for p in reversed(places) if safe(p)))
 
 
-def transfer(vocabulary: Vocabulary, before: str, text: str, size: int) -> np.ndarray:
+@dataclass
+class Element:
+    """A max-plus matrix, and the order in which tied states at its start are preferred (larger first).
+
+    Where every path runs through one place the matrix is a sum of a column ``head``
+    and a row ``after``, kept as such; else ``after`` is the matrix and ``head`` None.
+    """
+
+    head: np.ndarray | None
+    after: np.ndarray
+    order: np.ndarray
+
+    def to_bytes(self) -> bytes:
+        parts = [self.after, self.order] if self.head is None else [self.head, self.after, self.order]
+        return bytes([self.head is not None]) + b"".join(p.astype("<i8").tobytes() for p in parts)
+
+    @staticmethod
+    def from_bytes(raw: bytes) -> Element:
+        numbers = np.frombuffer(raw, "<i8", offset=1)
+        if raw[0]:
+            return Element(*numbers.reshape(3, -1))
+        side = int((len(numbers) // 2) ** 0.5)
+        return Element(None, *numbers.reshape(2, side, side))
+
+
+def _held(scores: np.ndarray) -> np.ndarray:
+    return np.where(scores > _NONE // 2, scores, _NONE)
+
+
+def advance(reach: np.ndarray, element: Element) -> np.ndarray:
+    """Best scores (last axis: states) behind a chunk from those before it."""
+    if element.head is None:
+        return _held((reach[..., :, None] + element.after).max(axis=-2))
+    return _held((reach + element.head).max(axis=-1)[..., None] + element.after)
+
+
+def product(a: Element, b: Element) -> Element:
+    """The max-plus product, associative; a product has no order of states."""
+    if a.head is not None:
+        head, after = a.head, advance(a.after, b)
+    elif b.head is not None:
+        head, after = _held((a.after + b.head).max(axis=1)), b.after
+    else:
+        head, after = None, advance(a.after, b)
+    return Element(head, after, np.zeros_like(after))
+
+
+def entries(reach: np.ndarray, element: Element) -> np.ndarray:
+    """The state at a chunk's start for each state at its end."""
+    head = element.after if element.head is None else np.repeat(element.head[:, None], len(reach), axis=1)
+    order = element.order if element.head is None else element.order[:, None]
+    total = reach[:, None] + head
+    return np.where(total == total.max(axis=0), order, -1).argmax(axis=0)
+
+
+def _preferred(paths: list[tuple | None]) -> np.ndarray:
+    """Rank of each path by the lengths of its pieces, the last one first; -1 for none.
+
+    A piece that began before the chunk is longer than any that ends where it does.
+    """
+    known = sorted((p + (float("inf"),), k) for k, p in enumerate(paths) if p is not None)
+    ranks = np.full(len(paths), -1)
+    for rank, (_, k) in enumerate(known):
+        ranks[k] = rank
+    return ranks
+
+
+def _lengths(length: list[int], end: int) -> tuple[int, ...]:
+    """Lengths of the pieces of a segmentation, the last one first."""
+    found = []
+    while end:
+        found.append(length[end])
+        end -= length[end]
+    return tuple(found)
+
+
+def transfer(vocabulary: Vocabulary, before: str, text: str, size: int) -> Element:
     """The max-plus matrix of a chunk, up to a constant; states are characters beyond a cut."""
     states = vocabulary.longest
-    matrix = np.full((states, states), _NONE)
     found = _bounds(vocabulary, before, text, size)
 
-    def outgoing(at: int) -> np.ndarray:
-        scores = np.array(segment(vocabulary, text[at:], size - at)[0][size - at :][:states] if at < size else [0])
-        return np.concatenate([scores, np.full(states - len(scores), _NONE)])
+    def outgoing(at: int) -> tuple[np.ndarray, list[int]]:
+        best, length, _ = segment(vocabulary, text[at:], size - at) if at < size else ([0], [0], [])
+        scores = np.array(best[size - at :][:states])
+        return np.concatenate([scores, np.full(states - len(scores), _NONE)]), length
 
     if found is None:
+        matrix = np.full((states, states), _NONE)
+        paths: list[list] = [[None] * states for _ in range(states)]
         for k in range(min(states, size + 1)):
-            matrix[k] = outgoing(k)
-        return matrix
+            matrix[k], length = outgoing(k)
+            for e in np.flatnonzero(matrix[k] > _NONE // 2).tolist():
+                paths[e][k] = _lengths(length, size - k + e)
+        return Element(None, _held(matrix), np.stack([_preferred(p) for p in paths], axis=1))
     first, last = found
-    after = outgoing(last)
+    head, into = np.full(states, _NONE), [None] * states
     for k in range(min(states, first + 1)):
-        head = segment(vocabulary, text[k:first])[0][-1]
-        if head > _NONE // 2:
-            matrix[k] = np.where(after > _NONE // 2, head + after, _NONE)
-    return matrix
+        best, length, _ = segment(vocabulary, text[k:first])
+        if best[-1] > _NONE // 2:
+            head[k], into[k] = best[-1], _lengths(length, first - k)
+    return Element(head, _held(outgoing(last)[0]), _preferred(into))
 
 
 def trace(vocabulary: Vocabulary, before: str, text: str, size: int, entry: int, leave: int) -> tuple[list[int], str, list[int]]:
@@ -278,16 +379,25 @@ def trace(vocabulary: Vocabulary, before: str, text: str, size: int, entry: int,
     return _trace(vocabulary, text[entry:first]), text[first:last], tail
 
 
-def scan(matrices: list[np.ndarray]) -> list[int]:
+def _start(states: int) -> np.ndarray:
+    """Scores before a document: no piece reaches into it."""
+    return np.array([0] + [_NONE] * (states - 1))
+
+
+def _levelled(reach: np.ndarray) -> np.ndarray:
+    """A constant does not change the path; without it sums stay small."""
+    return _held(np.where(reach > _NONE // 2, reach - reach.max(), _NONE))
+
+
+def scan(elements: list[Element]) -> list[int]:
     """The state at each cut, the first and last included, of the best path through all chunks."""
-    reach = [np.array([0] + [_NONE] * (len(matrices[0]) - 1))]
-    for m in matrices:
-        # a constant per chunk does not change the path; it keeps sums small
-        v = (reach[-1][:, None] + m).max(axis=0)
-        reach.append(np.where(v > _NONE // 2, v - v.max(), _NONE))
+    reach, maps = _start(len(elements[0].order)), []
+    for e in elements:
+        maps.append(entries(reach, e))
+        reach = _levelled(advance(reach, e))
     states = [0]
-    for v, m in zip(reversed(reach[:-1]), reversed(matrices)):
-        states.append(int((v + m[:, states[-1]]).argmax()))
+    for m in reversed(maps):
+        states.append(int(m[states[-1]]))
     return states[::-1]
 
 
@@ -318,42 +428,110 @@ def _cut_chunks(chunk: int, reach: int):
 
 def _matrices(model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(model)
+        vocabulary = _vocabulary(model)
         for batch in slices(batches, 3, 4 << 20):
             chunks = zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)))
-            cells = [transfer(vocabulary, *x).astype("<i8").tobytes() for x in chunks]
-            columns = [batch.column(0), batch.column(1), pa.array(cells, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "chunk", "matrix"])
+            cells = [transfer(vocabulary, *x).to_bytes() for x in chunks]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cells, pa.binary())], ["row", "chunk", "item"])
 
     return run
 
 
-def _states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Matrices in the order of document and chunk to the states of each chunk."""
+class _Forward:
+    """Scores of states as they advance through matrices; each chunk's map is left behind."""
+
+    load, join, last_first = staticmethod(Element.from_bytes), staticmethod(product), False
+
+    def __init__(self, states: int):
+        self.first = _start(states).astype("<i8").tobytes()
+
+    @staticmethod
+    def through(state: bytes, element: Element) -> tuple[bytes, bytes]:
+        """(state behind the element, what is left behind)."""
+        reach = np.frombuffer(state, "<i8")
+        after = _levelled(advance(reach, element)).astype("<i8").tobytes()
+        return after, entries(reach, element).astype("<i8").tobytes()
+
+
+class _Backward:
+    """The state at each cut, from the end; each chunk's two states are left behind."""
 
-    def solved(row: int, cells: list[bytes]) -> pa.RecordBatch:
-        side = int((len(cells[0]) // 8) ** 0.5)
-        states = scan([np.frombuffer(c, "<i8").reshape(side, side) for c in cells])
-        types = [pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-        columns = [[row] * len(cells), range(len(cells)), states[:-1], states[1:]]
-        arrays = [pa.array(list(c), t) for c, t in zip(columns, types)]
-        return pa.RecordBatch.from_arrays(arrays, ["row", "chunk", "entry", "leave"])
+    last_first, first = True, np.zeros(1, "<i8").tobytes()
 
-    row, cells = None, []
+    @staticmethod
+    def load(raw: bytes) -> np.ndarray:
+        return np.frombuffer(raw, "<i8")
+
+    @staticmethod
+    def join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return b[a]
+
+    @staticmethod
+    def through(state: bytes, entry_of: np.ndarray) -> tuple[bytes, bytes]:
+        leave = np.frombuffer(state, "<i8")
+        entry = entry_of[leave]
+        return entry.astype("<i8").tobytes(), np.concatenate([entry, leave]).astype("<i8").tobytes()
+
+
+_ITEM = "row long, chunk int, item binary"
+
+
+def _scanned(items: DataFrame, kind) -> DataFrame:
+    """(row, chunk, item): what ``kind`` leaves behind at each chunk as it runs through a document.
+
+    Three steps: blocks of ``BLOCK`` chunks are combined; the state before each block is
+    worked out over a document's blocks; then the states within each block.
+    """
+    turned = -1 if kind.last_first else 1
+
+    def ordered(table: pa.Table, place: str) -> list[tuple[int, bytes]]:
+        return sorted(zip(table[place].to_pylist(), table["item"].to_pylist()), key=lambda x: turned * x[0])
+
+    def table_of(row: int, places: list[int], cells: list[bytes], place: str) -> pa.Table:
+        columns = [pa.array([row] * len(cells), pa.int64()), pa.array(places, pa.int32()), pa.array(cells, pa.binary())]
+        return pa.Table.from_arrays(columns, ["row", place, "item"])
+
+    def combined(key: tuple, table: pa.Table) -> pa.Table:
+        found = None
+        for _, raw in ordered(table, "chunk"):
+            element = kind.load(raw)
+            found = element if found is None else kind.join(found, element)
+        cell = found.to_bytes() if isinstance(found, Element) else found.astype("<i8").tobytes()
+        return table_of(key[0].as_py(), [key[1].as_py()], [cell], "block")
+
+    def before_blocks(key: tuple, table: pa.Table) -> pa.Table:
+        state, places, cells = kind.first, [], []
+        for block, raw in ordered(table, "block"):
+            places.append(block)
+            cells.append(state)
+            state = kind.through(state, kind.load(raw))[0]
+        return table_of(key[0].as_py(), places, cells, "block")
+
+    def within(key: tuple, table: pa.Table, before: pa.Table) -> pa.Table:
+        state, places, cells = before["item"][0].as_py(), [], []
+        for chunk, raw in ordered(table, "chunk"):
+            state, left = kind.through(state, kind.load(raw))
+            places.append(chunk)
+            cells.append(left)
+        return table_of(key[0].as_py(), places, cells, "chunk")
+
+    keys = ["row", "block"]
+    items = items.withColumn("block", F.expr(f"chunk div {BLOCK}").cast("int"))
+    blocks = items.groupBy(*keys).applyInArrow(combined, "row long, block int, item binary")
+    starts = blocks.groupBy("row").applyInArrow(before_blocks, "row long, block int, item binary")
+    return items.groupBy(*keys).cogroup(starts.groupBy(*keys)).applyInArrow(within, _ITEM)
+
+
+def _states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for key, cell in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
-            if cells and key != row:
-                yield solved(row, cells)
-                cells = []
-            row = key
-            cells.append(cell)
-    if cells:
-        yield solved(row, cells)
+        pairs = np.array([np.frombuffer(c, "<i8") for c in batch.column(2).to_pylist()], np.int32).reshape(-1, 2)
+        arrays = [batch.column(0), batch.column(1), pa.array(pairs[:, 0]), pa.array(pairs[:, 1])]
+        yield pa.RecordBatch.from_arrays(arrays, ["row", "chunk", "entry", "leave"])
 
 
 def _traces(model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(model)
+        vocabulary = _vocabulary(model)
         for batch in slices(batches, 3, 1 << 20):
             parts = [trace(vocabulary, *x) for x in zip(*(batch.column(k).to_pylist() for k in range(2, 7)))]
             middles = encode_units(vocabulary, [m for _, m, _ in parts])
@@ -375,7 +553,7 @@ def _digest(vocabulary: Vocabulary, ids: np.ndarray) -> str:
 
 def _short(model: str, digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(model)
+        vocabulary = _vocabulary(model)
         for batch in slices(batches, 1, 1 << 20):
             texts = [" " + raw.decode() if raw else "" for raw in raw_texts(batch.column(1))]
             ids = encode_units(vocabulary, texts)
@@ -399,25 +577,24 @@ def encode(
 
     A space is put before a text, as the model asks; NULL and empty texts have no
     ids. A literal space mark in a text is spelt in bytes. Texts of one chunk are
-    encoded where they are; longer ones are dealt out by chunk, and no task holds
-    more of a document than its chunks' matrices or its result. Rows that repeat
+    encoded where they are; longer ones are dealt out by chunk, with the same ids
+    whatever the chunk, and no task holds more of a document than a block of matrices,
+    one small state for each block, or its result. Rows that repeat
     are each encoded. An empty table gives an empty result. Only the two named
     columns are read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     short = rows.where(F.coalesce(F.length("text"), F.lit(0)) < chunk)
     short = short.mapInArrow(_short(model, digest), "doc long, ids array<int>, text_md5 string")
-    reach = Vocabulary(model).longest
+    reach = _vocabulary(model).longest
     if chunk < reach:
         raise ValueError(f"a chunk needs at least {reach} characters")
     long = rows.where(F.length("text") >= chunk).withColumn("row", F.monotonically_increasing_id())
     long = stored(long)
     chunks = stored(long.select("row", "text").mapInArrow(_cut_chunks(chunk, reach), _CHUNKS).repartition("row", "chunk"))
-    matrices = chunks.mapInArrow(_matrices(model), "row long, chunk int, matrix binary")
-    # few bytes but some work in each row: a fixed number of partitions
-    dealt = matrices.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "row")
-    dealt = dealt.sortWithinPartitions("row", "chunk")
-    states = dealt.mapInArrow(_states, "row long, chunk int, entry int, leave int")
+    matrices = stored(chunks.mapInArrow(_matrices(model), _ITEM))
+    maps = stored(_scanned(matrices, _Forward(reach)))
+    states = _scanned(maps, _Backward()).mapInArrow(_states, "row long, chunk int, entry int, leave int")
     traced = chunks.join(states, ["row", "chunk"]).mapInArrow(_traces(model), "row long, chunk int, ids array<int>")
     whole = traced.groupBy("row").agg(F.flatten(F.sort_array(F.collect_list(F.struct("chunk", "ids")))["ids"]).alias("ids"))
     encoded = long.select("row", "doc").join(whole, "row").select("doc", "ids")
@@ -432,7 +609,7 @@ def decode(encoded: DataFrame, ids_col: str = "ids", text_col: str = "text", mod
 
     @F.pandas_udf("string")
     def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        vocabulary = Vocabulary(model)
+        vocabulary = _vocabulary(model)
         for series in batches:
             yield series.map(lambda ids: decode_ids(vocabulary, () if ids is None else ids.tolist()))
 
