@@ -2,9 +2,12 @@
 
 A document's histogram of character classes and of common words is compared
 with the reference of its language by Jensen-Shannon distance (base 2, so 0 to
-1). References are mean histograms of all documents of a language that pass the
-base rules; documents without a language, or whose language has no reference,
-are compared with the mean over all. A document fails when a distance, or the
+1). A reference is the mean histogram of a language's documents that pass the base
+rules, blended with the mean over all languages as if ``PRIOR`` more documents had
+that one: a language of few documents is measured against the whole, one of many
+against itself, with no switch between. Equal texts of one language weigh once.
+Documents without a language, or whose language has no such document, are compared
+with the mean over all. A document fails when a distance, or the
 mean of both, is above its limit. Short documents are guarded: below
 ``min_chars`` characters the character distance does not count, below
 ``min_words`` words the word distance does not, and without both the mean does
@@ -34,6 +37,10 @@ MEAN_DISTANCE = 0.19
 MIN_CHARS = 100
 MIN_WORDS = 50
 WINDOW = 8
+#: Documents of the overall mean that every language is given.
+PRIOR = 10
+#: Shares are averaged as whole parts of this, so sums do not depend on their order.
+_PARTS = 10**12
 
 #: Classes of characters, taken out of a text one after the other.
 _CLASSES = [
@@ -80,7 +87,7 @@ def measures(docs: DataFrame, id_col: str, text_col: str, lang_col: str | None)
         "_id", "_lang", "t", "n_chars", (F.col("n_chars") - F.col("space")).alias("word_chars"),
         F.col("symbol").alias("n_symbols"),
         F.array(*[name for name, _ in _CLASSES], rest).alias("char_counts"),
-        words(F.col("t")).alias("w"),
+        F.unhex(F.md5("t")).alias("digest"), words(F.col("t")).alias("w"),
     )
     df = df.withColumn("lines", F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     forms = [form for word in COMMON_WORDS for form in (word, word.title(), word.upper())]
@@ -92,7 +99,7 @@ def measures(docs: DataFrame, id_col: str, text_col: str, lang_col: str | None)
         return ((F.length("c") - F.length(without)) / (len(word) + 2)).cast("long")
 
     return df.select(
-        "_id", "_lang", "n_chars", F.size("w").cast("long").alias("n_words"), "word_chars", "n_symbols",
+        "_id", "_lang", "digest", "n_chars", F.size("w").cast("long").alias("n_words"), "word_chars", "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         repeated_words("w").alias("n_repeat_words"),
         "char_counts", F.array(*map(count, COMMON_WORDS)).alias("word_counts"),
@@ -113,8 +120,30 @@ def _distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda s, x: s + x), F.lit(0.0)))
 
 
-def _means(name: str, n: int) -> Column:
-    return F.array(*[F.avg(F.col(name)[i]) for i in range(n)]).alias(f"mean_{name}")
+def references(passed: DataFrame) -> DataFrame:
+    """Per language, and NULL too, the number of texts and the sums of their histograms.
+
+    Equal texts of one language are one; their rows meet in pre-aggregated form. Sums
+    are of whole numbers, so they are the same however the rows are dealt.
+    """
+    texts = passed.groupBy("_lang", "digest").agg(*[F.any_value(name).alias(name) for name in ("chars", "words")])
+
+    def sums(name: str, n: int) -> Column:
+        parts = [F.round(F.col(name)[i] * _PARTS).cast("decimal(13,0)") for i in range(n)]
+        return F.array(*[F.sum(part).cast("decimal(38,0)") for part in parts]).alias(f"sum_{name}")
+
+    return texts.groupBy(F.col("_lang").alias("_ref")).agg(
+        F.count(F.lit(1)).alias("n_texts"), sums("chars", len(_CLASSES) + 1), sums("words", len(COMMON_WORDS) + 1)
+    )
+
+
+def _blend(name: str, overall: list[float | None], prior: int) -> Column:
+    """The reference of a row's language: its own sums and ``prior`` times the overall mean."""
+    whole = F.array(*[F.lit(x).cast("double") for x in overall])
+    own = F.zip_with(
+        f"sum_{name}", whole, lambda s, mean: (s.cast("double") / _PARTS + prior * mean) / (F.col("n_texts") + prior)
+    )
+    return F.coalesce(own, whole)
 
 
 def quality_rules(
@@ -127,13 +156,14 @@ def quality_rules(
     mean_distance: float = MEAN_DISTANCE,
     min_chars: int = MIN_CHARS,
     min_words: int = MIN_WORDS,
+    prior: int = PRIOR,
 ) -> DataFrame:
     """One row per row of ``docs``: counts, distances, base_failed and kept.
 
     NULL text has no words and fails the base rules, as the empty text does. A
     NULL language is compared with the mean of all languages. Rows that repeat
-    each get their row. An empty table gives an empty result. Only the three
-    named columns are read, so other columns cannot clash.
+    each get their row, and weigh once in the reference. An empty table gives an
+    empty result. Only the three named columns are read, so other columns cannot clash.
     """
     m = measures(docs, id_col, text_col, lang_col)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
@@ -146,19 +176,19 @@ def quality_rules(
             _shares(F.concat("word_counts", F.array(other)), F.col("n_words")).alias("words"),
         ).drop("char_counts", "word_counts")
     )
-    means = _means("chars", len(_CLASSES) + 1), _means("words", len(COMMON_WORDS) + 1)
-    passed = m.where(~F.col("base_failed"))
-    by_lang = passed.where("_lang IS NOT NULL").groupBy(F.col("_lang").alias("_ref")).agg(*means)
+    by_lang = cut(references(m.where(~F.col("base_failed"))))
     # one row, as long as the histograms are; NULL shares if nothing passed
-    overall = passed.agg(*means).first()
-    all_chars, all_words = (F.array(*[F.lit(x).cast("double") for x in row]) for row in overall)
+    total = by_lang.agg(
+        F.sum("n_texts").cast("double").alias("n"),
+        *[F.sum(F.col("sum_chars")[i]) for i in range(len(_CLASSES) + 1)],
+        *[F.sum(F.col("sum_words")[i]) for i in range(len(COMMON_WORDS) + 1)],
+    ).first()
+    overall = [None if x is None else float(x) / _PARTS / total["n"] for x in total[1:]]
+    all_chars, all_words = overall[: len(_CLASSES) + 1], overall[len(_CLASSES) + 1 :]
+    # NULL joins nothing, so rows without a language get the overall mean
     joined = m.join(by_lang, m["_lang"] == by_lang["_ref"], "left")
-    chars = F.when(
-        F.col("n_chars") >= min_chars, _distance(F.col("chars"), F.coalesce("mean_chars", all_chars))
-    )
-    tokens = F.when(
-        F.col("n_words") >= min_words, _distance(F.col("words"), F.coalesce("mean_words", all_words))
-    )
+    chars = F.when(F.col("n_chars") >= min_chars, _distance(F.col("chars"), _blend("chars", all_chars, prior)))
+    tokens = F.when(F.col("n_words") >= min_words, _distance(F.col("words"), _blend("words", all_words, prior)))
     scored = joined.withColumns({"char_distance": chars, "word_distance": tokens})
     fits = (F.coalesce("char_distance", F.lit(0.0)) <= char_distance) & (
         F.coalesce("word_distance", F.lit(0.0)) <= word_distance
@@ -177,7 +207,8 @@ def filter_quality(
     """The rows that the rules keep, with all their columns.
 
     Each row has its own verdict: rows are matched by id, text and language, and
-    what agrees in all three has the same.
+    what agrees in all three has the same. NULL and empty texts go; an empty table
+    stays empty; columns of any other name come out as they were.
     """
     named = [id_col, lang_col] if lang_col else [id_col]
     key = row_key(F.col(text_col), *map(F.col, named)).alias("_row_key")

@@ -2,6 +2,8 @@
 
 import hashlib
 import re
+import unicodedata
+from collections import Counter
 
 import numpy as np
 import oracle
@@ -9,7 +11,7 @@ import pytest
 import sentencepiece
 import xxhash
 
-from salescast.llm import pieces, queries, simhash, token_counts
+from salescast.llm import pieces, quality, queries, simhash, token_counts
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -150,6 +152,76 @@ def test_quality_counts_by_brute_force(spark, docs):
         assert not (r["kept"] and r["base_failed"])
 
 
+def histograms(text):
+    """Shares of character classes and of common words, from the rules as stated."""
+    classes = [0] * 6
+    for c in text:
+        kind = unicodedata.category(c)
+        k = 0 if kind == "Ll" else 1 if kind == "Lu" else 2 if c in " \t\n\v\f\r" else 3 if c in "#*$%&|<>" else 4 if kind == "Nd" else 5
+        classes[k] += 1
+    tokens = re.findall(r"[^\x20\x09-\x0D]+", text)
+    counts = Counter(w.lower() for w in tokens if w in (w.lower(), w.title(), w.upper()))
+    common = [counts[w] for w in quality.COMMON_WORDS]
+    return (
+        np.array(classes) / max(len(text), 1),
+        np.array([*common, len(tokens) - sum(common)]) / max(len(tokens), 1),
+    )
+
+
+def divergence_of(p, q):
+    with np.errstate(divide="ignore", invalid="ignore"):
+        halves = [np.where(a > 0, a * np.log2(2 * a / (a + b)), 0.0) for a, b in ((p, q), (q, p))]
+    return max(sum(halves).sum() / 2, 0.0) ** 0.5
+
+
+def quality_by_brute_force(rows):
+    """(doc_id, kept, distances) of (doc_id, lang, text) rows, with plain lists and means."""
+    texts = {(lang, text or "") for _, lang, text in rows if not fails_base(text or "")["base_failed"]}
+    shares = {key: histograms(key[1]) for key in texts}
+    overall = [np.mean([h[k] for h in shares.values()], axis=0) for k in (0, 1)]
+    found = []
+    for doc_id, lang, text in rows:
+        text = text or ""
+        own = [h for (of, _), h in shares.items() if of == lang] if lang is not None else []
+        distances = []
+        for k, size, least in ((0, len(text), 100), (1, fails_base(text)["n_words"], 50)):
+            blended = (sum((h[k] for h in own), 0) + 10 * overall[k]) / (len(own) + 10) if own else overall[k]
+            distances.append(divergence_of(histograms(text)[k], blended) if size >= least else None)
+        chars, tokens = distances
+        fits = (chars or 0) <= 0.25 and (tokens or 0) <= 0.6
+        fits = fits and (None in distances or (chars + tokens) / 2 <= 0.19)
+        found.append((doc_id, fits and not fails_base(text)["base_failed"], chars, tokens))
+    return found
+
+
+def check_quality(spark, rows):
+    found = {r["doc_id"]: r for r in quality.quality_rules(spark.createDataFrame(rows, "doc_id bigint, lang string, text string")).collect()}
+    expected = quality_by_brute_force(rows)
+    assert len(found) == len(rows)
+    for doc_id, kept, chars, tokens in expected:
+        r = found[doc_id]
+        assert r["kept"] == kept
+        for have, wanted in ((r["char_distance"], chars), (r["word_distance"], tokens)):
+            assert (have is None) == (wanted is None) and (have is None or abs(have - wanted) < 1e-5)
+    return found
+
+
+def test_quality_verdicts_by_brute_force(spark, docs):
+    check_quality(spark, [(d, r["lang"], r["text"]) for d, r in docs.items()])
+
+
+def test_junk_is_no_reference_of_its_own(spark, docs):
+    """Neither alone under a rare language, nor as many copies of one text."""
+    rows = [(d, r["lang"], r["text"]) for d, r in docs.items()]
+    junk = " ".join(f"{k * 7919 % 10007}#{k}|{k * k}" for k in range(200))
+    extra = [(10**6, "xx", junk), (10**6 + 1, None, junk), (10**6 + 2, "en", None), (10**6 + 3, "yy", "")]
+    extra += [(2 * 10**6 + k, "en", junk) for k in range(300)]
+    found = check_quality(spark, rows + extra)
+    assert not any(found[d]["kept"] for d, *_ in extra)
+    before = {r["doc_id"] for r in queries.op8_quality(spark, SF_DIR).where("kept").collect()}
+    assert len(before & {d for d in docs if found[d]["kept"]}) >= 0.99 * len(before)
+
+
 def test_quality_tells_good_from_junk(spark):
     found = queries.op8_quality(spark, "/root/testdata/sf0.01").where("NOT base_failed")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
