@@ -11,6 +11,7 @@ from salescast.functions.scalar import (
     round_half_even,
     row_digest,
 )
+from salescast.functions.sums import exact_sum
 
 __all__ = [
     "CALENDAR_FEATURES",
@@ -18,6 +19,7 @@ __all__ = [
     "clip_at_zero",
     "date_text",
     "escaped_text",
+    "exact_sum",
     "is_missing",
     "md5_prefix",
     "null_if_nan",

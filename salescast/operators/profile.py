@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from salescast.functions import date_text, md5_prefix, round_half_even, row_digest
+from salescast.functions import date_text, exact_sum, md5_prefix, round_half_even, row_digest
 
 
 def product_list(df: DataFrame) -> DataFrame:
@@ -13,11 +14,18 @@ def product_list(df: DataFrame) -> DataFrame:
     return df.select("product_id").where(F.col("product_id").isNotNull()).distinct()
 
 
+def _total(df: DataFrame, name: str) -> Column:
+    """Sum of a column; whole numbers and decimals are exact as they are."""
+    floating = isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
+    return exact_sum(F.col(name)) if floating else F.sum(name)
+
+
 def profile(df: DataFrame) -> DataFrame:
     """One row of table statistics.
 
     ``avg_daily_sales`` is the mean per row, not per day. Products are counted
-    here; :func:`product_list` has them, as rows.
+    here; :func:`product_list` has them, as rows. Sums of doubles do not depend on
+    the order of the rows.
     """
     quantity, revenue, date = F.col("sales_quantity"), F.col("revenue"), F.col("date")
     # one row per product first: a product with a third of all rows is combined
@@ -26,23 +34,24 @@ def profile(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows"),
         F.min(date).alias("first"),
         F.max(date).alias("last"),
-        F.sum(quantity).alias("quantity"),
+        _total(df, "sales_quantity").alias("quantity"),
         F.count(quantity).alias("quantities"),
-        F.sum(revenue).alias("revenue"),
+        _total(df, "revenue").alias("revenue"),
         F.count(revenue).alias("revenues"),
     )
+    quantity, revenue = _total(per_product, "quantity"), _total(per_product, "revenue")
     return per_product.agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("num_records"),
         F.count("product_id").alias("num_products"),
         date_text(F.min("first")).alias("start_date"),
         date_text(F.max("last")).alias("end_date"),
         (F.datediff(F.max("last"), F.min("first")) + 1).alias("num_days"),
-        F.coalesce(F.sum("quantity"), F.lit(0)).cast("bigint").alias("total_sales"),
-        round_half_even(F.coalesce(F.sum("revenue"), F.lit(0.0))).alias("total_revenue"),
-        round_half_even(F.try_divide(F.sum("quantity"), F.sum("quantities"))).alias(
+        F.coalesce(quantity, F.lit(0)).cast("bigint").alias("total_sales"),
+        round_half_even(F.coalesce(revenue, F.lit(0.0))).alias("total_revenue"),
+        round_half_even(F.try_divide(quantity, F.sum("quantities"))).alias(
             "avg_daily_sales"
         ),
-        round_half_even(F.try_divide(F.sum("revenue"), F.sum("revenues"))).alias("avg_revenue"),
+        round_half_even(F.try_divide(revenue, F.sum("revenues"))).alias("avg_revenue"),
     )
 
 
