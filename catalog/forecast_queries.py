@@ -26,9 +26,23 @@ from salescast.functions import round_half_even
 from salescast.operators import forecast as op
 from salescast.operators.daily import daily_sales
 from salescast.plans.features import feature_table
+from salescast.plans.metadata import save_metadata, stored_summary
 from salescast.plans.run import run_all
-from salescast.plans.stages import forecast_rows, model_rows, training_hash
-from salescast.sources import discard, newest_models, shared_folder, write_table
+from salescast.plans.stages import (
+    extract_data,
+    forecast_rows,
+    model_rows,
+    training_hash,
+    validate_and_clean_data,
+)
+from salescast.sources import (
+    discard,
+    latest_models as read_latest_models,
+    newest_models,
+    shared_folder,
+    write_models,
+    write_table,
+)
 
 RUN_DATE = dt.date(2024, 1, 1)
 CREATED_AT = dt.datetime(2024, 1, 1)
@@ -286,6 +300,25 @@ def latest_models(spark, sf_dir):
     return newest_models(spark.sql(text, orders=table(spark, sf_dir, "orders")))
 
 
+@query(
+    f"""
+WITH m AS ({_STAND_IN_VERSIONS.format(text="VARCHAR", table="orders")})
+SELECT * FROM m QUALIFY row_number() OVER (PARTITION BY series_id ORDER BY status = 'ok' DESC, created_at DESC, version DESC) = 1
+"""
+)
+def stored_latest_models(spark, sf_dir):
+    """The same choice from a model table with an index; it has one row of each series and version."""
+    text = _STAND_IN_VERSIONS.format(text="STRING", table="{orders}")
+    rows = spark.sql(text, orders=table(spark, sf_dir, "orders"))
+    path = f"{shared_folder(spark)}/models-{uuid.uuid4().hex}"
+    write_models(rows.groupBy("version", "series_id", "status").agg(F.max("created_at").alias("created_at")), path)
+    found = read_latest_models(spark, path)
+    # at most 97 series, taken out because the table goes
+    newest = spark.createDataFrame(found.collect(), found.schema)
+    discard(spark, path)
+    return newest
+
+
 @query()
 def forecast_all(spark, sf_dir):
     """All products as one series: fit, 30 days ahead, formatted."""
@@ -460,3 +493,45 @@ def run_summary(spark, sf_dir):
     discard(spark, base)
     fitted = ["model_version", "training_duration_sec", "mean_forecast", "total_forecast"]
     return run.summary.where(~F.col("metric").isin(*fitted, "avg_confidence_width"))
+
+
+@query(
+    f"""
+WITH {SALES},
+n AS (SELECT count(*) AS rows, count(DISTINCT product_id) AS products,
+             strftime(min(date), '%Y-%m-%d') AS first, strftime(max(date), '%Y-%m-%d') AS last FROM sales)
+SELECT 'catalog' AS run_id, stage, position, metric, value FROM (
+  SELECT 'extraction' AS stage, 0 AS position, 'records_extracted' AS metric,
+         CAST(rows AS VARCHAR) AS value FROM n
+  UNION ALL SELECT 'extraction', 1, 'products', CAST(products AS VARCHAR) FROM n
+  UNION ALL SELECT 'extraction', 2, 'start_date', first FROM n
+  UNION ALL SELECT 'extraction', 3, 'end_date', last FROM n
+  UNION ALL SELECT 'validation', 0, 'checks_passed', '4'
+  UNION ALL SELECT 'validation', 1, 'null_rate', '0.0'
+  UNION ALL SELECT 'validation', 2, 'rows_cleaned', '0'
+  UNION ALL SELECT 'feature_engineering', 0, 'features_added', NULL
+  UNION ALL SELECT 'feature_engineering', 1, 'records_processed', NULL
+  UNION ALL SELECT 'model_training', 0, 'model_version', NULL
+  UNION ALL SELECT 'model_training', 1, 'training_duration_sec', NULL
+  UNION ALL SELECT 'model_training', 2, 'training_records', NULL
+  UNION ALL SELECT 'forecasting', 0, 'horizon_days', NULL
+  UNION ALL SELECT 'forecasting', 1, 'total_predictions', NULL
+  UNION ALL SELECT 'forecasting', 2, 'mean_forecast', NULL
+  UNION ALL SELECT 'forecasting', 3, 'total_forecast', NULL
+  UNION ALL SELECT 'forecasting', 4, 'avg_confidence_width', NULL
+)
+"""
+)
+def stored_summary_of_two_stages(spark, sf_dir):
+    """Two stages run on their own, one of them twice; the summary from their stored metadata."""
+    base = f"{shared_folder(spark)}/run-{uuid.uuid4().hex}"
+    raw, stored = f"{base}/raw", f"{base}/metadata"
+    write_table(sales(spark, sf_dir), raw)
+    for run_id in ("another", "catalog", "catalog"):
+        save_metadata(extract_data(spark, raw)[1], stored, run_id, "extraction")
+    save_metadata(validate_and_clean_data(spark, raw, f"{base}/cleaned"), stored, "catalog", "validation")
+    summary = stored_summary(spark, stored, "catalog")
+    # one short row for each metric, taken out because the folder goes
+    rows = spark.createDataFrame(summary.collect(), summary.schema)
+    discard(spark, base)
+    return rows

@@ -45,19 +45,23 @@ STAGE_METRICS: dict[str, dict[str, str]] = {
     },
 }
 
-def stage_metrics(metadata: DataFrame, stage: str) -> DataFrame:
-    """The reported metrics of one stage: (stage, position, metric, value text)."""
 
-    def pair(position: int, metric: str, value: str) -> Column:
+def metric_array(stage: str) -> Column:
+    """The reported metrics of one stage as an array of (position, metric, value text)."""
+
+    def entry(position: int, metric: str, value: str) -> Column:
         return F.struct(
-            F.lit(stage).alias("stage"),
             F.lit(position).alias("position"),
             F.lit(metric).alias("metric"),
             F.expr(value).cast("string").alias("value"),
         )
 
-    pairs = [pair(i, m, v) for i, (m, v) in enumerate(STAGE_METRICS[stage].items())]
-    return metadata.select(F.inline(F.array(*pairs)))
+    return F.array(*[entry(i, m, v) for i, (m, v) in enumerate(STAGE_METRICS[stage].items())])
+
+
+def stage_metrics(metadata: DataFrame, stage: str) -> DataFrame:
+    """The reported metrics of one stage: (stage, position, metric, value text)."""
+    return metadata.select(F.lit(stage).alias("stage"), F.inline(metric_array(stage)))
 
 
 def run_summary(

@@ -267,8 +267,9 @@ def train_and_save_model(
     features = read_training(spark, data_path, fmt)
     data_hash = training_hash(features)
     run_date = run_date or dt.date.today()
-    write_models(model_rows(features, data_hash, cfg, run_date, created_at), models_path)
-    written = models_by_version(spark, models_path, model_version(data_hash, run_date))
+    version = model_version(data_hash, run_date)
+    write_models(model_rows(features, data_hash, cfg, run_date, created_at), models_path, [version])
+    written = models_by_version(spark, models_path, version)
     return written.groupBy(
         "version", "data_hash", "model_type", "horizon_days", "parameters"
     ).agg(
@@ -283,10 +284,10 @@ def train_and_save_model(
     )
 
 
-def forecast_rows(models: DataFrame, horizon_days: int) -> DataFrame:
+def forecast_rows(models: DataFrame, horizon_days: int, freq: str = "D") -> DataFrame:
     """Formatted forecast of every fitted series: history, then the horizon."""
     named = models.withColumnRenamed("version", "model_version")
-    return format_forecast(predict(future_frame(named, horizon_days)))
+    return format_forecast(predict(future_frame(named, horizon_days, freq)))
 
 
 def generate_predictions(
@@ -297,10 +298,12 @@ def generate_predictions(
     version: str | None = None,
     horizon_days: int | None = None,
     output_fmt: str = "parquet",
+    freq: str = "D",
 ) -> DataFrame:
     """Forecast with the latest models, or with one version; returns metadata.
 
-    ``horizon_days`` wins over the configuration. The statistics cover the
+    ``horizon_days`` wins over the configuration; it counts steps of ``freq``: days
+    (``D``), Sundays (``W``) or month ends (``M``). The statistics cover the
     horizon of every series. Series without a fitted model get no forecast; the
     metadata counts them, and lists the versions in use.
     """
@@ -309,7 +312,7 @@ def generate_predictions(
         models = latest_models(spark, models_path)
     else:
         models = models_by_version(spark, models_path, version)
-    forecast = forecast_rows(models, horizon)
+    forecast = forecast_rows(models, horizon, freq)
     write_table(forecast, output_path, output_fmt, sort_by=["series_id", "ds"])
     written = read_table(spark, output_path, output_fmt, forecast.schema)
     counted = written.agg(
@@ -330,6 +333,7 @@ def generate_predictions(
         F.lit(models_path).alias("models_path"),
         F.lit(output_path).alias("output_path"),
         F.lit(horizon).alias("horizon_days"),
+        F.lit(freq).alias("freq"),
         "total_predictions",
         "start_date",
         "end_date",
