@@ -226,9 +226,14 @@ def fit(features: DataFrame, cfg: Mapping[str, Any] | None = None) -> DataFrame:
     # not merge the series of a small table into a few tasks
     observations = observations.repartition(shuffle_partitions(observations), "series_id")
     models = observations.groupBy("series_id").applyInPandas(fit_one, FIT_SCHEMA)
+    return models.withColumns(parameter_columns(p))
+
+
+def parameter_columns(p: Mapping[str, Any]) -> dict[str, Column]:
+    """The columns of a model row that come from the configuration alone."""
     parameters = F.struct(*[F.lit(p[name]).alias(name) for name in PARAMETERS])
     interval_z = NormalDist().inv_cdf(0.5 + p["interval_width"] / 2.0)
-    return models.withColumns({"parameters": parameters, "interval_z": F.lit(interval_z)})
+    return {"parameters": parameters, "interval_z": F.lit(interval_z)}
 
 
 def future_frame(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,19 +57,20 @@ def profile(df: DataFrame) -> DataFrame:
     )
 
 
-def content_hash(df: DataFrame) -> DataFrame:
-    """One row, ``data_hash``: eight hex digits that change when the content does.
+def content_hash(df: DataFrame, by: Sequence[str] = (), length: int = 8) -> DataFrame:
+    """One row, ``data_hash``: ``length`` hex digits that change when the content does.
 
     Row digests are added up, so neither row order nor partitioning matters and
     the work is one pass with a partial sum per task. Column order does matter.
+    With ``by`` there is one row for each group, NULL being a group too.
     """
     number = F.conv(F.substring(row_digest(df), 1, 15), 16, 10).cast("decimal(28,0)")
-    sums = df.select(number.alias("number")).agg(
+    sums = df.select(*by, number.alias("number")).groupBy(*by).agg(
         F.coalesce(F.sum("number"), F.lit(0).cast("decimal(38,0)")).alias("digest_sum"),
         F.count(F.lit(1)).alias("rows"),
     )
     text = F.concat_ws(":", F.col("digest_sum").cast("string"), F.col("rows").cast("string"))
-    return sums.select(md5_prefix(text).alias("data_hash"))
+    return sums.select(*by, md5_prefix(text, length).alias("data_hash"))
 
 
 def date_range(df: DataFrame, date: str = "ds") -> DataFrame:

@@ -27,11 +27,13 @@ from salescast.operators.forecast import (
     forecast_statistics,
     format_forecast,
     future_frame,
+    parameter_columns,
     predict,
 )
 from salescast.operators.profile import content_hash, profile
 from salescast.operators.quality import first_failed, quality_checks, quality_summary
 from salescast.plans.features import feature_names, feature_table
+from salescast.schema import ALL_PRODUCTS
 from salescast.sources.models import (
     latest_models,
     model_version,
@@ -229,6 +231,31 @@ def training_hash(features: DataFrame) -> str:
     return content_hash(features.select(*columns)).first()["data_hash"]
 
 
+def _series(features: DataFrame) -> Column:
+    return F.col("series_id") if "series_id" in features.columns else F.lit(ALL_PRODUCTS)
+
+
+def series_hashes(features: DataFrame) -> DataFrame:
+    """(series_id, series_hash): a fingerprint of what each series is trained on."""
+    rows = features.select(_series(features).alias("series_id"), "ds", "y").where(F.col("ds").isNotNull())
+    return content_hash(rows, by=["series_id"], length=32).withColumnRenamed("data_hash", "series_hash")
+
+
+def _same_series(left: DataFrame, right: DataFrame) -> Column:
+    return left["series_id"].eqNullSafe(right["series_id"])
+
+
+def _unchanged(models: DataFrame, hashes: DataFrame, cfg: Config) -> DataFrame:
+    """Fitted models whose rows, type and parameters are what would be fitted now."""
+    model = settings(cfg, "model")
+    wanted = parameter_columns(settings(cfg, "model.prophet"))
+    same = (F.col("status") == "ok") & (F.col("model_type") == model["type"])
+    for name, value in wanted.items():
+        same = same & F.col(name).eqNullSafe(value)
+    equal = _same_series(models, hashes) & (models["series_hash"] == hashes["series_hash"])
+    return models.where(same).join(hashes, equal, "left_semi")
+
+
 def model_rows(
     features: DataFrame,
     data_hash: str,
@@ -258,17 +285,38 @@ def train_and_save_model(
     run_date: dt.date | None = None,
     created_at: dt.datetime | None = None,
     fmt: str | None = None,
+    reuse: bool = False,
 ) -> DataFrame:
     """Fit every series of a feature table and add the models to the model table.
 
     Returns the metadata row. Series that could not be fitted are counted there
-    and keep their message in the model table.
+    and keep their message in the model table. With ``reuse``, series whose training
+    rows and parameters are those of their newest model are not fitted again: the
+    model is carried into the new version, and ``fitted_version`` says where it is from.
     """
     features = read_training(spark, data_path, fmt)
     data_hash = training_hash(features)
     run_date = run_date or dt.date.today()
     version = model_version(data_hash, run_date)
-    write_models(model_rows(features, data_hash, cfg, run_date, created_at), models_path, [version])
+    hashes = series_hashes(features)
+    before = latest_models(spark, models_path, missing="none") if reuse else None
+    carried = None
+    if before is not None and "series_hash" in before.columns:
+        carried = _unchanged(before, hashes, cfg)
+        series = carried.select("series_id")
+        features = features.withColumn("series_id", _series(features))
+        features = features.join(series, _same_series(features, series), "left_anti")
+    fitted = model_rows(features, data_hash, cfg, run_date, created_at)
+    rows = fitted.join(hashes, _same_series(fitted, hashes), "left").select(
+        fitted["*"], "series_hash", F.lit(version).alias("fitted_version")
+    )
+    if carried is not None:
+        # what the version states of itself is that of the new one
+        own = {"version": F.lit(version), "data_hash": F.lit(data_hash)}
+        own["created_at"] = (F.lit(created_at) if created_at else F.current_timestamp()).cast("timestamp")
+        own["horizon_days"] = F.lit(settings(cfg, "model")["horizon_days"])
+        rows = rows.unionByName(carried.withColumns(own).select(*rows.columns))
+    write_models(rows, models_path, [version])
     written = models_by_version(spark, models_path, version)
     return written.groupBy(
         "version", "data_hash", "model_type", "horizon_days", "parameters"
@@ -278,6 +326,7 @@ def train_and_save_model(
         F.sum("training_records").alias("training_records"),
         F.count(F.lit(1)).alias("series"),
         F.count_if(F.col("status") != "ok").alias("failed_series"),
+        F.count_if(F.col("fitted_version") != F.col("version")).alias("reused_series"),
         date_text(F.min(F.element_at("history_ds", 1))).alias("start_date"),
         date_text(F.max(F.element_at("history_ds", -1))).alias("end_date"),
         F.lit(models_path).alias("models_path"),
