@@ -36,7 +36,6 @@ exact.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -60,7 +59,9 @@ BLOCK = 64
 #: Units longer than this are segmented one by one.
 _WIDE = 48
 #: So many units are segmented side by side.
-_ABREAST = 1 << 14
+_ABREAST = 1 << 12
+#: Bytes of text whose distinct units are segmented once.
+_TEXT = 4 << 20
 
 
 class Vocabulary:
@@ -88,38 +89,60 @@ class Vocabulary:
         if any(" " in piece.lstrip(" ") for piece in self.pieces):
             raise ValueError("a piece has a space after another character")
         self.known = known
-        letters = "".join(re.escape(c) for c in sorted(known))
-        self.units = re.compile(f" *[{letters}]+| +|.", re.DOTALL)
         self._trie()
 
     def _trie(self) -> None:
-        edges: dict[tuple[int, int], int] = {}
-        self.node_score, self.node_id = [_NONE], [-1]
+        """Nodes in rows laid over each other: ``targets[base + letter]`` is a child if its parent agrees."""
+        numbers: dict[str, int] = {}
+        children: list[dict[int, int]] = [{}]
+        parents, pieces = [-1], [(0, 0, -1)]
         for piece, (score, number) in self.pieces.items():
             node = 0
             for c in piece:
-                key = (node, ord(c))
-                if key not in edges:
-                    edges[key] = len(self.node_score)
-                    self.node_score.append(_NONE)
-                    self.node_id.append(-1)
-                node = edges[key]
-            self.node_score[node], self.node_id[node] = score, number
-        keys = np.array([node << 21 | c for node, c in edges], np.int64)
-        order = np.argsort(keys)
-        self.keys, self.targets = keys[order], np.array(list(edges.values()), np.int64)[order]
-        self.node_score, self.node_id = np.array(self.node_score), np.array(self.node_id)
-        # the first letters of pieces in one table: most lookups are these
-        self.first = np.zeros(1 << 16, np.int64)
-        for (node, c), target in edges.items():
-            if node == 0 and c < 1 << 16:
-                self.first[c] = target
-
-    def step(self, nodes: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """Children of trie nodes by code point; 0 where there is none."""
-        key = nodes << 21 | codes
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.targets[at], 0)
+                letter = numbers.setdefault(c, len(numbers) + 1)
+                if letter not in children[node]:
+                    children[node][letter] = len(parents)
+                    parents.append(node)
+                    pieces.append((0, 0, -1))
+                    children.append({})
+                node = children[node][letter]
+            pieces[node] = len(piece), score, number
+        #: Numbers of letters by code point; 0 for characters without a piece.
+        self.letters = np.zeros(0x110000, np.int32)
+        self.letters[[ord(c) for c in numbers]] = list(numbers.values())
+        self.parents = np.array(parents, np.int32)
+        self.bases = np.zeros(len(parents), np.int32)
+        # the fullest rows first, each where all its places are free; rows of one letter fill what is left
+        order = sorted((k for k, row in enumerate(children) if row), key=lambda k: -len(children[k]))
+        rows = [np.array(list(children[k])) for k in order]
+        several = sum(len(row) > 1 for row in rows)
+        used, window, base, before = np.zeros(2 * (len(parents) + len(numbers)), bool), 512, 0, 0
+        for node, row in zip(order[:several], rows):
+            if len(row) != before:
+                base, before = 0, len(row)
+            while True:
+                if base + window + len(numbers) >= len(used):
+                    used = np.append(used, np.zeros_like(used))
+                taken = np.logical_or.reduce([used[base + letter : base + letter + window] for letter in row.tolist()])
+                if not taken.all():
+                    break
+                base += window  # full for this row; those as long start here too
+            self.bases[node] = base + taken.argmin()
+            used[self.bases[node] + row] = True
+        free = np.flatnonzero(~used[len(numbers) :])[: len(order) - several] + len(numbers)
+        self.bases[order[several:]] = free - np.array([row[0] for row in rows[several:]], np.int64)
+        self.targets = np.zeros(len(used), np.int32)
+        for node, row in zip(order, rows):
+            self.targets[self.bases[node] + row] = list(children[node].values())
+        # a score and, below it, the length of the piece: of equal scores the longer piece is larger
+        self.shift = self.longest.bit_length()
+        lengths, scores, self.node_id = (np.array(x, np.int64) for x in zip(*pieces))
+        self.node_worth = np.where(self.node_id >= 0, (scores << self.shift) + lengths, _NONE)
+
+    def step(self, nodes: np.ndarray, letters: np.ndarray) -> np.ndarray:
+        """Children of trie nodes by letter; 0 where there is none."""
+        found = self.targets[self.bases[nodes] + letters]
+        return np.where(self.parents[found] == nodes, found, 0)
 
     def spelt(self, char: str) -> list[int]:
         """Byte pieces of a character without a piece."""
@@ -167,92 +190,99 @@ def _trace(vocabulary: Vocabulary, text: str, stop: int | None = None) -> list[i
 
 def _side_by_side(vocabulary: Vocabulary, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all units in a row, number of each unit's ids); all characters have pieces."""
-    sizes = np.array([len(u) for u in units])
-    first = np.cumsum(sizes + 1) - sizes - 1  # one more place than characters in each unit
-    codes = np.zeros(int((sizes + 1).sum()), np.int64)
-    owner = np.repeat(np.arange(len(units)), sizes)
-    places = np.arange(len(owner)) + owner
-    codes[places] = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
-    # matches: all pieces from each place, found letter by letter
-    start, node = places, np.where(codes[places] < 1 << 16, vocabulary.first[np.minimum(codes[places], 0xFFFF)], 0)
-    beyond = codes[places] >= 1 << 16
-    if beyond.any():
-        node[beyond] = vocabulary.step(np.zeros(beyond.sum(), np.int64), codes[places[beyond]])
-    matches = []
-    for n in range(1, vocabulary.longest + 1):
-        alive = node > 0
-        start, node = start[alive], node[alive]
-        ends = vocabulary.node_id[node] >= 0
-        matches.append((start[ends], np.full(ends.sum(), n), vocabulary.node_score[node[ends]], vocabulary.node_id[node[ends]]))
-        if not len(start):
-            break
-        node = vocabulary.step(node, codes[start + n])  # the place after a unit has code 0: no child
-    start, size, score, number = (np.concatenate(x) for x in zip(*matches))
-    which = np.searchsorted(first, start, "right") - 1
-    end_in_unit = start - first[which] + size
-    order = np.lexsort((-size, end_in_unit))
-    start, size, score, number, end_in_unit = (x[order] for x in (start, size, score, number, end_in_unit))
-    best = np.full(len(codes), _NONE)
-    best[first] = 0
-    back, piece = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
-    # one step per (place in the unit, length of the piece), the longest piece first
-    key = end_in_unit * 64 - size
-    for a, b in zip(*(lambda cuts: (cuts, np.append(cuts[1:], len(key))))(np.flatnonzero(np.diff(key, prepend=-1)))):
-        s, e = start[a:b], start[a:b] + size[a:b]
-        value = best[s] + score[a:b]
-        better = value > best[e]
-        e = e[better]
-        best[e], back[e], piece[e] = value[better], size[a:b][better], number[a:b][better]
-    lane, at = np.arange(len(units)), first + sizes
+    sizes = np.fromiter(map(len, units), np.int64, len(units))
+    width, lanes = int(sizes.max()), len(units)
+    # a row for each place, a column for each unit; behind a unit 0, which leads nowhere
+    grid = np.zeros((width + 1, lanes), np.int32)
+    codes = np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)
+    grid.T[np.arange(width + 1) < sizes[:, None]] = vocabulary.letters[codes]
+    letters = grid.ravel()
+    # nodes[n - 1]: where the n letters from each place lead
+    nodes = np.zeros((min(vocabulary.longest, width), width, lanes), np.int32)
+    at = np.flatnonzero(letters)
+    node = np.zeros(len(at), np.int32)
+    for n, reached in enumerate(nodes):
+        node = vocabulary.step(node, letters[at + n * lanes])
+        alive = np.flatnonzero(node)
+        at, node = at[alive], node[alive]
+        reached.reshape(-1)[at] = node
+    # best score up to each place, with the length of the last piece in its low bits
+    low = (1 << vocabulary.shift) - 1
+    best = np.full((width + 1, lanes), _NONE)
+    reach = np.zeros((width + 1, lanes), np.int64)
+    for end in range(1, width + 1):
+        for n in range(1, min(len(nodes), end) + 1):
+            np.maximum(best[end], reach[end - n] + vocabulary.node_worth[nodes[n - 1, end - n]], out=best[end])
+        reach[end] = best[end] & ~low
+    lane, end = np.arange(lanes), sizes
     taken = []
     while len(lane):
-        taken.append((lane, piece[at]))
-        at = at - back[at]
-        going = at > first[lane]
-        lane, at = lane[going], at[going]
-    lanes, ids = (np.concatenate(x) for x in zip(*taken))
-    counts = np.bincount(lanes, minlength=len(units))
+        size = best[end, lane] & low
+        end = end - size
+        taken.append((lane, vocabulary.node_id[nodes[size - 1, end, lane]]))
+        going = end > 0
+        lane, end = lane[going], end[going]
+    owners, ids = (np.concatenate(x) for x in zip(*taken))
+    counts = np.bincount(owners, minlength=lanes)
     rank = np.concatenate([np.full(len(x), k) for k, (x, _) in enumerate(taken)])
     flat = np.empty(len(ids), np.int64)
-    flat[np.cumsum(counts)[lanes] - 1 - rank] = ids
+    flat[np.cumsum(counts)[owners] - 1 - rank] = ids
     return flat, counts
 
 
-def encode_units(vocabulary: Vocabulary, texts: list[str]) -> list[np.ndarray]:
-    """Ids of each text; texts begin and end at safe places."""
-    number: dict[str, int] = {}
-    sequences = [[number.setdefault(u, len(number)) for u in vocabulary.units.findall(t)] for t in texts]
-    units = list(number)
-    counts = np.zeros(len(units), np.int64)
-    parts: list = [None] * len(units)
-    plain = []
-    for k, u in enumerate(units):
-        if len(u) == 1 and u != " " and u not in vocabulary.known:
-            parts[k] = vocabulary.spelt(u)
-        elif len(u) > _WIDE:
-            parts[k] = _trace(vocabulary, u)
-        else:
-            plain.append(k)
-            continue
-        counts[k] = len(parts[k])
-    other = [k for k in range(len(units)) if parts[k] is not None]
-    flats = []
+def _units(vocabulary: Vocabulary, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct units, which of them are single characters without a piece, units in a row, first unit of each text and the end)."""
+    joined = "".join(texts)
+    codes = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+    bounds = np.cumsum([0, *map(len, texts)])
+    unknown, space = vocabulary.letters[codes] == 0, codes == ord(" ")
+    begins = unknown.copy()
+    begins[1:] |= unknown[:-1] | (space[1:] & ~space[:-1])
+    begins[bounds[bounds < len(codes)]] = True
+    places = np.flatnonzero(begins)
+    raw = joined.encode()
+    at = places
+    if len(raw) > len(codes):
+        at = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)[places]
+    offsets = np.append(at, len(raw)).astype(np.int64)
+    units = pa.LargeStringArray.from_buffers(len(places), pa.py_buffer(offsets), pa.py_buffer(raw)).dictionary_encode()
+    sequence = units.indices.to_numpy()
+    single = np.zeros(len(units.dictionary), bool)
+    single[sequence] = unknown[places]
+    return units.dictionary.to_pylist(), single, sequence, np.searchsorted(places, bounds)
+
+
+def _encoded(vocabulary: Vocabulary, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of all texts in a row, where each text's begin, and the end); texts begin and end at safe places."""
+    units, single, sequence, firsts = _units(vocabulary, texts)
+    sizes = np.fromiter(map(len, units), np.int64, len(units))
+    wide = sizes > _WIDE
+    plain = np.flatnonzero(~single & ~wide)
+    plain = plain[np.argsort(sizes[plain], kind="stable")]  # units of like size waste no room
+    counts, start = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
+    flats, order = [np.zeros(0, np.int64)], [plain]
     for at in range(0, len(plain), _ABREAST):
         some = plain[at : at + _ABREAST]
-        flat, counts[some] = _side_by_side(vocabulary, [units[k] for k in some])
+        flat, counts[some] = _side_by_side(vocabulary, [units[k] for k in some.tolist()])
         flats.append(flat)
-    pool = np.concatenate([np.zeros(0, np.int64), *flats, *[np.array(parts[k], np.int64) for k in other]]).astype(np.int32)
-    start = np.zeros(len(units), np.int64)
-    order = np.array(plain + other, np.int64)
-    if len(order):
-        start[order] = np.cumsum(counts[order]) - counts[order]
-    results = []
-    for sequence in sequences:
-        seq = np.array(sequence, np.int64)
-        n = counts[seq]
-        offset = np.repeat(start[seq] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        results.append(pool[offset])
-    return results
+    for k in np.flatnonzero(single | wide).tolist():
+        ids = vocabulary.spelt(units[k]) if single[k] else _trace(vocabulary, units[k])
+        counts[k] = len(ids)
+        flats.append(np.array(ids, np.int64))
+        order.append(np.array([k]))
+    order = np.concatenate(order)
+    start[order] = np.cumsum(counts[order]) - counts[order]
+    n = counts[sequence]
+    ends = np.cumsum(n)
+    pool = np.concatenate(flats).astype(np.int32)
+    ids = pool[np.repeat(start[sequence] - (ends - n), n) + np.arange(n.sum())]
+    return ids, np.append(0, ends)[firsts]
+
+
+def encode_units(vocabulary: Vocabulary, texts: list[str]) -> list[np.ndarray]:
+    """Ids of each text; texts begin and end at safe places."""
+    ids, bounds = _encoded(vocabulary, texts)
+    return [ids[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
 
 def _bounds(vocabulary: Vocabulary, before: str, text: str, size: int) -> tuple[int, int] | None:
@@ -532,7 +562,7 @@ def _states(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _traces(model: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(model)
-        for batch in slices(batches, 3, 1 << 20):
+        for batch in slices(batches, 3, _TEXT):
             parts = [trace(vocabulary, *x) for x in zip(*(batch.column(k).to_pylist() for k in range(2, 7)))]
             middles = encode_units(vocabulary, [m for _, m, _ in parts])
             ids = [np.concatenate([np.array(a, np.int32), m, np.array(b, np.int32)]) for (a, _, b), m in zip(parts, middles)]
@@ -554,7 +584,7 @@ def _digest(vocabulary: Vocabulary, ids: np.ndarray) -> str:
 def _short(model: str, digest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(model)
-        for batch in slices(batches, 1, 1 << 20):
+        for batch in slices(batches, 1, _TEXT):
             texts = [" " + raw.decode() if raw else "" for raw in raw_texts(batch.column(1))]
             ids = encode_units(vocabulary, texts)
             marks = pa.array([_digest(vocabulary, x) for x in ids] if digest else [None] * len(ids), pa.string())
