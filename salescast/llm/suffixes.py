@@ -10,7 +10,8 @@ The digits of a window are chosen so that neighbours share them:
    one with the smallest hash, the leftmost of equals. It depends on the window's bytes
    alone, so equal windows have equal landmarks at equal places. Windows in a row with
    one landmark form a stretch, about 18 windows, and travel as one row. This pass is
-   dealt to shards by the landmark's leading bits.
+   dealt to shards by ranges of the landmark, which as the smallest of many hashes is
+   mostly small: the ranges are quantiles.
 2. The second digit is the whole stretch. Of equal stretches all but those of the
    smallest document are covered. Only where a landmark has several different
    stretches does the smallest document of each send its windows on.
@@ -22,9 +23,10 @@ The digits of a window are chosen so that neighbours share them:
 
 What a task can settle in its own batch of texts it settles there: of equal stretches
 or windows only the smallest document's travels, so a text or passage with very many
-copies arrives as one row from each batch.
+copies arrives as one row from each batch. A shard is worked on in ranges of its first
+digit and its windows in runs of groups, so memory does not follow the shard's size.
 
-Landmarks and stretches are compared by 64-bit hashes each, windows by their bytes.
+Stretches are compared by 64-bit hashes beside their landmark's, windows by their bytes.
 Results return by document and content, not by place: whoever reads the text again
 finds the places by computing the same stretches. Very long texts are worked on in
 parts that overlap by a window; a stretch that a border cuts differs from its copies
@@ -52,9 +54,13 @@ GRAM = 16
 BATCH = 4 << 20
 #: Bytes of text that are hashed at once, and of the parts of a long text.
 PART = 1 << 19
+#: Rows of a shard, and windows of its halves, that are looked at together.
+SLICE = 1 << 17
 
 _U = np.uint64
 _EIGHT = -(-WIDTH // 8)
+#: What is kept of a first digit: 40 bits. It only brings rows together, so two in one are no harm.
+_COARSE = _U(0xFFFFFFFFFF000000)
 #: A window has so many bytes beside its landmark, and at least half of them on one side.
 _BESIDE = WIDTH - GRAM
 _SIDE = _BESIDE // 2
@@ -117,7 +123,7 @@ class Stretches:
         self.text, self.low, self.high = text[first], starts[first], starts[last]
         self.rows = np.array([r for r, _ in texts], np.int64)[self.text]
         self.place = place[first]
-        self.landmark = gram[self.place]
+        self.landmark = gram[self.place] & _COARSE
         view, code = memoryview(raw), xxhash.xxh3_64_intdigest
         bounds = zip(self.low.tolist(), (self.high + WIDTH).tolist())
         self.content = np.fromiter((code(view[a:b]) for a, b in bounds), _U, len(first))
@@ -148,7 +154,7 @@ class Stretches:
             inside = (at >= low[:, None]) & (at < high[:, None] + WIDTH)
             body = np.where(inside, self.data[np.clip(at, 0, len(self.data) - 1)], 0).astype(np.uint8)
             counts = (before << 16 | (low - base) << 8 | (high - low + 1)).astype(_U)
-            key = _chained(np.full(len(owner), right, _U), *words)
+            key = _chained(np.full(len(owner), right, _U), *words) & _COARSE
             found.append(np.column_stack([key, counts, body.view(">u8").astype(_U), self.content[owner]]))
             owners.append(owner)
         return np.concatenate(found), np.concatenate(owners)
@@ -232,12 +238,31 @@ def _unpacked(packed: list[bytes], columns: int, width: int) -> np.ndarray:
     return np.concatenate(found)
 
 
-def _dealt(digits: np.ndarray, docs: np.ndarray, keys: int, shards: int) -> Iterator[pa.RecordBatch]:
-    """Rows of a batch by shard: what is open goes by the leading bits of the first digit, what is settled anywhere."""
+def _even(shards: int) -> np.ndarray:
+    """First digits at which the shards after the first begin, where digits are hashes."""
+    return np.array([(k << 64) // shards for k in range(1, shards)], _U)
+
+
+def _quantiles(shards: int) -> np.ndarray:
+    """As :func:`_even` where digits are landmarks.
+
+    With hashes from 0 to 1 and n grams in a window, a share of (1 - x)^n (1 + (n - 1) x / 2)
+    of the landmarks is above x. Found once, on the driver: tasks have to agree to the last bit.
+    """
+    n, above = WIDTH - GRAM + 1, 1 - np.arange(1, shards) / shards
+    low, high = np.zeros(shards - 1), np.ones(shards - 1)
+    for _ in range(60):
+        x = (low + high) / 2
+        beyond = (1 - x) ** n * (1 + (n - 1) * x / 2) > above
+        low, high = np.where(beyond, x, low), np.where(beyond, high, x)
+    return (low * 2.0**64).astype(_U)
+
+
+def _dealt(digits: np.ndarray, docs: np.ndarray, keys: int, begins: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of a batch by shard, in order of the first digit: what is open goes by ranges of it, what is settled anywhere."""
+    shards = len(begins) + 1
     open_, settled = _owners(digits, docs, keys)
-    at = (digits[open_, 0] >> _U(32)) * _U(shards) >> _U(32)
-    order = np.argsort(at, kind="stable")
-    open_, at = open_[order], at[order]
+    at = np.searchsorted(begins, digits[open_, 0], "right")
     first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]][: len(at)])
     groups = [(int(at[a]), False, open_[a:b]) for a, b in zip(first, np.append(first[1:], len(at)))]
     for a in range(0, len(settled), _SETTLED):
@@ -250,11 +275,46 @@ def _dealt(digits: np.ndarray, docs: np.ndarray, keys: int, shards: int) -> Iter
         yield _rows([(k, done, x, d) for (k, done, _), (d, x) in zip(groups, columns)], _DEALT_SCHEMA)
 
 
-def _arrays(table: pa.Table, columns: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(digits, documents, settled) of a shard."""
-    docs = [_unpacked([d], 1, 1) for d in table["docs"].to_pylist()]
-    settled = np.repeat(table["settled"].to_numpy(), [len(d) for d in docs]).astype(bool)
-    return _unpacked(table["digits"].to_pylist(), 2, columns), np.concatenate(docs)[:, 0].view(np.int64), settled
+#: Compressed digits and documents of some rows.
+_Pack = tuple[pa.Buffer, pa.Buffer]
+
+
+def _packs(table: pa.Table) -> tuple[list[_Pack], list[_Pack]]:
+    """(open, settled) rows of a shard."""
+    found = [], []
+    for done, digits, docs in zip(table["settled"], table["digits"], table["docs"]):
+        found[done.as_py()].append((digits.as_buffer(), docs.as_buffer()))
+    return found
+
+
+def _arrays(packs: list[_Pack], columns: int) -> tuple[np.ndarray, np.ndarray]:
+    """(digits, documents)."""
+    return _unpacked([x for x, _ in packs], 2, columns), _unpacked([d for _, d in packs], 1, 1)[:, 0].view(np.int64)
+
+
+def _ranges(packs: list[_Pack], columns: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(digits, documents) of open rows, one range of the first digit after another, of about ``SLICE`` rows each.
+
+    Rows that agree in the first digit come together, however many they are.
+    """
+    parts = -(-sum(zstandard.frame_content_size(d) for _, d in packs) // (8 * SLICE))
+    if parts < 2:
+        if packs:
+            yield _arrays(packs, columns)
+        return
+    some = np.sort(np.concatenate([_unpacked([x], 2, columns)[::8, 0] for x, _ in packs]))
+    edges = np.unique(some[np.arange(1, parts) * len(some) // parts])
+    for k in range(len(edges) + 1):
+        found = []
+        for pack in packs:
+            digits, docs = _arrays([pack], columns)
+            place = np.r_[0, np.searchsorted(digits[:, 0], edges), len(docs)]
+            if place[k] < place[k + 1]:
+                found.append((digits[place[k] : place[k + 1]].copy(), docs[place[k] : place[k + 1]].copy()))
+        if found:
+            digits, docs = map(np.concatenate, zip(*found))
+            del found
+            yield digits, docs
 
 
 #: ``mask`` has a bit for each window that is covered, by its distance from the landmark.
@@ -270,7 +330,7 @@ def _marked(parts: list[tuple]) -> pa.Table:
     return pa.Table.from_arrays(columns, ["doc", "content", "mask"])
 
 
-def _first_digits(shards: int):
+def _first_digits(begins: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 1, BATCH):
             docs, digits, owners = batch.column(0).to_numpy(), [], []
@@ -279,26 +339,28 @@ def _first_digits(shards: int):
                 digits.append(np.stack([found.landmark, found.content], axis=1))
                 owners.append(docs[found.rows])
             if digits:
-                yield from _dealt(np.concatenate(digits), np.concatenate(owners), 2, shards)
+                yield from _dealt(np.concatenate(digits), np.concatenate(owners), 2, begins)
 
     return run
 
 
 def _stretch_marks(table: pa.Table) -> pa.Table:
     """Covered stretches, and those whose windows have to be looked at."""
-    digits, docs, settled = _arrays(table, 2)
-    parts = [(docs[settled], digits[settled, 1], np.full(settled.sum(), _COVERED))]
-    digits, docs = digits[~settled], docs[~settled]
-    alive, group = radix(digits[:, :1], docs)
-    here, content = docs[alive], digits[alive, 1]
-    order = np.lexsort((here, content, group))
-    here, group, content = here[order], group[order], content[order]
-    head = np.r_[True, (group[1:] != group[:-1]) | (content[1:] != content[:-1])][: len(group)]
-    owner = here[head][np.cumsum(head) - 1]
-    several = np.bincount(group[head], minlength=1) > 1
-    asked = head & several[group]
-    for some, mask in ((here > owner, _COVERED), (asked, _ASKED)):
-        parts.append((here[some], content[some], np.full(some.sum(), mask)))
+    parts, (open_, settled) = [], _packs(table)
+    for pack in settled:
+        digits, docs = _arrays([pack], 2)
+        parts.append((docs, digits[:, 1], np.full(len(docs), _COVERED)))
+    for digits, docs in _ranges(open_, 2):
+        alive, group = radix(digits[:, :1], docs)
+        here, content = docs[alive], digits[alive, 1]
+        order = np.lexsort((here, content, group))
+        here, group, content = here[order], group[order], content[order]
+        head = np.r_[True, (group[1:] != group[:-1]) | (content[1:] != content[:-1])][: len(group)]
+        owner = here[head][np.cumsum(head) - 1]
+        several = np.bincount(group[head], minlength=1) > 1
+        asked = head & several[group]
+        for some, mask in ((here > owner, _COVERED), (asked, _ASKED)):
+            parts.append((here[some], content[some], np.full(some.sum(), mask)))
     return _marked(parts)
 
 
@@ -327,7 +389,7 @@ def _copied(column: pa.Array) -> pa.Array:
     return pa.concat_arrays([column])
 
 
-def _last_digits(shards: int):
+def _last_digits(begins: np.ndarray):
     """Texts with marks to the halves of the stretches that are asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -342,41 +404,64 @@ def _last_digits(shards: int):
                     digits.append(halves)
                     owners.append(docs[found.rows[owner]])
             if digits:
-                yield from _dealt(np.concatenate(digits), np.concatenate(owners), 2 + _HALF, shards)
+                yield from _dealt(np.concatenate(digits), np.concatenate(owners), 2 + _HALF, begins)
 
     return run
 
 
-def _opened(digits: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(half, first byte, bit of the mask) of each window of the halves."""
-    before, first, count = (((digits[:, 1] >> _U(k)) & _U(255)).astype(np.int64) for k in (16, 8, 0))
-    half = np.repeat(np.arange(len(digits)), count)
-    at = first[half] + np.arange(len(half)) - np.repeat(np.cumsum(count) - count, count)
+def _opened(halves: np.ndarray, begin: int = 0, end: int = 8 * _HALF) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(half, first byte, bit of the mask) of each window of the halves whose first byte is in a range."""
+    before, first, count = (((halves[:, 1] >> _U(k)) & _U(255)).astype(np.int64) for k in (16, 8, 0))
+    low, high = np.maximum(first, begin), np.minimum(first + count, end)
+    count = np.maximum(high - low, 0)
+    half = np.repeat(np.arange(len(halves)), count)
+    at = low[half] + np.arange(len(half)) - np.repeat(np.cumsum(count) - count, count)
     return half, at, np.left_shift(1, before[half] - at)
 
 
+def _joined(bits: np.ndarray, half: np.ndarray, halves: int) -> np.ndarray:
+    """Masks of so many halves from the bits of windows."""
+    masks = np.zeros(halves, np.int64)
+    np.bitwise_or.at(masks, half, bits)
+    return masks
+
+
+def _repeated(halves: np.ndarray, docs: np.ndarray, group: np.ndarray, begin: int, end: int) -> np.ndarray:
+    """Masks of the windows, first byte in a range, that a smaller document of the group has."""
+    half, at, bits = _opened(halves, begin, end)
+    body = np.ascontiguousarray(halves[:, 2:-1].astype(">u8")).view(np.uint8).reshape(len(halves), 8 * _HALF)
+    padded = np.zeros((len(half), 8 * _EIGHT), np.uint8)
+    padded[:, :WIDTH] = np.lib.stride_tricks.sliding_window_view(body, WIDTH, axis=1)[half, at]
+    columns = np.column_stack([group[half].astype(_U), at.astype(_U), padded.view(">u8").astype(_U)])
+    rows, group = radix(columns, docs[half])
+    here = docs[half[rows]]
+    head = np.r_[True, group[1:] != group[:-1]][: len(group)]
+    low = here if not len(here) else np.minimum.reduceat(here, np.flatnonzero(head))[np.cumsum(head) - 1]
+    gone = rows[here > low]
+    return _joined(bits[gone], half[gone], len(halves))
+
+
 def _window_marks(table: pa.Table) -> pa.Table:
     """Covered windows, as masks of their stretches."""
-    digits, docs, settled = _arrays(table, 3 + _HALF)
-    parts = []
-    alive, group = radix(digits[~settled][:, :1], docs[~settled])
-    for halves, owners, group in ((digits[settled], docs[settled], None), (digits[~settled][alive], docs[~settled][alive], group)):
-        half, at, bits = _opened(halves)
-        gone = np.arange(len(half))
-        if group is not None:
-            body = np.ascontiguousarray(halves[:, 2:-1].astype(">u8")).view(np.uint8).reshape(len(halves), 8 * _HALF)
-            padded = np.zeros((len(half), 8 * _EIGHT), np.uint8)
-            padded[:, :WIDTH] = body[half[:, None], at[:, None] + np.arange(WIDTH)]
-            columns = np.column_stack([group[half].astype(_U), at.astype(_U), padded.view(">u8").astype(_U)])
-            rows, group = radix(columns, owners[half])
-            here = owners[half[rows]]
-            head = np.r_[True, group[1:] != group[:-1]][: len(group)]
-            low = here if not len(here) else np.minimum.reduceat(here, np.flatnonzero(head))[np.cumsum(head) - 1]
-            gone = rows[here > low]
-        masks = np.zeros(len(halves), np.int64)
-        np.bitwise_or.at(masks, half[gone], bits[gone])
+    parts, (open_, settled) = [], _packs(table)
+    for pack in settled:
+        halves, docs = _arrays([pack], 3 + _HALF)
+        half, _, bits = _opened(halves)
+        parts.append((docs, halves[:, -1], _joined(bits, half, len(halves))))
+    for halves, docs in _ranges(open_, 3 + _HALF):
+        alive, group = radix(halves[:, :1], docs)
+        halves, docs = halves[alive], docs[alive]
+        masks, ends = np.zeros(len(docs), np.int64), np.cumsum(halves[:, 1] & _U(255)).astype(np.int64)
+        # runs of groups with about SLICE windows; in a group of very many, one first byte at a time
+        first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]][: len(group)])
+        run = np.r_[0, ends][first] // SLICE
+        cuts = [*first[np.r_[True, run[1:] != run[:-1]][: len(run)]].tolist(), len(docs)]
+        for a, b in zip(cuts, cuts[1:]):
+            small = ends[b - 1] - ends[a] < 2 * SLICE
+            for begin in range(0, 1 if small else 8 * _HALF - WIDTH + 1):
+                masks[a:b] |= _repeated(halves[a:b], docs[a:b], group[a:b], begin, 8 * _HALF if small else begin + 1)
         some = masks != 0
-        parts.append((owners[some], halves[some, -1], masks[some]))
+        parts.append((docs[some], halves[some, -1], masks[some]))
     return _marked(parts)
 
 
@@ -438,12 +523,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shards = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").cast("binary").alias("text"))
     named = rows.where("doc IS NOT NULL")
-    dealt = named.mapInArrow(_first_digits(shards), _DEALT)
+    dealt = named.mapInArrow(_first_digits(_quantiles(shards)), _DEALT)
     marks = dealt.groupBy("shard").applyInArrow(_stretch_marks, _MARK)
     marks = marks.groupBy("doc").agg(F.collect_list(F.struct("content", "mask")).alias("marks"))
     texts = named.join(marks, "doc", "left")
     asked = texts.where("marks IS NOT NULL").select("doc", "text", "marks")
-    dealt = asked.mapInArrow(_last_digits(shards), _DEALT)
+    dealt = asked.mapInArrow(_last_digits(_even(shards)), _DEALT)
     seen = dealt.groupBy("shard").applyInArrow(_window_marks, _MARK)
     windows = seen.groupBy("doc").agg(F.collect_list(F.struct("content", "mask")).alias("windows"))
     joined = texts.join(windows, "doc", "left").select("doc", "text", "marks", "windows")

@@ -3,10 +3,12 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -113,6 +115,74 @@ def test_radix_groups_are_the_repeated_rows():
     assert sorted(sorted(r) for r in groups.values()) == sorted(expected)
 
 
+def shards_of(run, *columns):
+    """Tables by shard of what a task of op 11 deals out."""
+    found = defaultdict(list)
+    for batch in run(iter([pa.RecordBatch.from_arrays([*columns], [f"c{k}" for k in range(len(columns))])])):
+        for k in range(batch.num_rows):
+            found[batch["shard"][k].as_py()].append(pa.Table.from_batches([batch.slice(k, 1)]))
+    return {k: pa.concat_tables(v) for k, v in found.items()}
+
+
+def marks_of(shards, run):
+    """Marks by document, and the most memory a shard took."""
+    found, most = defaultdict(list), 0
+    for shard in shards.values():
+        tracemalloc.start()
+        marks = run(shard)
+        most = max(most, tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        for row in marks.to_pylist():
+            found[row["doc"]].append((row["content"], row["mask"]))
+    return found, most
+
+
+def looked_at(texts, shards):
+    """(marks of stretches, marks of windows, the most memory a shard of either took), without Spark; each text is a batch."""
+    docs, raws = pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.binary())
+    sent = defaultdict(list)
+    for k in range(len(texts)):
+        for shard, t in shards_of(suffixes._first_digits(suffixes._quantiles(shards)), docs[k : k + 1], raws[k : k + 1]).items():
+            sent[shard].append(t)
+    marks, first = marks_of({k: pa.concat_tables(v) for k, v in sent.items()}, suffixes._stretch_marks)
+    kind = pa.list_(pa.struct([("content", pa.int64()), ("mask", pa.int64())]))
+    asked = pa.array([[{"content": c, "mask": m} for c, m in marks[k]] for k in range(len(texts))], kind)
+    sent = shards_of(suffixes._last_digits(suffixes._even(shards)), docs, raws, asked)
+    windows, last = marks_of(sent, suffixes._window_marks)
+    return {k: sorted(v) for k, v in marks.items()}, {k: sorted(v) for k, v in windows.items()}, first, last
+
+
+def test_shards_are_alike_though_landmarks_are_small():
+    text = noise(random.Random(5), 400_000, "abcdefghijklmnop ").encode()
+    sent = shards_of(suffixes._first_digits(suffixes._quantiles(16)), pa.array([1], pa.int64()), pa.array([text], pa.binary()))
+    rows = [len(suffixes._arrays(suffixes._packs(sent[k])[0], 2)[1]) for k in range(16)]
+    assert sum(rows) > 20_000 and max(rows) < 1.2 * min(rows)
+
+
+def test_slices_of_a_shard_find_the_same(monkeypatch):
+    rng = random.Random(11)
+    passages = [noise(rng, rng.choice([60, 90, 200]), "ab") for _ in range(4)]
+    texts = ["".join(rng.choice([*passages, noise(rng, 60, "abc")]) for _ in range(5)).encode() for _ in range(60)]
+    whole = looked_at(texts, 2)[:2]
+    assert len(whole[0]) > 40 and len(whole[1]) > 40
+    for size in (7, 100):
+        monkeypatch.setattr(suffixes, "SLICE", size)
+        assert looked_at(texts, 2)[:2] == whole
+
+
+def test_memory_of_a_passage_before_many_different_texts():
+    rng = random.Random(12)
+    passage = noise(rng, 90, "abcdefghij ")
+    texts = [(passage + noise(rng, 40, "klmnopqrst")).encode() for _ in range(12_000)]
+    docs, raws = pa.array(range(len(texts)), pa.int64()), pa.array(texts, pa.binary())
+    found = suffixes.Stretches([*enumerate(texts)])
+    asked = [[{"content": c, "mask": 0} for c in part.tolist()] for part in np.split(found.content.view(np.int64), np.cumsum(np.bincount(found.rows))[:-1])]
+    kind = pa.list_(pa.struct([("content", pa.int64()), ("mask", pa.int64())]))
+    sent = shards_of(suffixes._last_digits(suffixes._even(1)), docs, raws, pa.array(asked, kind))
+    marks, most = marks_of(sent, suffixes._window_marks)
+    assert len(marks) == len(texts) - 1 and most < 100e6
+
+
 def diverged(rows, least):
     """Result rows of :func:`divergence.audit`."""
     docs = [(la or "", s or "", re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))) for _, t, la, s, _ in rows]
